@@ -25,6 +25,38 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m.component_id FROM docum
 JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) m USING (doc_id)
 """
 
+MIXING = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len({WORDS.format("coalesce(text, '')")})::BIGINT AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS u FROM documents
+), sums AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sized GROUP BY source
+), leveled AS (
+  SELECT *, 3 * source_size AS cap, ((sum(source_size) OVER ())::BIGINT
+    - coalesce(sum(3 * source_size) OVER (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)::DOUBLE
+    / (sum(w) OVER (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS lvl FROM sums
+), goals AS (
+  SELECT source, source_size, CASE WHEN cap <= w * lvl THEN cap::DOUBLE
+    ELSE w * max(CASE WHEN NOT cap <= w * lvl THEN lvl END) OVER () END AS target FROM leveled
+), passes AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS q FROM goals
+), parts AS (
+  SELECT source, u >> 30 AS part, sum(size)::BIGINT AS words FROM sized GROUP BY 1, 2
+), running AS (
+  SELECT p.source, q, part, words, target - q * source_size AS rest, sum(words) OVER (PARTITION BY p.source ORDER BY part)::BIGINT AS upto
+  FROM parts p JOIN passes g ON p.source IS NOT DISTINCT FROM g.source
+), edges AS (
+  SELECT source, max(rest) AS rest, coalesce(min(CASE WHEN upto > rest THEN part END), max(part)) AS part FROM running GROUP BY source
+), cuts AS (
+  SELECT r.source, (r.part + CASE WHEN r.upto - r.rest < r.rest - (r.upto - r.words) THEN 1 ELSE 0 END) << 30 AS cut
+  FROM running r JOIN edges e ON r.source IS NOT DISTINCT FROM e.source AND r.part = e.part
+)
+SELECT doc_id, size, source_size, target,
+  CASE WHEN source_size > 0 THEN size * least(q + CASE WHEN u < cut THEN 1 ELSE 0 END, 3) ELSE 0 END::BIGINT AS taken
+FROM sized s JOIN passes g ON s.source IS NOT DISTINCT FROM g.source JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
+"""
+
 SQL = {
     "op4_ngram_jaccard_join": JACCARD,
+    "op5_mixing": MIXING,
 }

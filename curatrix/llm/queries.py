@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from curatrix.llm.jaccard_join import jaccard_classes
+from curatrix.llm.mixing import mix
+from curatrix.llm.sharding import shard
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +19,19 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(spark, _table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(spark, _table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(spark, _table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+        "op5_mixing": op5_mixing,
+        "op10_sharding": op10_sharding,
     }
 
 
