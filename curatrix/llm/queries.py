@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from curatrix.llm import language_id
+from curatrix.llm.embedding_dedup import near_duplicates
 from curatrix.llm.jaccard_join import jaccard_classes
 from curatrix.llm.mixing import mix
 from curatrix.llm.sharding import shard
@@ -15,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language_id.identify(spark, docs, language_id.fit(spark, docs))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(spark, _table(spark, sf_dir, "documents"))
 
@@ -23,14 +30,20 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark, _table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(spark, _table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_language_id": op3_language_id,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_mixing": op5_mixing,
+        "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_sharding": op10_sharding,
     }
 
