@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import language_id
+from curatrix.llm import language_id, secrets, toxicity
 from curatrix.llm.embedding_dedup import near_duplicates
 from curatrix.llm.jaccard_join import jaccard_classes
 from curatrix.llm.mixing import mix
@@ -30,6 +30,15 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark, _table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(spark, docs, toxicity.fit(spark, docs, _table(spark, sf_dir, "labels")))
+
+
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(spark, _table(spark, sf_dir, "documents"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _table(spark, sf_dir, "embeddings"))
 
@@ -43,6 +52,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
         "op5_mixing": op5_mixing,
+        "op6_toxicity": op6_toxicity,
+        "op7_secret_scans": op7_secret_scans,
         "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_sharding": op10_sharding,
     }
