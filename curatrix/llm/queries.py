@@ -11,6 +11,7 @@ from curatrix.llm.embedding_dedup import near_duplicates
 from curatrix.llm.jaccard_join import jaccard_classes
 from curatrix.llm.mixing import mix
 from curatrix.llm.sharding import shard
+from curatrix.llm.token_counts import document_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,10 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(spark, _table(spark, sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_tokens(spark, _table(spark, sf_dir, "documents"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _table(spark, sf_dir, "embeddings"))
 
@@ -54,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_mixing": op5_mixing,
         "op6_toxicity": op6_toxicity,
         "op7_secret_scans": op7_secret_scans,
+        "op8_token_counts": op8_token_counts,
         "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_sharding": op10_sharding,
     }
