@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from curatrix.llm.decontaminate import MASKS
+
 #: Only A-Z are lower-cased.
 ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -56,7 +58,36 @@ SELECT doc_id, size, source_size, target,
 FROM sized s JOIN passes g ON s.source IS NOT DISTINCT FROM g.source JOIN cuts c ON s.source IS NOT DISTINCT FROM c.source
 """
 
+_TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '')"
+_MASKS = {k: [i + 1 for i, bit in enumerate(mask) if bit == "1"] for k, mask in enumerate(MASKS)}
+_SEEDS = " UNION ALL ".join(
+    f"SELECT id, p, {k} AS mask, concat_ws(' ', {', '.join(f't[p + {i - 1}]' for i in chosen)}) AS seed FROM {{0}}, unnest(range(1, len(t) - {len(MASKS[0]) - 2})) AS r(p)"
+    for k, chosen in _MASKS.items()
+)
+
+LEAKS = rf"""
+WITH d AS (
+  SELECT doc_id AS id, {_TOKENS} AS t FROM documents
+), b AS (
+  SELECT * FROM (SELECT item_id AS id, {_TOKENS} AS t FROM benchmark) WHERE len(t) >= 8
+), ds AS (
+  {_SEEDS.format("d")}
+), bs AS (
+  {_SEEDS.format("b")}
+), lines AS (
+  SELECT DISTINCT ds.id AS doc_id, bs.id AS item_id, ds.p - bs.p AS doc_token FROM ds JOIN bs ON ds.mask = bs.mask AND ds.seed = bs.seed
+), agree AS (
+  SELECT doc_id, item_id, doc_token, len(b.t) AS n, q, CASE WHEN d.t[q + doc_token] = b.t[q] AND q + doc_token > 0 THEN 1 ELSE 0 END AS same
+  FROM lines JOIN d ON d.id = doc_id JOIN b ON b.id = item_id, unnest(range(1, len(b.t) + 1)) AS r(q)
+), windows AS (
+  SELECT doc_id, item_id, doc_token, n, q, sum(same) OVER (PARTITION BY doc_id, item_id, doc_token ORDER BY q ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS s FROM agree
+)
+SELECT doc_id, item_id, doc_token::INT AS doc_token, max(s)::INT AS agreeing, least(20, n)::INT AS compared FROM windows
+WHERE q >= least(20, n) GROUP BY doc_id, item_id, doc_token, n HAVING max(s) * 100 >= least(20, n) * 75
+"""
+
 SQL = {
+    "op2_benchmark_decontamination": LEAKS,
     "op4_ngram_jaccard_join": JACCARD,
     "op5_mixing": MIXING,
 }
