@@ -10,6 +10,7 @@ from curatrix.llm import language_id, secrets, toxicity
 from curatrix.llm.decontaminate import leaks
 from curatrix.llm.embedding_dedup import near_duplicates
 from curatrix.llm.jaccard_join import jaccard_classes
+from curatrix.llm.line_dedup import dedup_lines
 from curatrix.llm.mixing import mix
 from curatrix.llm.sharding import shard
 from curatrix.llm.token_counts import document_tokens
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(spark, _table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +64,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_language_id": op3_language_id,
         "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
