@@ -56,11 +56,13 @@ def _buckets(frames, tables: int, each: int, width: float, seed: int):
             yield pd.DataFrame({"cls": frame["cls"].to_numpy(), "keys": out})
 
 
-def _compare(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
+#: Rows of comparisons that are smaller than this are compared together, pair by pair.
+SMALL = 48
+
+
+def _compare_large(frame: pd.DataFrame, unit: np.ndarray, keys: np.ndarray, threshold: float) -> pd.DataFrame:
     """Links between the two blocks of a comparison, or within one: for each class how many vectors it links with, and a root."""
-    frame = frame.sort_values(["side", "cls"], kind="stable")
-    table, one = int(frame["tab"].iloc[0]), bool((frame["side"] == 0).all())
-    keys, unit = np.stack(frame["keys"]), _unit(frame["embedding"])
+    table, one = int(frame["tab"].iloc[0]), int(frame["lo"].iloc[0]) == int(frame["hi"].iloc[0])
     cls, copies = frame["cls"].to_numpy(), frame["copies"].to_numpy()
     n = len(frame)
     a = n if one else int((frame["side"] == 0).sum())
@@ -83,6 +85,60 @@ def _compare(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame({"cls": cls[told], "links": links[told], "root": cls[roots[told]]})
 
 
+def _compare_small(frame: pd.DataFrame, unit: np.ndarray, keys: np.ndarray, group: np.ndarray, threshold: float) -> pd.DataFrame:
+    """The same for many small comparisons at once; group: the comparison of each row, in order."""
+    one, side, table = (frame["lo"] == frame["hi"]).to_numpy(), frame["side"].to_numpy(), frame["tab"].to_numpy()
+    cls, copies = frame["cls"].to_numpy(), frame["copies"].to_numpy()
+    out, links = [], np.zeros(len(frame), np.int64)
+    tables = np.arange(keys.shape[1])
+    for step in range(1, SMALL):
+        i = np.flatnonzero(group[:-step] == group[step:]) if step < len(group) else np.zeros(0, np.int64)
+        if not len(i):
+            break
+        i = i[one[i] | (side[i] != side[i + step])]
+        i = i[np.einsum("ij,ij->i", unit[i], unit[i + step]) >= threshold]
+        i = i[~((keys[i] == keys[i + step]) & (tables < table[i][:, None])).any(axis=1)]
+        np.add.at(links, i, copies[i + step])
+        np.add.at(links, i + step, copies[i])
+        out.append(pd.DataFrame({"cls": cls[i + step], "links": np.zeros(len(i), np.int64), "root": cls[i]}))
+    told = links > 0
+    return pd.concat([*out, pd.DataFrame({"cls": cls[told], "links": links[told], "root": cls[told]})])
+
+
+def _compare(frames, threshold: float):
+    """Rows come sorted by comparison. The last comparison of a batch waits for the next batch; it has two blocks at most."""
+    rest = None
+
+    def done(frame: pd.DataFrame):
+        at = frame[["tab", "bucket", "lo", "hi"]].to_numpy()
+        cuts = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]).any(axis=1), [True]]))
+        sizes = np.diff(cuts)
+        group = np.repeat(np.arange(len(sizes)), sizes)
+        keys = np.stack(frame["keys"].to_numpy())
+        dims = frame["embedding"].map(len).to_numpy()
+        unit = np.zeros((len(frame), dims.max()))  # equal buckets have equal lengths
+        for dim in np.unique(dims):
+            unit[dims == dim, :dim] = _unit(frame["embedding"][dims == dim])
+        small = np.repeat(sizes < SMALL, sizes)
+        if small.any():
+            yield _compare_small(frame[small], unit[small], keys[small], group[small], threshold)
+        for k in np.flatnonzero(sizes >= SMALL):
+            rows = slice(cuts[k], cuts[k + 1])
+            yield _compare_large(frame.iloc[rows], unit[rows], keys[rows], threshold)
+
+    for frame in frames:
+        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
+        last = (frame[["tab", "bucket", "lo", "hi"]].to_numpy() != frame[["tab", "bucket", "lo", "hi"]].iloc[-1].to_numpy()).any(axis=1)
+        cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+        if cut:
+            yield from done(frame.iloc[:cut].reset_index(drop=True))
+        rest = frame.iloc[cut:].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield from done(rest)
+
+
 def _roots(linked: np.ndarray, a: int, n: int, one: bool, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The first member of each item's group under the links."""
     root = np.arange(n)
@@ -126,7 +182,9 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("lo"), F.greatest("block", o).alias("hi"), (F.col("block") > o).cast("int").alias("side")))
     sides = dealt.select("cls", "tab", "bucket", F.explode(others).alias("at")).select("cls", "tab", "bucket", "at.*")
     whole = sides.join(classes, "cls")
-    found = whole.groupBy("tab", "bucket", "lo", "hi").applyInPandas(partial(_compare, threshold=threshold), "cls long, links long, root long")
+    comparison = ["tab", "bucket", "lo", "hi"]
+    dealt_out = whole.select(*comparison, "side", "cls", "copies", "embedding", "keys").repartition(*comparison).sortWithinPartitions(*comparison, "side", "cls")
+    found = dealt_out.mapInPandas(partial(_compare, threshold=threshold), "cls long, links long, root long")
     found = scratch.keep(found, "found")
     counts = found.groupBy("cls").agg(F.sum("links").alias("links"))
     labels = components(spark, found.where("cls <> root").select("cls", "root").distinct(), "cls", "root").select(F.col("node").alias("cls"), "label")
