@@ -1,11 +1,411 @@
-"""The query catalogue of the archive engine."""
+"""The query catalogue: every operator on the driver's tables, with the DuckDB SQL that gives the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from curatrix.functions import text as T
+from curatrix.functions import values as V
+from curatrix.operators import diff, grouping, planning, quality, similarity, state
+from curatrix.plans import dataset
+from curatrix.plans import fixtures as X
+from curatrix.plans.fixtures import CUTOFF, THRESHOLD, table
+from curatrix.schemas import ENUMS, GATE_CATEGORIES, KEEP_GATE
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+NOW = datetime(2026, 1, 1)
+
+
+def _query(sql: str | None = None):
+    """Register a query under its name; sql may use the fixture views."""
+
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            needs_views = any(v in sql for v in ("photos_f", "labels_f", "run2_f", "embeddings_f"))
+            _SQL[f.__name__] = f"WITH RECURSIVE {X.SQL}{',' if sql.lstrip().startswith('+') else ''} {sql.lstrip().removeprefix('+')}" if needs_views else sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# Pieces of SQL that say what the text functions say.
+_NORM = "regexp_replace(lower(coalesce({}, '')), '[^a-z0-9]', '', 'g')"
+_RELEASE = r"trim(regexp_replace(regexp_replace(lower(regexp_replace(coalesce({}, ''), '\s*[(\[][^)\]]*[)\]]\s*', ' ', 'g')), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
+_CLEANED = r"regexp_replace(rtrim(trim(regexp_replace({0}, '\s+', ' ', 'g')), '.,;:'), '(.)\s*\([^)]*\)\s*$', '\1')"
+_CATALOGUE = r"'(?i)^(TRAPPIST|Messier|SMACS|Abell|WASP|NGC|Arp|HH|IC|M)\s*[-–]?\s*J?\s*([0-9][0-9.\-]*)\s*([a-z])?\s*$'"
+_CANONICAL = f"""CASE WHEN regexp_matches({_CLEANED}, {_CATALOGUE}) THEN
+  CASE upper(regexp_extract({_CLEANED}, {_CATALOGUE}, 1)) WHEN 'MESSIER' THEN 'M' WHEN 'ABELL' THEN 'Abell' WHEN 'ARP' THEN 'Arp' ELSE upper(regexp_extract({_CLEANED}, {_CATALOGUE}, 1)) END
+  || CASE WHEN upper(regexp_extract({_CLEANED}, {_CATALOGUE}, 1)) IN ('WASP', 'TRAPPIST') THEN '-' ELSE ' ' END || rtrim(regexp_extract({_CLEANED}, {_CATALOGUE}, 2), '.')
+  || CASE WHEN regexp_extract({_CLEANED}, {_CATALOGUE}, 3) = '' THEN '' ELSE ' ' || lower(regexp_extract({_CLEANED}, {_CATALOGUE}, 3)) END
+  ELSE nullif({_CLEANED}, '') END"""
+_VERIFIED = f"contains({_NORM.format('title || chr(32) || description')}, {_NORM.format('object_name')})"
+_RANK = "CASE modality WHEN 'image' THEN 0 WHEN 'annotated_image' THEN 1 WHEN 'comparison_composite' THEN 2 WHEN 'spectrum_or_plot' THEN 3 ELSE 9 END"
+_CUT = f"TIMESTAMP '{CUTOFF:%Y-%m-%d}'"
+
+
+@_query(rf"""+ kept_f AS (
+  SELECT *, {_RELEASE.format('title')} AS release_group FROM photos_f JOIN labels_f USING (photo_id) WHERE gate_category = '{KEEP_GATE}'
+)
+SELECT photo_id, title, subject, modality, release_group, {_CANONICAL.format('object_name')} AS object_name_normalized,
+  CASE WHEN object_name IS NULL THEN TRUE ELSE {_VERIFIED} END AS object_name_verified,
+  row_number() OVER (PARTITION BY release_group ORDER BY {_RANK}, coalesce(image_bytes, 0) DESC, photo_id) = 1 AS is_primary,
+  photo_id IN (SELECT photo_id FROM embeddings_f) AS has_embedding, date_taken
+FROM kept_f""")
+def flagship_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Kept rows with release, primary, canonical and verified name, and whether there is a vector."""
+    keep = X.photos(spark, d).join(X.labels(spark, d).where(F.col("gate_category") == KEEP_GATE), "photo_id")
+    has = X.embeddings(spark, d).select("photo_id", F.lit(True).alias("has"))
+    c = F.col
+    verified = F.when(c("object_name").isNull(), True).otherwise(T.name_verified(c("object_name"), c("title"), c("description")))
+    return grouping.with_primary(keep).join(has, "photo_id", "left").select(
+        "photo_id", "title", "subject", "modality", "release_group", T.canonical_name(c("object_name")).alias("object_name_normalized"), verified.alias("object_name_verified"),
+        "is_primary", F.coalesce("has", F.lit(False)).alias("has_embedding"), "date_taken",
+    )
+
+
+def _rejected(spark: SparkSession, d: str) -> DataFrame:
+    photos, labels = X.photos(spark, d), X.labels(spark, d)
+    rows = photos.join(labels, "photo_id").withColumn("page_url", T.page_url("https://archive.example", F.col("photo_id"))).withColumn("source_tag_label", F.col("legacy_tag_label"))
+    return dataset.rejected(rows, photos, labels, since=CUTOFF)
+
+
+@_query(f"""SELECT photo_id, title, gate_category AS rejected_as, 'model' AS rejected_by, 'r' AS rationale, date_taken, 'https://archive.example/' || photo_id AS page_url,
+  legacy_tag_label AS source_tag_label FROM photos_f JOIN labels_f USING (photo_id) WHERE gate_category <> '{KEEP_GATE}'
+UNION ALL BY NAME
+SELECT p.photo_id, title, 'dated_before_launch' AS rejected_as, 'rule' AS rejected_by, NULL AS rationale, date_taken, 'https://archive.example/' || p.photo_id AS page_url,
+  legacy_tag_label AS source_tag_label FROM photos_f p ANTI JOIN labels_f USING (photo_id) WHERE date_taken < {_CUT}""")
+def rejected_all(spark: SparkSession, d: str) -> DataFrame:
+    return _rejected(spark, d)
+
+
+@_query(f"SELECT count(*) AS pending FROM photos_f ANTI JOIN labels_f USING (photo_id) WHERE date_taken IS NULL OR date_taken >= {_CUT}")
+def pending_count(spark: SparkSession, d: str) -> DataFrame:
+    return planning.pending(X.photos(spark, d), X.labels(spark, d), CUTOFF).agg(F.count(F.lit(1)).alias("pending"))
+
+
+@_query(f"""SELECT count(*) AS photos, count(*) FILTER (gate_category = '{KEEP_GATE}') AS kept, count(*) FILTER (gate_category <> '{KEEP_GATE}') AS rejected_by_model,
+  count(*) FILTER (gate_category IS NULL AND date_taken < {_CUT}) AS rejected_by_rule, count(*) FILTER (gate_category IS NULL AND (date_taken IS NULL OR date_taken >= {_CUT})) AS pending
+FROM photos_f LEFT JOIN labels_f USING (photo_id)""")
+def accounting_identity(spark: SparkSession, d: str) -> DataFrame:
+    return dataset.accounting(X.photos(spark, d), X.labels(spark, d), CUTOFF)
+
+
+@_query(f"SELECT subject, count(*) AS n FROM photos_f JOIN labels_f USING (photo_id) WHERE gate_category = '{KEEP_GATE}' GROUP BY 1 ORDER BY 1")
+def manifest_subjects(spark: SparkSession, d: str) -> DataFrame:
+    keep = X.labels(spark, d).where(F.col("gate_category") == KEEP_GATE).join(X.photos(spark, d), "photo_id", "left_semi")
+    return grouping.counts(keep, "subject").orderBy("subject")
+
+
+@_query(f"""SELECT 'model' AS rejected_by, count(*) AS n FROM photos_f JOIN labels_f USING (photo_id) WHERE gate_category <> '{KEEP_GATE}'
+UNION ALL SELECT 'rule', count(*) FROM photos_f ANTI JOIN labels_f USING (photo_id) WHERE date_taken < {_CUT}""")
+def manifest_rejected_by(spark: SparkSession, d: str) -> DataFrame:
+    return grouping.counts(_rejected(spark, d), "rejected_by").orderBy("rejected_by")
+
+
+@_query("SELECT codebook_version, count(*) AS n FROM labels_f GROUP BY 1")
+def manifest_versions(spark: SparkSession, d: str) -> DataFrame:
+    return grouping.counts(X.labels(spark, d), "codebook_version").orderBy("codebook_version")
+
+
+@_query("SELECT gate_category, count(*) AS n FROM labels_f GROUP BY 1 ORDER BY 2 DESC, 1")
+def summary_by_gate(spark: SparkSession, d: str) -> DataFrame:
+    return grouping.counts(X.labels(spark, d), "gate_category").orderBy(F.desc("n"), "gate_category")
+
+
+@_query(r"SELECT photo_id, array_to_string(tags, '|') AS tags, regexp_replace(description, '\s*\n+\s*', ' ', 'g') AS description FROM photos_f")
+def csv_projection(spark: SparkSession, d: str) -> DataFrame:
+    return X.photos(spark, d).select("photo_id", F.array_join("tags", "|").alias("tags"), T.one_line(F.col("description")).alias("description"))
+
+
+@_query(f"SELECT photo_id, {_NORM.format('title')} AS norm FROM photos_f")
+def norm_text(spark: SparkSession, d: str) -> DataFrame:
+    return X.photos(spark, d).select("photo_id", T.normalise(F.col("title")).alias("norm"))
+
+
+@_query(f"SELECT photo_id, {_RELEASE.format('title')} AS release_group FROM photos_f")
+def release_key(spark: SparkSession, d: str) -> DataFrame:
+    return X.photos(spark, d).select("photo_id", T.release_key(F.col("title")).alias("release_group"))
+
+
+@_query(f"SELECT photo_id, object_name, {_CANONICAL.format('object_name')} AS canonical FROM labels_f")
+def canonical_name(spark: SparkSession, d: str) -> DataFrame:
+    return X.labels(spark, d).select("photo_id", "object_name", T.canonical_name(F.col("object_name")).alias("canonical"))
+
+
+@_query(f"SELECT photo_id, {_VERIFIED} AS verified FROM photos_f JOIN labels_f USING (photo_id) WHERE object_name IS NOT NULL")
+def name_verified(spark: SparkSession, d: str) -> DataFrame:
+    both = X.photos(spark, d).join(X.labels(spark, d).where("object_name is not null"), "photo_id")
+    return both.select("photo_id", T.name_verified(F.col("object_name"), F.col("title"), F.col("description")).alias("verified"))
+
+
+_UNESCAPED = "regexp_replace(html, '<[^>]+>', '', 'g')"
+for _entity, _char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&#39;", "''"), ("&amp;", "&")):
+    _UNESCAPED = f"replace({_UNESCAPED}, '{_entity}', '{_char}')"
+
+
+@_query(rf"SELECT page_id, 'TITLE: ' || url || chr(10) || chr(10) || 'CAPTION: ' || substr(regexp_replace({_UNESCAPED}, '^\s+|\s+$', '', 'g'), 1, 4000) AS prompt FROM pages")
+def clean_caption_pages(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", T.user_text(F.col("url"), F.col("html")).alias("prompt"))
+
+
+_TOOLS = {"first": " the ", "second": " (las|les) ", "third": " (und|er) "}
+
+
+@_query("SELECT photo_id, [x FOR x IN [" + ", ".join(f"CASE WHEN regexp_matches(lower(description), '{p}') THEN '{k}' END" for k, p in _TOOLS.items()) + r"""] IF x IS NOT NULL] AS named,
+  CASE WHEN instrument <> 'multiple' OR len(named) >= 2 THEN instrument WHEN len(named) = 1 THEN named[1] ELSE 'unknown' END AS fixed FROM photos_f JOIN labels_f USING (photo_id)""")
+def instrument_fix(spark: SparkSession, d: str) -> DataFrame:
+    both = X.photos(spark, d).join(X.labels(spark, d), "photo_id")
+    named = both.select("photo_id", "instrument", T.named_in(F.col("description"), _TOOLS).alias("named"))
+    return named.select("photo_id", "named", T.correct_instrument(F.col("instrument"), F.col("named")).alias("fixed"))
+
+
+@_query(rf"SELECT photo_id, coalesce({_CANONICAL.format('object_name')}, regexp_replace(title, '\s*\(.*', '')) AS caption FROM photos_f JOIN labels_f USING (photo_id) WHERE gate_category = '{KEEP_GATE}'")
+def gallery_caption(spark: SparkSession, d: str) -> DataFrame:
+    both = X.photos(spark, d).join(X.labels(spark, d).where(F.col("gate_category") == KEEP_GATE), "photo_id")
+    return both.select("photo_id", F.coalesce(T.canonical_name(F.col("object_name")), T.before_bracket(F.col("title"))).alias("caption"))
+
+
+@_query("SELECT page_id, regexp_extract(url, '[^/]+$', 0) AS name FROM pages")
+def path_basename(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", T.base_name(F.col("url")).alias("name"))
+
+
+@_query("SELECT event_id, props ->> '$.k' AS k FROM events")
+def json_extract_events(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", F.from_json("props", "k string")["k"].alias("k"))
+
+
+@_query("""SELECT l_orderkey, arg_min(l_linenumber, (CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 9 END) * 1000 + l_linenumber) AS line FROM lineitem GROUP BY 1""")
+def pick_preferred(spark: SparkSession, d: str) -> DataFrame:
+    order = F.struct(V.rank_of(F.col("l_returnflag"), {"R": 0, "A": 1}, 9), "l_linenumber")
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min_by("l_linenumber", order).alias("line"))
+
+
+@_query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1")
+def latest_wins(spark: SparkSession, d: str) -> DataFrame:
+    return grouping.latest(table(spark, d, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id")
+
+
+@_query("SELECT event_type, count(*) AS n, count(*) FILTER (event_type NOT IN ('click', 'view')) AS invalid FROM events GROUP BY 1")
+def invalid_records(spark: SparkSession, d: str) -> DataFrame:
+    bad = ~F.coalesce(F.col("event_type").isin("click", "view"), F.lit(False))
+    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("invalid"))
+
+
+_LOGGED = "SELECT photo_id FROM photos_f WHERE photo_id::BIGINT % 7 = 0"
+
+
+def _logged(photos: DataFrame) -> DataFrame:
+    return photos.where(F.col("photo_id").cast("long") % 7 == 0).select("photo_id")
+
+
+@_query(f"""SELECT photo_id FROM photos_f WHERE image_file IS NOT NULL AND (date_taken IS NULL OR date_taken >= {_CUT})
+  AND photo_id NOT IN (SELECT photo_id FROM labels_f) AND photo_id NOT IN ({_LOGGED}) ORDER BY photo_id LIMIT 100""")
+def label_queue(spark: SparkSession, d: str) -> DataFrame:
+    photos = X.photos(spark, d)
+    return planning.label_queue(photos, X.labels(spark, d), _logged(photos), 100, CUTOFF).select("photo_id")
+
+
+@_query(f"SELECT photo_id FROM photos_f WHERE image_file IS NOT NULL AND photo_id NOT IN (SELECT photo_id FROM embeddings_f) AND photo_id NOT IN ({_LOGGED})")
+def pending_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    photos = X.photos(spark, d)
+    return planning.pending_embeddings(photos, X.embeddings(spark, d), _logged(photos))
+
+
+@_query("SELECT photo_id FROM photos_f WHERE image_file IS NULL AND download_attempts < 3 ORDER BY photo_id")
+def pending_downloads(spark: SparkSession, d: str) -> DataFrame:
+    return planning.pending_downloads(X.photos(spark, d))
+
+
+def _listing(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("photo_id"), F.col("c_custkey").alias("pos"))
+
+
+@_query("SELECT c_custkey::VARCHAR AS photo_id, c_custkey AS pos FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) ORDER BY pos")
+def new_ids(spark: SparkSession, d: str) -> DataFrame:
+    return planning.new_ids(_listing(spark, d), table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("photo_id")))
+
+
+def _small(photos: DataFrame) -> DataFrame:
+    blank = photos.withColumn("first_seen_at", F.lit(datetime(2020, 1, 1)).cast("timestamp_ntz"))
+    for c in ("last_seen_at", "downloaded_at"):
+        blank = blank.withColumn(c, F.lit(None).cast("timestamp_ntz"))
+    return blank.withColumn("last_download_error", F.lit(None).cast("string")).where(F.col("photo_id").cast("long") % 2 == 0)
+
+
+@_query("""+ old AS (SELECT * FROM photos_f WHERE photo_id::BIGINT % 2 = 0), new AS (SELECT * FROM photos_f WHERE photo_id::BIGINT % 3 = 0)
+SELECT coalesce(o.photo_id, n.photo_id) AS photo_id, CASE WHEN n.photo_id IS NOT NULL THEN 'new' ELSE o.title END AS title, coalesce(o.download_attempts, 0) AS download_attempts,
+  CASE WHEN o.photo_id IS NOT NULL THEN TIMESTAMP '2020-01-01' ELSE TIMESTAMP '2026-01-01' END AS first_seen_at, CASE WHEN n.photo_id IS NOT NULL THEN TIMESTAMP '2026-01-01' END AS last_seen_at
+FROM old o FULL JOIN new n USING (photo_id)""")
+def upsert_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    photos = X.photos(spark, d)
+    incoming = photos.where(F.col("photo_id").cast("long") % 3 == 0).withColumn("title", F.lit("new")).withColumn("pos", F.lit(0))
+    return state.upsert_photos(_small(photos), incoming, NOW).select("photo_id", "title", "download_attempts", "first_seen_at", "last_seen_at")
+
+
+@_query("SELECT photo_id, CASE WHEN photo_id::BIGINT % 3 = 0 THEN 'v7' ELSE codebook_version END AS codebook_version FROM labels_f")
+def replace_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    labels = X.labels(spark, d).select("photo_id", "codebook_version")
+    new = labels.where(F.col("photo_id").cast("long") % 3 == 0).withColumn("codebook_version", F.lit("v7"))
+    return state.replace_rows(labels, new)
+
+
+@_query("SELECT photo_id, CASE WHEN photo_id::BIGINT % 7 = 0 THEN TIMESTAMP '2026-01-01' END AS last_seen_at FROM photos_f WHERE photo_id::BIGINT % 2 = 0")
+def touch_seen(spark: SparkSession, d: str) -> DataFrame:
+    photos = X.photos(spark, d)
+    return state.touch_seen(_small(photos), _logged(photos), NOW).select("photo_id", "last_seen_at")
+
+
+@_query("""SELECT photo_id, CASE WHEN photo_id::BIGINT % 3 = 0 AND photo_id::BIGINT % 4 <> 0 THEN 'x.jpg' ELSE image_file END AS image_file,
+  download_attempts + CASE WHEN photo_id::BIGINT % 3 = 0 THEN 1 ELSE 0 END AS download_attempts, CASE WHEN photo_id::BIGINT % 12 = 0 THEN 'timeout' END AS last_download_error
+FROM photos_f WHERE photo_id::BIGINT % 2 = 0""")
+def record_results(spark: SparkSession, d: str) -> DataFrame:
+    photos = X.photos(spark, d)
+    n = F.col("photo_id").cast("long")
+    failed = n % 4 == 0
+    results = photos.where(n % 3 == 0).select("photo_id", F.when(~failed, "x.jpg").alias("image_file"), F.when(~failed, F.lit(1).cast("long")).alias("image_bytes"), F.when(failed, "timeout").alias("error"), F.lit(0).alias("pos"))
+    return state.record_downloads(_small(photos), results, NOW).select("photo_id", "image_file", "download_attempts", "last_download_error")
+
+
+@_query("SELECT photo_id FROM embeddings_f ANTI JOIN photos_f USING (photo_id)")
+def orphan_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    return X.embeddings(spark, d).select("photo_id").join(X.photos(spark, d).select("photo_id"), "photo_id", "left_anti")
+
+
+@_query("SELECT photo_id FROM embeddings_f SEMI JOIN labels_f USING (photo_id)")
+def overlap_semi(spark: SparkSession, d: str) -> DataFrame:
+    return X.embeddings(spark, d).select("photo_id").join(X.labels(spark, d).select("photo_id"), "photo_id", "left_semi")
+
+
+@_query("""SELECT photo_id, CASE WHEN photo_id::BIGINT % 11 = 0 THEN 'failed' WHEN photo_id::BIGINT % 7 = 0 THEN 'present' ELSE 'write' END AS state FROM photos_f
+WHERE NOT (photo_id::BIGINT % 77 = 0) UNION ALL SELECT photo_id, 'present' FROM photos_f WHERE photo_id::BIGINT % 77 = 0""")
+def images_to_write(spark: SparkSession, d: str) -> DataFrame:
+    photos = X.photos(spark, d)
+    return planning.images_to_write(photos, _logged(photos).select(T.file_name(F.col("photo_id")).alias("image_file")))
+
+
+@_query(f"""+ k AS (SELECT *, {_RELEASE.format('title')} AS release_group, row_number() OVER (PARTITION BY {_RELEASE.format('title')} ORDER BY {_RANK}, coalesce(image_bytes, 0) DESC, photo_id) = 1 AS is_primary
+  FROM photos_f JOIN labels_f USING (photo_id) WHERE gate_category = '{KEEP_GATE}')
+SELECT 'a stored image has a size' AS name, 'error' AS severity, (SELECT count(*) FROM photos_f WHERE image_file IS NOT NULL AND image_bytes IS NULL) AS violations
+UNION ALL SELECT 'an image file has its photo''s name', 'error', (SELECT count(*) FROM photos_f WHERE image_file <> photo_id || '.jpg')
+UNION ALL SELECT 'three downloads or more have failed', 'warn', (SELECT count(*) FROM photos_f WHERE image_file IS NULL AND download_attempts >= 3)
+UNION ALL SELECT 'an embedding has a photo', 'error', (SELECT count(*) FROM embeddings_f ANTI JOIN photos_f USING (photo_id))
+UNION ALL SELECT 'an embedding is finite', 'error', (SELECT count(*) FROM embeddings_f WHERE len(list_filter(vector, lambda x: isnan(x) OR isinf(x))) > 0)
+UNION ALL SELECT 'an embedding is not zero', 'error', (SELECT count(*) FROM embeddings_f WHERE list_max(vector) = 0)
+UNION ALL SELECT 'a label has a photo', 'error', (SELECT count(*) FROM labels_f ANTI JOIN photos_f USING (photo_id))
+UNION ALL SELECT 'gate_category is in the codebook', 'error', (SELECT count(*) FROM labels_f WHERE gate_category NOT IN ({', '.join(f"'{g}'" for g in GATE_CATEGORIES)}))
+UNION ALL SELECT 'a kept label has subject and modality', 'error', (SELECT count(*) FROM labels_f WHERE gate_category = '{KEEP_GATE}' AND 'not_applicable' IN (subject, modality))
+UNION ALL SELECT 'there are kept rows', 'error', (SELECT (count(*) = 0)::INT FROM k)
+UNION ALL SELECT 'photo_id is unique', 'error', (SELECT count(*) - count(DISTINCT photo_id) FROM k)
+UNION ALL SELECT 'instrument is in the codebook', 'error', (SELECT count(*) FROM k WHERE instrument NOT IN ({', '.join(f"'{g}'" for g in ENUMS['instrument'])}))
+UNION ALL SELECT 'a release has one primary', 'error', (SELECT count(*) FROM (SELECT release_group FROM k GROUP BY 1 HAVING count(*) FILTER (is_primary) <> 1))
+UNION ALL SELECT 'a row has an embedding', 'warn', (SELECT count(*) FROM k WHERE photo_id NOT IN (SELECT photo_id FROM embeddings_f))
+UNION ALL SELECT 'rows are not fewer than published', 'error', (SELECT greatest(1000000 - count(*), 0) FROM k)""")
+def check_suite(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each check: its violations."""
+    k = flagship_kept(spark, d).join(X.labels(spark, d).select("photo_id", "instrument"), "photo_id")
+    tables = {"photos": X.photos(spark, d), "labels": X.labels(spark, d), "embeddings": X.embeddings(spark, d), "kept": k}
+    wanted = ("there are kept rows", "photo_id is unique", "instrument is in the codebook", "a release has one primary", "a row has an embedding", "rows are not fewer than published")
+    checks = quality.photo_checks() + quality.embedding_checks()[:3] + quality.label_checks() + [c for c in quality.dataset_checks(0, 0, 1_000_000) if c.name in wanted]
+    rows = [(r.name, r.severity, r.violations) for r in quality.evaluate(checks, tables)]
+    return spark.createDataFrame(rows, "name string, severity string, violations long")
+
+
+@_query("SELECT photo_id, len(list_filter(vector, lambda x: isnan(x) OR isinf(x))) > 0 AS not_finite, list_max(vector) = 0 AS zero FROM embeddings_f")
+def vector_finite_zero(spark: SparkSession, d: str) -> DataFrame:
+    return X.embeddings(spark, d).select("photo_id", V.not_finite(F.col("vector")).alias("not_finite"), V.largest_is_zero(F.col("vector")).alias("zero"))
+
+
+_PAIRS = f"""pairs AS (SELECT a.photo_id AS a, b.photo_id AS b FROM embeddings_f a JOIN embeddings_f b ON a.photo_id < b.photo_id
+  AND list_cosine_similarity(a.vector::DOUBLE[], b.vector::DOUBLE[]) >= {THRESHOLD})"""
+
+
+@_query(f"+ {_PAIRS} SELECT a, b FROM pairs")
+def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
+    e = X.embeddings(spark, d)
+    return similarity.cosine_pairs(e, "photo_id", "vector", THRESHOLD, e.count()).select("a", "b")
+
+
+@_query(f"""+ {_PAIRS}, reach(x, y) AS (SELECT photo_id, photo_id FROM embeddings_f UNION SELECT x, CASE WHEN p.a = y THEN p.b ELSE p.a END FROM reach JOIN pairs p ON y IN (p.a, p.b))
+SELECT x AS photo_id, (dense_rank() OVER (ORDER BY low) - 1)::INT AS near_duplicate_group FROM (SELECT x, min(y) AS low FROM reach GROUP BY x)""")
+def near_dup_groups(spark: SparkSession, d: str) -> DataFrame:
+    return similarity.duplicate_groups(spark, X.embeddings(spark, d), "photo_id", "vector", THRESHOLD)
+
+
+@_query("SELECT photo_id, (row_number() OVER (ORDER BY photo_id) - 1) // 32 AS batch FROM photos_f")
+def batch_numbers(spark: SparkSession, d: str) -> DataFrame:
+    return grouping.batches(X.photos(spark, d).select("photo_id"), "photo_id", 32)
+
+
+@_query(f"""SELECT photo_id, subject FROM (SELECT photo_id, subject, row_number() OVER (PARTITION BY subject ORDER BY md5(photo_id || '42'), photo_id) AS turn
+  FROM labels_f WHERE gate_category = '{KEEP_GATE}') ORDER BY turn, subject LIMIT 100""")
+def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
+    keep = X.labels(spark, d).where(F.col("gate_category") == KEEP_GATE)
+    return grouping.stratified(keep, "subject", "photo_id", 100).select("photo_id", "subject")
+
+
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    old = X.labels(spark, d)
+    return diff.in_scope(diff.shared(old, X.second_run(old), "subject"))
+
+
+_BOTH = "+ both_f AS (SELECT photo_id, a.subject AS before, b.subject AS after FROM labels_f a JOIN run2_f b USING (photo_id) WHERE a.codebook_version <> b.codebook_version)"
+
+
+@_query(f"{_BOTH} SELECT before, after, count(*) AS n, min(photo_id) AS first_seen FROM both_f WHERE before <> after GROUP BY 1, 2 ORDER BY 3 DESC, 4 LIMIT 6")
+def run_transitions(spark: SparkSession, d: str) -> DataFrame:
+    return diff.transitions(_runs(spark, d))
+
+
+@_query(f"{_BOTH} SELECT count(*) AS n, count(*) FILTER (before <> after) AS changed, 100.0::DOUBLE * count(*) FILTER (before <> after) / greatest(count(*), 1) AS percent FROM both_f")
+def run_change_rate(spark: SparkSession, d: str) -> DataFrame:
+    return diff.change_rate(_runs(spark, d))
+
+
+@_query("""SELECT coalesce(a.subject, b.subject) AS value, coalesce(a.n, 0) AS n_before, coalesce(b.n, 0) AS n_after, coalesce(b.n, 0) - coalesce(a.n, 0) AS delta
+FROM (SELECT subject, count(*) AS n FROM labels_f GROUP BY 1) a FULL JOIN (SELECT subject, count(*) AS n FROM run2_f GROUP BY 1) b ON a.subject = b.subject""")
+def run_shift(spark: SparkSession, d: str) -> DataFrame:
+    old = X.labels(spark, d)
+    return diff.shift(old, X.second_run(old), "subject")
+
+
+@_query(f"{_BOTH} SELECT photo_id, before, after FROM both_f WHERE before <> after ORDER BY photo_id LIMIT 10")
+def run_examples(spark: SparkSession, d: str) -> DataFrame:
+    return diff.examples(_runs(spark, d), 10)
+
+
+@_query("SELECT role, min(conv_id * 1000 + turn) AS first_at FROM conversations GROUP BY role")
+def in_order_distinct(spark: SparkSession, d: str) -> DataFrame:
+    return grouping.distinct_in_order(table(spark, d, "conversations").withColumn("pos", F.col("conv_id") * 1000 + F.col("turn")), "role", "pos")
+
+
+@_query(f"SELECT greatest(500 - count(*), 0) AS missing, (count(*) = 0)::INT AS empty FROM labels_f WHERE gate_category = '{KEEP_GATE}'")
+def shrink_guard(spark: SparkSession, d: str) -> DataFrame:
+    n = F.count(F.lit(1))
+    return X.labels(spark, d).where(F.col("gate_category") == KEEP_GATE).agg(F.greatest(F.lit(500) - n, F.lit(0)).alias("missing"), (n == 0).cast("int").alias("empty"))
+
+
+@_query("SELECT photo_id, sha256(description) AS digest FROM photos_f")
+def content_hash(spark: SparkSession, d: str) -> DataFrame:
+    return X.photos(spark, d).select("photo_id", T.sha256(F.col("description")).alias("digest"))
+
+
+@_query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def event_windows(spark: SparkSession, d: str) -> DataFrame:
+    from curatrix.streaming.label_stream import windowed_counts
+
+    return windowed_counts(table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))).withColumn("start", F.col("start").cast("timestamp_ntz"))
