@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step takes at once; one longer text is a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -56,7 +56,10 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def release(self) -> None:
-        """Let the context cleaner drop the shuffle files of plans that are no longer referenced."""
+        """Let the context cleaner drop the shuffle files of plans that are no longer referenced.
+
+        The last job's plan is still held, so a small job comes first."""
+        self.spark.range(1).count()
         self.spark._jvm.System.gc()
 
 
@@ -121,7 +124,7 @@ class _Powers:
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
             up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)])) for b in (_BASE, _INVERSE))
-            if n > 4 * STEP_BYTES:
+            if n > 2 * STEP_BYTES:
                 return up, down
             cls.up, cls.down = up, down
         return cls.up[:n], cls.down[:n]

@@ -6,12 +6,14 @@ shorter text is one shingle). It is a metric, so with radius r = 1 - threshold:
 1. Texts with the same set form one class; a class with no partner is put aside. In hash order, two sets within r
    share at least k of their first n - ceil(t n) + k shingles, so a class that shares fewer of its own with any other
    class is alone. Only those prefixes are shuffled, never all shingles.
-2. Pivots: under several hash functions, the smallest class of those with the same smallest shingle. Every class
+2. Pivots: under several hash functions, of the classes with the same smallest shingle the one whose shingles are the
+   most frequent, which is the middle of a group of edited copies. Every class
    is in the region of its nearest pivot within r (its own pivot if there is none), and linked with it. All members of a
    region are therefore in one component; pairs in it need no further look.
 3. Boundary documents are replicated: y is compared with region p of another component if they share a shingle
    of their rare-first prefixes and d(y, p) <= a(p) + r, where a(p) is the region's radius. Of its members, only
-   those x with |d(x, p) - d(y, p)| <= r are compared with y.
+   those x with |d(x, p) - d(y, p)| <= r, and with enough shingles that aren't theirs alone, are compared with y.
+   The document of the smaller region goes to the larger one.
    By the triangle inequality this meets every linked pair of different components.
 
 Step 2 recurses over the hash functions: pivots' links of each are joined before step 3, whose input is what they leave apart.
@@ -25,7 +27,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.llm.common import Scratch, doc_rows, hash_words, lists, mix64, shingle_sets, slices, text_buffers
@@ -52,23 +54,27 @@ def _class(values: np.ndarray) -> int:
     return int((mix64(values + np.uint64(1)).sum(dtype=np.uint64) ^ mix64(np.array([len(values)], np.uint64))[0]).view(np.int64))
 
 
+def _classes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Class and set size of each text."""
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            sets = _sets(batch, width)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), pa.array(map(_class, sets), pa.int64()), pa.array(map(len, sets), pa.int64())], ["doc_id", "row_key", "cls", "n"])
+
+
 def _prefixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Row key, class, set size and hash-order prefix of each text; a task gives the prefix of a class once."""
+    """Class and hash-order prefix of each text; a task gives those of a class once."""
     told: set[int] = set()
-    none = np.zeros(0, np.uint64)
     for whole in batches:
         for batch in slices(whole, "text"):
-            keys, sizes, heads = [], [], []
+            keys, heads = [], []
             for values in _sets(batch, width):
                 n, key = len(values), _class(values)
-                keys.append(key)
-                sizes.append(n)
                 if n and key not in told:
                     told.add(key)
+                    keys.append(key)
                     heads.append(values[: n - -(-NUM * n // DEN) + -(-n // MARGIN)])
-                else:
-                    heads.append(none)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), lists(heads)], ["doc_id", "row_key", "cls", "n", "head"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists(heads)], ["cls", "head"])
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -91,57 +97,60 @@ def _prefix_rows(sets: DataFrame, num: int, den: int) -> DataFrame:
     return sets.where(room > 0).withColumn("h", F.explode(F.slice("items", F.lit(1), room.cast("int")))).drop("items")
 
 
+def _may_link(n_x, n_y, m_x, m_y):
+    """Whether sets of these sizes, of which m occur in other sets too, can have an intersection that is large enough."""
+    return NUM * (n_x + n_y) <= (NUM + DEN) * F.least(m_x, m_y)
+
+
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (x, y, ...) with d, their distance, from the sets of both."""
     x = sets.select(F.col("cls").alias("x"), F.col("n").alias("n_x"), F.col("items").alias("i_x"))
     y = sets.select(F.col("cls").alias("y"), F.col("n").alias("n_y"), F.col("items").alias("i_y"))
     both = pairs.join(x, "x").join(y, "y").withColumn("common", F.size(F.array_intersect("i_x", "i_y")).cast("long"))
-    return both.withColumn("union", F.col("n_x") + F.col("n_y") - F.col("common")).drop("i_x", "i_y")
+    return both.withColumn("union", F.col("n_x") + F.col("n_y") - F.col("common")).withColumn("m_x", F.size("i_x").cast("long")).drop("i_x", "i_y")
 
 
 LINKED = f"{DEN} * common >= {NUM} * union"
 
 
-def jaccard_classes(spark: SparkSession, docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) for every row of docs(doc_id, text).
-
-    Null or empty texts, and those without words, have no shingles and link with nothing: component_id = doc_id.
-    Rows with the same set link; repeated rows give repeated results. A null doc_id is in the component of its
-    text, which is named after its smallest doc_id that isn't null. No rows: no rows.
-    """
+def _labelled(spark: SparkSession, docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, row_key (a hash of id and text), n and label (the smallest class of its component) of each row."""
     scratch = Scratch(spark, "jaccard")
     rows = doc_rows(docs, "doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    heads = scratch.keep(rows.mapInArrow(partial(_prefixes, width=width), f"doc_id {kind}, row_key long, cls long, n long, head array<long>"), "heads")
-    table = heads.select("doc_id", "row_key", "cls", "n")
+    table = scratch.keep(rows.mapInArrow(partial(_classes, width=width), f"doc_id {kind}, row_key long, cls long, n long"), "table")
 
-    # Classes that share enough of their prefix with others.
-    dealt = heads.where(F.size("head") > 0).select("cls", "n", F.explode("head").alias("h")).repartition("h")
-    shared = dealt.groupBy("h").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo <> hi").select("h")
+    # Classes that share enough of their prefix with others. Texts are read again: that costs less than to store the prefixes.
+    heads = rows.select("text").mapInArrow(partial(_prefixes, width=width), "cls long, head array<long>")
+    same = Window.partitionBy("h")
+    dealt = heads.select("cls", F.explode("head").alias("h")).select("cls", F.min("cls").over(same).alias("lo"), F.max("cls").over(same).alias("hi"))
+    shares = dealt.where("lo <> hi").groupBy("cls").agg(F.count(F.lit(1)).alias("shares"))
     need = F.greatest(F.lit(1), F.floor((_least(F.col("n"), NUM, DEN) + (MARGIN - 1)) / MARGIN))
-    paired = dealt.join(shared, "h", "left_semi").groupBy("cls", "n").agg(F.count(F.lit(1)).alias("shares")).where(F.col("shares") >= need)
-    paired = scratch.keep(paired.select("cls"), "paired")
+    classes = table.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("row_key").alias("row_key"))
+    paired = scratch.keep(classes.join(shares, "cls").where(F.col("shares") >= need).select("cls", "row_key"), "paired")
 
     # One row of each of them gives its whole set.
-    chosen = scratch.keep(table.where("n > 0").groupBy("cls").agg(F.min("row_key").alias("row_key")).join(paired, "cls", "left_semi").select("row_key"), "chosen")
+    del heads, dealt, shares
     scratch.release()
-    keys = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    keys = paired.select("row_key")
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
     texts = rows.join(keys, "row_key", "left_semi").select("text")
     sets = texts.mapInArrow(partial(_whole_sets, width=width), "cls long, n long, items array<long>")
     sets = sets.join(paired, "cls", "left_semi").groupBy("cls").agg(F.first("n").alias("n"), F.first("items").alias("items"))
     sets = scratch.keep(sets, "sets")
 
     # Their shingles that other classes have too, rare ones first.
-    items = sets.select("cls", F.explode("items").alias("h")).repartition("h")
+    items = sets.select("cls", F.explode("items").alias("h")).where("h is not null").repartition("h")
     often = items.groupBy("h").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    ranked = items.join(often, "h").groupBy("cls").agg(F.transform(F.array_sort(F.collect_list(F.struct("often", "h"))), lambda s: s["h"]).alias("items"))
-    sets = scratch.keep(sets.select("cls", "n").join(ranked, "cls"), "ranked")
+    ranked = items.join(often, "h").groupBy("cls").agg(F.transform(F.array_sort(F.collect_list(F.struct("often", "h"))), lambda s: s["h"]).alias("items"), F.sum(F.log("often")).alias("fame"))
+    sets = scratch.keep(sets.select("cls", "n").join(ranked, "cls").withColumn("fame", F.col("fame") / F.col("n")), "ranked")
+    del items, often, ranked
     scratch.release()
 
     # Pivots and regions.
-    firsts = sets.select("cls", *(F.array_min(F.transform("items", lambda h, s=s: F.xxhash64(h, F.lit(s)))).alias(f"m{s}") for s in range(PIVOT_HASHES)))
-    seeded = firsts.select("cls", F.explode(F.array(*(F.struct(F.lit(s).alias("seed"), F.col(f"m{s}").alias("m")) for s in range(PIVOT_HASHES)))).alias("e")).select("cls", "e.*")
-    pivots = seeded.groupBy("seed", "m").agg(F.min("cls").alias("y"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    firsts = sets.select("cls", "fame", *(F.array_min(F.transform("items", lambda h, s=s: F.xxhash64(h, F.lit(s)))).alias(f"m{s}") for s in range(PIVOT_HASHES)))
+    seeded = firsts.select("cls", "fame", F.explode(F.array(*(F.struct(F.lit(s).alias("seed"), F.col(f"m{s}").alias("m")) for s in range(PIVOT_HASHES)))).alias("e")).select("cls", "fame", "e.*")
+    pivots = seeded.groupBy("seed", "m").agg(F.max_by("cls", F.struct("fame", "cls")).alias("y"), F.count(F.lit(1)).alias("size")).where("size > 1")
     near = seeded.join(pivots, ["seed", "m"]).where("cls <> y").select(F.col("cls").alias("x"), "y").distinct()
     placed = scratch.keep(_links(near, sets).where(LINKED).select("x", "y", "common", "union"), "placed")
     labels = components(spark, placed, "x", "y")
@@ -150,21 +159,54 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, width: int = WIDTH) ->
     placed_in = sets.select("cls").join(nearest, "cls", "left").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     regions = scratch.keep(placed_in.select("cls", F.coalesce("p", "cls").alias("p"), F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("label", "cls").alias("part")), "regions")
 
-    # Boundary documents of other components.
-    prefix = _prefix_rows(sets, NUM, DEN).join(regions, "cls").repartition("h")
-    holders = prefix.groupBy("h", "p", "part").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    met = prefix.alias("a").join(holders.alias("b"), (F.col("a.h") == F.col("b.h")) & (F.col("a.part") != F.col("b.part")) & (F.col("a.part") < F.col("b.part")) & (F.col("a.n") * NUM <= F.col("b.hi") * DEN) & (F.col("b.lo") * NUM <= F.col("a.n") * DEN))
-    met = met.select(F.col("a.cls").alias("x"), F.col("b.p").alias("y")).distinct()
+    # Boundary documents of other components: those of the smaller region go to the larger one.
+    regions = regions.join(regions.groupBy("p").agg(F.count(F.lit(1)).alias("members")), "p")
+    prefix = _prefix_rows(sets.withColumn("m", F.size("items").cast("long")), NUM, DEN).join(regions, "cls").repartition("h")
+    holders = prefix.groupBy("h", "p", "part", "members").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("m").alias("top"))
+    a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    smaller = (a("members") < b("members")) | ((a("members") == b("members")) & (a("p") < b("p")))
+    fits = (a("n") * NUM <= b("hi") * DEN) & (b("lo") * NUM <= a("n") * DEN) & _may_link(a("n"), b("lo"), a("m"), b("top"))
+    met = prefix.alias("a").join(holders.alias("b"), (a("h") == b("h")) & (a("part") != b("part")) & smaller & fits)
+    met = met.select(a("cls").alias("x"), b("p").alias("y")).distinct()
     radius = regions.groupBy(F.col("p").alias("y")).agg(F.max("d").alias("a"))
     reach = 1 - NUM / DEN + 1e-9
     near = _links(met, sets).join(radius, "y").withColumn("d", 1 - F.col("common") / F.col("union")).where(F.col("d") <= F.col("a") + reach)
-    near = scratch.keep(near.select("x", F.col("y").alias("p"), F.col("d").alias("to_p"), "n_x"), "near")
-    inside = regions.join(sets.select("cls", "n"), "cls").select("p", F.col("cls").alias("y"), "d", F.col("n").alias("n_in"))
-    tried = near.join(inside, "p").where(F.abs(F.col("d") - F.col("to_p")) <= reach).where(f"n_x * {NUM} <= n_in * {DEN} and n_in * {NUM} <= n_x * {DEN}")
+    near = scratch.keep(near.select("x", F.col("y").alias("p"), F.col("d").alias("to_p"), "n_x", "m_x"), "near")
+    inside = regions.join(sets.select("cls", "n", F.size("items").cast("long").alias("m")), "cls").select("p", F.col("cls").alias("y"), "d", F.col("n").alias("n_in"), F.col("m").alias("m_in"))
+    tried = near.join(inside, "p").where(F.abs(F.col("d") - F.col("to_p")) <= reach).where(_may_link(F.col("n_x"), F.col("n_in"), F.col("m_x"), F.col("m_in")))
     more = _links(tried.select("x", "y").distinct(), sets).where(LINKED).select("x", "y")
     parts = regions.select(F.col("cls").alias("x"), F.col("part").alias("y")).where("x <> y")
     labels = components(spark, more.unionByName(parts), "x", "y").select(F.col("node").alias("cls"), "label")
 
-    of = table.join(labels, "cls", "left").select("doc_id", "n", F.coalesce("label", "cls").alias("label"))
+    return table.join(labels, "cls", "left").select("doc_id", "row_key", "n", F.coalesce("label", "cls").alias("label"))
+
+
+def jaccard_classes(spark: SparkSession, docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """doc_id, n_shingles and component_id (smallest doc_id reachable by links) for every row of docs(doc_id, text).
+
+    Null or empty texts, and those without words, have no shingles and link with nothing: component_id = doc_id.
+    Rows with the same set link; repeated rows give repeated results. A null doc_id is in the component of its
+    text, which is named after its smallest doc_id that isn't null. No rows: no rows.
+    """
+    of = _labelled(spark, docs, width)
     smallest = of.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     return of.join(smallest, "label", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of docs, all columns as they are, without all but one of each component: the smallest doc_id, nulls last.
+
+    Of repeated rows in a component one stays; texts without words all stay."""
+    scratch = Scratch(spark, "near-copies")
+    of = scratch.keep(_labelled(spark, docs, width).where("n > 0").select("label", "row_key", "doc_id"), "labels")
+    firsts = of.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    many = of.join(firsts.select("label", F.col("m.row_key").alias("first")), "label")
+    gone = scratch.keep(many.groupBy("row_key").agg(F.max(F.col("row_key") == F.col("first")).alias("stays"), F.count(F.lit(1)).alias("n")).where("not stays or n > 1"), "gone")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    key = F.xxhash64(*(names[docs.columns.index(c)] for c in ("doc_id", "text")))
+    plain = docs.toDF(*names).withColumn("row_key", key)
+    small = gone.count() <= BROADCAST_ROWS
+    ids, repeated = gone.select("row_key"), gone.where("stays").select("row_key")
+    kept = plain.join(F.broadcast(ids) if small else ids, "row_key", "left_anti")
+    again = plain.join(F.broadcast(repeated) if small else repeated, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return kept.unionByName(again).select(*names).toDF(*docs.columns)
