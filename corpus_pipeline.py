@@ -4,11 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from curatrix.llm import language_id
+from curatrix.llm.common import Scratch
+from curatrix.llm.decontaminate import clean
+from curatrix.llm.jaccard_join import one_of_each
+from curatrix.llm.mixing import mixed
+from curatrix.llm.sharding import in_shards
 
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the model knows; those it rejects go."""
+    return language_id.accepted(spark, docs, language_id.fit(spark, docs))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(spark, docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    return clean(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources: documents as often as they are taken."""
+    return mixed(spark, docs)
+
+
+def into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their virtual slot and shard."""
+    return in_shards(spark, docs)
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("near_copies", without_copies),
+    ("decontamination", without_benchmark),
+    ("mixing", to_weights),
+    ("sharding", into_shards),
+]
+
+#: Language identification has no SQL form; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of the last stage for documents; what the others keep is written to the shared folder."""
+    scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

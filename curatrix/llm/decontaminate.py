@@ -21,6 +21,8 @@ WINDOW, AGREE = 20, 75
 LEAST_TOKENS = 8
 #: Benchmark hashes up to this number (60 bytes each at most) are broadcast; more are joined by a shuffle.
 BROADCAST_HASHES = 500_000
+#: Leaking ids up to this number are broadcast, more are joined by a shuffle.
+BROADCAST_IDS = 400_000
 
 
 def tokens(text: Column) -> Column:
@@ -87,7 +89,8 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, masks: tup
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, all columns as they are, without those of a doc_id that leaks."""
-    found = leaks(spark, docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct()
+    found = Scratch(spark, "leaked").keep(leaks(spark, docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct(), "ids")
+    found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
     place = docs.columns.index("doc_id")
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     kept = plain.join(found, plain[f"c{place}"].eqNullSafe(found["leaked"]), "left_anti")

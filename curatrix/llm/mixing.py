@@ -45,16 +45,13 @@ def source_targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: in
     return filled.select("source", "source_size", F.when(F.col("full"), F.col("cap").cast("double")).otherwise(F.col("w") * F.col("level")).alias("target"))
 
 
-def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """doc_id, size, source_size, target, taken and copies for every row of docs(doc_id, text, source).
-
-    copies is how often the mix takes the row, taken = size * copies. A null text has size 0; a null source is a source of
-    its own, the last. Rows with one doc_id share a hash and are taken alike, so reruns agree. A source without words has
-    target 0, and its documents are left out. No rows: no rows.
-    """
-    scratch = Scratch(spark, "mixing")
+def _sizes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     columns = doc_rows(docs, "doc_id", "source", "text")
-    rows = scratch.keep(columns.select("doc_id", "source", n_words(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("u")), "sizes")
+    return scratch.keep(columns.select("doc_id", "source", n_words(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("u")), "sizes")
+
+
+def _thresholds(rows: DataFrame, scratch: Scratch, weights: tuple[int, ...], most: int) -> DataFrame:
+    """s (source), source_size, target, q (passes over the whole source) and cut (hashes below it are taken once more)."""
     goals = source_targets(rows, weights, most)
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     at = goals.withColumn("q", passes).withColumn("rest", F.col("target") - F.col("q") * F.col("source_size"))
@@ -72,7 +69,33 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
         edge = edge.select(F.col("source").alias("s"), F.col("e.part").alias("bucket"), (F.col("e.upto") - F.col("e.words")).alias("below"), F.col("e.words").alias("inside"))
         at = scratch.keep(at.drop("bucket", "below", "inside").join(edge, F.col("source").eqNullSafe(F.col("s"))).drop("s"), f"at{level}")
     nearer = (F.col("below") + F.col("inside") - F.col("rest")) < (F.col("rest") - F.col("below"))
-    cuts = at.select(F.col("source").alias("s"), "source_size", "target", "q", F.shiftleft(F.col("bucket") + nearer.cast("long"), HASH_BITS - LEVEL_BITS * LEVELS).alias("cut"))
-    copies = F.col("q") + (F.col("u") < F.col("cut")).cast("long")
-    taken = rows.join(cuts, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", F.when(F.col("source_size") > 0, F.least(copies, F.lit(most))).otherwise(0).cast("long"))
+    return at.select(F.col("source").alias("s"), "source_size", "target", "q", F.shiftleft(F.col("bucket") + nearer.cast("long"), HASH_BITS - LEVEL_BITS * LEVELS).alias("cut"))
+
+
+def _copies(most: int) -> "F.Column":
+    times = F.least(F.col("q") + (F.col("u") < F.col("cut")).cast("long"), F.lit(most))
+    return F.when(F.col("source_size") > 0, times).otherwise(0).cast("long")
+
+
+def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """doc_id, size, source_size, target, taken and copies for every row of docs(doc_id, text, source).
+
+    copies is how often the mix takes the row, taken = size * copies. A null text has size 0; a null source is a source of
+    its own, the last. Rows with one doc_id share a hash and are taken alike, so reruns agree. A source without words has
+    target 0, and its documents are left out. No rows: no rows.
+    """
+    scratch = Scratch(spark, "mixing")
+    rows = _sizes(docs, scratch)
+    cuts = _thresholds(rows, scratch, weights, most)
+    taken = rows.join(cuts, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", _copies(most))
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def mixed(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """The rows that the mix takes, all columns as they are, each as often as it's taken."""
+    scratch = Scratch(spark, "mixing")
+    cuts = scratch.keep(_thresholds(_sizes(docs, scratch), scratch, weights, most), "cuts")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, source = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "source"))
+    both = docs.toDF(*names).withColumn("u", hash60(doc_id)).join(cuts, source.eqNullSafe(F.col("s"))).withColumn("copies", _copies(most))
+    return both.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*names).toDF(*docs.columns)

@@ -119,11 +119,29 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, slots: int
     return both.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", (F.col("ahead") + F.col("place")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 
+def in_shards(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
+    """The rows of docs, all columns as they are, with vslot and shard; no text is moved."""
+    scratch = Scratch(spark, "sharding")
+    bytes_of = _bytes(virtual_slots(docs, slots), slots)
+    found = first_map(bytes_of, shards)
+    save_map(spark, found, map_path or f"{scratch.path}/map")
+    of = spark.createDataFrame(list(enumerate(found.shard_of)), "vslot int, shard int")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    key = F.pmod(F.xxhash64(*(names[docs.columns.index(c)] for c in ("doc_id", "text"))), F.lit(slots)).cast("int")
+    placed = docs.toDF(*names).withColumn("vslot", key).join(F.broadcast(of), "vslot")  # a row for each slot
+    return placed.select(*names, "vslot", "shard").toDF(*docs.columns, "vslot", "shard")
+
+
+def _bytes(rows: DataFrame, slots: int) -> list[int]:
+    out = [0] * slots
+    for s in rows.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect():
+        out[s.vslot] = s.bytes
+    return out
+
+
 def rebalanced(spark: SparkSession, docs: DataFrame, map_path: str, version: int, shards: int, slots: int = SLOTS) -> SlotMap:
     """Read a version of the map, edit it for the docs as they are and `shards` shards, and store the next version."""
-    bytes_of = [0] * slots
-    for s in virtual_slots(docs, slots).groupBy("vslot").agg(F.sum("size").alias("bytes")).collect():
-        bytes_of[s.vslot] = s.bytes
+    bytes_of = _bytes(virtual_slots(docs, slots), slots)
     found = rebalance(load_map(spark, map_path, version), bytes_of, shards)
     save_map(spark, found, map_path)
     return found
