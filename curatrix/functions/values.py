@@ -52,7 +52,11 @@ def rank_of(value: Column, ranks: dict[str, int], default: int) -> Column:
 
 def pick_preferred(sizes: Column, preference: tuple[str, ...] = SIZE_PREFERENCE) -> Column:
     """Source of the first preferred label that an array of (label, source) has, its last if repeated; else of the last entry. Empty is an error."""
-    found = [F.try_element_at(F.filter(sizes, lambda s, p=p: s["label"] == p), F.lit(-1))["source"] for p in preference]
+
+    def last_of(label: str) -> Column:
+        return F.try_element_at(F.filter(sizes, lambda s: s["label"] == label), F.lit(-1))["source"]
+
+    found = [last_of(label) for label in preference]
     none = F.raise_error(F.lit("no sizes")).cast("string")
     return F.when(F.size(sizes) > 0, F.coalesce(*found, F.try_element_at(sizes, F.lit(-1))["source"])).otherwise(none)
 

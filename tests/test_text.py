@@ -82,7 +82,7 @@ def test_small_text_functions(spark):
 def test_values(spark):
     sizes = F.from_json("s", "array<struct<label: string, source: string>>")
     pick = V.pick_preferred(sizes)
-    assert one(spark, pick, s='[{"label":"Large","source":"l"},{"label":"Original","source":"o1"},{"label":"Original","source":"o2"}]') == "o2"
+    assert one(spark, pick, s='[{"label":"Large","source":"l"},{"label":"Original","source":"o1"},{"label":"Original","source":"o2"},{"label":"Thumb","source":"t"}]') == "o2"
     assert one(spark, pick, s='[{"label":"Thumb","source":"a"},{"label":"Odd","source":"b"}]') == "b"
     with pytest.raises(Exception, match="no sizes"):
         one(spark, pick, s="[]")
