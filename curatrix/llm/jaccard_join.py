@@ -12,7 +12,8 @@ shorter text is one shingle). It is a metric, so with radius r = 1 - threshold:
    region are therefore in one component; pairs in it need no further look.
 3. Boundary documents are replicated: y is compared with region p of another component if they share a shingle
    of their rare-first prefixes and d(y, p) <= a(p) + r, where a(p) is the region's radius. Of its members, only
-   those x with |d(x, p) - d(y, p)| <= r, and with enough shingles that aren't theirs alone, are compared with y.
+   those x with |d(x, p) - d(y, p)| <= r are compared with y, and of these only such as can have enough in common: in the
+   pivot's set as much as the one that has less of it, outside as much as the one that has fewer shared shingles there.
    The document of the smaller region goes to the larger one.
    By the triangle inequality this meets every linked pair of different components.
 
@@ -97,6 +98,11 @@ def _prefix_rows(sets: DataFrame, num: int, den: int) -> DataFrame:
     return sets.where(room > 0).withColumn("h", F.explode(F.slice("items", F.lit(1), room.cast("int")))).drop("items")
 
 
+def _smallest(seed: int):
+    """The smallest hash of `items` under the hash function of this number."""
+    return F.array_min(F.transform("items", lambda h: F.xxhash64(h, F.lit(seed))))
+
+
 def _may_link(n_x, n_y, m_x, m_y):
     """Whether sets of these sizes, of which m occur in other sets too, can have an intersection that is large enough."""
     return NUM * (n_x + n_y) <= (NUM + DEN) * F.least(m_x, m_y)
@@ -148,16 +154,16 @@ def _labelled(spark: SparkSession, docs: DataFrame, width: int) -> DataFrame:
     scratch.release()
 
     # Pivots and regions.
-    firsts = sets.select("cls", "fame", *(F.array_min(F.transform("items", lambda h, s=s: F.xxhash64(h, F.lit(s)))).alias(f"m{s}") for s in range(PIVOT_HASHES)))
+    firsts = sets.select("cls", "fame", *(_smallest(s).alias(f"m{s}") for s in range(PIVOT_HASHES)))
     seeded = firsts.select("cls", "fame", F.explode(F.array(*(F.struct(F.lit(s).alias("seed"), F.col(f"m{s}").alias("m")) for s in range(PIVOT_HASHES)))).alias("e")).select("cls", "fame", "e.*")
     pivots = seeded.groupBy("seed", "m").agg(F.max_by("cls", F.struct("fame", "cls")).alias("y"), F.count(F.lit(1)).alias("size")).where("size > 1")
     near = seeded.join(pivots, ["seed", "m"]).where("cls <> y").select(F.col("cls").alias("x"), "y").distinct()
     placed = scratch.keep(_links(near, sets).where(LINKED).select("x", "y", "common", "union"), "placed")
     labels = components(spark, placed, "x", "y")
     nearest = placed.groupBy("x").agg(F.max_by(F.struct("y", "common", "union"), F.struct(F.col("common") / F.col("union"), -F.col("y"))).alias("at"))
-    nearest = nearest.select(F.col("x").alias("cls"), F.col("at.y").alias("p"), (1 - F.col("at.common") / F.col("at.union")).alias("d"))
-    placed_in = sets.select("cls").join(nearest, "cls", "left").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-    regions = scratch.keep(placed_in.select("cls", F.coalesce("p", "cls").alias("p"), F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("label", "cls").alias("part")), "regions")
+    nearest = nearest.select(F.col("x").alias("cls"), F.col("at.y").alias("p"), F.col("at.common").alias("c"), (1 - F.col("at.common") / F.col("at.union")).alias("d"))
+    placed_in = sets.select("cls", F.size("items").cast("long").alias("m")).join(nearest, "cls", "left").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    regions = scratch.keep(placed_in.select("cls", F.coalesce("p", "cls").alias("p"), F.coalesce("c", "m").alias("c"), F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("label", "cls").alias("part")), "regions")
 
     # Boundary documents of other components: those of the smaller region go to the larger one.
     regions = regions.join(regions.groupBy("p").agg(F.count(F.lit(1)).alias("members")), "p")
@@ -171,9 +177,12 @@ def _labelled(spark: SparkSession, docs: DataFrame, width: int) -> DataFrame:
     radius = regions.groupBy(F.col("p").alias("y")).agg(F.max("d").alias("a"))
     reach = 1 - NUM / DEN + 1e-9
     near = _links(met, sets).join(radius, "y").withColumn("d", 1 - F.col("common") / F.col("union")).where(F.col("d") <= F.col("a") + reach)
-    near = scratch.keep(near.select("x", F.col("y").alias("p"), F.col("d").alias("to_p"), "n_x", "m_x"), "near")
-    inside = regions.join(sets.select("cls", "n", F.size("items").cast("long").alias("m")), "cls").select("p", F.col("cls").alias("y"), "d", F.col("n").alias("n_in"), F.col("m").alias("m_in"))
+    near = scratch.keep(near.select("x", F.col("y").alias("p"), F.col("d").alias("to_p"), F.col("common").alias("c_x"), "n_x", "m_x"), "near")
+    inside = regions.join(sets.select("cls", "n", F.size("items").cast("long").alias("m")), "cls").select("p", F.col("cls").alias("y"), "d", F.col("c").alias("c_in"), F.col("n").alias("n_in"), F.col("m").alias("m_in"))
     tried = near.join(inside, "p").where(F.abs(F.col("d") - F.col("to_p")) <= reach).where(_may_link(F.col("n_x"), F.col("n_in"), F.col("m_x"), F.col("m_in")))
+    # what both have of the pivot's set, and what both have besides it
+    most = F.least("c_x", "c_in") + F.least(F.col("m_x") - F.col("c_x"), F.col("m_in") - F.col("c_in"))
+    tried = tried.where(NUM * (F.col("n_x") + F.col("n_in")) <= (NUM + DEN) * most)
     more = _links(tried.select("x", "y").distinct(), sets).where(LINKED).select("x", "y")
     parts = regions.select(F.col("cls").alias("x"), F.col("part").alias("y")).where("x <> y")
     labels = components(spark, more.unionByName(parts), "x", "y").select(F.col("node").alias("cls"), "label")
