@@ -1,14 +1,12 @@
-"""Shared pieces of the training-data operators: scratch tables and word hashing."""
+"""Shared pieces of the training-data operators: words, their hashes, and steps of bounded size."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step takes at once; one longer text is a step of its own.
@@ -22,47 +20,6 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only a local session without that setting gets a temporary folder."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(named)
-        return named.rstrip("/")
-    if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="curatrix-"))
-    return sc.getCheckpointDir().rstrip("/")
-
-
-class Scratch:
-    """Tables of one operator run, written to the shared folder; they cut the lineage and outlive executors."""
-
-    def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark = spark
-        self.path = f"{shared_dir(spark)}/curatrix-scratch/{name}-{uuid.uuid4().hex}"
-
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """df, written under this name and read again with the schema it had."""
-        df.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
-
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-    def release(self) -> None:
-        """Let the context cleaner drop the shuffle files of plans that are no longer referenced.
-
-        The last job's plan is still held, so a small job comes first."""
-        self.spark.range(1).count()
-        self.spark._jvm.System.gc()
-
-
 def doc_rows(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that no other column of the input can clash with an operator's own.
 
@@ -71,11 +28,6 @@ def doc_rows(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))).select(*(F.col(f"c{i}").alias(c) for i, c in zip(places, columns, strict=True)))
 
 
-def words_of(text) -> "F.Column":
-    """Words `[^\\x20\\x09-\\x0D]+` as a column of arrays; null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-
 def n_words(text) -> "F.Column":
     """Number of words `[^\\x20\\x09-\\x0D]+`; 0 for null.
 

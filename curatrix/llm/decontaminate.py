@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import Scratch, doc_rows
+from curatrix.llm.common import doc_rows
+from curatrix.scratch import Scratch
 
 #: 1: a token that counts, 0: one that's ignored.
 MASKS = ("11101101", "11011011", "10110111")

@@ -16,8 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import Scratch, doc_rows
-from curatrix.llm.components import components
+from curatrix.llm.common import doc_rows
+from curatrix.scratch import Scratch
+from curatrix.operators.graph import components
 
 THRESHOLD = 0.95
 #: At cosine 0.95 one projection agrees with probability 0.873, a table with 0.087, one of the tables with 0.96; at 0.97 with 0.995.

@@ -31,8 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import Scratch, doc_rows, hash_words, lists, mix64, shingle_sets, slices, text_buffers
-from curatrix.llm.components import components
+from curatrix.llm.common import doc_rows, hash_words, lists, mix64, shingle_sets, slices, text_buffers
+from curatrix.scratch import Scratch
+from curatrix.operators.graph import components
 
 WIDTH = 5
 #: Two documents link when DEN * intersection >= NUM * union.

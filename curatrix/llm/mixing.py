@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import Scratch, doc_rows, n_words
+from curatrix.llm.common import doc_rows, n_words
+from curatrix.scratch import Scratch
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (1, 2, 3)

@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import Scratch, doc_rows
+from curatrix.llm.common import doc_rows
+from curatrix.scratch import Scratch
 
 SHARDS = 24
 SLOTS = 8192
