@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from curatrix.functions.text import release_key
 from curatrix.functions.values import rank_of
 from curatrix.schemas import MODALITY_RANK
+from curatrix.scratch import Scratch
 
 
 def latest(df: DataFrame, key: str, position: str) -> DataFrame:
@@ -35,16 +36,22 @@ def stratified(df: DataFrame, by: str, key: str, n: int, seed: int = 42) -> Data
     return turn.orderBy("turn", by).limit(n)
 
 
+def numbered(df: DataFrame, key: str, name: str) -> DataFrame:
+    """name: each row's place in key order, from 0. No task sees all rows.
+
+    Rows are sorted by range and written, since a second run of the plan might draw other ranges; then the rows of the ranges before are added."""
+    scratch = Scratch(df.sparkSession, "numbered")
+    ranged = df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_part", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id())
+    ranged = scratch.keep(ranged, "ranged")
+    ranges = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("rows"), F.min("_place").alias("_first"))
+    ahead = F.coalesce(F.sum("rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each range
+    both = ranged.join(ranges.select("_part", "_first", ahead.alias("_ahead")), "_part")
+    return both.withColumn(name, F.col("_ahead") + F.col("_place") - F.col("_first")).drop("_part", "_place", "_first", "_ahead")
+
+
 def batches(df: DataFrame, key: str, size: int) -> DataFrame:
-    """batch: the number of each row's batch of `size` rows in key order.
-
-    Rows are sorted by range; a second pass adds the rows of the ranges before."""
-    ranged = df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
-    counts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.min("place").alias("first"))
-    ahead = counts.withColumn("ahead", F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    numbered = ranged.join(ahead.select("part", "first", "ahead"), "part")
-    at = F.col("ahead") + F.col("place") - F.col("first")
-    return numbered.withColumn("batch", F.floor(at / size).cast("long")).drop("part", "place", "first", "ahead")
+    """batch: the number of each row's batch of `size` rows in key order."""
+    return numbered(df, key, "_at").withColumn("batch", F.floor(F.col("_at") / size).cast("long")).drop("_at")
 
 
 def distinct_in_order(df: DataFrame, value: str, position: Column | str) -> DataFrame:
