@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import Scratch, doc_rows, slices
+from curatrix.llm.common import doc_rows, slices
+from curatrix.scratch import Scratch
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splits text before merges; that of the public byte-level vocabularies.
@@ -138,4 +139,4 @@ def document_tokens(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKEN
     scratch = Scratch(spark, "tokens")
     places = scratch.keep(write_tokens(spark, docs, f"{scratch.path}/files", tokenizer), "places")
     counts = count_tokens(spark, f"{scratch.path}/files").select(F.substring_index("path", "/", -1).alias("file"), "ordinal", "n_tokens")
-    return places.join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    return places.join(counts.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
