@@ -27,7 +27,7 @@ GRAM_SHARE, GRAM_RATIO = 0.0067, 10
 TOXIC_BYTES, ORDINARY_BYTES = 1024, 2048
 #: Labelled texts that the model is fitted on at most, and bytes of the longest that the sample takes.
 SAMPLE = {1: 2500, 0: 7000}
-SAMPLE_TEXT = 100_000
+SAMPLE_TEXT = 20_000
 #: Share of the sample that the dictionaries are trained on; the thresholds are calibrated on the rest.
 TRAIN_SHARE = 0.6
 #: A string without any text's bytes, at the end of both dictionaries and the start of every window: a match that is always there,
