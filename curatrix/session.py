@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -35,7 +36,8 @@ def importable(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if str(ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_curatrix_shipped", False):
         return
-    with tempfile.TemporaryDirectory() as folder:
-        shutil.copytree(ROOT / "curatrix", Path(folder) / "tree" / "curatrix", ignore=shutil.ignore_patterns("__pycache__"))
-        sc.addPyFile(shutil.make_archive(f"{folder}/curatrix", "zip", f"{folder}/tree"))
+    folder = tempfile.mkdtemp(prefix="curatrix-")  # executors fetch the file from here as long as the driver runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    shutil.copytree(ROOT / "curatrix", Path(folder) / "tree" / "curatrix", ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(f"{folder}/curatrix", "zip", f"{folder}/tree"))
     sc._curatrix_shipped = True
