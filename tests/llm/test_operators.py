@@ -113,7 +113,11 @@ def test_line_dedup(spark, none):
     assert len(got) == len(texts)
     assert by[None, 1].removed == [] and by[1, 4].removed == [0, 1] and by[5, 1].n_lines == 1  # a null id comes first
     assert by[2, 2].removed == [] and by[3, 2].removed == [0, 1] and by[4, 0].n_removed == 0 and by[6, 3].removed == [] and by[7, 2].removed == [1]
-    assert by[3, 2].kept_crc32 == 0 and by[2, 2].kept_crc32 == zlib.crc32(texts[1][1].encode())
+    whole = documents(spark, texts)
+    clean = line_dedup.without_repeated_lines(spark, whole)
+    assert clean.schema == whole.schema
+    said = sorted(((r.doc_id, r[1]) for r in clean.collect()), key=key)
+    assert said == sorted([(1, "\nkeep"), (1, "\nkeep"), (2, texts[1][1]), (3, ""), (4, None), (5, ""), (5, ""), (6, "\n\n"), (7, "code 123 a"), (None, "hello world")], key=key)
     assert sum(r.doc_id == 1 and r.removed == [0, 1] for r in got) == 2
     assert line_dedup.dedup_lines(spark, none).count() == 0
 
