@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and the Shannon entropy of sliding windows over candidate strings.
 
-Candidates are runs of token characters. In each, the window's entropy is kept up by adding the character that enters and taking
-away the one that leaves. Every character class has its own threshold. An allow list suppresses what only looks random.
+Candidates are runs of token characters. In each, and for each character class, the longest runs of the class are searched with the
+threshold of the class, so that what a string is joined to by = or / doesn't decide on it. A window's entropy is kept up by adding the
+character that enters and taking away the one that leaves. An allow list suppresses found spans that only look random.
 Positions are code points; texts are searched as UTF-8, in which all patterns are ASCII.
 """
 
@@ -27,6 +28,7 @@ WINDOW = 20
 CLASSES = (
     ("hex", re.compile(rb"[0-9a-fA-F]+"), 3.0),
     ("alnum", re.compile(rb"[0-9A-Za-z]+"), 3.6),
+    ("base64 without =", re.compile(rb"[0-9A-Za-z+/_-]+"), 3.8),
     ("base64", re.compile(rb"[0-9A-Za-z+/=_-]+"), 3.8),
 )
 #: Strings that are no secrets however random they look.
@@ -38,6 +40,8 @@ ALLOW = (
     re.compile(rb"([A-Za-z]+[/_-]+)+[A-Za-z]*[0-9]{0,4}"),
     re.compile(rb".*(example|placeholder|changeme|xxxx|0000|1234567|abcdef0).*", re.IGNORECASE | re.DOTALL),
 )
+#: An allowed string that a found span may be a part of.
+UUID = re.compile(rb"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])")
 
 _PLOGP = [c * math.log2(c) if c else 0.0 for c in range(WINDOW + 1)]
 _HEX = np.zeros(256, bool)
@@ -87,11 +91,25 @@ def random_windows(candidate: bytes, least: float, window: int = WINDOW) -> list
 
 
 def entropy_spans(candidate: bytes) -> list[tuple[int, int]]:
-    """Spans of a candidate string that are random for its class, unless the allow list has it."""
-    if any(a.fullmatch(candidate) for a in ALLOW):
+    """Unions of the spans of a candidate that are random for a class, without spans that the allow list has or that are part of a UUID."""
+    if any(a.fullmatch(candidate) for a in ALLOW[:2]):  # then it has all spans
         return []
-    least = next(bits for _, members, bits in CLASSES if members.fullmatch(candidate))
-    return random_windows(candidate, least)
+    known = [m.span() for m in UUID.finditer(candidate)]
+    found: set[tuple[int, int]] = set()
+    for _, members, bits in CLASSES:
+        for run in members.finditer(candidate):
+            if len(run[0]) >= WINDOW:
+                found |= {(run.start() + a, run.start() + b) for a, b in random_windows(run[0], bits)}
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        inner = candidate[a:b].strip(b"+/=_-")
+        if any(x.fullmatch(inner) for x in ALLOW) or any(x <= a and b <= y for x, y in known):
+            continue
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
 def _text_spans(text: bytes, hexes: list[tuple[int, int]], candidates: list[tuple[int, int]]) -> list[tuple[int, int, int]]:

@@ -279,6 +279,20 @@ def test_secrets(spark, docs, none):
         assert set(slow) <= set(fast) and {x for a, b in slow for x in range(a, b)} == {x for a, b in fast for x in range(a, b)}
 
 
+def test_entropy_of_strings_that_are_joined_to_others():
+    rng = np.random.default_rng(9)
+    of = lambda chars, n: bytes(rng.choice(list(chars), n).tolist()).decode()
+    missed = Counter()
+    for _ in range(100):
+        for head, chars, n in (("sig=", b"0123456789ABCDEF", 32), ("KEY=", b"0123456789ABCDEF", 64), ("id/", b"0123456789abcdef", 24), ("example/", b"0123456789ABCDEF", 32), ("/x/", b"0123456789ABCDEFghijKLMNOPqrstuvwxyz", 24)):
+            key = of(chars, n)
+            spans = secrets.entropy_spans((head + key).encode())
+            missed[head] += not any(a < len(head) + n and len(head) < b for a, b in spans)
+    assert max(missed.values()) <= 5, missed
+    for plain in ("123e4567-e89b-12d3-a456-426614174000", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "some/long-path/to_the-readable/name2024", "key=" + "0" * 32):
+        assert not secrets.entropy_spans(plain.encode()), plain
+
+
 def test_token_counts(spark, docs, none, tmp_path):
     got = token_counts.document_tokens(spark, docs).collect()
     encoding = token_counts._encoding("test", open(token_counts.TOKENIZER, "rb").read())
