@@ -21,7 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(spark, _table(spark, sf_dir, "documents"))
+    return dedup_lines(spark, _table(spark, sf_dir, "documents"), grams=True)
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curatrix.llm import decontaminate, embedding_dedup, jaccard_join, language_id, line_dedup, mixing, secrets, sharding, token_counts, toxicity
+from curatrix.llm import decontaminate, embedding_dedup, jaccard_join, language_id, line_dedup, mixing, queries, secrets, sharding, token_counts, toxicity
 from curatrix.llm.common import union_find
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
@@ -155,6 +155,22 @@ def test_lines_meet_all_partners(spark):
         assert line_dedup.similar(a, b) == (levenshtein(a, b) <= max(len(a), len(b)) * 15 // 100)
 
 
+def test_line_query_finds_what_brute_force_finds(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    lines = []
+    for b in [" ".join(rng.choice(WORDS, n)) for n in (10, 20, 40, 100) for _ in range(15)]:
+        t = edited(b, int(rng.integers(0, len(b.split()))), "q" * int(rng.integers(1, 5)))
+        lines += [b, edited(t, int(rng.integers(0, len(b.split()))))]
+    lines += ["abc", "abd", "", "x"]
+    spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    gone = {r.doc_id for r in queries.op1_line_dedup(spark, str(tmp_path)).collect() if r.n_removed}
+    n = [line_dedup.normal_lines(t)[0].decode() for t in lines]
+    pairs = [(i, j) for i in range(len(n)) for j in range(i) if n[i] and n[j] and line_dedup.similar(n[i], n[j])]
+    root = union_find(len(n), pairs)
+    want = {i for i in range(len(n)) if root[i] != i}
+    assert len(want) > 40 and gone <= want and len(gone) >= 0.95 * len(want), (len(gone), len(want))
+
+
 def test_decontaminate(spark, none):
     item = prose(50, 30)
     words = item.split()
