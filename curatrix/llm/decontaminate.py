@@ -22,7 +22,7 @@ WINDOW, AGREE = 20, 75
 LEAST_TOKENS = 8
 #: Benchmark hashes up to this number (60 bytes each at most) are broadcast; more are joined by a shuffle.
 BROADCAST_HASHES = 500_000
-#: Leaking ids up to this number are broadcast, more are joined by a shuffle.
+#: Keys of leaking rows up to this number are broadcast, more are joined by a shuffle.
 BROADCAST_IDS = 400_000
 
 
@@ -65,34 +65,42 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, masks: tup
     Null, empty and short texts and items (under LEAST_TOKENS tokens) leak nothing. Repeated items and rows give repeated
     results once for each (doc_id, item_id). A null id is an id like any other. No rows in either: no rows.
     """
+    found = _row_leaks(spark, docs, benchmark, masks, window, agree)
+    return found.groupBy("doc_id", "item_id", "doc_token").agg(F.max("agreeing").alias("agreeing"), F.max("compared").alias("compared"))
+
+
+def _row_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], window: int, agree: int) -> DataFrame:
+    """Leaked passages of each text, with row_key, a hash of doc_id and text: different texts of one doc_id are kept apart."""
     scratch = Scratch(spark, "leaks")
     items = doc_rows(benchmark, "item_id", "text").select("item_id", token_hashes(F.col("text")).alias("h")).where(F.size("h") >= LEAST_TOKENS)
     test = scratch.keep(_seeds(items, ["item_id"], masks).select("item_id", F.col("h").alias("i"), F.col("at").alias("at_item"), "seed"), "seeds")
     keys = test.groupBy("seed").agg(F.collect_list(F.struct("item_id", "at_item", F.size("i").alias("n"))).alias("places"))
     keys = scratch.keep(keys, "keys")
     small = test.count() <= BROADCAST_HASHES
-    seeds = _seeds(doc_rows(docs, "doc_id", "text").select("doc_id", token_hashes(F.col("text")).alias("h")), ["doc_id"], masks)
+    rows = doc_rows(docs, "doc_id", "text").select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), token_hashes(F.col("text")).alias("h"))
+    seeds = _seeds(rows, ["doc_id", "row_key"], masks)
     met = seeds.join(F.broadcast(keys) if small else keys, "seed")
-    hit = met.select("doc_id", "h", "at", F.explode("places").alias("p")).select("doc_id", "p.item_id", (F.col("at") - F.col("p.at_item")).alias("doc_token"), "h", F.col("p.n").alias("n"))
+    hit = met.select("doc_id", "row_key", "h", "at", F.explode("places").alias("p")).select("doc_id", "row_key", "p.item_id", (F.col("at") - F.col("p.at_item")).alias("doc_token"), "h", F.col("p.n").alias("n"))
     # the document's tokens at the item's places; none before its start
     first = F.greatest(F.col("doc_token"), F.lit(0))
     cut = F.slice("h", first + 1, F.greatest(F.col("n") + F.least(F.col("doc_token"), F.lit(0)), F.lit(0)))
     aligned = F.concat(F.array_repeat(F.lit(None).cast("long"), F.greatest(-F.col("doc_token"), F.lit(0))), cut)
-    lines = hit.groupBy("doc_id", "item_id", "doc_token").agg(F.first(aligned).alias("d"))
+    lines = hit.groupBy("doc_id", "row_key", "item_id", "doc_token").agg(F.first(aligned).alias("d"))
     lines = scratch.keep(lines, "lines")
     whole = items.groupBy("item_id", "h").agg(F.count(F.lit(1)).alias("rows")).drop("rows")
     both = lines.join(whole, lines["item_id"].eqNullSafe(whole["item_id"])).drop(whole["item_id"])
     size = F.least(F.lit(window), F.size("h"))
     same = F.zip_with("h", "d", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0)))
-    told = both.select("doc_id", "item_id", "doc_token", _best_window(same, size).alias("agreeing"), size.alias("compared"))
-    return told.where(F.col("agreeing") * 100 >= F.col("compared") * agree).groupBy("doc_id", "item_id", "doc_token").agg(F.max("agreeing").alias("agreeing"), F.max("compared").alias("compared"))
+    told = both.select("doc_id", "row_key", "item_id", "doc_token", _best_window(same, size).alias("agreeing"), size.alias("compared"))
+    return told.where(F.col("agreeing") * 100 >= F.col("compared") * agree)
 
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, all columns as they are, without those of a doc_id that leaks."""
-    found = Scratch(spark, "leaked").keep(leaks(spark, docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct(), "ids")
+    """The rows of docs, all columns as they are, without those whose text leaks; other texts of the same doc_id stay."""
+    found = _row_leaks(spark, docs, benchmark, MASKS, WINDOW, AGREE).select("row_key").distinct()
+    found = Scratch(spark, "leaked").keep(found, "rows")
     found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    place = docs.columns.index("doc_id")
-    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    kept = plain.join(found, plain[f"c{place}"].eqNullSafe(found["leaked"]), "left_anti")
-    return kept.toDF(*docs.columns)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    kept = docs.toDF(*names).withColumn("row_key", F.xxhash64(doc_id, text)).join(found, "row_key", "left_anti")
+    return kept.select(*names).toDF(*docs.columns)

@@ -187,6 +187,14 @@ def test_decontaminate(spark, none):
     assert decontaminate.leaks(spark, none, bench).count() == 0 and decontaminate.leaks(spark, docs, bench.limit(0)).count() == 0
 
 
+def test_decontaminate_tells_texts_of_one_id_apart(spark):
+    item, filler = prose(50, 30), " ".join(f"f{i}" for i in range(50))
+    texts = [(None, item), (None, filler), (None, filler + " more"), (1, f"{filler} {item}"), (1, filler), (2, None), (None, None)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontaminate.clean(spark, documents(spark, texts), bench)
+    assert sorted(((r.doc_id, r[1]) for r in kept.collect()), key=key) == sorted([texts[1], texts[2], *texts[4:]], key=key)
+
+
 def language_texts():
     rng = np.random.default_rng(0)
     alphabets = {"xx": "aeioutnsr", "yy": "äöübdgklm"}
