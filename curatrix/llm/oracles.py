@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curatrix.llm.decontaminate import MASKS
+from curatrix.llm.decontaminate import MASKS, SHORT
 
 #: Only A-Z are lower-cased.
 ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -59,31 +59,37 @@ FROM sized s JOIN passes g ON s.source IS NOT DISTINCT FROM g.source JOIN cuts c
 """
 
 _TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '')"
-_MASKS = {k: [i + 1 for i, bit in enumerate(mask) if bit == "1"] for k, mask in enumerate(MASKS)}
+#: The tokens that each mask chooses, and runs of 1 to 7 tokens for items of that length.
+_CHOSEN = {k: [i for i, bit in enumerate(mask) if bit == "1"] for k, mask in enumerate(MASKS)} | {-n: list(range(n)) for n in range(1, SHORT)}
 _SEEDS = " UNION ALL ".join(
-    f"SELECT id, p, {k} AS mask, concat_ws(' ', {', '.join(f't[p + {i - 1}]' for i in chosen)}) AS seed FROM {{0}}, unnest(range(1, len(t) - {len(MASKS[0]) - 2})) AS r(p)"
-    for k, chosen in _MASKS.items()
+    f"SELECT r, p, {k} AS mask, concat_ws(' ', {', '.join(f't[p + {i}]' for i in chosen)}) AS seed FROM {{0}}, unnest(range(1, len(t) - {chosen[-1]} + 1)) AS u(p)"
+    + (f" WHERE {{1}}len(t) {f'= {-k}' if k < 0 else f'>= {SHORT}'}")
+    for k, chosen in _CHOSEN.items()
 )
 
 LEAKS = rf"""
 WITH d AS (
-  SELECT doc_id AS id, {_TOKENS} AS t FROM documents
+  SELECT row_number() OVER () AS r, doc_id, {_TOKENS} AS t FROM (SELECT DISTINCT doc_id, text FROM documents)
 ), b AS (
-  SELECT * FROM (SELECT item_id AS id, {_TOKENS} AS t FROM benchmark) WHERE len(t) >= 8
+  SELECT row_number() OVER () AS r, item_id, {_TOKENS} AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)
 ), ds AS (
-  {_SEEDS.format("d")}
+  {_SEEDS.format("d", "true OR ")}
 ), bs AS (
-  {_SEEDS.format("b")}
+  {_SEEDS.format("b", "")}
 ), lines AS (
-  SELECT DISTINCT ds.id AS doc_id, bs.id AS item_id, ds.p - bs.p AS doc_token FROM ds JOIN bs ON ds.mask = bs.mask AND ds.seed = bs.seed
+  SELECT DISTINCT ds.r AS dr, bs.r AS br, ds.p - bs.p AS doc_token FROM ds JOIN bs ON ds.mask = bs.mask AND ds.seed = bs.seed
 ), agree AS (
-  SELECT doc_id, item_id, doc_token, len(b.t) AS n, q, CASE WHEN d.t[q + doc_token] = b.t[q] AND q + doc_token > 0 THEN 1 ELSE 0 END AS same
-  FROM lines JOIN d ON d.id = doc_id JOIN b ON b.id = item_id, unnest(range(1, len(b.t) + 1)) AS r(q)
+  SELECT dr, br, doc_id, item_id, doc_token, len(b.t) AS n, q, CASE WHEN d.t[q + doc_token] = b.t[q] AND q + doc_token > 0 THEN 1 ELSE 0 END AS same
+  FROM lines JOIN d ON d.r = dr JOIN b ON b.r = br, unnest(range(1, len(b.t) + 1)) AS u(q)
 ), windows AS (
-  SELECT doc_id, item_id, doc_token, n, q, sum(same) OVER (PARTITION BY doc_id, item_id, doc_token ORDER BY q ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS s FROM agree
+  SELECT *, sum(same) OVER (PARTITION BY dr, br, doc_token ORDER BY q ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS s FROM agree
+), told AS (
+  SELECT doc_id, item_id, doc_token, max(s)::INT AS agreeing, least(20, n)::INT AS compared FROM windows
+  WHERE q >= least(20, n) GROUP BY dr, br, doc_id, item_id, doc_token, n HAVING max(s) * 100 >= least(20, n) * CASE WHEN n < {SHORT} THEN 100 ELSE 75 END
+), best AS (
+  SELECT doc_id, item_id, doc_token, max(struct_pack(agreeing := agreeing, compared := compared)) AS e FROM told GROUP BY ALL
 )
-SELECT doc_id, item_id, doc_token::INT AS doc_token, max(s)::INT AS agreeing, least(20, n)::INT AS compared FROM windows
-WHERE q >= least(20, n) GROUP BY doc_id, item_id, doc_token, n HAVING max(s) * 100 >= least(20, n) * 75
+SELECT doc_id, item_id, doc_token::INT AS doc_token, e.agreeing AS agreeing, e.compared AS compared FROM best
 """
 
 SQL = {
