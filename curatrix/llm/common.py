@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step takes at once; one longer text is a step of its own.
@@ -16,8 +17,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes of a word that are hashed 8 at a time for all words of a step at once.
+LONG_WORD = 64
 
 
 def doc_rows(docs: DataFrame, *columns: str) -> DataFrame:
@@ -67,25 +69,11 @@ def steps(offsets: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, in
         at = end
 
 
-class _Powers:
-    """Powers of the hash base and of its inverse, kept for the longest step so far up to a bound."""
-
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)])) for b in (_BASE, _INVERSE))
-            if n > 2 * STEP_BYTES:
-                return up, down
-            cls.up, cls.down = up, down
-        return cls.up[:n], cls.down[:n]
-
-
 def hash_words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash of every lower-cased word of the texts flat[bounds[i]:bounds[i + 1]], its text, start and end.
 
-    A word's hash is a polynomial in its bytes modulo 2^64, got from prefix sums and then mixed."""
+    A word's hash takes in 8 bytes at a time and mixes after each, so it has no structure that words could share; words of
+    more than LONG_WORD bytes are hashed one by one."""
     lo = int(bounds[0])
     part = _LOWER[flat[lo : int(bounds[-1])]]
     n = len(part)
@@ -100,10 +88,20 @@ def hash_words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     ends = solid.copy()
     ends[:-1] &= ~solid[1:] | edge[1:-1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _Powers.of(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    hashes = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    size = end - start
+    eights = np.lib.stride_tricks.sliding_window_view(np.concatenate([part, np.zeros(8, np.uint8)]), 8)
+    hashes = size.astype(np.uint64) * np.uint64(_BASE)
+    at, longest = np.arange(len(size)), int(size.max(initial=0))
+    for k in range(0, min(longest, LONG_WORD), 8):
+        if k:
+            at = at[size[at] > k]
+        chunk = eights[start[at] + k].view("<u8").ravel()
+        left = np.minimum(size[at] - k, 8).astype(np.uint64)
+        chunk &= np.uint64(0xFFFFFFFFFFFFFFFF) >> ((np.uint64(8) - left) << np.uint64(3))
+        hashes[at] = mix64(hashes[at] ^ chunk)
+    if longest > LONG_WORD:
+        for i in np.flatnonzero(size > LONG_WORD):
+            hashes[i] = xxhash.xxh64_intdigest(part[start[i] : end[i]])
     doc = np.searchsorted(bounds - lo, start, "right") - 1
     return hashes, doc, start, end
 
@@ -160,3 +158,57 @@ def union_find(n: int, pairs: Iterable[tuple[int, int]]) -> np.ndarray:
         if ra != rb:
             parent[max(ra, rb)] = min(ra, rb)
     return np.array([root(x) for x in range(n)], np.int64)
+
+
+#: Rows of one key that a join leaves together, and keys that it splits, at most.
+HOT_ROWS, HOT_KEYS = 512, 100_000
+
+
+def hot_keys(sizes: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The keys, and into how many `salts` each is split, of the rows of sizes(keys, size) above a bound; None if no key is.
+
+    The bound is HOT_ROWS or, if that's more, the HOT_KEYSth part of all rows; so there are HOT_KEYS such keys at most, which can
+    be broadcast, and no other key has more than the bound."""
+    total, most = sizes.agg(F.sum("size"), F.max("size")).first()
+    bound = max(HOT_ROWS, (total or 0) // HOT_KEYS)
+    if (most or 0) <= bound:
+        return None
+    return sizes.where(F.col("size") > bound).select(*keys, F.ceil(F.col("size") / bound).cast("int").alias("salts"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], sizes: DataFrame, by: str, how: str = "inner") -> DataFrame:
+    """left and right joined on keys, like left.join(right, keys, how) for an inner or left join.
+
+    sizes has the keys and `size`, how many rows of left have them. Left rows of a hot key are dealt by a hash of the column `by` into
+    parts that meet copies of the key's right rows, so that no task gets all of them. Null keys match nothing."""
+    hot = hot_keys(sizes, keys)
+    if hot is None:
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot)
+    parts = left.join(hot, keys, "left").withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), "salts")).cast("int")).drop("salts")
+    copies = right.join(hot, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return parts.join(copies, [*keys, "salt"], how).drop("salt")
+
+
+#: One row in so many is looked at to tell which keys are very frequent. That decides where rows are counted, not what is counted.
+GLANCE = 64
+
+
+def with_totals(rows: DataFrame, key: str, by: str, seen: DataFrame, totals: dict[str, tuple[Column, Callable[[str], Column]]], where: str) -> DataFrame:
+    """rows joined with totals over all rows of their key, of the keys that pass `where`; rows are shuffled once.
+
+    totals: for each name an aggregate over rows, and the function that merges a column of such aggregates. seen: (key, size), the
+    counts of one row in GLANCE; the rows of keys that are hot there are dealt by a hash of the column `by` into parts, whose totals
+    are merged and broadcast, as there are HOT_KEYS of them at most."""
+    hot = hot_keys(seen, [key])
+    if hot is None:
+        rows = rows.withColumn("salt", F.lit(0))
+    else:
+        hot = F.broadcast(hot.withColumn("salts", F.col("salts") * GLANCE))
+        rows = rows.join(hot, key, "left").withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), "salts")).cast("int")).drop("salts")
+    rows = rows.repartition(key, "salt")
+    parts = rows.groupBy(key, "salt").agg(*(total.alias(name) for name, (total, _) in totals.items()))
+    if hot is not None:
+        whole = parts.join(hot, key, "left_semi").groupBy(key).agg(*(merge(name).alias(f"{name}_whole") for name, (_, merge) in totals.items()))
+        parts = parts.join(F.broadcast(whole), key, "left").select(key, "salt", *(F.coalesce(f"{name}_whole", name).alias(name) for name in totals))
+    return rows.join(parts.where(where), [key, "salt"]).drop("salt")

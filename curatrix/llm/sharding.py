@@ -52,22 +52,33 @@ def first_map(bytes_of: list[int], shards: int = SHARDS) -> SlotMap:
 
 
 def rebalance(old: SlotMap, bytes_of: list[int], shards: int, slack: float = 0.02) -> SlotMap:
-    """The next version for `shards` shards (not fewer than before): slots move from the fullest to the emptiest shard until
-    no shard is more than `slack` above the mean, or no move helps. All other slots stay."""
+    """The next version for `shards` shards (not fewer than before): slots move from the fullest shards to the emptiest until
+    no shard is more than `slack` above or below the mean, or no move helps. All other slots stay."""
     if shards < old.shards:
         raise ValueError("shards can't be taken away")
     shard_of, loads = list(old.shard_of), old.loads(bytes_of, shards)
     members: list[list[int]] = [[] for _ in range(shards)]
     for slot, shard in enumerate(shard_of):
         members[shard].append(slot)
-    mean = sum(bytes_of) / shards
+    # the mean of the shards that no slot fills alone
+    level, rest, left = sum(bytes_of) / shards, sum(bytes_of), shards
+    for size in sorted(bytes_of, reverse=True):
+        if size <= level or left == 1:
+            break
+        rest, left = rest - size, left - 1
+        level = rest / left
     while True:
-        full, bare = max(range(shards), key=lambda s: (loads[s], -s)), min(range(shards), key=lambda s: (loads[s], s))
-        gap = loads[full] - loads[bare]
-        fit = [i for i in members[full] if 0 < bytes_of[i] < gap]
-        if loads[full] <= (1 + slack) * mean or not fit:
+        bare = min(range(shards), key=lambda s: (loads[s], s))
+        # a shard that one huge record fills may have no slot to give; then the next one does
+        for full in sorted((s for s in range(shards) if loads[s] > (1 + slack) * level or loads[bare] < (1 - slack) * level), key=lambda s: (-loads[s], s)):
+            gap = loads[full] - loads[bare]
+            fit = [i for i in members[full] if 0 < bytes_of[i] < gap and loads[bare] + bytes_of[i] <= (1 + slack) * level]
+            if fit:
+                break
+        else:
             return SlotMap(old.version + 1, tuple(shard_of))
-        slot = min(fit, key=lambda i: (abs(gap / 2 - bytes_of[i]), i))
+        # rather one that doesn't leave its shard below the mean, which others would have to fill again
+        slot = min(fit, key=lambda i: (loads[full] - bytes_of[i] < (1 - slack) * level, abs(gap / 2 - bytes_of[i]), i))
         members[full].remove(slot)
         members[bare].append(slot)
         shard_of[slot] = bare
@@ -76,9 +87,9 @@ def rebalance(old: SlotMap, bytes_of: list[int], shards: int, slack: float = 0.0
 
 
 def save_map(spark: SparkSession, found: SlotMap, path: str) -> None:
-    """Add a version to the stored map; a version that is there already is not written again."""
+    """Add a version to the stored map. A version that is there already is an error: another run stored it first."""
     rows = [(found.version, slot, shard) for slot, shard in enumerate(found.shard_of)]
-    spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("ignore").parquet(f"{path}/v{found.version:06d}")
+    spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("error").parquet(f"{path}/v{found.version:06d}")
 
 
 def load_map(spark: SparkSession, path: str, version: int) -> SlotMap:
@@ -89,60 +100,99 @@ def load_map(spark: SparkSession, path: str, version: int) -> SlotMap:
     return SlotMap(version, tuple(shard_of))
 
 
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The newest version of the stored map that was written whole; 0 if there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(at):
+        return 0
+    names = [f.getPath() for f in system.listStatus(at) if f.getPath().getName().startswith("v")]
+    return max((int(p.getName()[1:]) for p in names if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))), default=0)
+
+
+def current_map(spark: SparkSession, bytes_of: list[int], shards: int, path: str) -> SlotMap:
+    """The map for these bytes: the first version, or the newest one edited, which is stored if the edit moves a slot."""
+    version = newest_version(spark, path)
+    if not version:
+        found = first_map(bytes_of, shards)
+    else:
+        old = load_map(spark, path, version)
+        if len(old.shard_of) != len(bytes_of):
+            raise ValueError(f"the stored map has {len(old.shard_of)} slots, not {len(bytes_of)}")
+        found = rebalance(old, bytes_of, shards)
+        if found.shard_of == old.shard_of:
+            return old
+    save_map(spark, found, path)
+    return found
+
+
+def _slot(doc_id, text, slots: int):
+    """The virtual slot; id and text decide, so copies of a text spread."""
+    return F.pmod(F.xxhash64(doc_id, text), F.lit(slots)).cast("int")
+
+
+def _size(text):
+    return (F.octet_length(F.coalesce(text, F.lit(""))) + 8).cast("long")
+
+
+def _bytes(sizes: DataFrame, slots: int) -> list[int]:
+    """Bytes of each slot, of rows with vslot and size; as many rows as slots come to the driver."""
+    out = [0] * slots
+    for s in sizes.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect():
+        out[s.vslot] = s.bytes
+    return out
+
+
 def virtual_slots(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size (UTF-8 bytes + 8), text_crc32 and vslot of each row; id and text decide the slot, so copies of a text spread."""
-    text = F.coalesce("text", F.lit(""))
-    return doc_rows(docs, "doc_id", "text").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(slots)).cast("int").alias("vslot"))
+    """doc_id, size (UTF-8 bytes + 8), text_crc32 and vslot of each row."""
+    rows = doc_rows(docs, "doc_id", "text")
+    return rows.select("doc_id", _size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), _slot("doc_id", "text", slots).alias("vslot"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard and vslot for every row of docs(doc_id, text).
 
-    slot counts the rows of a shard from 0 without gaps: the rows of the slots before it, then its place in its own slot.
+    slot counts the rows of a shard from 0 without gaps, in the order in which the input's partitions hold them.
     A null text has no bytes and the checksum of the empty text; a null doc_id is hashed like any other. Repeated rows get the
-    same virtual slot and different places. No rows: no rows. map_path: where versions of the map are kept.
+    same virtual slot and different places. No rows: no rows. map_path: where versions of the map are kept. If one is there,
+    the newest is edited for the rows as they are now, and the shards are those of the version that results; without map_path the
+    map is new.
+
+    Rows are numbered where they are: a task counts the rows of a partition's part of a shard, and the sums of these counts, a
+    row for each partition and shard, say where each part begins. So no slot, shard or group of repeated rows has to fit in one task.
     """
     scratch = Scratch(spark, "sharding")
-    rows = scratch.keep(virtual_slots(docs, slots), "rows")
-    sums = rows.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")).collect()
-    bytes_of, rows_of = [0] * slots, [0] * slots
-    for s in sums:
-        bytes_of[s.vslot], rows_of[s.vslot] = s.bytes, s.rows
-    found = first_map(bytes_of, shards)
-    save_map(spark, found, map_path or f"{scratch.path}/map")
-    ahead, placed = [0] * shards, []
-    for slot, to in enumerate(found.shard_of):
-        placed.append((slot, to, ahead[to]))
-        ahead[to] += rows_of[slot]
-    of = spark.createDataFrame(placed, "vslot int, shard int, ahead long")
-    place = F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")) - 1
-    both = rows.withColumn("place", place).join(F.broadcast(of), "vslot")  # a row for each slot, whose number is fixed
-    return both.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", (F.col("ahead") + F.col("place")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "vslot")
+    # the number of a row holds its partition in the upper bits; written once, it stays as it is
+    rows = scratch.keep(virtual_slots(docs, slots).withColumn("number", F.monotonically_increasing_id()), "rows")
+    found = current_map(spark, _bytes(rows, slots), shards, map_path or f"{scratch.path}/map")
+    of = spark.createDataFrame(list(enumerate(found.shard_of)), "vslot int, shard int")
+    placed = rows.join(F.broadcast(of), "vslot").withColumn("part", F.shiftright("number", 33))  # a row for each slot, whose number is fixed
+    counts = placed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("shard", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("shard", "part").orderBy("number")) - 1
+    both = placed.withColumn("place", place).join(starts, ["shard", "part"])
+    return both.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", (F.col("start") + F.col("place")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 
 def in_shards(spark: SparkSession, docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
-    """The rows of docs, all columns as they are, with vslot and shard; no text is moved."""
+    """The rows of docs with vslot and shard as the last columns; no text is moved.
+
+    All other columns stay as they are; vslot and shard of the input, in any case, are replaced. Nulls, repeated rows, no rows and
+    map_path: as in `shard`."""
     scratch = Scratch(spark, "sharding")
-    bytes_of = _bytes(virtual_slots(docs, slots), slots)
-    found = first_map(bytes_of, shards)
-    save_map(spark, found, map_path or f"{scratch.path}/map")
-    of = spark.createDataFrame(list(enumerate(found.shard_of)), "vslot int, shard int")
     names = [f"c{i}" for i in range(len(docs.columns))]
-    key = F.pmod(F.xxhash64(*(names[docs.columns.index(c)] for c in ("doc_id", "text"))), F.lit(slots)).cast("int")
-    placed = docs.toDF(*names).withColumn("vslot", key).join(F.broadcast(of), "vslot")  # a row for each slot
-    return placed.select(*names, "vslot", "shard").toDF(*docs.columns, "vslot", "shard")
-
-
-def _bytes(rows: DataFrame, slots: int) -> list[int]:
-    out = [0] * slots
-    for s in rows.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect():
-        out[s.vslot] = s.bytes
-    return out
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    plain = docs.toDF(*names)
+    found = current_map(spark, _bytes(plain.select(_size(text).alias("size"), _slot(doc_id, text, slots).alias("vslot")), slots), shards, map_path or f"{scratch.path}/map")
+    of = spark.createDataFrame(list(enumerate(found.shard_of)), "vslot int, shard int")
+    placed = plain.withColumn("vslot", _slot(doc_id, text, slots)).join(F.broadcast(of), "vslot")  # a row for each slot
+    kept = [(n, c) for n, c in zip(names, docs.columns, strict=True) if c.lower() not in ("vslot", "shard")]
+    return placed.select(*(n for n, _ in kept), "vslot", "shard").toDF(*(c for _, c in kept), "vslot", "shard")
 
 
 def rebalanced(spark: SparkSession, docs: DataFrame, map_path: str, version: int, shards: int, slots: int = SLOTS) -> SlotMap:
     """Read a version of the map, edit it for the docs as they are and `shards` shards, and store the next version."""
-    bytes_of = _bytes(virtual_slots(docs, slots), slots)
-    found = rebalance(load_map(spark, map_path, version), bytes_of, shards)
+    found = rebalance(load_map(spark, map_path, version), _bytes(virtual_slots(docs, slots), slots), shards)
     save_map(spark, found, map_path)
     return found

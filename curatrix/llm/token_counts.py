@@ -84,6 +84,9 @@ def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
     content = Path(tokenizer).read_bytes()
     if len(content) > VOCABULARY_BYTES:
         raise ValueError(f"{tokenizer} has more than {VOCABULARY_BYTES} bytes")
+    numbers = {int(line.split()[1]) for line in content.splitlines()}
+    if separator in numbers or max(separator, *numbers) > np.iinfo(DTYPE).max:
+        raise ValueError(f"separator {separator} is a token of {tokenizer}, or a number is above {np.iinfo(DTYPE).max}")
     system, root = _open(folder)
     system.create_dir(root, recursive=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -91,44 +94,59 @@ def write_tokens(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
     return doc_rows(docs, "doc_id", "text").mapInArrow(work, f"doc_id {kind}, file string, ordinal long")
 
 
-def _scan(batches, separator, dtype):
+def _scan(batches, separator, dtype, lengths):
+    """Of each block its tokens, how many separators it holds and the last one; with `lengths`, a row for each separator instead:
+    its number in the file and the tokens since the one before it, of which `open_from` says where the block's first document began."""
     width = np.dtype(dtype).itemsize
+    names = ["path", "block", "start", "tokens", *(["done", "open_from", "is_last"] if lengths else [])]
     for batch in batches:
-        for path, block, start, tokens in zip(*(batch.column(c).to_pylist() for c in ("path", "block", "start", "tokens")), strict=True):
+        for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            path, block, start, tokens = row[:4]
             system, name = _open(path)
             with system.open_input_file(name) as f:
                 ids = np.frombuffer(f.read_at(tokens * width, start * width), dtype)
-            at = np.flatnonzero(ids == separator)
-            inner = (np.diff(at) - 1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x]) for x in (path, block, start, len(ids), len(at))] + [pa.array([int(at[0]) if len(at) else None], pa.int64()), pa.array([int(at[-1]) if len(at) else None], pa.int64()), pa.array([inner], pa.list_(pa.int64()))],
-                ["path", "block", "start", "tokens", "ended", "first", "last", "inner"],
-            )
-
-
-def count_tokens(spark: SparkSession, folder: str, separator: int = SEPARATOR, dtype: str = DTYPE, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+            if len(ids) != tokens:
+                raise ValueError(f"{path} ends within block {block}")
+            at = np.flatnonzero(ids == separator).astype(np.int64) + start
+            if not lengths:
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (path, block, start, tokens, len(at))] + [pa.array([int(at[-1]) if len(at) else None], pa.int64())], ["path", "block", "start", "tokens", "ended", "last"])
+                continue
+            done, open_from, is_last = row[4:]
+            ends = np.append(at, start + tokens) if is_last and (not len(at) or at[-1] < start + tokens - 1) else at
+            found = np.diff(ends, prepend=open_from - 1) - 1
+            yield pa.RecordBatch.from_arrays([pa.array([path] * len(ends), pa.string()), pa.array(done + np.arange(len(ends), dtype=np.int64)), pa.array(found)], ["path", "ordinal", "n_tokens"])
+
+
+def count_tokens(spark: SparkSession, folder: str, separator: int = SEPARATOR, dtype: str = DTYPE, block_tokens: int = BLOCK_TOKENS, files: DataFrame | None = None) -> DataFrame:
     """path, ordinal and n_tokens (without the separator) of every document in the flat token files of a folder.
 
     Tokens after the last separator of a file are one more document. Empty files have none. A length that isn't a whole number of
-    tokens is an error. Executors read blocks on their own, so one file of any size spreads over all of them.
+    tokens is an error, and so is a separator that the type of the tokens can't hold. files, if given, has file, the names of the
+    files to read; others in the folder, such as those of lost task attempts, are not opened.
+
+    Executors read blocks on their own, so one file of any size spreads over all of them. A first pass tells only how many separators a
+    block has and where the last is; the prefix scan goes over these few numbers, of which a file of 1 TB has half a million. A
+    second pass reads each block again and, from what the scan says is open before it, tells the lengths.
     """
-    width = np.dtype(dtype).itemsize
-    files = spark.read.format("binaryFile").load(folder).select("path", "length").where("length > 0")
+    width, most = np.dtype(dtype).itemsize, np.iinfo(np.dtype(dtype)).max
+    if not 0 <= separator <= most:
+        raise ValueError(f"separator {separator} isn't a {np.dtype(dtype).name}")
+    found = spark.read.format("binaryFile").load(folder).select("path", "length").where("length > 0")
+    if files is not None:
+        found = found.withColumn("file", F.substring_index("path", "/", -1)).join(files.select("file").distinct(), "file", "left_semi")
     whole = F.when(F.col("length") % width == 0, F.floor(F.col("length") / width)).otherwise(F.raise_error(F.concat(F.lit("not a whole number of tokens: "), "path")).cast("long"))
-    ranges = files.withColumn("n", whole).select("path", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block_tokens))).alias("block"))
+    ranges = found.withColumn("n", whole).select("path", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block_tokens))).alias("block"))
     ranges = ranges.select("path", "block", (F.col("block") * block_tokens).alias("start"), F.least(F.lit(block_tokens), F.col("n") - F.col("block") * block_tokens).alias("tokens"))
-    blocks = ranges.repartition(F.col("path"), F.col("block")).mapInArrow(partial(_scan, separator=separator, dtype=dtype), "path string, block long, start long, tokens long, ended long, first long, last long, inner array<long>")
+    blocks = ranges.repartition(F.col("path"), F.col("block")).mapInArrow(partial(_scan, separator=separator, dtype=dtype, lengths=False), "path string, block long, start long, tokens long, ended long, last long")
     order = Window.partitionBy("path").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     scanned = (
         blocks.withColumn("done", F.coalesce(F.sum("ended").over(before), F.lit(0)))
-        .withColumn("open_from", F.coalesce(F.max(F.col("start") + F.col("last") + 1).over(before), F.lit(0)))
+        .withColumn("open_from", F.coalesce(F.max(F.col("last") + 1).over(before), F.lit(0)))
         .withColumn("is_last", F.lead("block").over(order).isNull())
     )
-    closed = F.when(F.col("ended") > 0, F.concat(F.array(F.col("start") + F.col("first") - F.col("open_from")), "inner")).otherwise(F.array().cast("array<long>"))
-    tail = F.col("start") + F.col("tokens") - F.coalesce(F.col("start") + F.col("last") + 1, F.col("open_from"))
-    lengths = F.when(F.col("is_last") & (tail > 0), F.concat(closed, F.array(tail))).otherwise(closed)
-    return scanned.select("path", "done", F.posexplode(lengths).alias("k", "n_tokens")).select("path", (F.col("done") + F.col("k")).alias("ordinal"), "n_tokens")
+    scanned = Scratch(spark, "blocks").keep(scanned.drop("ended", "last"), "scanned")
+    return scanned.repartition(F.col("path"), F.col("block")).mapInArrow(partial(_scan, separator=separator, dtype=dtype, lengths=True), "path string, ordinal long, n_tokens long")
 
 
 def document_tokens(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -138,5 +156,5 @@ def document_tokens(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKEN
     No rows: no rows."""
     scratch = Scratch(spark, "tokens")
     places = scratch.keep(write_tokens(spark, docs, f"{scratch.path}/files", tokenizer), "places")
-    counts = count_tokens(spark, f"{scratch.path}/files").select(F.substring_index("path", "/", -1).alias("file"), "ordinal", "n_tokens")
+    counts = count_tokens(spark, f"{scratch.path}/files", files=places).select(F.substring_index("path", "/", -1).alias("file"), "ordinal", "n_tokens")
     return places.join(counts.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")

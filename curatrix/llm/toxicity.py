@@ -3,8 +3,8 @@
 Two zstandard dictionaries are trained: one on ordinary text, one on the spans of toxic texts whose byte n-grams are
 far more frequent there than in ordinary ones. Short windows of a text are compressed with the ordinary dictionary, and with the
 toxic one followed by it; the bytes the latter saves are the distance. How large they are on average, at most, and in
-which shares of the windows decides by thresholds (a logistic curve) calibrated on labelled texts that no dictionary saw.
-All windows of the whole text count.
+which shares of the windows decides by thresholds (a logistic curve) calibrated on whole labelled texts that no dictionary saw.
+All windows of the whole text count; they overlap, so that a word or short phrase is whole in one of them.
 """
 
 from __future__ import annotations
@@ -20,16 +20,21 @@ from pyspark.sql import functions as F
 
 from curatrix.llm.common import crc32_of_id, doc_rows, slices
 
-WINDOW = 48
+#: Bytes of a window, and from one window to the next; what's no longer than their difference is whole in some window.
+WINDOW, STEP = 48, 32
 GRAM, GRAM_BITS = 5, 22
 #: A gram is toxic if it's in this share of toxic texts, and so many times as frequent there as in ordinary ones.
 GRAM_SHARE, GRAM_RATIO = 0.0067, 10
 TOXIC_BYTES, ORDINARY_BYTES = 1024, 2048
-#: Labelled texts that the model is fitted on at most, and bytes of the longest that the sample takes.
+#: Labelled texts of each label that the model is fitted on, at most.
 SAMPLE = {1: 2500, 0: 7000}
-SAMPLE_TEXT = 20_000
 #: Share of the sample that the dictionaries are trained on; the thresholds are calibrated on the rest.
 TRAIN_SHARE = 0.6
+#: Code points of the piece that a text gives to the dictionaries: which piece of a longer text that is, a hash of its id decides.
+#: The thresholds are calibrated on whole texts.
+PIECE = 8_000
+#: Pieces of 256 bytes of ordinary text that the dictionary's trainer gets, at even distances of all.
+CHUNKS = 20_000
 #: A string without any text's bytes, at the end of both dictionaries and the start of every window: a match that is always there,
 #: so that no window is stored uncompressed.
 ANCHOR = bytes(np.random.default_rng(0).integers(128, 256, 24, dtype=np.uint8))
@@ -98,7 +103,7 @@ class ToxicityModel:
 def features(text: bytes, ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> tuple[float, ...]:
     """Saved bytes by window: mean, largest, shares of windows with 2, 3 and 4 at least; and the number of windows."""
     plain, foul = ordinary.compress, toxic.compress
-    saved = np.array([len(plain(w)) - len(foul(w)) for w in (ANCHOR + text[i : i + WINDOW] for i in range(0, len(text), WINDOW))], np.float64)
+    saved = np.array([len(plain(w)) - len(foul(w)) for w in (ANCHOR + text[i : i + WINDOW] for i in range(0, max(len(text) - WINDOW + STEP, 1), STEP))], np.float64)
     return saved.mean(), saved.max(), (saved >= 2).mean(), (saved >= 3).mean(), (saved >= 4).mean(), float(np.log(len(saved)))
 
 
@@ -113,43 +118,63 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return mean, scale, w
 
 
-def train(texts: list[str], toxic: list[int]) -> ToxicityModel | None:
-    """A model, or None unless there are two texts of each label to train on and two to calibrate with."""
-    parts: dict[tuple[int, bool], list[bytes]] = {(label, use): [] for label in (0, 1) for use in (True, False)}
-    seen = [0, 0]
-    for text, label in zip(texts, toxic, strict=True):
-        seen[label] += 1
-        parts[label, int(seen[label] * TRAIN_SHARE) > int((seen[label] - 1) * TRAIN_SHARE)].append(normal(text))
-    if min(map(len, parts.values())) < 2:
-        return None
-    bad, good = parts[1, True], parts[0, True]
+def dictionaries(bad: list[bytes], good: list[bytes]) -> tuple[bytes, bytes]:
+    """Contents of the dictionary of toxic text followed by ordinary text, and of that of ordinary text alone, equally long."""
     often, seldom = _spread(bad), _spread(good)
     marked = (often >= max(3, GRAM_SHARE * len(bad))) & (often / len(bad) >= GRAM_RATIO * (seldom + 2) / (len(good) + 20))
     foul = _dictionary([_spans(t, marked) for t in bad], TOXIC_BYTES, 24)
     chunks = [t[i : i + 256] for t in good for i in range(0, len(t), 256)]
-    plain = _dictionary(chunks[:: 1 + len(chunks) // 20_000], ORDINARY_BYTES, 64)
+    plain = _dictionary(chunks[:: 1 + len(chunks) // CHUNKS], ORDINARY_BYTES, 64)
     filler = bytes(np.random.default_rng(1).integers(128, 256, len(foul), dtype=np.uint8))
-    contents = foul + plain + ANCHOR, filler + plain + ANCHOR
-    by = [_compressor(c) for c in contents]
-    rest = [(t, label) for label in (0, 1) for t in parts[label, False]]
-    mean, scale, weights = _curve(np.array([features(t, by[1], by[0]) for t, _ in rest]), np.array([label for _, label in rest], float))
-    return ToxicityModel(*contents, mean, scale, weights)
+    return foul + plain + ANCHOR, filler + plain + ANCHOR
+
+
+def _measured(batches, contents):
+    by = [_compressor(c) for c in contents.value[::-1]]
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            found = [list(features(normal(t), *by)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "toxic", "features"])
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> ToxicityModel | None:
-    """A model from the labelled documents whose crc32(doc_id as text) mod 5 is not 0.
+    """A model from the labelled documents whose crc32(doc_id as text) mod 5 is not 0; None unless there are two of each label to
+    train on and two to calibrate with.
 
-    The sample: for each label, ids are dealt into as many cells as it may have texts, and each cell gives one."""
+    The sample: for each label, ids are dealt into as many cells as it may have texts, and each cell gives one, of any length. Of
+    several labels of an id the larger counts, of its texts the smallest. Pieces of PIECE code points of the training texts, and six
+    numbers for each calibration text, come to the driver.
+    """
     cells = sample or SAMPLE
     known = doc_rows(labels, "doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(crc32_of_id() % 5 != 0)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # only labels of documents that there are
+    known = known.join(doc_rows(docs, "doc_id", "text").where("text is not null").select("doc_id"), "doc_id", "left_semi")
     h = F.xxhash64("doc_id")
     cell = F.pmod(h, F.when(F.col("toxic") == 1, cells[1]).otherwise(cells[0]))
     picked = known.groupBy("toxic", cell.alias("cell")).agg(F.min(F.struct(h.alias("h"), "doc_id")).alias("m")).select(F.col("m.doc_id").alias("doc_id"), "toxic")
     # sum(sample) ids at most
-    texts = doc_rows(docs, "doc_id", "text").where("text is not null").where(F.octet_length("text") <= SAMPLE_TEXT).join(F.broadcast(picked), "doc_id")
-    rows = sorted(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).collect(), key=lambda r: r.doc_id)
-    return train([r.text for r in rows], [r.toxic for r in rows])
+    ids = sorted(picked.collect(), key=lambda r: (r.toxic, r.doc_id))
+    seen, parts = [0, 0], {(label, use): [] for label in (0, 1) for use in (True, False)}
+    for r in ids:
+        seen[r.toxic] += 1
+        parts[r.toxic, int(seen[r.toxic] * TRAIN_SHARE) > int((seen[r.toxic] - 1) * TRAIN_SHARE)].append((r.doc_id, r.toxic))
+    if min(map(len, parts.values())) < 2:
+        return None
+
+    def texts(use: bool) -> DataFrame:
+        kind = docs.schema["doc_id"].dataType.simpleString()
+        chosen = spark.createDataFrame(parts[0, use] + parts[1, use], f"doc_id {kind}, toxic int")
+        return doc_rows(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+    pieces = F.ceil(F.greatest(F.length("text"), F.lit(1)) / PIECE).cast("int")
+    piece = F.substring("text", F.pmod(F.xxhash64("doc_id", F.lit(1)), pieces).cast("int") * PIECE + 1, F.lit(PIECE))
+    rows = sorted(texts(True).select("doc_id", "toxic", piece.alias("piece")).collect(), key=lambda r: r.doc_id)
+    contents = dictionaries(*([normal(r.piece) for r in rows if r.toxic == label] for label in (1, 0)))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    measured = texts(False).select("doc_id", "toxic", "text").mapInArrow(partial(_measured, contents=spark.sparkContext.broadcast(contents)), f"doc_id {kind}, toxic int, features array<double>")
+    told = sorted(measured.collect(), key=lambda r: r.doc_id)
+    return ToxicityModel(*contents, *_curve(np.array([r.features for r in told]), np.array([r.toxic for r in told], float)))
 
 
 def _score(batches, model):

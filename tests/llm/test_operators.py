@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curatrix.llm import decontaminate, embedding_dedup, jaccard_join, language_id, line_dedup, mixing, queries, secrets, sharding, token_counts, toxicity
+from curatrix.llm import common, decontaminate, embedding_dedup, jaccard_join, language_id, line_dedup, mixing, queries, secrets, token_counts, toxicity
 from curatrix.llm.common import union_find
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
@@ -78,7 +78,9 @@ def test_jaccard(spark, docs, none):
     assert jaccard_join.jaccard_classes(spark, none).count() == 0
 
 
-def test_jaccard_on_groups_of_edited_copies(spark):
+@pytest.fixture(scope="module")
+def edited_copies():
+    """Groups of copies with words replaced, texts between two groups, and a passage that all share."""
     rng = np.random.default_rng(5)
     texts = []
     for group in range(6):
@@ -87,10 +89,54 @@ def test_jaccard_on_groups_of_edited_copies(spark):
             t = base
             for _ in range(int(rng.integers(0, 4))):
                 t = edited(t, int(rng.integers(0, 60)), f"w{k}")
-            texts.append((len(texts), t + " " + prose(999, 30)))  # a passage that all share
+            texts.append((len(texts), t + " " + prose(999, 30)))
+    for k in range(60):  # chains: each shares three quarters with the next
+        words = prose(500, 400).split()
+        texts.append((len(texts), " ".join(words[4 * k : 4 * k + 60])))
+    return texts, brute_components(texts)[1]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_jaccard_on_groups_of_edited_copies(spark, edited_copies, monkeypatch, small):
+    if small:  # what large tables need: divided regions, blocks, salts, several chunks, nothing broadcast
+        for name, value in (("REGION", 3), ("CHUNK", 500), ("BROADCAST_ROWS", -1)):
+            monkeypatch.setattr(jaccard_join, name, value)
+        monkeypatch.setattr(common, "HOT_ROWS", 2)
+        monkeypatch.setattr(common, "GLANCE", 1)
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1 if small else auto)
+    try:
+        texts, root = edited_copies
+        got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(spark, documents(spark, texts)).collect()}
+        assert [got[i] for i in range(len(texts))] == root.tolist()
+        kept = jaccard_join.one_of_each(spark, documents(spark, texts))
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root.tolist()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_words_without_structure(spark):
+    """Two words of 1,024 letters that agree in every polynomial hash modulo 2^64."""
+    a = "a"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rest = prose(1, 30)
+    texts = [(1, f"{a} {rest}"), (2, f"{b} {rest}"), (3, a), (4, b), (5, a + " " + a), (6, b + " " + a), (7, "x" * 64), (8, "x" * 65), (9, "X" * 65)]
     got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(spark, documents(spark, texts)).collect()}
     _, root = brute_components(texts)
-    assert [got[i] for i in range(len(texts))] == root.tolist()
+    assert got == {i: texts[r][0] for (i, _), r in zip(texts, root, strict=True)} and got[3] != got[4] and got[8] == got[9] == 8
+
+
+def test_salted_join(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    left = spark.createDataFrame([(k % 4 if k % 4 < 3 else k, k) for k in range(40)] + [(None, 99)], "a long, x long")
+    right = spark.createDataFrame([(0, "p"), (0, "q"), (1, "r"), (7, "s"), (None, "t")], "a long, y string")
+    sizes = left.groupBy("a").count().withColumnRenamed("count", "size")
+    for how in ("inner", "left"):
+        got = common.salted_join(left, right, ["a"], sizes, "x", how)
+        assert sorted(map(tuple, got.select("a", "x", "y").collect()), key=key) == sorted(map(tuple, left.join(right, "a", how).select("a", "x", "y").collect()), key=key)
+    assert common.hot_keys(sizes.limit(0), ["a"]) is None
 
 
 def test_one_of_each(spark, docs, none):
@@ -340,7 +386,30 @@ def test_token_counts(spark, docs, none, tmp_path):
         assert {(r.path.rpartition("/")[2], r.ordinal): r.n_tokens for r in rows} == want
     (tmp_path / "odd").write_bytes(b"12345")
     with pytest.raises(Exception, match="whole number of tokens"):
-        token_counts.count_tokens(spark, f"file://{tmp_path}", dtype="<u4").collect()
+        token_counts.count_tokens(spark, f"file://{tmp_path}", separator=9, dtype="<u4").collect()
+    # what a lost attempt left behind is not opened if the files are named
+    named = spark.createDataFrame([("a",), ("d",), ("a",)], "file string")
+    rows = token_counts.count_tokens(spark, f"file://{tmp_path}", separator=9, dtype="<u4", block_tokens=64, files=named).collect()
+    assert {(r.path.rpartition("/")[2], r.ordinal): r.n_tokens for r in rows} == {k: v for k, v in want.items() if k[0] in "ad"}
+    with pytest.raises(ValueError, match="isn't a uint16"):
+        token_counts.count_tokens(spark, f"file://{tmp_path}", separator=1 << 16)
+    with pytest.raises(ValueError, match="is a token"):
+        token_counts.write_tokens(spark, docs, f"{tmp_path}/none", separator=17)
+
+
+def test_token_counts_with_a_cut_file_beside(spark, docs, monkeypatch):
+    """A lost executor leaves a file that was cut anywhere."""
+    write = token_counts.write_tokens
+
+    def beside(spark, docs, folder, *args, **named):
+        plan = write(spark, docs, folder, *args, **named)
+        system, root = token_counts._open(folder)
+        with system.open_output_stream(f"{root}/part-000000-99-00000.bin") as f:
+            f.write(b"12345")
+        return plan
+
+    monkeypatch.setattr(token_counts, "write_tokens", beside)
+    assert token_counts.document_tokens(spark, docs).count() == len(TEXTS)
 
 
 def test_embedding_dedup(spark):
@@ -363,27 +432,3 @@ def test_embedding_dedup(spark):
         want.append((i, degree[k], least if k in m else i, (least if k in m else i) == i))
     assert got == sorted(want, key=key)
     assert embedding_dedup.near_duplicates(spark, table.limit(0)).count() == 0
-
-
-def test_sharding(spark, docs, none, tmp_path):
-    texts = [(i, prose(i, 5 + i % 40)) for i in range(3000)]
-    got = sharding.shard(spark, documents(spark, texts), map_path=f"file://{tmp_path}/map").collect()
-    by = {}
-    for r in got:
-        assert r.size == len(texts[r.doc_id][1].encode()) + 8 and r.text_crc32 == zlib.crc32(texts[r.doc_id][1].encode()) and r.law == "bytes" and r.grown_shard is None
-        by.setdefault(r.shard, []).append(r)
-    assert set(by) == set(range(24)) and all(sorted(r.slot for r in rows) == list(range(len(rows))) for rows in by.values())
-    loads = [sum(r.size for r in rows) for rows in by.values()]
-    assert max(loads) - min(loads) <= 400
-    old = sharding.load_map(spark, f"file://{tmp_path}/map", 1)
-    new = sharding.rebalanced(spark, documents(spark, texts), f"file://{tmp_path}/map", 1, 25)
-    assert new.version == 2 and sharding.load_map(spark, f"file://{tmp_path}/map", 2) == new
-    moved = [(a, b) for a, b in zip(old.shard_of, new.shard_of, strict=True) if a != b]
-    assert moved and all(b == 24 for _, b in moved) and len(moved) < sharding.SLOTS / 10
-    odd = sharding.shard(spark, docs).collect()
-    assert len(odd) == len(TEXTS) and sum(r.size for r in odd) == sum(len((t or "").encode()) + 8 for _, t in TEXTS)
-    placed = sharding.in_shards(spark, documents(spark, TEXTS).drop("vslot", "shard"))
-    assert placed.count() == len(TEXTS) and placed.columns[-2:] == ["vslot", "shard"]
-    assert sharding.shard(spark, none).count() == 0
-    with pytest.raises(ValueError, match="taken away"):
-        sharding.rebalance(old, [1] * sharding.SLOTS, 3)
