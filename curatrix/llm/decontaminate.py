@@ -11,8 +11,6 @@ window of 8 to 20 tokens that agrees in 75 % is found (a test goes through all p
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +42,13 @@ def token_hashes(text: Column) -> Column:
     return F.flatten(F.transform(pieces, lambda p: F.transform(F.filter(F.split(p, r"[^\p{L}\p{N}]+"), lambda t: t != ""), lambda t: F.xxhash64(t))))
 
 
-def _masked(h: Column, at: Column, left: Column, number: int, mask: str) -> Column:
-    """Hash of the chosen tokens of the window at a position, null if `left` tokens don't hold it; the mask's number keeps masks apart."""
-    return F.when(left >= len(mask), F.xxhash64(F.lit(number), *(F.get(h, at + k) for k, bit in enumerate(mask) if bit == "1")))
+def _masked(number: int, mask: str) -> Column:
+    """Hash of the chosen ones of the tokens t0, t1, ... of a window, null if its last one isn't there; the mask's number keeps masks apart."""
+    chosen = [f"t{k}" for k, bit in enumerate(mask) if bit == "1"]
+    return F.when(F.col(chosen[-1]).isNotNull(), F.xxhash64(F.lit(number), *chosen))
 
 
-def _seeds(rows: DataFrame, keep: list[str], masks: Iterable[tuple[int, str]]) -> DataFrame:
+def _seeds(rows: DataFrame, keep: list[str], masks: list[tuple[int, str]]) -> DataFrame:
     """A row for each position and mask that fits: the columns kept, `at` and `seed`. rows has h, an array of token hashes.
 
     Generators copy a row for each row they make; from blocks that's a few hundred bytes however long the text is."""
@@ -58,10 +57,10 @@ def _seeds(rows: DataFrame, keep: list[str], masks: Iterable[tuple[int, str]]) -
     blocks = rows.select(*keep, F.explode(F.transform(starts, lambda s: F.struct(s.alias("from"), F.slice("h", s + 1, F.lit(BLOCK + reach - 1)).alias("h")))).alias("b"))
     places = F.sequence(F.lit(0), F.least(F.size("b.h"), F.lit(BLOCK)) - 1)
     placed = blocks.select(*keep, F.col("b.from").alias("from"), F.col("b.h").alias("h"), F.explode(places).alias("k"))
-    left = F.size("h") - F.col("k")
-    each = F.array(*(_masked(F.col("h"), F.col("k"), left, number, mask) for number, mask in masks))
-    seeds = placed.select(*keep, (F.col("from") + F.col("k")).alias("at"), each.alias("seeds"))
-    return seeds.select(*keep, "at", F.explode("seeds").alias("seed")).where("seed is not null")
+    # tokens as columns: the code for all masks stays small enough to be compiled
+    windows = placed.select(*keep, (F.col("from") + F.col("k")).alias("at"), *(F.get("h", F.col("k") + i).alias(f"t{i}") for i in range(reach)))
+    seeds = F.stack(F.lit(len(masks)), *(_masked(number, mask) for number, mask in masks))
+    return windows.select(*keep, "at", seeds.alias("seed")).where("seed is not null")
 
 
 def _best_window(same: Column, size: Column) -> Column:
