@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step takes at once; one longer text is a step of its own.
@@ -74,6 +74,22 @@ def hash_words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 
     A word's hash takes in 8 bytes at a time and mixes after each, so it has no structure that words could share; words of
     more than LONG_WORD bytes are hashed one by one."""
+    lo = int(bounds[0])
+    if len(bounds) == 2 and bounds[1] - lo > 2 * STEP_BYTES:  # a long text, in pieces that end at separators
+        found, at = [], lo
+        while at < bounds[1]:
+            cut = at + STEP_BYTES
+            while cut < bounds[1] and not (gap := _SPACE[flat[cut : min(cut + STEP_BYTES, int(bounds[1]))]]).any():
+                cut += STEP_BYTES
+            cut = min(cut + int(gap.argmax()), int(bounds[1])) if cut < bounds[1] else int(bounds[1])
+            hashes, doc, start, end = _hash_words(flat, np.array([at, cut]))
+            found.append((hashes, doc, start + (at - lo), end + (at - lo)))
+            at = cut
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
+    return _hash_words(flat, bounds)
+
+
+def _hash_words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     lo = int(bounds[0])
     part = _LOWER[flat[lo : int(bounds[-1])]]
     n = len(part)
@@ -194,21 +210,20 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], sizes: DataF
 GLANCE = 64
 
 
-def with_totals(rows: DataFrame, key: str, by: str, seen: DataFrame, totals: dict[str, tuple[Column, Callable[[str], Column]]], where: str) -> DataFrame:
-    """rows joined with totals over all rows of their key, of the keys that pass `where`; rows are shuffled once.
+def with_totals(rows: DataFrame, key: str, by: str, seen: DataFrame, totals: dict[str, Callable], column: str, where: str, again: DataFrame | None = None) -> DataFrame:
+    """rows with totals over all rows of their key, as far as they pass `where`. Rows are shuffled once and never joined.
 
-    totals: for each name an aggregate over rows, and the function that merges a column of such aggregates. seen: (key, size), the
-    counts of one row in GLANCE; the rows of keys that are hot there are dealt by a hash of the column `by` into parts, whose totals
-    are merged and broadcast, as there are HOT_KEYS of them at most."""
+    totals: for each name an aggregate function of `column`. seen: (key, size), the counts of about one row in GLANCE. The rows of keys
+    that are hot there are dealt by a hash of the column `by` into parts; their totals, of HOT_KEYS keys at most, come from a
+    partial aggregation over `again` (rows, or rows with repeats) and are broadcast."""
     hot = hot_keys(seen, [key])
     if hot is None:
-        rows = rows.withColumn("salt", F.lit(0))
-    else:
-        hot = F.broadcast(hot.withColumn("salts", F.col("salts") * GLANCE))
-        rows = rows.join(hot, key, "left").withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), "salts")).cast("int")).drop("salts")
-    rows = rows.repartition(key, "salt")
-    parts = rows.groupBy(key, "salt").agg(*(total.alias(name) for name, (total, _) in totals.items()))
-    if hot is not None:
-        whole = parts.join(hot, key, "left_semi").groupBy(key).agg(*(merge(name).alias(f"{name}_whole") for name, (_, merge) in totals.items()))
-        parts = parts.join(F.broadcast(whole), key, "left").select(key, "salt", *(F.coalesce(f"{name}_whole", name).alias(name) for name in totals))
-    return rows.join(parts.where(where), [key, "salt"]).drop("salt")
+        same = Window.partitionBy(key)
+        return rows.select("*", *(f(column).over(same).alias(name) for name, f in totals.items())).where(where)
+    hot = F.broadcast(hot.withColumn("salts", F.col("salts") * GLANCE))
+    whole = (rows if again is None else again).join(hot, key, "left_semi").groupBy(key).agg(*(f(column).alias(f"{name}_whole") for name, f in totals.items()))
+    salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), "salts")).cast("int")
+    same = Window.partitionBy(key, "salt")
+    parts = rows.join(hot, key, "left").select(*rows.columns, salt.alias("salt")).select("*", *(f(column).over(same).alias(name) for name, f in totals.items()))
+    both = parts.join(F.broadcast(whole), key, "left")
+    return both.select(*rows.columns, *(F.coalesce(f"{name}_whole", name).alias(name) for name in totals)).where(where)

@@ -74,10 +74,10 @@ def _classes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
 
 
 def _decided(keys: list[int], heads: list[np.ndarray]) -> pa.RecordBatch:
-    """Rows (kind, h, cls, shares) of some classes' prefixes, each class once.
+    """Rows (h, cls, shares) of some classes' prefixes, each class once.
 
-    kind 0: a shingle h of one of these classes only (shares 1), or (shares 0) the smallest and the largest of several classes that have
-    it. kind 1: how many of its shingles a class (also in h) shares with others of these classes."""
+    shares 1: a shingle h that one of these classes has. 0: the smallest and the largest of several classes that have it. Below 0: of how
+    many of its shingles a class is known to share them with others of these classes; then h is a number of the class's own."""
     cls, of = np.array(keys, np.int64), np.repeat(np.arange(len(keys)), [len(x) for x in heads])
     h = np.concatenate(heads) if heads else np.zeros(0, np.uint64)
     order = np.argsort(h, kind="stable")
@@ -86,16 +86,15 @@ def _decided(keys: list[int], heads: list[np.ndarray]) -> pa.RecordBatch:
     sizes = np.diff(np.append(starts, len(h)))
     alone, many = starts[sizes == 1], starts[sizes > 1]
     shared = np.bincount(of[np.repeat(sizes > 1, sizes)], minlength=len(cls))
-    told = np.flatnonzero(shared)
+    told = cls[np.flatnonzero(shared)]
     of_cls = cls[of]
     low, high = (f.reduceat(of_cls, starts)[sizes > 1] if len(starts) else of_cls for f in (np.minimum, np.maximum))
     columns = [
-        np.repeat([0, 0, 0, 1], [len(alone), len(many), len(many), len(told)]).astype(np.int32),
-        np.concatenate([h[alone], h[many], h[many], cls[told]]),
-        np.concatenate([of_cls[alone], low, high, cls[told]]),
-        np.concatenate([np.ones(len(alone), np.int64), np.zeros(2 * len(many), np.int64), shared[told]]).astype(np.int32),
+        np.concatenate([h[alone], h[many], h[many], mix64(told.view(np.uint64)).view(np.int64)]),
+        np.concatenate([of_cls[alone], low, high, told]),
+        np.concatenate([np.ones(len(alone), np.int64), np.zeros(2 * len(many), np.int64), -shared[shared > 0]]).astype(np.int32),
     ]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "h", "cls", "shares"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "cls", "shares"])
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -171,10 +170,10 @@ def _labelled(spark: SparkSession, docs: DataFrame, width: int) -> DataFrame:
     table = scratch.keep(rows.mapInArrow(partial(_classes, width=width), f"doc_id {kind}, row_key long, cls long, n long"), "table")
 
     # Classes that share enough of their prefix with others. Texts are read again: that costs less than to store the prefixes.
-    dealt = rows.select("text").mapInArrow(partial(_prefixes, width=width), "kind int, h long, cls long, shares int")
-    same = Window.partitionBy("kind", "h")
-    dealt = dealt.select("kind", "cls", "shares", F.min("cls").over(same).alias("lo"), F.max("cls").over(same).alias("hi"))
-    shares = dealt.where("shares > 0 and (kind = 1 or lo <> hi)").groupBy("cls").agg(F.sum("shares").alias("shares"))
+    dealt = rows.select("text").mapInArrow(partial(_prefixes, width=width), "h long, cls long, shares int")
+    same = Window.partitionBy("h")
+    dealt = dealt.select("cls", "shares", F.min("cls").over(same).alias("lo"), F.max("cls").over(same).alias("hi"))
+    shares = dealt.where("shares < 0 or (shares > 0 and lo <> hi)").groupBy("cls").agg(F.sum(F.abs("shares")).alias("shares"))
     need = F.greatest(F.lit(1), F.floor((_least(F.col("n"), NUM, DEN) + (MARGIN - 1)) / MARGIN))
     classes = table.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("row_key").alias("row_key"))
     paired = scratch.keep(classes.join(shares, "cls").where(F.col("shares") >= need).select("cls", "row_key"), "paired")
@@ -192,7 +191,7 @@ def _labelled(spark: SparkSession, docs: DataFrame, width: int) -> DataFrame:
     # Their shingles that other classes have too, rare ones first. Very frequent ones are counted in parts.
     items = sets.select("cls", F.explode("items").alias("h")).where("h is not null")
     seen = items.where(F.pmod(F.xxhash64("cls"), F.lit(common.GLANCE)) == 0).groupBy("h").agg(F.count(F.lit(1)).alias("size"))
-    items = with_totals(items, "h", "cls", seen, {"often": (F.count(F.lit(1)), F.sum)}, "often > 1")
+    items = with_totals(items, "h", "cls", seen, {"often": F.count}, "cls", "often > 1")
     ranked = items.groupBy("cls").agg(F.transform(F.array_sort(F.collect_list(F.struct("often", "h"))), lambda s: s["h"]).alias("items"), F.sum(F.log("often")).alias("fame"))
     sets = scratch.keep(sets.select("cls", "n").join(ranked, "cls").withColumn("fame", F.col("fame") / F.col("n")), "ranked")
     del items, ranked
@@ -213,13 +212,26 @@ def _labelled(spark: SparkSession, docs: DataFrame, width: int) -> DataFrame:
 
     # Boundary documents of other components: those of the smaller region go to the larger one.
     regions = regions.join(regions.groupBy("p").agg(F.count(F.lit(1)).alias("members")), "p")
-    prefix = scratch.keep(_prefix_rows(sets.withColumn("m", F.size("items").cast("long")), NUM, DEN).join(regions.select("cls", "p", "part", "members"), "cls"), "prefix")
-    holders = prefix.groupBy("h", "p", "part", "members").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("m").alias("top"))
-    holders = holders.select("h", *(F.col(c).alias(f"b_{c}") for c in ("p", "part", "members", "lo", "hi", "top")))
+    places = regions.select("cls", "p", "part", "members")
+
+    def prefixes(some: DataFrame) -> DataFrame:
+        return _prefix_rows(some.withColumn("m", F.size("items").cast("long")), NUM, DEN).join(places, "cls")
+
+    def holders(prefix: DataFrame) -> DataFrame:
+        found = prefix.groupBy("h", "p", "part", "members").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("m").alias("top"))
+        return found.select("h", *(F.col(c).alias(f"b_{c}") for c in ("p", "part", "members", "lo", "hi", "top")))
+
     b = lambda c: F.col(f"b_{c}")
     smaller = (F.col("members") < b("members")) | ((F.col("members") == b("members")) & (F.col("p") < b("p")))
     fits = (F.col("n") * NUM <= b("hi") * DEN) & (b("lo") * NUM <= F.col("n") * DEN) & _may_link(F.col("n"), b("lo"), F.col("m"), b("top"))
-    met = salted_join(prefix, holders, ["h"], _counted(prefix, "h"), "cls").where((F.col("part") != b("part")) & smaller & fits)
+    seen = _counted(_prefix_rows(sets.where(F.pmod(F.xxhash64("cls"), F.lit(common.GLANCE)) == 0).withColumn("m", F.size("items").cast("long")), NUM, DEN), "h")
+    if common.hot_keys(seen, ["h"]) is None:
+        prefix = prefixes(sets).repartition("h")  # shuffled once for both sides
+        met = prefix.join(holders(prefix), "h")
+    else:
+        prefix = scratch.keep(prefixes(sets), "prefix")
+        met = salted_join(prefix, holders(prefix), ["h"], _counted(prefix, "h"), "cls")
+    met = met.where((F.col("part") != b("part")) & smaller & fits)
     met = scratch.keep(met.select(F.col("cls").alias("x"), b("p").alias("y")).distinct(), "met")
     inside = regions.join(sets.select("cls", "n", F.size("items").cast("long").alias("m")), "cls").select("p", F.col("cls").alias("y"), "d", F.col("c").alias("c_in"), F.col("n").alias("n_in"), F.col("m").alias("m_in"))
     near = _near(scratch, _links(met, sets), inside, "near")
