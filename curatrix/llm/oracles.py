@@ -92,8 +92,20 @@ WITH d AS (
 SELECT doc_id, item_id, doc_token::INT AS doc_token, e.agreeing AS agreeing, e.compared AS compared FROM best
 """
 
+VECTORS = """
+WITH RECURSIVE pairs AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.95
+), reach(x, y) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.x, pairs.y FROM reach JOIN pairs ON pairs.x = reach.y
+), groups AS (
+  SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY 1
+)
+SELECT vec_id, (SELECT count(*) FROM pairs WHERE x = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM groups
+"""
+
 SQL = {
     "op2_benchmark_decontamination": LEAKS,
     "op4_ngram_jaccard_join": JACCARD,
     "op5_mixing": MIXING,
+    "op9_embedding_near_dedup": VECTORS,
 }
