@@ -29,15 +29,22 @@ LENGTH_BINS = 16
 UNKNOWN = "und"
 
 
+#: Bytes of a text whose n-grams are counted at once.
+COUNTED = 1 << 20
+
+
 def _counts(texts: list[bytes]) -> np.ndarray:
     """Counts of hashed n-grams, a row for each text."""
     out = np.zeros((len(texts), DIM), np.float32)
     for i, text in enumerate(texts):
-        b = np.frombuffer(b" " + text + b" ", np.uint8).astype(np.uint32)
-        two = b[:-1] | (b[1:] << np.uint32(8))
-        three = two[:-1] | (b[2:] << np.uint32(16))
-        codes = np.concatenate([b, two + np.uint32(1 << 24), three + np.uint32(2 << 24)])
-        out[i] = np.bincount((codes * np.uint32(2654435761)) >> np.uint32(20), minlength=DIM)
+        padded = b" " + text + b" "
+        for at in range(0, len(padded), COUNTED):
+            # the n-grams that begin in this part of the text
+            b = np.frombuffer(padded[at : at + COUNTED + 2], np.uint8).astype(np.uint32)
+            two = b[:-1] | (b[1:] << np.uint32(8))
+            three = two[:-1] | (b[2:] << np.uint32(16))
+            codes = np.concatenate([b[:COUNTED], two[:COUNTED] + np.uint32(1 << 24), three[:COUNTED] + np.uint32(2 << 24)])
+            out[i] += np.bincount((codes * np.uint32(2654435761)) >> np.uint32(20), minlength=DIM)
     return out
 
 

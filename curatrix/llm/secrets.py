@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,10 @@ ALLOW = (
     re.compile(rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
     re.compile(rb"[A-Za-z]*[-_]?[0-9]{1,10}"),
     re.compile(rb"([A-Za-z]+[/_-]+)+[A-Za-z]*[0-9]{0,4}"),
-    re.compile(rb".*(example|placeholder|changeme|xxxx|0000|1234567|abcdef0).*", re.IGNORECASE | re.DOTALL),
 )
+#: Words by which a candidate string says that it isn't one, and filler that takes away the windows that hold it, but no others.
+WORDS = re.compile(rb"example|placeholder|changeme", re.IGNORECASE)
+FILLER = re.compile(rb"xxxx|0000|1234567|abcdef0", re.IGNORECASE)
 #: An allowed string that a found span may be a part of.
 UUID = re.compile(rb"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])")
 
@@ -90,26 +93,47 @@ def random_windows(candidate: bytes, least: float, window: int = WINDOW) -> list
     return [(a, b) for a, b in found]
 
 
+def _without(spans: list[tuple[int, int]], fillers: list[tuple[int, int]], window: int = WINDOW) -> list[tuple[int, int]]:
+    """The unions of the windows of some spans that hold no filler whole."""
+    out = []
+    for a, b in spans:
+        first = a  # of the windows not looked at yet
+        for x, y in fillers:
+            if y <= first or x < a or y > b:
+                continue
+            low, high = max(y - window, a), min(x, b - window)  # the windows that begin here hold it
+            if low <= high:
+                if first < low:
+                    out.append((first, low - 1 + window))
+                first = max(first, high + 1)
+        if first <= b - window:
+            out.append((first, b))
+    return out
+
+
 def entropy_spans(candidate: bytes) -> list[tuple[int, int]]:
     """Unions of the spans of a candidate that are random for a class, without spans that the allow list has or that are part of a UUID."""
-    if any(a.fullmatch(candidate) for a in ALLOW[:2]):  # then it has all spans
+    if any(a.fullmatch(candidate) for a in ALLOW[:2]) or WORDS.search(candidate):  # then it has all spans
         return []
-    known = [m.span() for m in UUID.finditer(candidate)]
+    known, fillers = [m.span() for m in UUID.finditer(candidate)], [m.span() for m in FILLER.finditer(candidate)]
     found: set[tuple[int, int]] = set()
     for _, members, bits in CLASSES:
         for run in members.finditer(candidate):
             if len(run[0]) >= WINDOW:
                 found |= {(run.start() + a, run.start() + b) for a, b in random_windows(run[0], bits)}
     out: list[tuple[int, int]] = []
-    for a, b in sorted(found):
+    for a, b in _without(sorted(found), fillers):
         inner = candidate[a:b].strip(b"+/=_-")
         if any(x.fullmatch(inner) for x in ALLOW) or any(x <= a and b <= y for x, y in known):
             continue
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        out.append((a, b))
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(out):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
         else:
-            out.append((a, b))
-    return out
+            merged.append((a, b))
+    return merged
 
 
 def _text_spans(text: bytes, hexes: list[tuple[int, int]], candidates: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
@@ -120,19 +144,33 @@ def _text_spans(text: bytes, hexes: list[tuple[int, int]], candidates: list[tupl
     low = text.lower()
     if any(h in low for h in _HINTS) and (b"=" in text or b":" in text):
         found += [(*m.span(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGN]
-    base = list(found)
+    # the fixed patterns' spans as sorted unions, in which one search tells whether a place is taken
+    ends: list[int] = []
+    starts: list[int] = []
+    for x, y, _ in sorted(found):
+        if ends and x < ends[-1]:
+            ends[-1] = max(ends[-1], y)
+        else:
+            starts.append(x)
+            ends.append(y)
+    extra = []
     for a, b in candidates:
         for s, e in entropy_spans(text[a:b]):
-            if not any(x < a + e and a + s < y for x, y, _ in base):
-                found.append((a + s, a + e, 3))
-    return sorted(found, key=lambda f: (f[0], f[2]))
+            k = bisect_right(ends, a + s)  # the first union that ends after the span's start
+            if k == len(starts) or starts[k] >= a + e:
+                extra.append((a + s, a + e, 3))
+    return sorted(found + extra, key=lambda f: (f[0], f[2]))
 
 
 def _told(text: bytes, found: list[tuple[int, int, int]]) -> list[str]:
-    def place(at: int) -> int:
-        return len(text[:at].decode("utf-8", "replace"))
-
-    return [f"{KINDS[k]}:{place(a)}:{place(b)}" for a, b, k in found]
+    """The spans in code points: the bytes before a place that begin one."""
+    if text.isascii() or not found:
+        return [f"{KINDS[k]}:{a}:{b}" for a, b, k in found]
+    places = np.unique([p for a, b, _ in found for p in (a, b)])
+    begins = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
+    counts = np.cumsum([int(np.count_nonzero(begins[x:y])) for x, y in zip([0, *places[:-1]], places, strict=True)])
+    of = dict(zip(places.tolist(), counts.tolist(), strict=True))
+    return [f"{KINDS[k]}:{of[a]}:{of[b]}" for a, b, k in found]
 
 
 def _scan(batches):
