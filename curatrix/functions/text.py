@@ -15,7 +15,8 @@ from pyspark.sql.types import StringType
 
 from curatrix.schemas import CAPTION_CHARS, ERROR_CHARS
 
-# Catalogue prefixes in the spelling they get, and how texts name instruments.
+# Catalogue prefixes in the spelling they get, how texts name instruments, and the patterns of a designation, of what a
+# title has in brackets and of a gloss at the end of a name.
 CATALOGUES = ("TRAPPIST", "Messier", "SMACS", "Abell", "WASP", "NGC", "Arp", "HH", "IC", "M")
 SHORT_FORM = {"MESSIER": "M"}
 HYPHENATED = ("WASP", "TRAPPIST")
@@ -28,6 +29,11 @@ INSTRUMENT_NAMES = {
 }
 
 
+DESIGNATION = rf"(?iuU)^({'|'.join(CATALOGUES)})\s*[-–]?\s*J?\s*([0-9][0-9.\-]*)\s*([a-z])?\s*\z"
+QUALIFIER = r"(?U)\s*[(\[][^)\]]*[)\]]\s*"
+GLOSS = r"(?U)\s*\([^)]*\)\s*\z"
+
+
 def _text(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
@@ -45,10 +51,9 @@ def normalise(column: Column) -> Column:
 def canonical_name(column: Column) -> Column:
     """Display form of a catalogue designation; other names only lose surplus space, end punctuation and a trailing gloss."""
     spaced = F.rtrim(strip(F.regexp_replace(column, r"(?U)\s+", " ")), F.lit(".,;:"))
-    bare = F.regexp_replace(spaced, r"(?U)\s*\([^)]*\)\s*\z", "")
+    bare = F.regexp_replace(spaced, GLOSS, "")
     name = F.when(bare == "", spaced).otherwise(bare)
-    pattern = rf"(?iuU)^({'|'.join(CATALOGUES)})\s*[-–]?\s*J?\s*([0-9][0-9.\-]*)\s*([a-z])?\s*\z"
-    prefix, number, letter = (F.regexp_extract(name, pattern, k) for k in (1, 2, 3))
+    prefix, number, letter = (F.regexp_extract(name, DESIGNATION, k) for k in (1, 2, 3))
     spelling = {c.upper(): SHORT_FORM.get(c.upper(), c) for c in CATALOGUES}
     proper = F.element_at(F.create_map(*(F.lit(x) for pair in spelling.items() for x in pair)), F.upper(prefix))
     joint = F.when(proper.isin(*HYPHENATED), "-").otherwise(" ")
@@ -59,7 +64,7 @@ def canonical_name(column: Column) -> Column:
 
 def release_key(title: Column) -> Column:
     """What titles of one release share: lower-case words without bracketed qualifiers."""
-    plain = F.lower(F.regexp_replace(_text(title), r"(?U)\s*[(\[][^)\]]*[)\]]\s*", " "))
+    plain = F.lower(F.regexp_replace(_text(title), QUALIFIER, " "))
     return F.trim(F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9 ]", " "), " +", " "))
 
 
@@ -145,3 +150,8 @@ def page_url(base: str, photo_id: Column) -> Column:
 
 def sha256(content: Column) -> Column:
     return F.sha2(content.cast("binary"), 256)
+
+
+def base64(content: Column) -> Column:
+    """Bytes, or the UTF-8 of a text, as base64 in one line."""
+    return F.translate(F.base64(content.cast("binary")), "\r\n", "")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +22,15 @@ class DataQualityError(ValueError):
 
 @dataclass(frozen=True)
 class Check:
-    """violations: an aggregate over `table`, or a function of all tables that counts them."""
+    """violations: an aggregate over `table`, or a function of all tables that gives one row with the column `violations`.
+
+    needs: (other table, key): the aggregate may use in_<other>, which is true for rows whose key the other table has, else null."""
 
     name: str
     table: str
-    violations: Column | Callable[[dict[str, DataFrame]], int]
+    violations: Column | Callable[[dict[str, DataFrame]], DataFrame]
     severity: str = "error"
+    needs: tuple[str, str] | None = None
 
 
 @dataclass(frozen=True)
@@ -40,14 +44,30 @@ class Result:
         return self.severity == "error" and self.violations > 0
 
 
+def frame(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
+    """place, name, severity and violations of each check, as a plan: one aggregation for each table, foreign keys included."""
+    parts = []
+
+    def told(place: int, check: Check, violations: Column) -> Column:
+        return F.struct(F.lit(place).alias("place"), F.lit(check.name).alias("name"), F.lit(check.severity).alias("severity"), F.coalesce(violations.cast("long"), F.lit(0).cast("long")).alias("violations"))
+
+    plain = [(i, c) for i, c in enumerate(checks) if isinstance(c.violations, Column)]
+    for table in dict.fromkeys(c.table for _, c in plain):
+        mine, rows = [(i, c) for i, c in plain if c.table == table], tables[table]
+        for other, key in dict.fromkeys(c.needs for _, c in mine if c.needs):
+            rows = rows.join(tables[other].select(key).distinct().withColumn(f"in_{other}", F.lit(True)), key, "left")
+        sums = rows.agg(*(c.violations.alias(f"v{i}") for i, c in mine))
+        parts.append(sums.select(F.explode(F.array(*(told(i, c, F.col(f"v{i}")) for i, c in mine))).alias("c")).select("c.*"))
+    for i, c in enumerate(checks):
+        if not isinstance(c.violations, Column):
+            parts.append(c.violations(tables).select(told(i, c, F.col("violations")).alias("c")).select("c.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def evaluate(checks: list[Check], tables: dict[str, DataFrame]) -> list[Result]:
-    """All checks in order: one aggregation for each table, one call for each function."""
-    sums: dict[str, int] = {}
-    for table in dict.fromkeys(c.table for c in checks if isinstance(c.violations, Column)):
-        mine = [c for c in checks if c.table == table and isinstance(c.violations, Column)]
-        row = tables[table].agg(*(c.violations.cast("long").alias(f"v{i}") for i, c in enumerate(mine))).first()
-        sums |= {c.name: int(row[i] or 0) for i, c in enumerate(mine)}
-    return [Result(c.name, c.severity, sums[c.name] if c.name in sums else int(c.violations(tables))) for c in checks]
+    """All checks in order, in one job."""
+    rows = sorted(frame(checks, tables).collect(), key=lambda r: r.place) if checks else []
+    return [Result(r.name, r.severity, r.violations) for r in rows]
 
 
 def run(checks: list[Check], tables: dict[str, DataFrame], context: str = "checks") -> list[Result]:
@@ -62,10 +82,6 @@ def run(checks: list[Check], tables: dict[str, DataFrame], context: str = "check
     return results
 
 
-def _foreign(a: str, b: str) -> Callable[[dict[str, DataFrame]], int]:
-    return lambda t: t[a].join(t[b].select("photo_id"), "photo_id", "left_anti").count()
-
-
 def photo_checks() -> list[Check]:
     c = F.col
     return [
@@ -76,12 +92,12 @@ def photo_checks() -> list[Check]:
 
 
 def file_check() -> Check:
-    return Check("image files exist", "photos", lambda t: t["photos"].where("image_file is not null").join(t["files"].select("image_file"), "image_file", "left_anti").count())
+    return Check("image files exist", "photos", F.count_if(F.col("image_file").isNotNull() & F.col("in_files").isNull()), needs=("files", "image_file"))
 
 
 def embedding_checks() -> list[Check]:
     return [
-        Check("an embedding has a photo", "embeddings", _foreign("embeddings", "photos")),
+        Check("an embedding has a photo", "embeddings", F.count_if(F.col("in_photos").isNull()), needs=("photos", "photo_id")),
         Check("an embedding is finite", "embeddings", F.count_if(not_finite(F.col("vector")))),
         Check("an embedding is not zero", "embeddings", F.count_if(largest_is_zero(F.col("vector")))),
         Check("photos could not be embedded", "embedding_errors", F.count(F.lit(1)), "warn"),
@@ -91,7 +107,7 @@ def embedding_checks() -> list[Check]:
 def label_checks() -> list[Check]:
     c = F.col
     return [
-        Check("a label has a photo", "labels", _foreign("labels", "photos")),
+        Check("a label has a photo", "labels", F.count_if(c("in_photos").isNull()), needs=("photos", "photo_id")),
         Check("gate_category is in the codebook", "labels", F.count_if(~c("gate_category").isin(*GATE_CATEGORIES))),
         Check("a kept label has subject and modality", "labels", F.count_if((c("gate_category") == KEEP_GATE) & ((c("subject") == NOT_APPLICABLE) | (c("modality") == NOT_APPLICABLE)))),
     ]
@@ -104,14 +120,18 @@ def dataset_checks(pending: int, photos: int, published: int | None, allow_shrin
     def outside(column: str, values: tuple[str, ...]) -> Check:
         return Check(f"{column} is in the codebook", "kept", F.count_if(~c(column).isin(*(v for v in values if v != NOT_APPLICABLE))))
 
-    def primaries(t: dict[str, DataFrame]) -> int:
-        return t["kept"].groupBy("release_group").agg(F.count_if("is_primary").alias("n")).where("n <> 1").count()
+    def primaries(t: dict[str, DataFrame]) -> DataFrame:
+        return t["kept"].groupBy("release_group").agg(F.count_if("is_primary").alias("n")).agg(F.count_if(c("n") != 1).alias("violations"))
+
+    def unaccounted(t: dict[str, DataFrame]) -> DataFrame:
+        rows = t["kept"].select(F.lit(1)).union(t["rejected"].select(F.lit(1)))
+        return rows.agg(F.abs(F.count(F.lit(1)) + pending - photos).alias("violations"))
 
     checks = [
         Check("there are kept rows", "kept", (F.count(F.lit(1)) == 0).cast("int")),
         Check("photo_id is unique", "kept", F.count(F.lit(1)) - F.count_distinct("photo_id")),
-        Check("no photo is kept and rejected", "kept", lambda t: t["kept"].join(t["rejected"].select("photo_id"), "photo_id", "left_semi").count()),
-        Check("kept, rejected and pending are all photos", "kept", lambda t: abs(t["kept"].count() + t["rejected"].count() + pending - photos)),
+        Check("no photo is kept and rejected", "kept", F.count_if("in_rejected"), needs=("rejected", "photo_id")),
+        Check("kept, rejected and pending are all photos", "kept", unaccounted),
         Check("a rejected row says by what", "rejected", F.count_if(~c("rejected_by").isin("model", "rule"))),
         outside("subject", SUBJECTS),
         outside("modality", MODALITIES),

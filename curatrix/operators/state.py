@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,41 +79,113 @@ def staged_vectors(batches: DataFrame, model: str, now: datetime, position: str
     return good, bad
 
 
+class Locked(TimeoutError):
+    """Another writer holds the tables."""
+
+
 class Tables:
-    """Versioned tables under one folder: a version is a folder of Parquet, and the newest one that is complete counts.
+    """Versioned tables under one folder: a version is a folder of Parquet, and a state file says which version of each table counts.
+
+    A commit writes the new versions first and then, by one rename, the next state file; whatever ends before that leaves all
+    tables as they were. Writers take turns: a lock file is held from reading what a change starts from to the commit."""
 
-    Spark's commit protocol writes _SUCCESS last, so a version without it was never finished and is ignored: a failed write leaves the table as it was."""
+    KEPT_STATES = 50
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, sleep: Callable[[float], None] = time.sleep) -> None:
+        self.spark, self.root, self._sleep, self._depth = spark, root.rstrip("/"), sleep, 0
         self._fs = spark._jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
 
+    def _names(self, *parts: str) -> list[str]:
+        at = self._path(*parts)
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
+
+    def _states(self) -> list[str]:
+        return [n for n in self._names("_state") if n.endswith(".json")]
+
+    def state(self) -> dict[str, int]:
+        """The version of each table that counts."""
+        names = self._states()
+        if not names:
+            return {}
+        source = self._fs.open(self._path("_state", names[-1]))
+        try:
+            return json.loads(bytes(source.readAllBytes()).decode())
+        finally:
+            source.close()
+
     def versions(self, name: str) -> list[int]:
-        if not self._fs.exists(self._path(name)):
-            return []
-        found = [s.getPath().getName() for s in self._fs.listStatus(self._path(name))]
-        return sorted(int(v[1:]) for v in found if v.startswith("v") and self._fs.exists(self._path(name, v, "_SUCCESS")))
+        """The versions of a table that are still there, the one that counts last."""
+        newest = self.state().get(name, 0)
+        found = [int(v[1:]) for v in self._names(name) if v.startswith("v")]
+        return sorted(v for v in found if v <= newest)
 
     def read(self, name: str, schema: StructType, version: int | None = None) -> DataFrame:
-        versions = self.versions(name)
-        if not versions:
+        version = version or self.state().get(name)
+        if not version:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/v{version or versions[-1]:06d}")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/v{version:06d}")
+
+    @contextmanager
+    def writing(self, wait: float = 120.0, stale: float = 6 * 3600.0) -> Iterator[None]:
+        """Hold the lock. Waits in doubling steps of 0.5 to 10 seconds, `wait` at most; a lock older than `stale` seconds was left behind."""
+        if self._depth == 0:
+            lock, waited, step = self._path("_lock"), 0.0, 0.5
+            while not self._fs.createNewFile(lock):
+                if self._fs.exists(lock) and time.time() - self._fs.getFileStatus(lock).getModificationTime() / 1000 > stale:
+                    self._fs.delete(lock, False)
+                    continue
+                if waited >= wait:
+                    raise Locked(f"{self.root} is written by another")
+                self._sleep(step)
+                waited, step = waited + step, min(2 * step, 10.0)
+        self._depth += 1
+        try:
+            yield
+        finally:
+            self._depth -= 1
+            if self._depth == 0:
+                self._fs.delete(self._path("_lock"), False)
 
     def commit(self, name: str, df: DataFrame) -> int:
-        version = (self.versions(name) or [0])[-1] + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/v{version:06d}")
-        return version
+        return self.commit_all({name: df})[name]
+
+    def commit_all(self, changes: dict[str, DataFrame]) -> dict[str, int]:
+        """The next versions of several tables, which count together or not at all."""
+        with self.writing():
+            state, names = self.state(), self._states()
+            new = {name: state.get(name, 0) + 1 for name in changes}
+            for name, df in changes.items():
+                folder = f"v{new[name]:06d}"
+                self._fs.delete(self._path(name, folder), True)  # of a commit that failed: nobody else writes now
+                df.write.mode("error").parquet(f"{self.root}/{name}/{folder}")
+            number = int(names[-1].partition(".")[0]) + 1 if names else 1
+            draft, final = self._path("_state", f".{number:08d}"), self._path("_state", f"{number:08d}.json")
+            out = self._fs.create(draft, True)
+            try:
+                out.write(bytearray(json.dumps(state | new).encode()))
+            finally:
+                out.close()
+            if not self._fs.rename(draft, final):
+                raise OSError(f"{final} can't be written")
+            for name in names[: -self.KEPT_STATES]:
+                self._fs.delete(self._path("_state", name), False)
+            return new
+
+    def change(self, name: str, schema: StructType, f: Callable[[DataFrame], DataFrame]) -> int:
+        """Commit f of the table as it is, with nobody writing in between."""
+        with self.writing():
+            return self.commit(name, f(self.read(name, schema)))
 
     def vacuum(self, name: str, keep: int = 2) -> int:
         """Delete all but the newest versions; returns how many."""
-        old = self.versions(name)[:-keep]
-        for v in old:
-            self._fs.delete(self._path(name, f"v{v:06d}"), True)
-        return len(old)
+        with self.writing():
+            old = self.versions(name)[:-keep]
+            for v in old:
+                self._fs.delete(self._path(name, f"v{v:06d}"), True)
+            return len(old)
 
 
 def migrate(tables: Tables, steps: list[tuple[int, str, object]], now: datetime) -> list[int]:

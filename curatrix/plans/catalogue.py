@@ -35,10 +35,13 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from curatrix.plans import operations  # noqa: F401  it registers its queries here
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -235,16 +238,18 @@ def _listing(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("photo_id"), F.col("c_custkey").alias("pos"))
 
 
-@_query("SELECT c_custkey::VARCHAR AS photo_id, c_custkey AS pos FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) ORDER BY pos")
+@_query("SELECT c_custkey::VARCHAR AS photo_id, c_custkey AS pos FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') ORDER BY pos")
 def new_ids(spark: SparkSession, d: str) -> DataFrame:
-    return planning.new_ids(_listing(spark, d), table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("photo_id")))
+    stored = table(spark, d, "orders").where("o_orderstatus = 'P'")
+    return planning.new_ids(_listing(spark, d), stored.select(F.col("o_custkey").cast("string").alias("photo_id")))
 
 
-def _small(photos: DataFrame) -> DataFrame:
+def _blank(photos: DataFrame) -> DataFrame:
+    """Photos as a table that has seen no run yet."""
     blank = photos.withColumn("first_seen_at", F.lit(datetime(2020, 1, 1)).cast("timestamp_ntz"))
     for c in ("last_seen_at", "downloaded_at"):
         blank = blank.withColumn(c, F.lit(None).cast("timestamp_ntz"))
-    return blank.withColumn("last_download_error", F.lit(None).cast("string")).where(F.col("photo_id").cast("long") % 2 == 0)
+    return blank.withColumn("last_download_error", F.lit(None).cast("string"))
 
 
 @_query("""+ old AS (SELECT * FROM photos_f WHERE photo_id::BIGINT % 2 = 0), new AS (SELECT * FROM photos_f WHERE photo_id::BIGINT % 3 = 0)
@@ -254,7 +259,8 @@ FROM old o FULL JOIN new n USING (photo_id)""")
 def upsert_snapshot(spark: SparkSession, d: str) -> DataFrame:
     photos = X.photos(spark, d)
     incoming = photos.where(F.col("photo_id").cast("long") % 3 == 0).withColumn("title", F.lit("new")).withColumn("pos", F.lit(0))
-    return state.upsert_photos(_small(photos), incoming, NOW).select("photo_id", "title", "download_attempts", "first_seen_at", "last_seen_at")
+    old = _blank(photos).where(F.col("photo_id").cast("long") % 2 == 0)  # the others are new
+    return state.upsert_photos(old, incoming, NOW).select("photo_id", "title", "download_attempts", "first_seen_at", "last_seen_at")
 
 
 @_query("SELECT photo_id, CASE WHEN photo_id::BIGINT % 3 = 0 THEN 'v7' ELSE codebook_version END AS codebook_version FROM labels_f")
@@ -264,26 +270,28 @@ def replace_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return state.replace_rows(labels, new)
 
 
-@_query("SELECT photo_id, CASE WHEN photo_id::BIGINT % 7 = 0 THEN TIMESTAMP '2026-01-01' END AS last_seen_at FROM photos_f WHERE photo_id::BIGINT % 2 = 0")
+@_query("SELECT photo_id, CASE WHEN photo_id::BIGINT % 7 = 0 THEN TIMESTAMP '2026-01-01' END AS last_seen_at FROM photos_f")
 def touch_seen(spark: SparkSession, d: str) -> DataFrame:
     photos = X.photos(spark, d)
-    return state.touch_seen(_small(photos), _logged(photos), NOW).select("photo_id", "last_seen_at")
+    return state.touch_seen(_blank(photos), _logged(photos), NOW).select("photo_id", "last_seen_at")
 
 
 @_query("""SELECT photo_id, CASE WHEN photo_id::BIGINT % 3 = 0 AND photo_id::BIGINT % 4 <> 0 THEN 'x.jpg' ELSE image_file END AS image_file,
   download_attempts + CASE WHEN photo_id::BIGINT % 3 = 0 THEN 1 ELSE 0 END AS download_attempts, CASE WHEN photo_id::BIGINT % 12 = 0 THEN 'timeout' END AS last_download_error
-FROM photos_f WHERE photo_id::BIGINT % 2 = 0""")
+FROM photos_f""")
 def record_results(spark: SparkSession, d: str) -> DataFrame:
     photos = X.photos(spark, d)
     n = F.col("photo_id").cast("long")
     failed = n % 4 == 0
     results = photos.where(n % 3 == 0).select("photo_id", F.when(~failed, "x.jpg").alias("image_file"), F.when(~failed, F.lit(1).cast("long")).alias("image_bytes"), F.when(failed, "timeout").alias("error"), F.lit(0).alias("pos"))
-    return state.record_downloads(_small(photos), results, NOW).select("photo_id", "image_file", "download_attempts", "last_download_error")
+    return state.record_downloads(_blank(photos), results, NOW).select("photo_id", "image_file", "download_attempts", "last_download_error")
 
 
-@_query("SELECT photo_id FROM embeddings_f ANTI JOIN photos_f USING (photo_id)")
+@_query("SELECT photo_id FROM embeddings_f ANTI JOIN (SELECT photo_id FROM photos_f WHERE image_file IS NOT NULL) USING (photo_id)")
 def orphan_embeddings(spark: SparkSession, d: str) -> DataFrame:
-    return X.embeddings(spark, d).select("photo_id").join(X.photos(spark, d).select("photo_id"), "photo_id", "left_anti")
+    """Vectors of what has no stored image."""
+    stored = X.photos(spark, d).where("image_file is not null").select("photo_id")
+    return X.embeddings(spark, d).select("photo_id").join(stored, "photo_id", "left_anti")
 
 
 @_query("SELECT photo_id FROM embeddings_f SEMI JOIN labels_f USING (photo_id)")
@@ -321,8 +329,7 @@ def check_suite(spark: SparkSession, d: str) -> DataFrame:
     tables = {"photos": X.photos(spark, d), "labels": X.labels(spark, d), "embeddings": X.embeddings(spark, d), "kept": k}
     wanted = ("there are kept rows", "photo_id is unique", "instrument is in the codebook", "a release has one primary", "a row has an embedding", "rows are not fewer than published")
     checks = quality.photo_checks() + quality.embedding_checks()[:3] + quality.label_checks() + [c for c in quality.dataset_checks(0, 0, 1_000_000) if c.name in wanted]
-    rows = [(r.name, r.severity, r.violations) for r in quality.evaluate(checks, tables)]
-    return spark.createDataFrame(rows, "name string, severity string, violations long")
+    return quality.frame(checks, tables).drop("place")
 
 
 @_query("SELECT photo_id, len(list_filter(vector, lambda x: isnan(x) OR isinf(x))) > 0 AS not_finite, list_max(vector) = 0 AS zero FROM embeddings_f")

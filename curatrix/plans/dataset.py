@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
 from curatrix.operators import planning, quality
-from curatrix.operators.grouping import counts, with_primary
+from curatrix.operators.grouping import counts, stratified, with_primary
 from curatrix.operators.similarity import duplicate_groups
 from curatrix.schemas import KEEP_GATE, KEPT_COLUMNS, LAUNCH_DATE, NEAR_DUPLICATE, REJECTED_COLUMNS
 from curatrix.sources.files import Folder, checksum, read_csv, read_json, write_json, write_sorted
 
-KEPT, REJECTED, MANIFEST = "kept", "rejected", "manifest.json"
+KEPT, REJECTED, MANIFEST, PUBLISHED = "kept", "rejected", "manifest.json", "_PUBLISHED"
 OUTPUTS = ("kept.parquet", "kept.csv", "rejected.parquet", "rejected.csv")
+# The columns of the spreadsheets.
 CSV_COLUMNS = (
     "photo_id", "subject", "modality", "object_name_normalized", "object_name", "object_name_verified", "instrument", "title", "page_url", "date_taken",
     "source_tag_label", "rationale", "confidence", "release_group", "near_duplicate_group", "is_primary", "tags", "description", "has_embedding", "model", "codebook_version",
@@ -114,28 +118,48 @@ def build(spark: SparkSession, out: str, photos: DataFrame, labels: DataFrame, e
     return manifest
 
 
+def published_folder(spark: SparkSession, published: str) -> str | None:
+    """The folder of the newest version that was published, or None."""
+    folder = Folder(spark, published)
+    done = [n for n in folder.names() if n.startswith("v") and folder.exists(f"{n}/{PUBLISHED}")]
+    return f"{folder.path}/{done[-1]}" if done else None
+
+
 def audit(spark: SparkSession, staged: str, published: str, allow_shrink: bool = False) -> list[quality.Result]:
     """Check the staged files, read anew; raises if they mustn't be published."""
     manifest = read_json(Folder(spark, staged), MANIFEST)
-    old = Folder(spark, published)
-    before = read_json(old, MANIFEST)["rows"][KEPT] if old.exists(MANIFEST) else None
+    old = published_folder(spark, published)
+    before = read_json(Folder(spark, old), MANIFEST)["rows"][KEPT] if old else None
     tables = {name: spark.read.parquet(f"{staged}/{name}.parquet") for name in (KEPT, REJECTED)}
     checks = quality.dataset_checks(manifest["pending"], manifest["photos"], before, allow_shrink)
-    checks.append(quality.Check("CSV and Parquet have the same rows", KEPT, lambda t: sum(abs(read_csv(spark, f"{staged}/{n}.csv").count() - t[n].count()) for n in (KEPT, REJECTED))))
+
+    def unlike(t: dict[str, DataFrame]) -> DataFrame:
+        sizes = [df.select(F.lit(name).alias("name"), F.lit(sign).alias("sign")) for name in (KEPT, REJECTED) for df, sign in ((t[name], 1), (read_csv(spark, f"{staged}/{name}.csv"), -1))]
+        return reduce(DataFrame.union, sizes).groupBy("name").agg(F.abs(F.sum("sign")).alias("n")).agg(F.sum("n").alias("violations"))
+
+    checks.append(quality.Check("CSV and Parquet have the same rows", KEPT, unlike))
     return quality.run(checks, tables, "dataset")
 
 
-def publish(spark: SparkSession, staged: str, published: str) -> None:
-    """Move staged files into place by rename, the manifest last, then drop the staging folder."""
-    source, target = Folder(spark, staged), Folder(spark, published)
-    for name in (*OUTPUTS, MANIFEST):
-        source.move(name, target)
-    source.delete()
+def publish(spark: SparkSession, staged: str, published: str, keep: int = 2) -> str:
+    """Move the staged folder into place by one rename, then mark it as published; returns where it is.
+
+    Readers take the newest marked version, so at any time they see one whole version. Older versions but the last are dropped."""
+    target = Folder(spark, published)
+    versions = [n for n in target.names() if n.startswith("v")]
+    name = f"v{int(versions[-1][1:]) + 1 if versions else 1:06d}"
+    Folder(spark, staged).rename(f"{target.path}/{name}")
+    target.write_text(f"{name}/{PUBLISHED}", "")
+    marked = [n for n in target.names() if n.startswith("v") and target.exists(f"{n}/{PUBLISHED}")]
+    for old in versions:
+        if old not in marked[-keep:]:
+            target.delete(old)
+    return f"{target.path}/{name}"
 
 
 def prune_images(spark: SparkSession, published: str, images: DataFrame) -> int:
     """Delete copies of photos that aren't kept; returns how many. Names go to the driver in a stream, as deletions do."""
-    keep = spark.read.parquet(f"{published}/kept.parquet").select("photo_id")
+    keep = spark.read.parquet(f"{published_folder(spark, published)}/kept.parquet").select("photo_id")
     folder, n = Folder(spark, f"{published}/images"), 0
     for row in images.join(keep, "photo_id", "left_anti").select("image_file").toLocalIterator():
         folder.delete(row.image_file)
@@ -143,10 +167,30 @@ def prune_images(spark: SparkSession, published: str, images: DataFrame) -> int:
     return n
 
 
-def image_tally(rows: DataFrame, present: DataFrame) -> DataFrame:
-    """written (to do), present and failed copies of kept rows."""
-    state = planning.images_to_write(rows, present)
-    return state.agg(F.count_if(F.col("state") == "write").alias("written"), F.count_if(F.col("state") == "present").alias("present"), F.count_if(F.col("state") == "failed").alias("failed"))
+def image_tally(states: DataFrame) -> DataFrame:
+    """written, present and failed, of photo_id and state."""
+    return states.agg(*(F.count_if(F.col("state") == s).alias(s) for s in ("written", "present", "failed")))
+
+
+def write_images(rows: DataFrame, present: DataFrame, copy: Callable[[str, str], None]) -> DataFrame:
+    """photo_id, state and error: what became of the copy of each of rows (photo_id, image_file).
+
+    copy(photo_id, image_file) makes one; where it fails, the row says so. A photo without an image has failed."""
+    states = planning.images_to_write(rows, present).join(rows.select("photo_id", "image_file"), "photo_id")
+
+    def work(frames):
+        for frame in frames:
+            told = []
+            for photo_id, image_file in zip(frame["photo_id"], frame["image_file"], strict=True):
+                try:
+                    copy(photo_id, image_file)
+                    told.append((photo_id, "written", None))
+                except Exception as e:  # noqa: BLE001  told in the row
+                    told.append((photo_id, "failed", f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(told, columns=["photo_id", "state", "error"])
+
+    done = states.where("state = 'write'").select("photo_id", "image_file").mapInPandas(work, "photo_id string, state string, error string")
+    return states.where("state <> 'write'").select("photo_id", "state", F.lit(None).cast("string").alias("error")).unionByName(done)
 
 
 def review_rows(sample: DataFrame) -> DataFrame:
@@ -155,6 +199,18 @@ def review_rows(sample: DataFrame) -> DataFrame:
     return sample.select("photo_id", F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")).alias("html"))
 
 
+def review_sheet(spark: SparkSession, out: str, n: int, name: str = "review.html") -> str | None:
+    """One page with n kept rows, drawn evenly from the subjects; None if n is 0. A page that people read holds 1,000 rows at most."""
+    if not 0 <= n <= 1000:
+        raise ValueError("a review sheet has 0 to 1000 rows")
+    if not n:
+        return None
+    sample = stratified(spark.read.parquet(f"{out}/kept.parquet"), "subject", "photo_id", n)
+    rows = [r.html for r in review_rows(sample).orderBy("photo_id").collect()]  # n at most
+    Folder(spark, out).write_text(name, "<!doctype html><meta charset='utf-8'><table>\n" + "\n".join(rows) + "\n</table>\n")
+    return f"{out}/{name}"
+
+
 def gallery(rows: DataFrame, wanted: list[str]) -> DataFrame:
     """photo_id and caption of a fixed list, in its order. A missing one is an error."""
     caption = F.coalesce("object_name_normalized", T.before_bracket(F.col("title")))

@@ -5,39 +5,53 @@ The models and the archive's transport are passed in; a flow returns whether som
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from curatrix.functions.text import user_text
+from curatrix.functions.text import safe_run_id, user_text
 from curatrix.functions.values import half_even
 from curatrix.operators import planning, quality, state
 from curatrix.operators.state import Tables
 from curatrix.plans import dataset
 from curatrix.schemas import CODEBOOK_VERSION, EMBEDDING_ERRORS, EMBEDDINGS, LABELS, LOG_RECORD, PHOTOS
-from curatrix.sources import api, logs
+from curatrix.scratch import Scratch
+from curatrix.sources import api, files, logs
 
 
-def ingest(tables: Tables, ids: Iterable[tuple[int, str]], metadata: Callable[[str], str], download: Callable[[str], tuple[str, int]], now: datetime) -> bool:
-    """List, stamp, fetch what is new, upsert, download what is missing, record, check."""
+def ingest(
+    tables: Tables, ids: Iterable[tuple[int, str]], metadata: Callable[[str], str], download: Callable[[str], tuple[str, int]], now: datetime,
+    migrations: list | None = None, files: Callable[[], DataFrame] | None = None,
+) -> bool:
+    """Migrate, list, stamp, fetch what is new, upsert, download what is missing, record, check.
+
+    Other writers wait only while a table changes, not while something is fetched. files gives the stored images (image_file), to
+    check that the photos' files exist."""
     spark = tables.spark
-    photos, seen = tables.read("photos", PHOTOS), api.listing(spark, ids)
-    fresh = planning.new_ids(seen, photos)
-    touched = state.touch_seen(photos, seen, now)
-    tables.commit("photos", state.upsert_photos(touched, api.metadata(api.fetch(fresh, metadata)).withColumn("pos", F.lit(0)), now))
-    photos = tables.read("photos", PHOTOS)
-    done = fetch_files(planning.pending_downloads(photos), download).withColumn("pos", F.lit(0)).persist()
+    state.migrate(tables, migrations or [], now)
+    seen = api.listing(spark, ids)
+    tables.change("photos", PHOTOS, lambda photos: state.touch_seen(photos, seen, now))
+    fresh = Scratch(spark, "ingest").keep(planning.new_ids(seen, tables.read("photos", PHOTOS)), "new")
+    fetched = Scratch(spark, "ingest").keep(api.fetch(fresh, metadata), "payloads")
+    tables.change("photos", PHOTOS, lambda photos: state.upsert_photos(photos, api.metadata(fetched).withColumn("pos", F.lit(0)), now))
+    done = fetch_files(planning.pending_downloads(tables.read("photos", PHOTOS)), download).withColumn("pos", F.lit(0))
+    done = Scratch(spark, "ingest").keep(done, "files")
     tally = done.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("bad")).first()
     if tally.n:
-        tables.commit("photos", state.record_downloads(photos, done, now))
-        tables.commit("embedding_errors", state.clear_errors(tables.read("embedding_errors", EMBEDDING_ERRORS), done))
-    done.unpersist()
+        with tables.writing():
+            photos, errors = tables.read("photos", PHOTOS), tables.read("embedding_errors", EMBEDDING_ERRORS)
+            tables.commit_all({"photos": state.record_downloads(photos, done, now), "embedding_errors": state.clear_errors(errors, done)})
     if tally.n and tally.n == tally.bad:
         raise api.SourceError("every download failed")
-    quality.run(quality.photo_checks(), {"photos": tables.read("photos", PHOTOS)}, "photos")
+    checks, checked = quality.photo_checks(), {"photos": tables.read("photos", PHOTOS)}
+    if files is not None:
+        checks, checked = [*checks, quality.file_check()], checked | {"files": files()}
+    quality.run(checks, checked, "photos")
     return tally.n > tally.bad or not fresh.isEmpty()
 
 
@@ -58,46 +72,99 @@ def fetch_files(ids: DataFrame, download: Callable[[str], tuple[str, int]]) -> D
 
 
 def vectors(ids: DataFrame, model: Callable[[list[str]], list], batch: int) -> DataFrame:
-    """photo_id, vector and error, `batch` ids at a time; model returns a vector or an exception for each."""
+    """photo_id, vector and error, `batch` ids at a time; model returns a vector or an exception for each.
+
+    If a whole batch fails, its ids are tried one by one, so that one of them doesn't take the others with it."""
+
+    def tried(part: list[str]) -> list:
+        try:
+            return model(part)
+        except Exception as e:  # noqa: BLE001  told in the row
+            return [e] if len(part) == 1 else [x for one in part for x in tried([one])]
 
     def work(frames):
         for frame in frames:
             for at in range(0, len(frame), batch):
                 part = frame["photo_id"].iloc[at : at + batch].tolist()
-                got = model(part)
+                got = tried(part)
                 yield pd.DataFrame({"photo_id": part, "vector": [None if isinstance(g, Exception) else [float(x) for x in g] for g in got], "error": [str(g) if isinstance(g, Exception) else None for g in got]})
 
     return ids.mapInPandas(work, "photo_id string, vector array<float>, error string")
 
 
+def store(tables: Tables, staged: DataFrame, name: str, now: datetime) -> tuple[int, int]:
+    """Load staged (photo_id, vector, error, pos) into embeddings and embedding_errors in one commit.
+
+    Returns how many rows with a vector and how many with an error were staged, repeats included."""
+    tally = staged.agg(F.count("vector").alias("good"), F.count_if(F.col("vector").isNull()).alias("bad")).first()
+    good, bad = state.staged_vectors(staged, name, now)
+    with tables.writing():
+        old, errors = tables.read("embeddings", EMBEDDINGS), tables.read("embedding_errors", EMBEDDING_ERRORS)
+        tables.commit_all({"embeddings": state.replace_rows(old, good), "embedding_errors": state.replace_rows(errors, bad)})
+    return tally.good, tally.bad
+
+
 def embed(tables: Tables, model: Callable[[list[str]], list], name: str, now: datetime, batch: int = 32) -> bool:
     """Vectors for what has none; failures are rows of embedding_errors."""
-    photos, old, errors = tables.read("photos", PHOTOS), tables.read("embeddings", EMBEDDINGS), tables.read("embedding_errors", EMBEDDING_ERRORS)
-    todo = planning.pending_embeddings(photos, old, errors)
+    photos = tables.read("photos", PHOTOS)
+    todo = planning.pending_embeddings(photos, tables.read("embeddings", EMBEDDINGS), tables.read("embedding_errors", EMBEDDING_ERRORS))
     if todo.isEmpty():
         return False
-    staged = vectors(todo, model, batch).withColumn("pos", F.lit(0)).persist()
-    good, bad = state.staged_vectors(staged, name, now)
-    tables.commit("embeddings", state.replace_rows(old, good))
-    tables.commit("embedding_errors", state.replace_rows(errors, bad))
-    staged.unpersist()
+    # written once: the model isn't asked again
+    staged = Scratch(tables.spark, "embed").keep(vectors(todo, model, batch).withColumn("pos", F.lit(0)), "staged")
+    store(tables, staged, name, now)
     quality.run(quality.embedding_checks(), {"photos": photos, "embeddings": tables.read("embeddings", EMBEDDINGS), "embedding_errors": tables.read("embedding_errors", EMBEDDING_ERRORS)}, "embeddings")
     return True
 
 
-def label_records(queue: DataFrame, labeller: Callable[[str], dict], model: str, backend: str, vision: bool = False) -> DataFrame:
-    """Log records of a queue of photos; labeller reads the prompt text and returns the label's fields and usage."""
+class LabelRunError(RuntimeError):
+    """Too many calls of a run failed."""
+
+
+def label_records(queue: DataFrame, labeller: Callable[..., dict], model: str, backend: str, image: Callable[[str], bytes] | None = None, least: int = 5) -> DataFrame:
+    """Log records of a queue of photos, with `error`: one photo's failure is a row, and other calls' results are kept.
+
+    labeller reads the prompt text, and with `image` the base64 of image(photo_id), and returns the label's fields and usage. A task in
+    which at least `least` calls were made and half of them failed makes no more."""
 
     def work(frames):
+        made = bad = 0
         for frame in frames:
             rows = []
             for r in frame.itertuples(index=False):
-                got = labeller(r.prompt)
-                rows.append({f.name: got.get(f.name) for f in LOG_RECORD.fields} | {"photo_id": r.photo_id, "title": r.title, "model": model, "backend": backend, "vision": vision, "codebook_version": CODEBOOK_VERSION})
-            yield pd.DataFrame(rows, columns=LOG_RECORD.names).astype({c: "Int32" for c in ("prompt_tokens", "output_tokens", "cache_read_tokens")})
+                row = dict.fromkeys(LOG_RECORD.names) | {"photo_id": r.photo_id, "error": None}
+                if planning.failing(made, bad, least):
+                    row["error"] = "not tried"
+                else:
+                    made += 1
+                    try:
+                        got = labeller(r.prompt, base64.b64encode(image(r.photo_id)).decode()) if image else labeller(r.prompt)
+                        row |= {f.name: got.get(f.name) for f in LOG_RECORD.fields} | {"photo_id": r.photo_id, "title": r.title, "model": model, "backend": backend, "vision": image is not None, "codebook_version": CODEBOOK_VERSION}
+                    except Exception as e:  # noqa: BLE001  told in the row
+                        bad += 1
+                        row["error"] = f"{type(e).__name__}: {e}"
+                rows.append(row)
+            yield pd.DataFrame(rows, columns=[*LOG_RECORD.names, "error"]).astype({c: "Int32" for c in ("prompt_tokens", "output_tokens", "cache_read_tokens")} | {"vision": "boolean"})
 
     asked = queue.select("photo_id", "title", user_text(F.col("title"), F.col("description")).alias("prompt"))
-    return asked.mapInPandas(work, LOG_RECORD).withColumn("seconds", half_even(F.col("seconds")))
+    return asked.mapInPandas(work, StructType([*LOG_RECORD.fields, StructField("error", StringType())])).withColumn("seconds", half_even(F.col("seconds")))
+
+
+def label(tables: Tables, log: str, labeller: Callable[..., dict], model: str, backend: str, limit: int = 100, image: Callable[[str], bytes] | None = None, least: int = 5) -> int:
+    """Label what is neither labelled nor in the log, and append it to the log; returns how many records were added.
+
+    What was paid for is in the log before a run with too many failures ends in an error."""
+    spark = tables.spark
+    done = logs.read_log(spark, log).select("photo_id")
+    queue = planning.label_queue(tables.read("photos", PHOTOS), tables.read("labels", LABELS), done, limit)
+    staged = Scratch(spark, "labels").keep(label_records(queue, labeller, model, backend, image, least), "staged")
+    good = staged.where("error is null").drop("error")
+    tally = staged.agg(F.count_if(F.col("error").isNull()).alias("good"), F.count_if(F.col("error") != "not tried").alias("bad"), F.first("error", ignorenulls=True).alias("example")).first()
+    if tally.good:
+        logs.append(good, log)
+    if planning.failing(tally.good + tally.bad, tally.bad, least):
+        raise LabelRunError(f"{tally.bad} of {tally.good + tally.bad} calls failed: {tally.example}")
+    return tally.good
 
 
 def load_labels(tables: Tables, records: DataFrame) -> int:
@@ -105,11 +172,34 @@ def load_labels(tables: Tables, records: DataFrame) -> int:
     return tables.commit("labels", logs.project(records))
 
 
-def publish_dataset(tables: Tables, staged: str, published: str, allow_shrink: bool = False, images: DataFrame | None = None) -> dict:
-    """Check labels, build to staging, audit, publish."""
+def publish_dataset(
+    tables: Tables, staging: str, published: str, log: str | None = None, allow_shrink: bool = False,
+    copy: Callable[[str, str], None] | None = None, review: int = 0, run_id: str = "run",
+) -> dict:
+    """Load and check labels, build to a staging folder of this run, copy images, audit, publish, prune, write the review sheet.
+
+    log: the label log that the labels table is made from anew. copy(photo_id, image_file) puts a small image into the
+    published folder's images; copies are named by photo_id and only added, so they aren't staged."""
+    spark = tables.spark
+    if log is not None:
+        load_labels(tables, logs.read_log(spark, log))
     photos, labels = tables.read("photos", PHOTOS), tables.read("labels", LABELS)
     quality.run(quality.label_checks(), {"photos": photos, "labels": labels}, "labels")
-    manifest = dataset.build(tables.spark, staged, photos, labels, tables.read("embeddings", EMBEDDINGS), images)
-    dataset.audit(tables.spark, staged, published, allow_shrink)
-    dataset.publish(tables.spark, staged, published)
+    safe = spark.range(1).select(safe_run_id(F.lit(run_id))).first()[0]
+    staged, copies = f"{staging}/{safe}", f"{published}/images"
+
+    def build() -> dict:
+        files.Folder(spark, staged).delete()
+        return dataset.build(spark, staged, photos, labels, tables.read("embeddings", EMBEDDINGS), files.images(spark, copies))
+
+    manifest = build()
+    if copy is not None:
+        wanted = spark.read.parquet(f"{staged}/kept.parquet").select("photo_id").join(photos.select("photo_id", "image_file"), "photo_id")
+        states = Scratch(spark, "images").keep(dataset.write_images(wanted, files.images(spark, copies), copy), "states")
+        if dataset.image_tally(states).first().written:
+            manifest = build()  # with the copies that there are now
+    dataset.audit(spark, staged, published, allow_shrink)
+    out = dataset.publish(spark, staged, published)
+    dataset.prune_images(spark, published, files.images(spark, copies))
+    dataset.review_sheet(spark, out, review)
     return manifest

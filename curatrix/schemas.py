@@ -51,6 +51,7 @@ LOG_RECORD = StructType([StructField(f.name, f.dataType, True) for f in [*LABELS
 MIGRATIONS = _struct("version name applied_at", version=_I, name=_S, applied_at=_T)
 TABLES = {"photos": PHOTOS, "embeddings": EMBEDDINGS, "embedding_errors": EMBEDDING_ERRORS, "labels": LABELS}
 
+# The columns of the published tables.
 KEPT_COLUMNS = (
     "photo_id", "title", "description", "subject", "modality", "object_name", "object_name_normalized", "object_name_verified", "instrument", "confidence",
     "rationale", "release_group", "near_duplicate_group", "is_primary", "tags", "date_taken", "page_url", "source_tag_label", "image_file", "has_embedding",

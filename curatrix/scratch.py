@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[tuple[str, object]] = []
+
+
+def clear() -> None:
+    """Delete the tables of all runs of this process; results that read them are of no use afterwards. Done when the process ends."""
+    jvm = SparkContext._jvm
+    while _made and jvm is not None:
+        path, conf = _made.pop()
+        try:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        except Exception:  # noqa: BLE001  the JVM or the store may be gone; what is left can be deleted by hand
+            return
+
+
+atexit.register(clear)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
@@ -26,11 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one operator run, written to the shared folder; they cut the lineage and outlive executors."""
+    """Tables of one operator run, written to the shared folder; they cut the lineage and outlive executors.
+
+    Results read them, so they stay until the process ends or `clear` is called."""
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         self.path = f"{shared_dir(spark)}/curatrix-scratch/{name}-{uuid.uuid4().hex}"
+        _made.append((self.path, spark._jsc.hadoopConfiguration()))
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """df, written under this name and read again with the schema it had."""

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import json
+import logging
 import time
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.functions.values import photo_info
+from curatrix.functions.values import SIZE_PREFERENCE, photo_info
 from curatrix.schemas import PAGE_SIZE
+from curatrix.scratch import Scratch
+
+log = logging.getLogger(__name__)
 
 #: (method, parameters) -> (HTTP status, body text)
 Transport = Callable[[str, dict], tuple[int, str]]
@@ -70,23 +75,64 @@ class Client:
         raise SourceError(f"{method}: no attempts")
 
 
+@dataclass
+class Archive:
+    """The archive's calls, as far as flows need them."""
+
+    client: Client
+
+    def user_id(self, address: str) -> str:
+        """The id of the user with this address; names are not looked up, addresses are."""
+        return self.client.call("urls.lookupUser", url=address)["user"]["id"]
+
+    def page(self, user_id: str) -> Callable[[int, int], dict]:
+        """For `listed`: one page of a user's public photos."""
+
+        def one(number: int, size: int) -> dict:
+            body = self.client.call("people.getPublicPhotos", user_id=user_id, per_page=size, page=number)["photos"]
+            return {"pages": body["pages"], "total": body["total"], "ids": [p["id"] for p in body["photo"]]}
+
+        return one
+
+    def metadata(self, photo_id: str) -> str:
+        """The payload that `photo_info` reads."""
+        return json.dumps(self.client.call("photos.getInfo", photo_id=photo_id)["photo"])
+
+    def image_url(self, photo_id: str, preference: tuple[str, ...] = SIZE_PREFERENCE) -> str:
+        """The source of the first preferred size, or of the last one that there is."""
+        sizes = self.client.call("photos.getSizes", photo_id=photo_id)["sizes"]["size"]
+        if not sizes:
+            raise SourceError(f"{photo_id} has no sizes")
+        by = {s["label"]: s["source"] for s in sizes}
+        return next((by[label] for label in preference if label in by), sizes[-1]["source"])
+
+
 def listed(pages: Callable[[int, int], dict], size: int = PAGE_SIZE) -> Iterator[tuple[int, str]]:
-    """(position, id) from all pages; pages(number, size) gives {"pages", "total", "ids"}."""
-    page, at = 1, 0
+    """(position, id) from all pages; pages(number, size) gives {"pages", "total", "ids"}. Warns if ids are missing or too many."""
+    page, at, seen = 1, 0, set()
     while True:
         body = pages(page, size)
         for photo_id in body["ids"]:
+            seen.add(photo_id)
             yield at, photo_id
             at += 1
         if page >= int(body["pages"]):
-            return
+            break
         page += 1
+    if len(seen) != int(body.get("total", len(seen))):
+        log.warning("the archive says it has %s photos but lists %d; the next run will find what is missing", body["total"], len(seen))
+
 
+def listing(spark: SparkSession, ids: Iterable[tuple[int, str]], step: int = 50_000) -> DataFrame:
+    """photo_id and pos of its first place; pages that shifted while they were read repeat ids.
 
-def listing(spark: SparkSession, ids: Iterable[tuple[int, str]]) -> DataFrame:
-    """photo_id and pos of its first place; pages that shifted while they were read repeat ids."""
-    rows = spark.createDataFrame(list(ids), "pos long, photo_id string")
-    return rows.groupBy("photo_id").agg(F.min("pos").alias("pos"))
+    Ids are written `step` at a time as pages come in."""
+    scratch, ids = Scratch(spark, "listing"), iter(ids)
+    schema = "pos long, photo_id string"
+    spark.createDataFrame([], schema).write.parquet(f"{scratch.path}/ids")
+    while part := list(islice(ids, step)):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(f"{scratch.path}/ids")
+    return spark.read.schema(schema).parquet(f"{scratch.path}/ids").groupBy("photo_id").agg(F.min("pos").alias("pos"))
 
 
 def fetch(ids: DataFrame, one: Callable[[str], str]) -> DataFrame:

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Callable, Iterable
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +30,12 @@ class Folder:
     def names(self, name: str = "") -> list[str]:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._p(name))) if self.exists(name) else []
 
-    def move(self, name: str, to: Folder) -> None:
-        """Replace what is there by rename."""
-        to._fs.mkdirs(to._p())
-        to._fs.delete(to._p(name), True)
-        if not self._fs.rename(self._p(name), to._p(name)):
-            raise OSError(f"{self.path}/{name} can't be moved to {to.path}")
+    def rename(self, to: str) -> None:
+        """Move the whole folder to a place where nothing is."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(to)
+        self._fs.mkdirs(target.getParent())
+        if self._fs.exists(target) or not self._fs.rename(self._p(), target):
+            raise OSError(f"{self.path} can't be moved to {to}")
 
     def delete(self, name: str = "") -> None:
         self._fs.delete(self._p(name), True)
@@ -51,6 +55,37 @@ class Folder:
             source.close()
 
 
+class ImageError(ValueError):
+    """An image isn't what it should be."""
+
+
+def whole_jpeg(content: bytes) -> None:
+    """A JPEG file begins and ends with its markers; a file that was cut off doesn't. Pixels are not decoded."""
+    if not content.startswith(b"\xff\xd8") or not content.rstrip(b"\0").endswith(b"\xff\xd9"):
+        raise ImageError("not a whole JPEG file")
+
+
+def store_file(folder: str, name: str, chunks: Iterable[bytes], expected: int | None = None, check: Callable[[bytes], None] | None = whole_jpeg) -> int:
+    """Write a file under a temporary name, check its length and content, then rename it; returns its bytes. For use in tasks.
+
+    Nothing is left under the temporary name, whatever happens."""
+    system, root = pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
+    system.create_dir(root, recursive=True)
+    part, content = f"{root}/{name}.part", b"".join(chunks)
+    try:
+        with system.open_output_stream(part) as out:
+            out.write(content)
+        if expected is not None and len(content) != expected:
+            raise ImageError(f"{name}: {len(content)} of {expected} bytes came")
+        if check is not None:
+            check(content)
+        system.move(part, f"{root}/{name}")
+        return len(content)
+    finally:
+        if system.get_file_info(part).type != pa.fs.FileType.NotFound:
+            system.delete_file(part)
+
+
 def images(spark: SparkSession, folder: str, pattern: str = "*.jpg") -> DataFrame:
     """image_file, photo_id and length of the images in a folder; contents aren't read."""
     if not Folder(spark, folder).names():

@@ -3,15 +3,16 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from curatrix.operators import planning, quality, state
 from curatrix.operators.graph import components
 from curatrix.operators.grouping import batches, latest, stratified
 from curatrix.operators.similarity import cosine_pairs, duplicate_groups
-from curatrix.operators.state import Tables, migrate
+from curatrix.operators.state import Locked, Tables, migrate
 from curatrix.plans import dataset, workflows
 from curatrix.schemas import EMBEDDING_ERRORS, EMBEDDINGS, LABELS, PHOTOS
-from curatrix.sources import api, files, logs
+from curatrix.sources import api, files, legacy, logs, npz
 
 T0, NOW = datetime(2022, 1, 1), datetime(2026, 1, 1)
 
@@ -48,8 +49,8 @@ def test_build_audit_publish(spark, tmp_path):
     assert rows["10"].near_duplicate_group == rows["11"].near_duplicate_group == 0 and rows["20"].near_duplicate_group == 1
     assert dataset.build(spark, f"file://{tmp_path}/again", photos, labels, vectors) == manifest  # the same bytes
     dataset.audit(spark, staged, live)
-    dataset.publish(spark, staged, live)
-    assert files.read_json(files.Folder(spark, live), "manifest.json") == manifest and not (tmp_path / "staged").exists()
+    first = dataset.publish(spark, staged, live)
+    assert dataset.published_folder(spark, live) == first and files.read_json(files.Folder(spark, first), "manifest.json") == manifest and not (tmp_path / "staged").exists()
     dataset.build(spark, staged, photos, labels.where("photo_id <> '20'"), vectors)
     with pytest.raises(quality.DataQualityError, match="fewer than published"):
         dataset.audit(spark, staged, live)
@@ -60,6 +61,21 @@ def test_build_audit_publish(spark, tmp_path):
         dataset.audit(spark, staged, live, allow_shrink=True)
 
 
+def test_readers_see_one_whole_version(spark, tmp_path):
+    photos, labels, vectors = small(spark)
+    staged, live = f"file://{tmp_path}/staged", f"file://{tmp_path}/live"
+    assert dataset.published_folder(spark, live) is None
+    for n in (1, 2, 3):
+        dataset.build(spark, staged, photos, labels, vectors)
+        assert dataset.publish(spark, staged, live).endswith(f"/v{n:06d}")
+    assert sorted(x.name for x in (tmp_path / "live").iterdir()) == ["v000002", "v000003"]
+    (tmp_path / "live/v000003/_PUBLISHED").unlink()  # a publication that ended before its mark
+    assert dataset.published_folder(spark, live).endswith("/v000002")
+    dataset.build(spark, staged, photos, labels, vectors)
+    assert dataset.publish(spark, staged, live).endswith("/v000004")
+    assert sorted(x.name for x in (tmp_path / "live").iterdir()) == ["v000002", "v000004"]
+
+
 def test_gallery_review_and_prune(spark, tmp_path):
     photos, labels, vectors = small(spark)
     rows = dataset.kept(dataset.labelled(spark, photos, labels, vectors))
@@ -70,9 +86,73 @@ def test_gallery_review_and_prune(spark, tmp_path):
     (tmp_path / "images").mkdir()
     for name in ("10.jpg", "77.jpg"):
         (tmp_path / "images" / name).write_bytes(b"x")
-    rows.write.parquet(f"{tmp_path}/kept.parquet")
+    rows.write.parquet(f"{tmp_path}/v000001/kept.parquet")
+    (tmp_path / "v000001" / "_PUBLISHED").touch()
     assert dataset.prune_images(spark, f"file://{tmp_path}", files.images(spark, f"file://{tmp_path}/images")) == 1
     assert (tmp_path / "images/10.jpg").exists() and not (tmp_path / "images/77.jpg").exists()
+    sheet = dataset.review_sheet(spark, f"file://{tmp_path}/v000001", 2)
+    assert (tmp_path / "v000001/review.html").read_text().count("<tr>") == 2 and sheet.endswith("review.html")
+    assert dataset.review_sheet(spark, f"file://{tmp_path}/v000001", 0) is None
+    with pytest.raises(ValueError, match="1000"):
+        dataset.review_sheet(spark, f"file://{tmp_path}/v000001", 1001)
+
+
+def test_image_copies(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "1.jpg"), ("2", None), ("3", "3.jpg"), ("4", "4.jpg")], "photo_id string, image_file string")
+    present = spark.createDataFrame([("4.jpg",), ("9.jpg",)], "image_file string")
+
+    def copy(photo_id, image_file):
+        if photo_id == "3":
+            raise OSError("broken")
+
+    states = dataset.write_images(rows, present, copy)
+    assert {r.photo_id: (r.state, r.error) for r in states.collect()} == {"1": ("written", None), "2": ("failed", None), "3": ("failed", "OSError: broken"), "4": ("present", None)}
+    assert tuple(dataset.image_tally(states).first()) == (1, 1, 2)
+
+
+def test_verified_files(tmp_path):
+    folder, whole = f"file://{tmp_path}/in", b"\xff\xd8" + b"x" * 10 + b"\xff\xd9"
+    assert files.store_file(folder, "a.jpg", [whole[:5], whole[5:]], len(whole)) == len(whole) and (tmp_path / "in/a.jpg").read_bytes() == whole
+    with pytest.raises(files.ImageError, match="13 of 14 bytes"):
+        files.store_file(folder, "b.jpg", [whole[:-1]], len(whole))
+    with pytest.raises(files.ImageError, match="not a whole JPEG"):
+        files.store_file(folder, "b.jpg", [whole[:-1]])
+
+    def cut():
+        yield whole[:4]
+        raise OSError("gone")
+
+    with pytest.raises(OSError):
+        files.store_file(folder, "c.jpg", cut())
+    assert [x.name for x in (tmp_path / "in").iterdir()] == ["a.jpg"]
+
+
+def test_npz_batches(spark, tmp_path):
+    folder = f"file://{tmp_path}/staged"
+    npz.save_batch(folder, "b1.npz", ["1", "2"], [[1.0, 2.0], [3.0, 4.0]], {"3": "bad"})
+    npz.save_batch(folder, "b2.npz", [], [], {"4": "worse"})
+    npz.save_batch(folder, "b3.npz", ["5"], [[0.5, 0.25]], {})
+    got = {r.photo_id: (r.file, r.vector, r.error) for r in npz.read_batches(spark, folder).collect()}
+    assert got == {"1": ("b1.npz", [1.0, 2.0], None), "2": ("b1.npz", [3.0, 4.0], None), "3": ("b1.npz", None, "bad"), "4": ("b2.npz", None, "worse"), "5": ("b3.npz", [0.5, 0.25], None)}
+    tables = Tables(spark, f"file://{tmp_path}/t")
+    staged = npz.read_batches(spark, folder).withColumn("pos", F.lit(0))
+    assert workflows.store(tables, staged, "m", NOW) == (3, 2)
+    assert workflows.store(tables, staged.unionByName(staged), "m", NOW) == (6, 4)  # rows as staged
+    assert tables.read("embeddings", EMBEDDINGS).count() == 3 and tables.read("embedding_errors", EMBEDDING_ERRORS).count() == 2
+
+
+def test_legacy_load(spark, tmp_path):
+    rows = [("1", "a", "d", ["t"], T0, T0, "/x/1.jpg", "nebula", [1.0, 2.0]), ("2", "b", "d", ["t"], T0, T0, "/x/2.jpg", None, None), ("3", "c", "d", ["t"], T0, T0, "/x/3.jpg", None, None)]
+    schema = "photo_id string, title string, description string, tags array<string>, date_taken timestamp_ntz, date_ingested timestamp_ntz, image_path string, canonical_label string, embedding array<double>"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/old/photos.parquet")
+    tables, source = Tables(spark, f"file://{tmp_path}/t"), legacy.attach(spark, f"{tmp_path}/old")
+    stored = spark.createDataFrame([("1.jpg", 5), ("2.jpg", 6)], "image_file string, length long")
+    broken = spark.createDataFrame([("2", "cut off"), ("1", "has a vector, so it decoded")], "photo_id string, error string")
+    assert legacy.load(tables, source, stored, "m", NOW, broken, dim=2) == {"photos": 3, "usable": 1, "tagged": 1, "anew": 2, "embeddings": 1}
+    got = {r.photo_id: (r.image_file, r.image_bytes, r.download_attempts, r.last_download_error) for r in tables.read("photos", PHOTOS).collect()}
+    assert got == {"1": ("1.jpg", 5, 1, None), "2": (None, None, 1, "legacy file does not decode: cut off"), "3": (None, None, 1, "file missing after migration")}
+    with pytest.raises(ValueError, match="already"):
+        legacy.load(tables, source, stored, "m", NOW, dim=2)
 
 
 def test_log_semantics(spark, tmp_path):
@@ -89,6 +169,16 @@ def test_log_semantics(spark, tmp_path):
         write('{"broken', *good)
     with pytest.raises(logs.LabelLogError, match="line 2"):
         write(good[0], '{"broken', "", "")
+    long = [json.dumps(label(str(i % 7), title=str(i), rationale="x" * 500)) for i in range(2000)]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")  # many blocks of one file
+    try:
+        last = {r.photo_id: r.title for r in latest(write(*long), "photo_id", "position").collect()}
+        with pytest.raises(logs.LabelLogError, match="line 1501 "):
+            write(*long[:1500], "{", *long)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert last == {str(i % 7): str(i) for i in range(2000)}
     old = json.dumps(label("1", subject="unheard of"))
     assert logs.project(write(old, good[0])).count() == 1  # only the latest record is held to the vocabulary
     with pytest.raises(logs.LabelLogError, match="subject='unheard of'"):
@@ -98,6 +188,22 @@ def test_log_semantics(spark, tmp_path):
     assert [r.p for r in kept_idle] == [["kept with not_applicable"], ["confidence='sure'", "no photo_id"]]
 
 
+def test_appends_are_read_in_their_order(spark, tmp_path):
+    log = f"file://{tmp_path}/log"
+    schema = StructType([*LABELS.fields, StructField("title", StringType())])
+    for k in range(12):
+        rows = [label("1", subject="star" if k % 2 else "galaxy", title=f"{k}-{j}") for j in range(3)]
+        logs.append(frame(spark, rows, schema).coalesce(1), log)
+    assert logs.read_log(spark, log).count() == 36
+    assert latest(logs.read_log(spark, log), "photo_id", "position").first().title == "11-2"
+    assert logs.project(logs.read_log(spark, log)).first().subject == "star"
+    (tmp_path / "log/b00000099").mkdir()  # an append that wasn't finished
+    (tmp_path / "log/b00000099/part-0.json").write_text(json.dumps(label("1", subject="nebula")))
+    assert logs.read_log(spark, log).count() == 36
+    logs.append(frame(spark, [label("2", title="t")], schema), log)
+    assert logs.read_log(spark, log).count() == 37 and (tmp_path / "log/b00000100").exists()
+
+
 def test_planning(spark):
     rows = [photo("1"), photo("2"), photo("3", date_taken=datetime(2020, 1, 1)), photo("4", image_file=None), photo("5", date_taken=datetime(2124, 1, 1)), photo("6", date_taken=None), photo("7", date_taken=datetime(2021, 12, 25)), photo("8", image_file=None, download_attempts=3)]
     photos = frame(spark, rows, PHOTOS)
@@ -136,6 +242,22 @@ def test_tables_and_migrations(spark, tmp_path):
     assert tables.read("photos", PHOTOS).count() == 1
     tables.commit("photos", tables.read("photos", PHOTOS).limit(0))
     assert tables.versions("photos")[-1] == 2 and tables.vacuum("photos", 1) == 1
+    # a commit of several tables counts as one
+    broken = broken.withColumn("image_bytes", F.raise_error(F.lit("stop")).cast("long"))
+    with pytest.raises(Exception, match="stop"):
+        tables.commit_all({"labels": frame(spark, [label("1")], LABELS), "photos": frame(spark, [photo("1")], PHOTOS).withColumn("image_bytes", F.raise_error(F.lit("stop")).cast("long"))})
+    assert tables.read("labels", LABELS).count() == 0 and tables.state() == {"photos": 2}
+    # writers take turns
+    waits = []
+    other = Tables(spark, tables.root, sleep=waits.append)
+    with tables.writing(), pytest.raises(Locked), other.writing(wait=5):
+        pass
+    assert waits == [0.5, 1.0, 2.0, 4.0]
+    with tables.writing():
+        with other.writing(stale=-1):  # left behind by a writer that was lost
+            pass
+    assert other.change("photos", PHOTOS, lambda df: df.unionByName(frame(spark, [photo("9")], PHOTOS))) == 3
+    assert tables.read("photos", PHOTOS).count() == 1 and tables.read("photos", PHOTOS, 2).count() == 0
     ran = []
     steps = [(1, "one", lambda t: ran.append(1)), (2, "two", lambda t: 1 / 0)]
     with pytest.raises(ZeroDivisionError):
@@ -183,7 +305,7 @@ def test_components_and_similarity(spark):
     assert duplicate_groups(spark, v.limit(0), "id", "v").count() == 0
 
 
-def test_client():
+def test_client(caplog):
     answers, waits = [], []
 
     def transport(method, parameters):
@@ -203,6 +325,19 @@ def test_client():
         client.call("m")
     pages = {1: {"pages": 2, "total": 3, "ids": ["a", "b"]}, 2: {"pages": 2, "total": 3, "ids": ["b", "c"]}}
     assert [i for _, i in api.listed(lambda n, size: pages[n])] == ["a", "b", "b", "c"]
+    with caplog.at_level("WARNING"):
+        list(api.listed(lambda n, size: pages[n] | {"total": 9}))
+    assert "9 photos but lists 3" in caplog.text
+    archive = api.Archive(api.Client(lambda method, p: (200, json.dumps(replies[method])), sleep=waits.append))
+    replies = {
+        "urls.lookupUser": {"user": {"id": "7@N"}}, "people.getPublicPhotos": {"photos": {"pages": 1, "total": "2", "photo": [{"id": "x"}, {"id": "y"}]}},
+        "photos.getInfo": {"photo": {"id": "x"}}, "photos.getSizes": {"sizes": {"size": [{"label": "Thumb", "source": "t"}, {"label": "Large", "source": "l"}, {"label": "Tiny", "source": "z"}]}},
+    }
+    assert archive.user_id("a/b") == "7@N" and list(api.listed(archive.page("7@N"))) == [(0, "x"), (1, "y")]
+    assert json.loads(archive.metadata("x")) == {"id": "x"} and archive.image_url("x") == "l" and archive.image_url("x", ("Original",)) == "z"
+    replies["photos.getSizes"]["sizes"]["size"] = []
+    with pytest.raises(api.SourceError, match="no sizes"):
+        archive.image_url("x")
 
 
 def test_flows(spark, tmp_path):
@@ -224,15 +359,55 @@ def test_flows(spark, tmp_path):
     assert set(rows) == {"1", "2"} and rows["1"].image_file == "1.jpg" and rows["2"].download_attempts == 1
     with pytest.raises(api.SourceError):
         workflows.ingest(tables, ids[:2], metadata, download, NOW + timedelta(1))  # only 2 is left, and fails
-    assert workflows.embed(tables, lambda part: [[1.0, 2.0] for _ in part], "m", NOW) and not workflows.embed(tables, lambda part: [], "m", NOW)
-    queue = planning.label_queue(tables.read("photos", PHOTOS), tables.read("labels", LABELS), tables.read("labels", LABELS).select("photo_id"), 5)
-    records = workflows.label_records(queue, lambda prompt: {"gate_category": "astronomical_observation", "subject": "star", "modality": "image", "instrument": "MIRI", "confidence": "low", "seconds": 1.125, "rationale": prompt[:5]}, "m", "fake")
-    logs.append(records, f"file://{tmp_path}/log")
-    loaded = spark.read.schema(records.schema).json(f"file://{tmp_path}/log").withColumn("line_no", F.lit(0))
-    workflows.load_labels(tables, loaded)
-    assert tables.read("labels", LABELS).first().seconds == 1.12
-    manifest = workflows.publish_dataset(tables, f"file://{tmp_path}/s", f"file://{tmp_path}/p")
-    assert manifest["rows"]["kept"] == 1 and manifest["pending"] == 1
+    present = lambda *names: lambda: spark.createDataFrame([(n,) for n in names], "image_file string")
+    with pytest.raises(quality.DataQualityError, match="image files exist"):
+        workflows.ingest(tables, [(0, "4")], metadata, lambda i: (f"{i}.jpg", 7), NOW, files=present("1.jpg"))
+    ran = []
+    assert not workflows.ingest(tables, [(0, "4")], metadata, download, NOW, [(1, "one", ran.append)], present("1.jpg", "2.jpg", "4.jpg")) and len(ran) == 1
+
+    def model(part):  # fails for a batch, and for one of it
+        if len(part) > 1 or "4" in part:
+            raise RuntimeError(f"can't read {part}")
+        return [[1.0, 2.0] for _ in part]
+
+    assert workflows.embed(tables, model, "m", NOW) and not workflows.embed(tables, model, "m", NOW)
+    assert sorted(r.photo_id for r in tables.read("embeddings", EMBEDDINGS).collect()) == ["1", "2"]
+    assert [(r.photo_id, r.error) for r in tables.read("embedding_errors", EMBEDDING_ERRORS).collect()] == [("4", "can't read ['4']")]
+    log = f"file://{tmp_path}/log"
+
+    def labeller(prompt, image=None):
+        if "Title 2" in prompt:
+            raise OSError("busy")
+        return {"gate_category": "astronomical_observation", "subject": "star", "modality": "image", "instrument": "MIRI", "confidence": "low", "seconds": 1.125, "rationale": image or prompt[:5]}
+
+    assert workflows.label(tables, log, labeller, "m", "fake") == 2  # the failure of 2 is told, the others are kept
+    assert sorted(r.photo_id for r in logs.read_log(spark, log).collect()) == ["1", "4"]
+    assert workflows.label(tables, log, labeller, "m", "fake") == 0
+    with pytest.raises(workflows.LabelRunError, match="1 of 1 calls failed: OSError: busy"):
+        workflows.label(tables, log, labeller, "m", "fake", least=1)
+    assert workflows.label(tables, log, lambda p, i: labeller("", i), "m", "fake", image=lambda i: b"pixels") == 1
+    live = f"file://{tmp_path}/p"
+
+    def copy(photo_id, image_file):
+        files.store_file(f"{live}/images", f"{photo_id}.jpg", [b"x"], check=None)
+
+    files.store_file(f"{live}/images", "77.jpg", [b"x"], check=None)
+    manifest = workflows.publish_dataset(tables, f"file://{tmp_path}/s", live, log, copy=copy, review=2, run_id="manual 2026/1")
+    assert {r.photo_id: (r.seconds, r.vision, r.rationale) for r in tables.read("labels", LABELS).collect()} == {"1": (1.12, False, "TITLE"), "4": (1.12, False, "TITLE"), "2": (1.12, True, "cGl4ZWxz")}
+    assert manifest["rows"]["kept"] == 3 and manifest["pending"] == 0
+    out = dataset.published_folder(spark, live)
+    assert sorted(r.image_file for r in spark.read.parquet(f"{out}/kept.parquet").collect()) == ["images/1.jpg", "images/2.jpg", "images/4.jpg"]
+    assert sorted(x.name for x in (tmp_path / "p/images").glob("*.jpg")) == ["1.jpg", "2.jpg", "4.jpg"] and (tmp_path / "p/v000001/review.html").exists()
+
+
+def test_a_task_stops_calling_when_half_of_its_calls_fail(spark):
+    queue = spark.createDataFrame([(str(i), "t", "d") for i in range(50)], "photo_id string, title string, description string").coalesce(1)
+
+    def labeller(prompt):
+        raise ValueError("no")
+
+    got = [r.error for r in workflows.label_records(queue, labeller, "m", "fake").collect()]
+    assert got.count("ValueError: no") == 5 and got.count("not tried") == 45
 
 
 def test_label_stream(spark, tmp_path):
