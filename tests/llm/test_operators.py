@@ -199,6 +199,7 @@ def test_lines_meet_all_partners(spark):
         a, b = ("".join(rng.choice(list("abé "), int(rng.integers(0, 40)))) for _ in range(2))
         assert line_dedup.edit_distance(a, b) == levenshtein(a, b)
         assert line_dedup.similar(a, b) == (levenshtein(a, b) <= max(len(a), len(b)) * 15 // 100)
+        assert line_dedup.may_be_similar([a, b], [b, b]).tolist()[0] >= line_dedup.similar(a, b)
 
 
 def test_line_query_finds_what_brute_force_finds(spark, tmp_path):
@@ -412,11 +413,19 @@ def test_token_counts_with_a_cut_file_beside(spark, docs, monkeypatch):
     assert token_counts.document_tokens(spark, docs).count() == len(TEXTS)
 
 
-def test_embedding_dedup(spark):
+@pytest.mark.parametrize("small", [False, True])
+def test_embedding_dedup(spark, monkeypatch, small):
+    if small:  # the way of large tables: split groups and buckets, salts
+        monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+        monkeypatch.setattr(embedding_dedup, "SMALL", 4)
+        monkeypatch.setattr(common, "HOT_ROWS", 2)
+        monkeypatch.setattr(common, "GLANCE", 1)
     rng = np.random.default_rng(6)
     rows = [(i, [float(x) for x in rng.standard_normal(16)]) for i in range(60)]
     near = lambda v, e: [x + e * float(y) for x, y in zip(v, rng.standard_normal(16), strict=True)]
     rows += [(100 + i, near(rows[0][1], 0.05)) for i in range(150)] + [(300 + i, rows[1][1]) for i in range(5)] + [(400, [2 * x for x in rows[1][1]])]
+    chain = [np.array([math.cos(k * 0.2), math.sin(k * 0.2)] + [0.0] * 14) * 3 for k in range(20)]  # each is linked with its neighbours alone
+    rows += [(700 + k, v.tolist()) for k, v in enumerate(chain)]
     rows += [(500, None), (501, []), (502, [0.0] * 16), (503, [float("nan")] + [1.0] * 15), (504, [None] + [1.0] * 15), (505, [float("inf")] * 16), (506, [1.0] * 3), (None, rows[1][1]), (300, rows[1][1])]
     table = spark.createDataFrame([(i, v, "clash", 1) for i, v in rows], "vec_id long, embedding array<float>, keys string, cls int").repartition(4)
     got = sorted(map(tuple, embedding_dedup.near_duplicates(spark, table).collect()), key=key)
@@ -432,3 +441,38 @@ def test_embedding_dedup(spark):
         want.append((i, degree[k], least if k in m else i, (least if k in m else i) == i))
     assert got == sorted(want, key=key)
     assert embedding_dedup.near_duplicates(spark, table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("grams", [False, True])
+def test_lines_the_way_of_large_tables(spark, monkeypatch, grams):
+    """Salted keys, filters that let much through, bit-parallel distances, nothing broadcast: the same lines go."""
+    rng = np.random.default_rng(21)
+    bases = [" ".join(rng.choice(WORDS, 25)) for _ in range(3)]
+    texts = []
+    for i in range(90):
+        lines = [edited(bases[int(rng.integers(0, 3))], int(rng.integers(0, 25)), "q" * int(rng.integers(1, 4))) for _ in range(3)]
+        texts.append((i, "\n".join([*lines, "the same line in all of them", "", prose(i, 8)])))
+    docs = documents(spark, texts)
+    want = sorted(map(tuple, line_dedup.dedup_lines(spark, docs, grams=grams).collect()))
+    for name, value in (("BROADCAST_KEYS", -1), ("LONG_LINE", 60), ("FILTER_BITS", 256)):
+        monkeypatch.setattr(line_dedup, name, value)
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    monkeypatch.setattr(common, "GLANCE", 1)
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted(map(tuple, line_dedup.dedup_lines(spark, docs, grams=grams).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    assert sum(r[2] for r in want) > 200
+
+
+def test_lines_of_a_very_large_bucket(spark):
+    """Thousands of lines that share a passage and so a bucket: copies of one another are still found, and the rest is left alone."""
+    rng = np.random.default_rng(31)
+    shared = " ".join(rng.choice(WORDS, 30))
+    base = [f"{shared} {prose(4000 + i, 30)}" for i in range(1500)]
+    copies = [edited(b, 45) for b in base[:300]]
+    texts = list(enumerate(base + copies))
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark, documents(spark, texts), grams=True).collect()}
+    assert sum(got[i] for i in range(1500, 1800)) >= 290 and sum(got[i] for i in range(1500)) == 0
