@@ -114,7 +114,7 @@ def npz_batches(spark: SparkSession, d: str) -> DataFrame:
 
 @_query("""SELECT doc_id::VARCHAR AS photo_id, CASE WHEN doc_id % 4 <> 0 AND (doc_id % 9 <> 0 OR e.vec_id IS NOT NULL) THEN doc_id || '.jpg' END AS image_file,
   CASE WHEN doc_id % 4 <> 0 AND (doc_id % 9 <> 0 OR e.vec_id IS NOT NULL) THEN n_chars ELSE -1 END AS image_bytes, 1 AS download_attempts,
-  CASE WHEN doc_id % 4 = 0 THEN 'file missing after migration' WHEN doc_id % 9 = 0 AND e.vec_id IS NULL THEN 'legacy file does not decode: cut off' END AS last_download_error,
+  CASE WHEN doc_id % 4 = 0 THEN 'no file in the earlier archive' WHEN doc_id % 9 = 0 AND e.vec_id IS NULL THEN 'file of the earlier archive is broken: cut off' END AS last_download_error,
   source AS legacy_tag_label, e.vec_id IS NOT NULL AS embedded FROM documents LEFT JOIN embeddings e ON vec_id = doc_id AND vec_id % 2 = 0""")
 def legacy_load(spark: SparkSession, d: str) -> DataFrame:
     """Photos and vectors of an earlier archive, with what its files are like."""

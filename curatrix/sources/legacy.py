@@ -42,7 +42,7 @@ def with_files(photos: DataFrame, files: DataFrame, broken: DataFrame) -> DataFr
     sizes = files.groupBy(F.col("image_file").alias("file")).agg(F.max("length").alias("length"))
     reasons = broken.groupBy(F.col("photo_id").alias("id")).agg(F.min("error").alias("reason"))
     both = photos.join(sizes, F.col("image_file") == F.col("file"), "left").join(reasons, F.col("photo_id") == F.col("id"), "left")
-    reason = F.when(F.col("file").isNull(), "file missing after migration").otherwise(F.concat(F.lit("legacy file does not decode: "), F.col("reason")))
+    reason = F.when(F.col("file").isNull(), "no file in the earlier archive").otherwise(F.concat(F.lit("file of the earlier archive is broken: "), F.col("reason")))
     changed = {c: F.when(reason.isNull(), F.col(c)) for c in ("image_file", "downloaded_at")}
     changed |= {"image_bytes": F.when(reason.isNull(), F.col("length")), "last_download_error": short_error(reason)}
     return both.select(*(changed.get(c, F.col(c)).alias(c) for c in photos.columns))

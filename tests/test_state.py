@@ -150,7 +150,7 @@ def test_legacy_load(spark, tmp_path):
     broken = spark.createDataFrame([("2", "cut off"), ("1", "has a vector, so it decoded")], "photo_id string, error string")
     assert legacy.load(tables, source, stored, "m", NOW, broken, dim=2) == {"photos": 3, "usable": 1, "tagged": 1, "anew": 2, "embeddings": 1}
     got = {r.photo_id: (r.image_file, r.image_bytes, r.download_attempts, r.last_download_error) for r in tables.read("photos", PHOTOS).collect()}
-    assert got == {"1": ("1.jpg", 5, 1, None), "2": (None, None, 1, "legacy file does not decode: cut off"), "3": (None, None, 1, "file missing after migration")}
+    assert got == {"1": ("1.jpg", 5, 1, None), "2": (None, None, 1, "file of the earlier archive is broken: cut off"), "3": (None, None, 1, "no file in the earlier archive")}
     with pytest.raises(ValueError, match="already"):
         legacy.load(tables, source, stored, "m", NOW, dim=2)
 
