@@ -24,7 +24,7 @@ CENTROIDS = 4
 #: Labelled documents per language that the model is fitted on, at most.
 SAMPLE = 300
 #: A text is rejected below this share of the cosine that all but one in fifty windows of its length reach.
-REJECT_SHARE = 0.9
+REJECT_SHARE = 0.5
 LENGTH_BINS = 16
 UNKNOWN = "und"
 
