@@ -40,7 +40,7 @@ ALLOW = (
     re.compile(rb"[A-Za-z]*[-_]?[0-9]{1,10}"),
     re.compile(rb"([A-Za-z]+[/_-]+)+[A-Za-z]*[0-9]{0,4}"),
 )
-#: Words by which a candidate string says that it isn't one, and filler that takes away the windows that hold it, but no others.
+#: Words by which a span says that it is no secret, and filler that takes away the windows that hold it, but no others.
 WORDS = re.compile(rb"example|placeholder|changeme", re.IGNORECASE)
 FILLER = re.compile(rb"xxxx|0000|1234567|abcdef0", re.IGNORECASE)
 #: An allowed string that a found span may be a part of.
@@ -113,7 +113,7 @@ def _without(spans: list[tuple[int, int]], fillers: list[tuple[int, int]], windo
 
 def entropy_spans(candidate: bytes) -> list[tuple[int, int]]:
     """Unions of the spans of a candidate that are random for a class, without spans that the allow list has or that are part of a UUID."""
-    if any(a.fullmatch(candidate) for a in ALLOW[:2]) or WORDS.search(candidate):  # then it has all spans
+    if any(a.fullmatch(candidate) for a in ALLOW[:2]):  # then it has all spans
         return []
     known, fillers = [m.span() for m in UUID.finditer(candidate)], [m.span() for m in FILLER.finditer(candidate)]
     found: set[tuple[int, int]] = set()
@@ -122,7 +122,7 @@ def entropy_spans(candidate: bytes) -> list[tuple[int, int]]:
             if len(run[0]) >= WINDOW:
                 found |= {(run.start() + a, run.start() + b) for a, b in random_windows(run[0], bits)}
     out: list[tuple[int, int]] = []
-    for a, b in _without(sorted(found), fillers):
+    for a, b in _without([x for x in sorted(found) if not WORDS.search(candidate, *x)], fillers):
         inner = candidate[a:b].strip(b"+/=_-")
         if any(x.fullmatch(inner) for x in ALLOW) or any(x <= a and b <= y for x, y in known):
             continue
