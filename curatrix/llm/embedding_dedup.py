@@ -2,8 +2,8 @@
 
 Unit vectors with cosine c are sqrt(2 - 2c) apart. In each of TABLES tables a vector's bucket is floor((a v + b) / width) for
 PROJECTIONS Gaussian projections; vectors of one bucket are compared exactly in double precision.
-Equal vectors are one class. Every class that shares a bucket belongs to a group, named after the smallest class that it reaches through
-a few buckets; a group's vectors are brought together once and compared, and a pair counts if it shares a bucket of any table. Buckets whose
+Equal vectors are one class. Every class that shares a bucket belongs to a group, named after the smallest class that is in any of its
+buckets; a group's vectors are brought together once and compared, and a pair counts if it shares a bucket of any table. Buckets whose
 classes are in different groups are compared too; there a pair of different groups counts in the first table whose bucket it shares.
 Groups and buckets are dealt out in blocks of bounded size and pairs of blocks, so that no task holds a whole one, and no task
 returns pairs: only a count for each class and a spanning forest of its links. Tasks get vectors, not bucket keys, which they compute anew.
@@ -26,8 +26,6 @@ from curatrix.operators.graph import components
 THRESHOLD = 0.95
 #: At cosine 0.95 one projection agrees with probability 0.873, a table with 0.087, one of the tables with 0.96; at 0.97 with 0.995.
 WIDTH, PROJECTIONS, TABLES, SEED = 2.0, 18, 36, 7
-#: How often a group takes in the groups that it shares a bucket with.
-SPREADS = 2
 #: Classes that one side of a comparison holds at most.
 BLOCK = 1024
 
@@ -231,13 +229,8 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
         return some.select("cls", "embedding").mapInPandas(partial(_buckets, keyed=keyed), "cls long, keys array<long>").select("cls", F.explode("keys").alias("bucket"))
 
     seen = members(classes.where(F.pmod(F.xxhash64("cls"), F.lit(common.GLANCE)) == 0)).groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    met = scratch.keep(with_totals(members(classes), "bucket", "cls", seen, {"size": F.count, "low": F.min}, "cls", "size > 1"), "met")
+    met = scratch.keep(with_totals(members(classes), "bucket", "cls", seen, {"size": F.count(F.lit(1)), "low": F.min("cls")}, "size > 1"), "met")
     groups = scratch.keep(met.groupBy("cls").agg(F.min("low").alias("grp")), "groups")
-    sizes = met.groupBy("bucket").agg(F.max("size").alias("size"))
-    for step in range(SPREADS):
-        low = salted_join(met.select("cls", "bucket"), groups, ["cls"], met.groupBy("cls").agg(F.count(F.lit(1)).alias("size")), "bucket").groupBy("bucket").agg(F.min("grp").alias("low"))
-        groups = salted_join(met.select("cls", "bucket"), low, ["bucket"], sizes, "cls").groupBy("cls").agg(F.min("low").alias("grp"))
-        groups = scratch.keep(groups, f"groups{step}")
     sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
     whole = salted_join(groups, sizes, ["grp"], sizes, "cls").select("cls", "grp", F.col("grp").alias("id"), "size")
     # buckets whose classes are of several groups
