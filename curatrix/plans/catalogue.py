@@ -15,6 +15,7 @@ from curatrix.plans import dataset
 from curatrix.plans import fixtures as X
 from curatrix.plans.fixtures import CUTOFF, THRESHOLD, table
 from curatrix.schemas import ENUMS, GATE_CATEGORIES, KEEP_GATE
+from curatrix.scratch import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -326,6 +327,7 @@ UNION ALL SELECT 'rows are not fewer than published', 'error', (SELECT greatest(
 def check_suite(spark: SparkSession, d: str) -> DataFrame:
     """A row for each check: its violations."""
     k = flagship_kept(spark, d).join(X.labels(spark, d).select("photo_id", "instrument"), "photo_id")
+    k = Scratch(spark, "checks").keep(k, "kept")  # several checks read it
     tables = {"photos": X.photos(spark, d), "labels": X.labels(spark, d), "embeddings": X.embeddings(spark, d), "kept": k}
     wanted = ("there are kept rows", "photo_id is unique", "instrument is in the codebook", "a release has one primary", "a row has an embedding", "rows are not fewer than published")
     checks = quality.photo_checks() + quality.embedding_checks()[:3] + quality.label_checks() + [c for c in quality.dataset_checks(0, 0, 1_000_000) if c.name in wanted]
