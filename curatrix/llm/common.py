@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step takes at once; one longer text is a step of its own.
@@ -210,20 +210,20 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], sizes: DataF
 GLANCE = 64
 
 
-def with_totals(rows: DataFrame, key: str, by: str, seen: DataFrame, totals: dict[str, Callable], column: str, where: str, again: DataFrame | None = None) -> DataFrame:
+def with_totals(rows: DataFrame, key: str, by: str, seen: DataFrame, totals: dict[str, Column], where: str, again: DataFrame | None = None) -> DataFrame:
     """rows with totals over all rows of their key, as far as they pass `where`. Rows are shuffled once and never joined.
 
-    totals: for each name an aggregate function of `column`. seen: (key, size), the counts of about one row in GLANCE. The rows of keys
+    totals: for each name an aggregate. seen: (key, size), the counts of about one row in GLANCE. The rows of keys
     that are hot there are dealt by a hash of the column `by` into parts; their totals, of HOT_KEYS keys at most, come from a
     partial aggregation over `again` (rows, or rows with repeats) and are broadcast."""
     hot = hot_keys(seen, [key])
     if hot is None:
         same = Window.partitionBy(key)
-        return rows.select("*", *(f(column).over(same).alias(name) for name, f in totals.items())).where(where)
+        return rows.select("*", *(total.over(same).alias(name) for name, total in totals.items())).where(where)
     hot = F.broadcast(hot.withColumn("salts", F.col("salts") * GLANCE))
-    whole = (rows if again is None else again).join(hot, key, "left_semi").groupBy(key).agg(*(f(column).alias(f"{name}_whole") for name, f in totals.items()))
+    whole = (rows if again is None else again).join(hot, key, "left_semi").groupBy(key).agg(*(total.alias(f"{name}_whole") for name, total in totals.items()))
     salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(by), "salts")).cast("int")
     same = Window.partitionBy(key, "salt")
-    parts = rows.join(hot, key, "left").select(*rows.columns, salt.alias("salt")).select("*", *(f(column).over(same).alias(name) for name, f in totals.items()))
+    parts = rows.join(hot, key, "left").select(*rows.columns, salt.alias("salt")).select("*", *(total.over(same).alias(name) for name, total in totals.items()))
     both = parts.join(F.broadcast(whole), key, "left")
     return both.select(*rows.columns, *(F.coalesce(f"{name}_whole", name).alias(name) for name in totals)).where(where)

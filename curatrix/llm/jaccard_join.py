@@ -191,7 +191,7 @@ def _labelled(spark: SparkSession, docs: DataFrame, width: int) -> DataFrame:
     # Their shingles that other classes have too, rare ones first. Very frequent ones are counted in parts.
     items = sets.select("cls", F.explode("items").alias("h")).where("h is not null")
     seen = items.where(F.pmod(F.xxhash64("cls"), F.lit(common.GLANCE)) == 0).groupBy("h").agg(F.count(F.lit(1)).alias("size"))
-    items = with_totals(items, "h", "cls", seen, {"often": F.count}, "cls", "often > 1")
+    items = with_totals(items, "h", "cls", seen, {"often": F.count(F.lit(1))}, "often > 1")
     ranked = items.groupBy("cls").agg(F.transform(F.array_sort(F.collect_list(F.struct("often", "h"))), lambda s: s["h"]).alias("items"), F.sum(F.log("often")).alias("fame"))
     sets = scratch.keep(sets.select("cls", "n").join(ranked, "cls").withColumn("fame", F.col("fame") / F.col("n")), "ranked")
     del items, ranked
