@@ -69,8 +69,8 @@ def steps(offsets: np.ndarray, most: int = STEP_BYTES) -> Iterator[tuple[int, in
         at = end
 
 
-def hash_words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every lower-cased word of the texts flat[bounds[i]:bounds[i + 1]], its text, start and end.
+def hash_words(flat: np.ndarray, bounds: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every lower-cased word of the texts flat[bounds[i]:bounds[i + 1]], its text, start and end. blank: which bytes are part of no word.
 
     A word's hash takes in 8 bytes at a time and mixes after each, so it has no structure that words could share; words of
     more than LONG_WORD bytes are hashed one by one."""
@@ -79,24 +79,24 @@ def hash_words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
         found, at = [], lo
         while at < bounds[1]:
             cut = at + STEP_BYTES
-            while cut < bounds[1] and not (gap := _SPACE[flat[cut : min(cut + STEP_BYTES, int(bounds[1]))]]).any():
+            while cut < bounds[1] and not (gap := blank[flat[cut : min(cut + STEP_BYTES, int(bounds[1]))]]).any():
                 cut += STEP_BYTES
             cut = min(cut + int(gap.argmax()), int(bounds[1])) if cut < bounds[1] else int(bounds[1])
-            hashes, doc, start, end = _hash_words(flat, np.array([at, cut]))
+            hashes, doc, start, end = _hash_words(flat, np.array([at, cut]), blank)
             found.append((hashes, doc, start + (at - lo), end + (at - lo)))
             at = cut
         return tuple(map(np.concatenate, zip(*found, strict=True)))
-    return _hash_words(flat, bounds)
+    return _hash_words(flat, bounds, blank)
 
 
-def _hash_words(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _hash_words(flat: np.ndarray, bounds: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     lo = int(bounds[0])
     part = _LOWER[flat[lo : int(bounds[-1])]]
     n = len(part)
     if not n:
         empty = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), empty, empty, empty
-    solid = ~_SPACE[part]
+    solid = ~blank[part]
     edge = np.zeros(n + 1, bool)
     edge[np.minimum(bounds - lo, n)] = True
     begins = solid.copy()

@@ -103,9 +103,74 @@ WITH RECURSIVE pairs AS (
 SELECT vec_id, (SELECT count(*) FROM pairs WHERE x = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM groups
 """
 
+SPELLING = rf"""
+WITH RECURSIVE tables AS (
+  SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda a, j: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS c FROM range(256) r(i))
+), runs AS (
+  SELECT d, run, count(*) AS k FROM (SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[a-zÀ-ÿ]{{5,}}')) AS run FROM documents) GROUP BY ALL
+), hexed AS (
+  SELECT d, run, k, hex(encode(d || ':' || run)) AS x FROM runs
+), hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_transform(range(1, len(x), 2), lambda i: ('0x' || substr(x, i, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295)) AS h FROM hexed, tables
+), damaged AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, 2 + h % length(run)) ELSE run END AS word, k FROM hashed
+), words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+), cuts AS (
+  SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+), pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT word, rest FROM cuts SEMI JOIN words w ON w.word = rest
+  UNION SELECT rest, word FROM cuts SEMI JOIN words w ON w.word = rest
+), near AS (
+  SELECT a AS word, count(*) AS n_near, arg_min(b, (-n, b)) AS best, max(n) AS m FROM pairs JOIN words ON b = word GROUP BY a
+), forms AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN best END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n FROM words w LEFT JOIN near USING (word)
+), chains(word, root) AS (
+  SELECT word, word FROM forms UNION ALL SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near::BIGINT AS n_near, f.form_n FROM forms f JOIN chains c USING (word) WHERE c.root IN (SELECT word FROM forms WHERE form IS NULL)
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM scores QUALIFY rank <= 5
+"""
+
+_TERMS = rf"regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents
+), sizes AS (
+  SELECT r, doc_id, len(t)::BIGINT AS n FROM d WHERE len(t) > 0
+), totals AS (
+  SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM sizes
+), postings AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term, big_n
+), asked AS (
+  SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+), scores AS (
+  SELECT item_id, doc_id, r, sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (r), totals GROUP BY item_id, doc_id, r
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 SQL = {
     "op2_benchmark_decontamination": LEAKS,
     "op4_ngram_jaccard_join": JACCARD,
     "op5_mixing": MIXING,
     "op9_embedding_near_dedup": VECTORS,
+    "op11_spelling_variants": SPELLING,
+    "op12_exact_top_k": TOP_K,
+    "op13_ranked_search": RANKED,
 }

@@ -12,8 +12,11 @@ from curatrix.llm.embedding_dedup import near_duplicates
 from curatrix.llm.jaccard_join import jaccard_classes
 from curatrix.llm.line_dedup import dedup_lines
 from curatrix.llm.mixing import mix
+from curatrix.llm.ranked_search import ranked
 from curatrix.llm.sharding import shard
+from curatrix.llm.spelling import variants
 from curatrix.llm.token_counts import document_tokens
+from curatrix.llm.topk import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +65,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(spark, _table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(spark, _table(spark, sf_dir, "documents"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark, _table(spark, sf_dir, "embeddings"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -74,6 +89,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": op8_token_counts,
         "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_sharding": op10_sharding,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_exact_top_k": op12_exact_top_k,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 

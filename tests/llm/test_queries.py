@@ -16,6 +16,7 @@ COLUMNS = {
     "op3_": ["doc_id", "held_out", "lang_pred", "score"], "op4_": ["doc_id", "n_shingles", "component_id"], "op5_": ["doc_id", "size", "source_size", "target", "taken"],
     "op6_": ["doc_id", "held_out", "score", "predicted"], "op7_": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"], "op9_": ["vec_id", "n_links", "component_id", "kept"],
     "op10_": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op11_": ["word", "form", "root", "n", "n_near", "form_n"], "op12_": ["query_id", "rank", "vec_id", "score"], "op13_": ["item_id", "rank", "doc_id", "score"],
 }
 
 
@@ -28,7 +29,11 @@ def test_query(spark, name):
         con = duckdb.connect()
         for f in DATA.glob("*.parquet"):
             con.sql(f"CREATE VIEW {f.stem} AS SELECT * FROM '{f}'")
-        assert rows(got.toPandas()) == rows(con.sql(queries.oracle_sql()[name]).df())
+        want = con.sql(queries.oracle_sql()[name])
+        if name.startswith("op11_"):  # whole numbers with nulls
+            assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want.fetchall()))
+        else:
+            assert rows(got.toPandas()) == rows(want.df())
     elif not name.startswith("op9_"):
         assert got.count() == 200
     else:
