@@ -345,8 +345,7 @@ _PAIRS = f"""pairs AS (SELECT a.photo_id AS a, b.photo_id AS b FROM embeddings_f
 
 @_query(f"+ {_PAIRS} SELECT a, b FROM pairs")
 def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
-    e = X.embeddings(spark, d)
-    return similarity.cosine_pairs(e, "photo_id", "vector", THRESHOLD, e.count()).select("a", "b")
+    return similarity.cosine_pairs(X.embeddings(spark, d), "photo_id", "vector", THRESHOLD).select("a", "b")
 
 
 @_query(f"""+ {_PAIRS}, reach(x, y) AS (SELECT photo_id, photo_id FROM embeddings_f UNION SELECT x, CASE WHEN p.a = y THEN p.b ELSE p.a END FROM reach JOIN pairs p ON y IN (p.a, p.b))
@@ -355,6 +354,36 @@ def near_dup_groups(spark: SparkSession, d: str) -> DataFrame:
     return similarity.duplicate_groups(spark, X.embeddings(spark, d), "photo_id", "vector", THRESHOLD)
 
 
+_COPIES = """copies_f AS (SELECT photo_id, vector FROM embeddings_f
+  UNION ALL SELECT photo_id || 'c', list_transform(vector, lambda x: (3 * x)::FLOAT) FROM embeddings_f WHERE photo_id::BIGINT % 3 = 0
+  UNION ALL SELECT photo_id || 'n', list_transform(range(1, 65), lambda i: (vector[i] + CASE WHEN i % 8 = photo_id::BIGINT % 8 THEN 0.1 ELSE 0 END)::FLOAT) FROM embeddings_f WHERE photo_id::BIGINT % 2 = 0
+  UNION ALL SELECT photo_id || 'o', vector FROM embeddings_f WHERE photo_id::BIGINT % 5 = 0)"""
+
+
+def _copies(spark: SparkSession, d: str) -> DataFrame:
+    """The vectors with planted copies: scaled, moved, and exact ones."""
+    e, n = X.embeddings(spark, d).withColumn("n", F.col("photo_id").cast("long")), F.col("n")
+    moved = F.transform("vector", lambda x, i: (x.cast("double") + F.when((i + 1) % 8 == n % 8, 0.1).otherwise(0.0)).cast("float"))
+    scaled = F.transform("vector", lambda x: (3 * x).cast("float"))
+    named = lambda end, rows, v: e.where(rows).select(F.concat("photo_id", F.lit(end)).alias("photo_id"), v.alias("vector"))
+    return e.drop("n").unionByName(named("c", n % 3 == 0, scaled)).unionByName(named("n", n % 2 == 0, moved)).unionByName(named("o", n % 5 == 0, F.col("vector")))
+
+
+_PLANTED = f"""{_COPIES}, near_f AS (SELECT a.photo_id AS a, b.photo_id AS b FROM copies_f a JOIN copies_f b ON a.photo_id < b.photo_id
+  AND list_cosine_similarity(a.vector::DOUBLE[], b.vector::DOUBLE[]) >= 0.95)"""
+
+
+@_query(f"+ {_PLANTED} SELECT a, b FROM near_f")
+def planted_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return similarity.cosine_pairs(_copies(spark, d), "photo_id", "vector", 0.95).select("a", "b")
+
+
+@_query(f"""+ {_PLANTED}, reach(x, y) AS (SELECT photo_id, photo_id FROM copies_f UNION SELECT x, CASE WHEN p.a = y THEN p.b ELSE p.a END FROM reach JOIN near_f p ON y IN (p.a, p.b))
+SELECT x AS photo_id, (dense_rank() OVER (ORDER BY low) - 1)::INT AS near_duplicate_group FROM (SELECT x, min(y) AS low FROM reach GROUP BY x)""")
+def planted_groups(spark: SparkSession, d: str) -> DataFrame:
+    return similarity.duplicate_groups(spark, _copies(spark, d), "photo_id", "vector", 0.95)
+
+
 @_query("SELECT photo_id, (row_number() OVER (ORDER BY photo_id) - 1) // 32 AS batch FROM photos_f")
 def batch_numbers(spark: SparkSession, d: str) -> DataFrame:
     return grouping.batches(X.photos(spark, d).select("photo_id"), "photo_id", 32)

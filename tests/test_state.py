@@ -1,13 +1,15 @@
 import json
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from curatrix.operators import planning, quality, state
 from curatrix.operators.graph import components
 from curatrix.operators.grouping import batches, latest, stratified
+from curatrix.operators import planning, quality, similarity, state
 from curatrix.operators.similarity import cosine_pairs, duplicate_groups
 from curatrix.operators.state import Locked, Tables, migrate
 from curatrix.plans import dataset, workflows
@@ -299,12 +301,61 @@ def test_components_and_similarity(spark):
     assert got == dict.fromkeys(range(41), 0) | {100: 100, 101: 100}
     assert components(spark, chain.limit(0)).count() == 0
     v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.2]), ("c", [1.0, 0.4]), ("z", [0.0, 0.0]), ("y", [0.0, 1.0])], "id string, v array<float>")
-    assert {(r.a, r.b) for r in cosine_pairs(v, "id", "v", 0.97, 5, block=2).collect()} == {("a", "b"), ("b", "c")}
+    assert {(r.a, r.b) for r in cosine_pairs(v, "id", "v", 0.97, block=2).collect()} == {("a", "b"), ("b", "c")}
     groups = {r.id: r.near_duplicate_group for r in duplicate_groups(spark, v, "id", "v", 0.97).collect()}
     assert groups == {"a": 0, "b": 0, "c": 0, "y": 1, "z": 2}  # a and c only through b; the zero vector is alone
     assert duplicate_groups(spark, v.limit(0), "id", "v").count() == 0
 
 
+def brute_pairs(x, threshold):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    c = u @ u.T
+    return {(i, j) for i, j in zip(*np.nonzero(np.triu(c >= threshold, 1)), strict=True)}
+
+
+@pytest.mark.parametrize(("threshold", "pivots", "block"), [(0.4, None, 64), (0.4, 20, 16), (0.95, 20, 50), (-0.2, 3, 100), (0.999, 200, 7)])
+def test_similarity_is_exact_at_any_threshold(spark, threshold, pivots, block):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 16))
+    x = np.concatenate([rng.normal(size=(150, 16)), np.repeat(centres, 15, axis=0) + 0.15 * rng.normal(size=(180, 16)), np.repeat(centres[:1], 60, axis=0)])
+    x *= 10.0 ** rng.integers(-3, 4, len(x))[:, None]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] * 16), (1003, [None] * 16), (1004, [float("inf")] * 16), (1005, []), (None, [1.0] * 16)]
+    v = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    found = [(r.a, r.b) for r in cosine_pairs(v, "id", "v", threshold, block=block, pivots=pivots).collect()]
+    want = brute_pairs(x, threshold)
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 1000
+    parent = list(range(len(x)))
+    for i, j in sorted(want):
+        while parent[i] != i:
+            i = parent[i]
+        while parent[j] != j:
+            j = parent[j]
+        parent[max(i, j)] = min(i, j)
+    groups = {r.id: r.near_duplicate_group for r in duplicate_groups(spark, v.where("id is not null"), "id", "v", threshold, block=block, pivots=pivots).collect()}
+    root = lambda i: i if parent[i] == i else root(parent[i])
+    roots = [root(i) for i in range(len(x))]
+    assert len(set(groups.values())) == len(set(roots)) + 6 and all((groups[i] == groups[0]) == (roots[i] == roots[0]) for i in range(len(x)))
+
+
+def test_similarity_compares_few(spark):
+    """Regions without a near one are left out before anything travels, and vectors travel for a small part of the pairs only."""
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.normal(size=(40, 16)), 25, axis=0) + 0.02 * rng.normal(size=(1000, 16))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    points = u[rng.choice(1000, 60, replace=False)]
+    frame = pd.DataFrame({"vector": list(u)})
+    told = next(similarity._intervals(iter([frame]), points))
+    near = similarity.near_regions(np.stack(told["low"]), np.stack(told["high"]), 0.95)
+    assert near.diagonal().all() and near.mean() < 0.25
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    for threshold, most in ((0.4, 0.0015), (0.95, 0.0)):
+        assert similarity.open_pairs(spark, vectors, threshold).count() <= most * 2000 * 1999 / 2
+    # of many copies only a forest is told, and none is compared
+    same = spark.range(500).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("vector"))
+    forest = similarity.open_pairs(spark, same, 0.95, block=100, forest=True)
+    assert forest.where("sure").count() == forest.count() < 15 * 200
+
+
 def test_client(caplog):
     answers, waits = [], []
 
