@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -83,16 +84,22 @@ class Locked(TimeoutError):
     """Another writer holds the tables."""
 
 
+class Fenced(RuntimeError):
+    """Another writer has taken the tables over, so what this one wanted to commit doesn't count."""
+
+
 class Tables:
     """Versioned tables under one folder: a version is a folder of Parquet, and a state file says which version of each table counts.
 
     A commit writes the new versions first and then, by one rename, the next state file; whatever ends before that leaves all
-    tables as they were. Writers take turns: a lock file is held from reading what a change starts from to the commit."""
+    tables as they were. Writers take turns by numbered leases: a lease is held from reading what a change starts from to the commit, and renewed
+    meanwhile. One that wasn't renewed for long was left behind; only one writer can make the next lease. A commit counts
+    only while its lease is the newest, and is written to folders of its own until then, so a writer that was taken over harms nothing."""
 
     KEPT_STATES = 50
 
     def __init__(self, spark: SparkSession, root: str, sleep: Callable[[float], None] = time.sleep) -> None:
-        self.spark, self.root, self._sleep, self._depth = spark, root.rstrip("/"), sleep, 0
+        self.spark, self.root, self._sleep, self._depth, self._lease = spark, root.rstrip("/"), sleep, 0, 0
         self._fs = spark._jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, *parts: str):
@@ -105,12 +112,13 @@ class Tables:
     def _states(self) -> list[str]:
         return [n for n in self._names("_state") if n.endswith(".json")]
 
-    def state(self) -> dict[str, int]:
-        """The version of each table that counts."""
+    def state(self) -> dict[str, int | dict]:
+        """The version of each table that counts; for a table of changes, its parts."""
         names = self._states()
-        if not names:
-            return {}
-        source = self._fs.open(self._path("_state", names[-1]))
+        return self._load(names[-1]) if names else {}
+
+    def _load(self, name: str) -> dict[str, int | dict]:
+        source = self._fs.open(self._path("_state", name))
         try:
             return json.loads(bytes(source.readAllBytes()).decode())
         finally:
@@ -128,26 +136,75 @@ class Tables:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/v{version:06d}")
 
+    def _leases(self) -> tuple[int, bool]:
+        """The newest lease, and whether it was given back; 0 if there is none."""
+        names = self._names("_lock")
+        newest = max((int(n) for n in names if n.isdigit()), default=0)
+        return newest, not newest or f"{newest:08d}.free" in names
+
+    def _take(self, stale: float) -> bool:
+        newest, free = self._leases()
+        if not free:
+            try:
+                renewed = self._fs.getFileStatus(self._path("_lock", f"{newest:08d}")).getModificationTime() / 1000
+            except Exception:  # noqa: BLE001  it was tidied away meanwhile
+                return False
+            free = time.time() - renewed > stale
+        if not free or not self._fs.createNewFile(self._path("_lock", f"{newest + 1:08d}")):
+            return False
+        self._lease = newest + 1
+        for name in self._names("_lock"):  # only the newest lease says anything
+            if int(name.partition(".")[0]) < newest:
+                self._fs.delete(self._path("_lock", name), False)
+        return True
+
+    def _renew(self, lease: int, done: threading.Event, every: float) -> None:
+        while not done.wait(every):
+            now = int(time.time() * 1000)
+            self._fs.setTimes(self._path("_lock", f"{lease:08d}"), now, now)
+
+    def fence(self) -> None:
+        """Raise Fenced unless the lease that this writer holds is the newest."""
+        if self._depth == 0 or self._leases()[0] != self._lease:
+            raise Fenced(f"{self.root} was taken over by another writer")
+
     @contextmanager
-    def writing(self, wait: float = 120.0, stale: float = 6 * 3600.0) -> Iterator[None]:
-        """Hold the lock. Waits in doubling steps of 0.5 to 10 seconds, `wait` at most; a lock older than `stale` seconds was left behind."""
+    def writing(self, wait: float = 120.0, stale: float = 600.0) -> Iterator[None]:
+        """Hold the lease. Waits in doubling steps of 0.5 to 10 seconds, `wait` at most; a lease that wasn't renewed for `stale` seconds was left behind."""
         if self._depth == 0:
-            lock, waited, step = self._path("_lock"), 0.0, 0.5
-            while not self._fs.createNewFile(lock):
-                if self._fs.exists(lock) and time.time() - self._fs.getFileStatus(lock).getModificationTime() / 1000 > stale:
-                    self._fs.delete(lock, False)
-                    continue
+            waited, step = 0.0, 0.5
+            while not self._take(stale):
                 if waited >= wait:
                     raise Locked(f"{self.root} is written by another")
                 self._sleep(step)
                 waited, step = waited + step, min(2 * step, 10.0)
+            done = threading.Event()
+            threading.Thread(target=self._renew, args=(self._lease, done, max(stale, 30.0) / 6), daemon=True).start()
         self._depth += 1
         try:
             yield
         finally:
             self._depth -= 1
             if self._depth == 0:
-                self._fs.delete(self._path("_lock"), False)
+                done.set()
+                if self._leases()[0] == self._lease:
+                    self._fs.createNewFile(self._path("_lock", f"{self._lease:08d}.free"))
+
+    def publish(self, state: dict[str, int | dict]) -> None:
+        """Make this the state that counts, if the lease is still held."""
+        names = self._states()
+        number = int(names[-1].partition(".")[0]) + 1 if names else 1
+        draft, final = self._path("_state", f".{number:08d}-{self._lease:08d}"), self._path("_state", f"{number:08d}.json")
+        out = self._fs.create(draft, True)
+        try:
+            out.write(bytearray(json.dumps(state).encode()))
+        finally:
+            out.close()
+        self.fence()
+        if self._fs.exists(final) or not self._fs.rename(draft, final):
+            raise OSError(f"{final} can't be written")
+        for name in names[: -self.KEPT_STATES]:
+            self._fs.delete(self._path("_state", name), False)
 
     def commit(self, name: str, df: DataFrame) -> int:
         return self.commit_all({name: df})[name]
@@ -155,23 +212,17 @@ class Tables:
     def commit_all(self, changes: dict[str, DataFrame]) -> dict[str, int]:
         """The next versions of several tables, which count together or not at all."""
         with self.writing():
-            state, names = self.state(), self._states()
+            state = self.state()
             new = {name: state.get(name, 0) + 1 for name in changes}
             for name, df in changes.items():
-                folder = f"v{new[name]:06d}"
-                self._fs.delete(self._path(name, folder), True)  # of a commit that failed: nobody else writes now
-                df.write.mode("error").parquet(f"{self.root}/{name}/{folder}")
-            number = int(names[-1].partition(".")[0]) + 1 if names else 1
-            draft, final = self._path("_state", f".{number:08d}"), self._path("_state", f"{number:08d}.json")
-            out = self._fs.create(draft, True)
-            try:
-                out.write(bytearray(json.dumps(state | new).encode()))
-            finally:
-                out.close()
-            if not self._fs.rename(draft, final):
-                raise OSError(f"{final} can't be written")
-            for name in names[: -self.KEPT_STATES]:
-                self._fs.delete(self._path("_state", name), False)
+                df.write.mode("overwrite").parquet(f"{self.root}/{name}/.v{new[name]:06d}-{self._lease:08d}")
+            self.fence()
+            for name, version in new.items():
+                final = self._path(name, f"v{version:06d}")
+                self._fs.delete(final, True)  # of a commit that failed after this step
+                if not self._fs.rename(self._path(name, f".v{version:06d}-{self._lease:08d}"), final):
+                    raise OSError(f"{final} can't be written")
+            self.publish(state | new)
             return new
 
     def change(self, name: str, schema: StructType, f: Callable[[DataFrame], DataFrame]) -> int:
@@ -180,11 +231,14 @@ class Tables:
             return self.commit(name, f(self.read(name, schema)))
 
     def vacuum(self, name: str, keep: int = 2) -> int:
-        """Delete all but the newest versions; returns how many."""
+        """Delete all but the newest versions, and drafts; returns how many versions."""
         with self.writing():
             old = self.versions(name)[:-keep]
             for v in old:
                 self._fs.delete(self._path(name, f"v{v:06d}"), True)
+            for draft in self._names(name):  # of writers that failed or were taken over
+                if draft.startswith(".v"):
+                    self._fs.delete(self._path(name, draft), True)
             return len(old)
 
 

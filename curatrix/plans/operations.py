@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from curatrix.functions import text as T
 from curatrix.functions import values as V
 from curatrix.operators import grouping, planning, quality, state
+from curatrix.operators.changes import ChangeTable
 from curatrix.operators.state import Tables
 from curatrix.plans import dataset, workflows
 from curatrix.plans import fixtures as X
@@ -503,3 +504,54 @@ SELECT photo_id, md5('TITLE: ' || title || chr(10) || chr(10) || 'CAPTION: ' ||
 def prompts(spark: SparkSession, d: str) -> DataFrame:
     """What a labeller reads of each photo."""
     return X.photos(spark, d).select("photo_id", F.md5(T.user_text(F.col("title"), F.col("description"), 100).cast("binary")).alias("prompt"))
+
+
+# Tables of changes.
+
+
+def _changed(spark: SparkSession, d: str) -> ChangeTable:
+    """Orders after a load, two batches of upserts and one of deletions."""
+    orders = table(spark, d, "orders")
+    found = ChangeTable(_tables(spark), "orders", orders.schema, "o_orderkey")
+    found.write(orders)
+    found.compact()
+    k = F.col("o_orderkey")
+    found.change(orders.where(k % 100 == 1), lambda old: old.withColumn("o_orderstatus", F.lit("X")).withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    found.write(orders.where(k % 100 == 2).withColumn("o_orderkey", k + 10_000_000).unionByName(orders.where(k % 300 == 1).withColumn("o_orderstatus", F.lit("Y"))), gone=orders.where(k % 50 == 3))
+    return found
+
+
+_CHANGED = """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 300 = 1 THEN 'Y' WHEN o_orderkey % 100 = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+  o_totalprice + CASE WHEN o_orderkey % 100 = 1 AND o_orderkey % 300 <> 1 THEN 1 ELSE 0 END AS o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderkey % 50 <> 3
+UNION ALL SELECT o_orderkey + 10000000, * EXCLUDE (o_orderkey) FROM orders WHERE o_orderkey % 100 = 2"""
+
+
+@_query(_CHANGED)
+def merged_on_read(spark: SparkSession, d: str) -> DataFrame:
+    """A table with its change files merged in."""
+    return _changed(spark, d).read()
+
+
+@_query(f"SELECT * FROM ({_CHANGED}) WHERE o_orderkey % 7 <> 0")
+def compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The same after further deletions, a compaction of all changed buckets and a vacuum."""
+    found = _changed(spark, d)
+    found.write(gone=found.read().where(F.col("o_orderkey") % 7 == 0))
+    found.compact(0.0)
+    found.vacuum()
+    return found.read()
+
+
+@_query(f"""+ seen AS (SELECT doc_id::VARCHAR AS photo_id FROM documents WHERE doc_id % 10 = 0 UNION SELECT (doc_id + 10000000)::VARCHAR FROM documents WHERE doc_id % 10 = 0)
+SELECT photo_id, CASE WHEN s.photo_id IS NOT NULL THEN 'again ' || photo_id ELSE title END AS title, CASE WHEN s.photo_id IS NOT NULL THEN {_NOW} END AS last_seen_at,
+  CASE WHEN p.photo_id IS NULL THEN {_NOW} ELSE TIMESTAMP '2020-01-01' END AS first_seen_at, coalesce(download_attempts, 0) AS download_attempts FROM photos_f p FULL JOIN seen s USING (photo_id)""")
+def merged_photos(spark: SparkSession, d: str) -> DataFrame:
+    """The photo table after an upsert of a listing that writes only the photos listed."""
+    photos = _photo_table(spark, d)
+    found = ChangeTable(_tables(spark), "photos", PHOTOS, "photo_id")
+    found.write(photos)
+    known = photos.where(F.col("photo_id").cast("long") % 10 == 0)
+    listed = known.unionByName(known.withColumn("photo_id", (F.col("photo_id").cast("long") + 10_000_000).cast("string")))
+    listed = listed.withColumn("title", F.concat(F.lit("again "), "photo_id")).withColumn("pos", F.lit(0))
+    found.change(listed, lambda old: state.upsert_photos(old, listed, NOW))
+    return found.read().select("photo_id", "title", "last_seen_at", "first_seen_at", "download_attempts")
