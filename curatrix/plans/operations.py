@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from datetime import datetime
 
 import numpy as np
@@ -22,6 +23,7 @@ from curatrix.plans.fixtures import CUTOFF, table
 from curatrix.schemas import EMBEDDING_ERRORS, EMBEDDINGS, ENUMS, KEEP_GATE, LABELS, LOG_RECORD, MODALITIES, PHOTOS, SUBJECTS
 from curatrix.scratch import Scratch
 from curatrix.sources import api, files, legacy, logs, npz
+from curatrix.streaming import keyed
 
 _NOW = f"TIMESTAMP '{NOW:%Y-%m-%d}'"
 
@@ -183,6 +185,46 @@ def stream_fold(spark: SparkSession, d: str) -> DataFrame:
     return tables.read("last", rows.schema)
 
 
+#: Until here the first run reads events; watermark; what comes with the second run although it is older than the watermark is refused.
+_SPLIT, _LATE, _OLD = "TIMESTAMP_NTZ '2024-01-16'", "1 day", "TIMESTAMP_NTZ '2024-01-10'"
+
+
+def _two_runs(spark: SparkSession, d: str, path: str) -> Iterator[DataFrame]:
+    """Events as a stream of files that grows twice: what comes second holds some records that are late but in time, and others that are too late."""
+    events = table(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
+    slow = F.expr(f"ts >= {_SPLIT} - INTERVAL 12 HOURS AND event_id % 3 = 0")
+    events.where(F.expr(f"ts < {_SPLIT}") & ~slow).write.parquet(f"{path}/in")
+    yield spark.readStream.schema(events.schema).parquet(f"{path}/in")
+    old = events.where(F.expr(f"ts < {_OLD}"))
+    old = old.withColumn("event_id", F.col("event_id") + 1_000_000_000).withColumn("event_type", F.lit("late"))
+    old = old.unionByName(old.withColumn("user_id", F.col("user_id") + 1_000_000))
+    events.where(F.expr(f"ts >= {_SPLIT}") | slow).unionByName(old).write.mode("append").parquet(f"{path}/in")
+    yield spark.readStream.schema(events.schema).parquet(f"{path}/in")
+
+
+@_query("SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1")
+def keyed_fold(spark: SparkSession, d: str) -> DataFrame:
+    """The newest event of each user by a stream with state, in two runs, written as changes."""
+    path, found = Scratch(spark, "keyed").path, None
+    for stream in _two_runs(spark, d, path):
+        found = found or ChangeTable(_tables(spark), "newest", stream.schema, "user_id")
+        keyed.fold_into(found, keyed.newest_changes(stream, "user_id", "ts", "event_id", _LATE), f"{path}/checkpoint").awaitTermination()
+    return found.read()
+
+
+@_query("""WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOURS THEN 0 ELSE 1 END AS begins FROM events),
+  s AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
+SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts) + INTERVAL 6 HOURS) AS end_us, count(*) AS n FROM s
+GROUP BY user_id, k HAVING max(ts) + INTERVAL 6 HOURS <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions of users that a stream closes behind its watermark, in two runs."""
+    path = Scratch(spark, "sessions").path
+    for stream in _two_runs(spark, d, path):
+        keyed.append_to(f"{path}/out", keyed.sessions(stream, "user_id", "ts", "6 hours", _LATE), f"{path}/checkpoint").awaitTermination()
+    out = spark.read.parquet(f"{path}/out")
+    return out.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
+
+
 # The archive's API.
 
 
