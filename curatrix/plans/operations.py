@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
 from curatrix.functions import values as V
-from curatrix.operators import grouping, planning, quality, state
+from curatrix.operators import grouping, ordered, planning, quality, state
 from curatrix.operators.changes import ChangeTable
 from curatrix.operators.state import Tables
 from curatrix.plans import dataset, workflows
@@ -228,42 +228,74 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
 # The archive's API.
 
 
-def _nations(spark: SparkSession, d: str) -> list:
-    return table(spark, d, "nation").orderBy("n_nationkey").collect()  # 25 rows at any scale
-
-
-@_query("""SELECT n_nationkey, 'user-' || n_nationkey AS user_id, CASE WHEN n_nationkey % 3 = 0 THEN 'original' WHEN n_nationkey % 3 = 1 THEN 'medium' ELSE 'tiny' END AS url,
-  CASE WHEN n_nationkey % 4 = 0 THEN 1 ELSE 0 END + CASE WHEN n_nationkey % 3 = 2 THEN 1 ELSE 0 END AS waits FROM nation""")
+@_query("""SELECT c_custkey::VARCHAR AS c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN 'user of ' || c_name END AS user_id,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN 'original' WHEN c_custkey % 3 = 1 THEN 'medium' ELSE 'tiny' END AS url,
+  CASE WHEN c_custkey % 11 = 0 THEN 'SourceError: urls.lookupUser: 1: unknown' END AS error FROM customer""")
 def remote_lookups(spark: SparkSession, d: str) -> DataFrame:
-    """User and image address of some ids, through a transport that fails now and then; waits counts the retries."""
-    rows = []
-    for r in _nations(spark, d):
-        n, waits, said = r.n_nationkey, [], []
+    """User and image address of all customers, looked up by tasks through a transport that fails now and then, and for some always."""
 
-        def transport(method, parameters, n=n, said=said):
+    def archive(key: str) -> api.Archive:
+        n, said = int(key), []
+
+        def transport(method: str, parameters: dict) -> tuple[int, str]:
             said.append(method)
             if method == "urls.lookupUser":
-                return (503, "") if n % 4 == 0 and len(said) == 1 else (200, json.dumps({"user": {"id": f"user-{n}"}}))
+                if n % 11 == 0:
+                    return 200, json.dumps({"stat": "fail", "code": 1, "message": "unknown"})
+                return (503, "") if n % 4 == 0 and len(said) == 1 else (200, json.dumps({"user": {"id": f"user of {parameters['url']}"}}))
             if n % 3 == 2 and said.count(method) == 1:
                 return 200, json.dumps({"stat": "fail", "code": 105, "message": "try again"})
             sizes = [("Medium", "medium"), ("Original", "original"), ("Odd", "odd")] if n % 3 == 0 else [("Medium 640", "medium"), ("Odd", "odd")] if n % 3 == 1 else [("Odd", "odd"), ("Tiny", "tiny")]
             return 200, json.dumps({"sizes": {"size": [{"label": a, "source": b} for a, b in sizes]}})
 
-        archive = api.Archive(api.Client(transport, sleep=waits.append))
-        rows.append((n, archive.user_id(r.n_name), archive.image_url(str(n)), sum(w > 1 for w in waits)))
-    return spark.createDataFrame(rows, "n_nationkey int, user_id string, url string, waits int")
+        return api.Archive(api.Client(transport, sleep=lambda s: None))
 
+    return api.lookups(table(spark, d, "customer"), archive, "c_custkey", "c_name")
+
+
+def _stored_pages(spark: SparkSession, ids: DataFrame, path: str, size: int, step: int) -> None:
+    """The pages of a listing as files: ids are (at, id); page p has the `size` places from (p - 1) * step on, so with a step below the size pages overlap."""
+    last = F.floor(F.col("at") / step).cast("int") + 1
+    of = ids.withColumn("page", F.explode(F.array(last, last - 1))).withColumn("place", F.col("at") - (F.col("page") - 1) * step).where(F.col("place").between(0, size - 1) & (F.col("page") > 0))
+    body = of.groupBy("page").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("place", "id"))), lambda x: x["id"])).alias("value"))
+    body.repartition("page").write.mode("overwrite").partitionBy("page").text(path)
 
-@_query("SELECT c_custkey::VARCHAR AS photo_id, c_custkey + greatest(c_custkey - 1, 0) // 99 AS pos FROM customer")
-def listing_pages(spark: SparkSession, d: str) -> DataFrame:
-    """A paged listing in which every page repeats the last id of the one before."""
-    total = table(spark, d, "customer").count()  # keys are 0 to total - 1
+
+def _page_of(path: str, total: int, step: int) -> Callable[[int, int], dict]:
+    """An archive's answer for a page, from files that any task can open."""
 
     def page(number: int, size: int) -> dict:
-        first = (number - 1) * (size - 1)
-        return {"pages": -(-(total - 1) // (size - 1)), "total": total, "ids": [str(k) for k in range(first, min(first + size, total))]}
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(path)
+        found = [f for f in store.get_file_info(fs.FileSelector(f"{root}/page={number}", allow_not_found=True)) if f.base_name.startswith("part-")]
+        ids = json.loads(store.open_input_file(found[0].path).read()) if found else []
+        pages = max(1, -(-total // step) if step == size else -(-(total - 1) // step))
+        return {"pages": pages, "total": total, "ids": ids[: max(0, total - (number - 1) * step)]}
+
+    return page
 
-    return api.listing(spark, api.listed(page, 100), 1000)
+
+@_query("SELECT c_custkey::VARCHAR AS photo_id, c_custkey + greatest(c_custkey - 1, 0) // 99 AS pos FROM customer")
+def listing_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A paged listing of all customers, read by tasks; every page repeats the last id of the one before."""
+    path, ids = Scratch(spark, "pages").path, table(spark, d, "customer").select(F.col("c_custkey").alias("at"), F.col("c_custkey").cast("string").alias("id"))
+    _stored_pages(spark, ids, path, 100, 99)
+    return api.listing(spark, _page_of(path, ids.count(), 99), 100, 10)
+
+
+@_query("SELECT c_custkey::VARCHAR AS photo_id, c_custkey AS pos, c_custkey >= (SELECT count(*) // 3 FROM customer) AS later FROM customer")
+def listing_stream(spark: SparkSession, d: str) -> DataFrame:
+    """A listing as a stream: the second run reads what the archive has got since."""
+    scratch, ids = Scratch(spark, "pages"), table(spark, d, "customer").select(F.col("c_custkey").alias("at"), F.col("c_custkey").cast("string").alias("id"))
+    _stored_pages(spark, ids, f"{scratch.path}/pages", 100, 100)
+    total = ids.count()
+    for upto in (total // 3, total):
+        source = api.listing_source(_page_of(f"{scratch.path}/pages", upto, 100), 100, 10, "growing_listing")
+        spark.dataSource.register(source)
+        rows = spark.readStream.format(source.name()).load().withColumn("later", F.lit(upto == total))
+        keyed.append_to(f"{scratch.path}/out", rows, f"{scratch.path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{scratch.path}/out").select("photo_id", "pos", "later")
 
 
 def _payload(photo_id: str) -> str:
@@ -303,7 +335,7 @@ def ingest_flow(spark: SparkSession, d: str) -> DataFrame:
             raise OSError("busy")
         return f"{photo_id}.jpg", int(photo_id)
 
-    listed = ((r.c_custkey, str(r.c_custkey)) for r in ids.toLocalIterator())
+    listed = ids.select(F.col("c_custkey").alias("pos"), F.col("c_custkey").cast("string").alias("photo_id"))
     workflows.ingest(tables, listed, _payload, download, NOW, [(1, "first", lambda t: None)])
     return tables.read("photos", PHOTOS).select("photo_id", "title", "image_file", F.coalesce("image_bytes", F.lit(-1)).alias("image_bytes"), "download_attempts", "last_download_error", "first_seen_at", "last_seen_at")
 
@@ -597,3 +629,60 @@ def merged_photos(spark: SparkSession, d: str) -> DataFrame:
     listed = listed.withColumn("title", F.concat(F.lit("again "), "photo_id")).withColumn("pos", F.lit(0))
     found.change(listed, lambda old: state.upsert_photos(old, listed, NOW))
     return found.read().select("photo_id", "title", "last_seen_at", "first_seen_at", "download_attempts")
+
+
+# Joins and frames over an order.
+
+
+@_query("""SELECT e.event_id, e.user_id, p.ts AS last_ts, coalesce(p.event_id, -1) AS last_id, p.value AS last_value FROM events e
+  ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p ON e.user_id = p.user_id AND e.ts >= p.ts""")
+def last_purchase(spark: SparkSession, d: str) -> DataFrame:
+    """Each event with its user's last purchase so far."""
+    events = table(spark, d, "events")
+    bought = events.where("event_type = 'purchase'").select("user_id", "ts", F.col("ts").alias("last_ts"), F.col("event_id").alias("last_id"), F.col("value").alias("last_value"))
+    return ordered.as_of(events.select("event_id", "user_id", "ts"), bought, "user_id", "ts").drop("ts").withColumn("last_id", F.coalesce("last_id", F.lit(-1)))
+
+
+@_query("""WITH r AS (SELECT o_orderstatus, o_orderdate, max(o_orderkey) AS version FROM orders WHERE o_custkey % 5 = 0 GROUP BY ALL)
+SELECT l.o_orderkey, l.o_orderstatus, coalesce(r.version, -1) AS version FROM orders l ASOF LEFT JOIN r ON l.o_orderstatus = r.o_orderstatus AND l.o_orderdate >= r.o_orderdate""")
+def version_in_force(spark: SparkSession, d: str) -> DataFrame:
+    """For each order the version in force, of few keys with many rows each, which are cut."""
+    orders = table(spark, d, "orders")
+    versions = orders.where("o_custkey % 5 = 0").select("o_orderstatus", "o_orderdate", F.col("o_orderkey").alias("version"))
+    return ordered.as_of(orders.select("o_orderkey", "o_orderstatus", "o_orderdate"), versions, "o_orderstatus", "o_orderdate", most=500).select("o_orderkey", "o_orderstatus", F.coalesce("version", F.lit(-1)).alias("version"))
+
+
+_SPANS = """SELECT o_orderkey, o_orderdate AS opened, o_orderdate + INTERVAL 1 DAY * (1 + o_orderkey % 60) + INTERVAL 1 DAY * CASE WHEN o_orderkey % 500 = 0 THEN 2000 ELSE 0 END AS closed FROM orders WHERE o_orderkey % 10 = 0"""
+
+
+@_query(f"SELECT opened, s.o_orderkey, count(*) AS n, min(l_orderkey) AS first, max(l_shipdate) AS latest FROM ({_SPANS}) s JOIN lineitem ON l_shipdate >= opened AND l_shipdate < closed AND l_linenumber = 1 GROUP BY ALL")
+def shipped_within(spark: SparkSession, d: str) -> DataFrame:
+    """Shipments within spans of some orders, short and very long ones, counted."""
+    k = F.col("o_orderkey")
+    days = 1 + k % 60 + F.when(k % 500 == 0, 2000).otherwise(0)
+    spans = table(spark, d, "orders").where(k % 10 == 0).select("o_orderkey", F.col("o_orderdate").alias("opened"), (F.col("o_orderdate") + F.make_dt_interval(days.cast("int"))).alias("closed"))
+    points = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_shipdate")
+    met = ordered.in_ranges(points, spans, "l_shipdate", "opened", "closed")
+    return met.groupBy("opened", "o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("first"), F.max("l_shipdate").alias("latest"))
+
+
+@_query("""WITH e AS (SELECT event_id, user_id, ts, round(value * 100)::BIGINT AS cents FROM events)
+SELECT event_id, coalesce(lag(cents, 3) OVER w, -1) AS before3, coalesce(lead(user_id, 2) OVER w, -1) AS after2, (sum(cents) OVER (w ROWS BETWEEN 50 PRECEDING AND 10 FOLLOWING))::BIGINT AS around,
+  min(cents) OVER (w ROWS BETWEEN 50 PRECEDING AND 10 FOLLOWING) AS least, (sum(cents) OVER (w ROWS UNBOUNDED PRECEDING))::BIGINT AS so_far FROM e WINDOW w AS (ORDER BY ts, event_id)""")
+def frames_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Frames over all events in one order, of blocks of 300."""
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    whole = ordered.TotalOrder(events, "ts", "event_id", block=300)
+    parts = [
+        whole.lagged(3, before3="cents").select("event_id", "before3"), whole.lagged(-2, after2="user_id").select("event_id", "after2"),
+        whole.rolling(50, 10, around=F.sum("cents"), least=F.min("cents")).select("event_id", "around", "least"), whole.running(so_far="cents").select("event_id", "so_far"),
+    ]
+    return parts[0].join(parts[1], "event_id").join(parts[2], "event_id").join(parts[3], "event_id").fillna(-1)
+
+
+@_query("""SELECT o_orderkey, row_number() OVER k AS row_number, ntile(7) OVER k AS ntile, rank() OVER d AS rank, percent_rank() OVER d AS percent_rank, cume_dist() OVER d AS cume_dist FROM orders
+  WINDOW k AS (ORDER BY o_orderdate, o_orderkey), d AS (ORDER BY o_orderdate)""")
+def ranks_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Ranks of all orders by date, in which many are equal."""
+    whole = ordered.TotalOrder(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey", block=1000)
+    return whole.ranks("o_orderdate", tiles=7).drop("o_orderdate").withColumns({c: F.col(c).cast("long") for c in ("row_number", "ntile", "rank")})

@@ -25,16 +25,16 @@ from curatrix.sources import api, files, logs
 
 
 def ingest(
-    tables: Tables, ids: Iterable[tuple[int, str]], metadata: Callable[[str], str], download: Callable[[str], tuple[str, int]], now: datetime,
+    tables: Tables, ids: DataFrame | Iterable[tuple[int, str]], metadata: Callable[[str], str], download: Callable[[str], tuple[str, int]], now: datetime,
     migrations: list | None = None, files: Callable[[], DataFrame] | None = None,
 ) -> bool:
     """Migrate, list, stamp, fetch what is new, upsert, download what is missing, record, check.
 
-    Other writers wait only while a table changes, not while something is fetched. files gives the stored images (image_file), to
+    ids: (pos, photo_id) as a table, as api.listing gives it, or one by one. Other writers wait only while a table changes, not while something is fetched. files gives the stored images (image_file), to
     check that the photos' files exist."""
     spark = tables.spark
     state.migrate(tables, migrations or [], now)
-    seen = api.listing(spark, ids)
+    seen = api.first_places(spark, ids)
     tables.change("photos", PHOTOS, lambda photos: state.touch_seen(photos, seen, now))
     fresh = Scratch(spark, "ingest").keep(planning.new_ids(seen, tables.read("photos", PHOTOS)), "new")
     fetched = Scratch(spark, "ingest").keep(api.fetch(fresh, metadata), "payloads")

@@ -12,6 +12,7 @@ from itertools import islice
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from curatrix.functions.values import SIZE_PREFERENCE, photo_info
 from curatrix.schemas import PAGE_SIZE
@@ -123,16 +124,111 @@ def listed(pages: Callable[[int, int], dict], size: int = PAGE_SIZE) -> Iterator
         log.warning("the archive says it has %s photos but lists %d; the next run will find what is missing", body["total"], len(seen))
 
 
-def listing(spark: SparkSession, ids: Iterable[tuple[int, str]], step: int = 50_000) -> DataFrame:
-    """photo_id and pos of its first place; pages that shifted while they were read repeat ids.
+@dataclass
+class Pages(InputPartition):
+    """Pages first to last of a listing, of which the entries from place `start` on and before `end` count."""
+
+    first: int
+    last: int
+    start: int = 0
+    end: int = 1 << 62
+
+
+def listing_source(pages: Callable[[int, int], dict], size: int = PAGE_SIZE, per_task: int = 20, name: str = "archive_listing") -> type[DataSource]:
+    """A data source of (pos, photo_id) that reads a listing's pages on executors, per_task pages in a task; for spark.dataSource.register.
+
+    pages(number, size) gives {"pages", "total", "ids"}; the planner asks it for the first page only. As a stream the listing is read from the place where the last batch ended
+    to what the archive says it has, so a run reads only pages that have grown; the archive has to add at the end then."""
+
+    def entries(part: Pages) -> Iterator[tuple[int, str]]:
+        for number in range(part.first, part.last + 1):
+            for at, photo_id in enumerate(pages(number, size)["ids"], (number - 1) * size):
+                if part.start <= at < part.end:
+                    yield at, photo_id
+
+    def ranges(first: int, last: int, start: int = 0, end: int = 1 << 62) -> list[Pages]:
+        return [Pages(p, min(p + per_task - 1, last), start, end) for p in range(first, last + 1, per_task)]
+
+    class Reader(DataSourceReader):
+        def partitions(self) -> list[Pages]:
+            return ranges(1, int(pages(1, size)["pages"]))
+
+        def read(self, partition: Pages) -> Iterator[tuple[int, str]]:
+            return entries(partition)
+
+    class Stream(DataSourceStreamReader):
+        def initialOffset(self) -> dict:
+            return {"seen": 0}
+
+        def latestOffset(self) -> dict:
+            return {"seen": int(pages(1, size)["total"])}
+
+        def partitions(self, start: dict, end: dict) -> list[Pages]:
+            return ranges(start["seen"] // size + 1, -(-end["seen"] // size), start["seen"], end["seen"]) if end["seen"] > start["seen"] else []
+
+        def read(self, partition: Pages) -> Iterator[tuple[int, str]]:
+            return entries(partition)
+
+        def commit(self, end: dict) -> None:
+            pass
+
+    class Listing(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return name
 
-    Ids are written `step` at a time as pages come in."""
-    scratch, ids = Scratch(spark, "listing"), iter(ids)
+        def schema(self) -> str:
+            return "pos long, photo_id string"
+
+        def reader(self, schema: object) -> DataSourceReader:
+            return Reader()
+
+        def streamReader(self, schema: object) -> DataSourceStreamReader:
+            return Stream()
+
+    return Listing
+
+
+def listing(spark: SparkSession, pages: Callable[[int, int], dict], size: int = PAGE_SIZE, per_task: int = 20) -> DataFrame:
+    """photo_id and pos of its first place; pages that shifted while they were read repeat ids. Warns if ids are missing or too many."""
+    source = listing_source(pages, size, per_task)
+    spark.dataSource.register(source)
+    found = Scratch(spark, "listing").keep(spark.read.format(source.name()).load(), "ids")  # no page is asked for twice
+    ids = found.groupBy("photo_id").agg(F.min("pos").alias("pos"))
+    total, seen = int(pages(1, size).get("total", -1)), ids.count()
+    if total not in (-1, seen):
+        log.warning("the archive says it has %d photos but lists %d; the next run will find what is missing", total, seen)
+    return ids
+
+
+def first_places(spark: SparkSession, ids: DataFrame | Iterable[tuple[int, str]], step: int = 50_000) -> DataFrame:
+    """photo_id and pos of its first place, from a listing, or from ids that come one by one and are written `step` at a time."""
     schema = "pos long, photo_id string"
-    spark.createDataFrame([], schema).write.parquet(f"{scratch.path}/ids")
-    while part := list(islice(ids, step)):
-        spark.createDataFrame(part, schema).write.mode("append").parquet(f"{scratch.path}/ids")
-    return spark.read.schema(schema).parquet(f"{scratch.path}/ids").groupBy("photo_id").agg(F.min("pos").alias("pos"))
+    if not isinstance(ids, DataFrame):
+        scratch, rest = Scratch(spark, "listing"), iter(ids)
+        spark.createDataFrame([], schema).write.parquet(f"{scratch.path}/ids")
+        while part := list(islice(rest, step)):
+            spark.createDataFrame(part, schema).write.mode("append").parquet(f"{scratch.path}/ids")
+        ids = spark.read.schema(schema).parquet(f"{scratch.path}/ids")
+    return ids.groupBy("photo_id").agg(F.min("pos").alias("pos"))
+
+
+def lookups(rows: DataFrame, archive: Callable[[str], Archive], key: str, address: str) -> DataFrame:
+    """key as text, user_id, url and error for each row: whose address it is, and where its preferred image is. Calls are made where the rows are; one row's failure is told in it."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            told = []
+            for photo_id, where in zip(frame["id"], frame["address"], strict=True):
+                try:
+                    calls = archive(photo_id)
+                    told.append((photo_id, calls.user_id(where), calls.image_url(photo_id), None))
+                except Exception as e:  # noqa: BLE001  whatever goes wrong is told in the row
+                    told.append((photo_id, None, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(told, columns=["id", "user_id", "url", "error"])
+
+    asked = rows.select(F.col(key).cast("string").alias("id"), F.col(address).alias("address"))
+    return asked.mapInPandas(work, "id string, user_id string, url string, error string").withColumnRenamed("id", key)
 
 
 def fetch(ids: DataFrame, one: Callable[[str], str]) -> DataFrame:
