@@ -1,40 +1,49 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on the spans of toxic texts whose byte n-grams are
-far more frequent there than in ordinary ones. Short windows of a text are compressed with the ordinary dictionary, and with the
-toxic one followed by it; the bytes the latter saves are the distance. How large they are on average, at most, and in
-which shares of the windows decides by thresholds (a logistic curve) calibrated on whole labelled texts that no dictionary saw.
-All windows of the whole text count; they overlap, so that a word or short phrase is whole in one of them.
+Texts are dealt to clusters by their byte trigrams, so that texts of one vocabulary are compared with one another; no language is looked at. For each cluster two
+zstandard dictionaries are made: one of its ordinary texts, one of the spans of its toxic texts that hold byte n-grams which are significantly more frequent there.
+Short windows of a text are compressed with the ordinary dictionary of its cluster, and with that followed by the toxic one; the bytes the
+latter saves are the distance. How large they are on average, at most, and in which shares of the windows, against the ordinary texts of the cluster, decides
+by thresholds (a logistic curve) calibrated on whole labelled texts that no dictionary saw. All windows of the whole text count; they overlap, so that a word or
+short phrase is whole in one of them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.llm.common import crc32_of_id, doc_rows, slices
+from curatrix.scratch import Scratch
 
 #: Bytes of a window, and from one window to the next; what's no longer than their difference is whole in some window.
 WINDOW, STEP = 48, 32
-GRAM, GRAM_BITS = 5, 22
-#: A gram is toxic if it's in this share of toxic texts, and so many times as frequent there as in ordinary ones.
-GRAM_SHARE, GRAM_RATIO = 0.0067, 10
-TOXIC_BYTES, ORDINARY_BYTES = 1024, 2048
-#: Labelled texts of each label that the model is fitted on, at most.
+#: Bytes of the n-grams that toxic spans are made of; a longer one counts only where it holds no shorter one that does.
+GRAMS = (5, 6, 7, 8, 9, 10)
+#: A gram is toxic if it's in LEAST toxic texts, so many times as frequent there as in ordinary ones, and if chance would hardly share out its texts like that:
+#: their number times the divergence of the share that is toxic from that of all texts.
+LEAST, RATIO, EVIDENCE = 3, 5, 11.0
+#: Marked grams of a model, at most, the most significant ones.
+MARKED = 200_000
+TOXIC_BYTES, ORDINARY_BYTES = 2048, 1024
+#: Labelled texts of each label that the model is fitted on, at most; texts whose trigrams clusters are found from, and clusters, at most.
 SAMPLE = {1: 2500, 0: 7000}
+PROFILES, CLUSTERS, PROFILE_BITS = 2000, 8, 10
+#: Texts of each label that a cluster needs to be one.
+CLUSTER_LEAST = {1: 4, 0: 50}
 #: Share of the sample that the dictionaries are trained on; the thresholds are calibrated on the rest.
-TRAIN_SHARE = 0.6
-#: Code points of the piece that a text gives to the dictionaries: which piece of a longer text that is, a hash of its id decides.
-#: The thresholds are calibrated on whole texts.
-PIECE = 8_000
-#: Pieces of 256 bytes of ordinary text that the dictionary's trainer gets, at even distances of all.
-CHUNKS = 20_000
+TRAIN_SHARE = 0.8
+#: Pieces of CHUNK bytes that a cluster's ordinary dictionary is trained on, drawn by hash from all pieces of its whole texts.
+CHUNK, CHUNKS = 256, 8_000
+#: Bytes of a long text that one step takes at once.
+PART = 1 << 20
 #: A string without any text's bytes, at the end of both dictionaries and the start of every window: a match that is always there,
 #: so that no window is stored uncompressed.
 ANCHOR = bytes(np.random.default_rng(0).integers(128, 256, 24, dtype=np.uint8))
@@ -44,26 +53,65 @@ def normal(text: str | None) -> bytes:
     return b" " + " ".join((text or "").lower().split()).encode("utf-8", "replace") + b" "
 
 
-def _grams(text: bytes) -> np.ndarray:
+def _grams(text: bytes, size: int) -> np.ndarray:
+    """The hash of each run of `size` bytes."""
     a = np.frombuffer(text, np.uint8).astype(np.uint64)
-    m = max(len(a) - GRAM + 1, 0)
+    m = max(len(a) - size + 1, 0)
     h = np.zeros(m, np.uint64)
-    for k in range(GRAM):
+    for k in range(size):
         h = h * np.uint64(257) + a[k : k + m]
-    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
-
-
-def _spread(texts: list[bytes]) -> np.ndarray:
-    out = np.zeros(1 << GRAM_BITS, np.float32)
-    for t in texts:
-        out[np.unique(_grams(t))] += 1
-    return out
-
-
-def _spans(text: bytes, toxic: np.ndarray) -> bytes:
-    """The bytes that two toxic grams at least cover."""
-    covered = np.convolve(toxic[_grams(text)].astype(np.int32), np.ones(GRAM, np.int32)) >= 2
-    return np.frombuffer(text, np.uint8)[: len(covered)][covered[: len(text)]].tobytes()
+    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)).astype(np.int64)
+
+
+def _parts(text: bytes, over: int) -> list[bytes]:
+    """A long text in parts that overlap by `over` bytes."""
+    return [text[i : i + PART + over] for i in range(0, max(len(text) - over, 1), PART)]
+
+
+def _spans(text: bytes, marked: dict[int, np.ndarray]) -> set[bytes]:
+    """The distinct runs of bytes that toxic grams cover."""
+    found = set()
+    for part in _parts(text, max(GRAMS) - 1):
+        covered, shorter = np.zeros(len(part) + 1, np.int32), []
+        for size in GRAMS:
+            grams, known = _grams(part, size), marked[size]
+            if not len(grams) or not len(known):
+                continue
+            toxic = known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams
+            own = toxic.copy()
+            for n, counts in shorter:  # of a shorter toxic gram within
+                at = np.arange(len(grams))
+                own &= counts[np.minimum(at + size - n + 1, len(counts) - 1)] == counts[at]
+            shorter.append((size, np.concatenate([[0], np.cumsum(toxic)])))
+            at = np.flatnonzero(own)
+            np.add.at(covered, at, 1)
+            np.add.at(covered, at + size, -1)
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], (np.cumsum(covered)[:-1] > 0).astype(np.int8), [0]])))
+        found |= {part[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)}
+    return found
+
+
+def profile(text: bytes) -> np.ndarray:
+    """Roots of the numbers of hashed byte trigrams, as a unit vector."""
+    counts = np.zeros(1 << PROFILE_BITS)
+    for part in _parts(text, 2):
+        a = np.frombuffer(part, np.uint8).astype(np.uint32)
+        h = ((a[:-2] * np.uint32(65599) + a[1:-1]) * np.uint32(65599) + a[2:]) * np.uint32(2654435761)
+        counts += np.bincount(h >> np.uint32(32 - PROFILE_BITS), minlength=len(counts))
+    roots = np.sqrt(counts)
+    return roots / max(np.linalg.norm(roots), 1e-12)
+
+
+def _centroids(profiles: np.ndarray, k: int) -> np.ndarray:
+    """Spherical k-means from profiles that are far apart."""
+    centres = profiles[:1]
+    for _ in range(k - 1):
+        centres = np.vstack([centres, profiles[(profiles @ centres.T).max(axis=1).argmin()]])
+    for _ in range(12):
+        of = (profiles @ centres.T).argmax(axis=1)
+        centres = np.stack([profiles[of == j].mean(axis=0) if (of == j).any() else centres[j] for j in range(len(centres))])
+        centres /= np.linalg.norm(centres, axis=1, keepdims=True) + 1e-12
+    return centres
 
 
 def _dictionary(samples: list[bytes], size: int, k: int) -> bytes:
@@ -85,26 +133,35 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(compression_params=own, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
 
+Pair = tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Contents of both dictionaries, equally long, and the curve's centres, scales and weights."""
+    """Clusters' centroids, the contents of their dictionaries (toxic, ordinary; equally long), what is usual in their ordinary texts, and the curve."""
 
-    toxic: bytes
-    ordinary: bytes
+    centroids: np.ndarray
+    contents: tuple[tuple[bytes, bytes], ...]
+    usual: np.ndarray
+    spread: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
 
-    def scores(self, features: np.ndarray) -> np.ndarray:
-        z = np.c_[(features - self.mean) / self.scale, np.ones(len(features))] @ self.weights
+    def pairs(self) -> list[Pair]:
+        return [(_compressor(ordinary), _compressor(toxic)) for toxic, ordinary in self.contents]
+
+    def scores(self, clusters: np.ndarray, found: np.ndarray) -> np.ndarray:
+        unusual = (found - self.usual[clusters]) / self.spread[clusters]
+        z = np.c_[(unusual - self.mean) / self.scale, np.ones(len(unusual))] @ self.weights
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def features(text: bytes, ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> tuple[float, ...]:
-    """Saved bytes by window: mean, largest, shares of windows with 2, 3 and 4 at least; and the number of windows."""
+    """Saved bytes by window: mean, shares of windows with 3 and 5 at least, and the largest, of which 8 are enough."""
     plain, foul = ordinary.compress, toxic.compress
     saved = np.array([len(plain(w)) - len(foul(w)) for w in (ANCHOR + text[i : i + WINDOW] for i in range(0, max(len(text) - WINDOW + STEP, 1), STEP))], np.float64)
-    return saved.mean(), saved.max(), (saved >= 2).mean(), (saved >= 3).mean(), (saved >= 4).mean(), float(np.log(len(saved)))
+    return saved.mean(), (saved >= 3).mean(), (saved >= 5).mean(), min(saved.max(), 8.0)
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -118,23 +175,80 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return mean, scale, w
 
 
-def dictionaries(bad: list[bytes], good: list[bytes]) -> tuple[bytes, bytes]:
-    """Contents of the dictionary of toxic text followed by ordinary text, and of that of ordinary text alone, equally long."""
-    often, seldom = _spread(bad), _spread(good)
-    marked = (often >= max(3, GRAM_SHARE * len(bad))) & (often / len(bad) >= GRAM_RATIO * (seldom + 2) / (len(good) + 20))
-    foul = _dictionary([_spans(t, marked) for t in bad], TOXIC_BYTES, 24)
-    chunks = [t[i : i + 256] for t in good for i in range(0, len(t), 256)]
-    plain = _dictionary(chunks[:: 1 + len(chunks) // CHUNKS], ORDINARY_BYTES, 64)
+def dictionaries(spans: list[bytes], chunks: list[bytes]) -> tuple[bytes, bytes]:
+    """Contents of the dictionary of ordinary text followed by toxic spans, the first ones last, and of that of ordinary text alone, equally long."""
+    foul = b""
+    for span in spans:
+        if len(foul) < TOXIC_BYTES and span not in foul:
+            foul = span + foul
+    foul, plain = foul[-TOXIC_BYTES:], _dictionary(chunks, ORDINARY_BYTES, 64)
     filler = bytes(np.random.default_rng(1).integers(128, 256, len(foul), dtype=np.uint8))
-    return foul + plain + ANCHOR, filler + plain + ANCHOR
+    return plain + foul + ANCHOR, plain + filler + ANCHOR
+
 
+Batches = Iterator[pa.RecordBatch]
 
-def _measured(batches, contents):
-    by = [_compressor(c) for c in contents.value[::-1]]
+
+def _each(batches: Batches) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            found = [list(features(normal(t), *by)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "toxic", "features"])
+            yield batch, [normal(t) for t in batch.column("text").to_pylist()]
+
+
+def _profiled(batches: Batches) -> Batches:
+    for batch, texts in _each(batches):
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([list(profile(t)) for t in texts], pa.list_(pa.float64()))], ["doc_id", "profile"])
+
+
+def _clustered(batches: Batches, centroids: np.ndarray) -> Batches:
+    for batch, texts in _each(batches):
+        clusters = [int((centroids @ profile(t)).argmax()) for t in texts]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "toxic", "train", "text")), pa.array(clusters, pa.int32())], ["doc_id", "toxic", "train", "text", "cluster"])
+
+
+def _counted(batches: Batches) -> Batches:
+    """Of each cluster, label and gram, how many texts of a step hold it."""
+    for batch, texts in _each(batches):
+        kinds: dict[tuple[int, int, int], list[np.ndarray]] = {}
+        for t, toxic, cluster in zip(texts, batch.column("toxic").to_pylist(), batch.column("cluster").to_pylist(), strict=True):
+            for size in GRAMS:
+                kinds.setdefault((cluster, size, toxic), []).append(np.unique(np.concatenate([_grams(p, size) for p in _parts(t, size - 1)])))
+        for (cluster, size, toxic), found in kinds.items():
+            grams, n = np.unique(np.concatenate(found), return_counts=True)
+            fixed = [pa.array(np.full(len(grams), x), pa.int32()) for x in (cluster, size)]
+            yield pa.RecordBatch.from_arrays([*fixed, pa.array(grams), pa.array(n * toxic), pa.array(n * (1 - toxic))], ["cluster", "size", "gram", "bad", "good"])
+
+
+def _spanned(batches: Batches, marked: dict[int, dict[int, np.ndarray]]) -> Batches:
+    for batch, texts in _each(batches):
+        clusters = batch.column("cluster").to_pylist()
+        found = [(c, s) for t, c in zip(texts, clusters, strict=True) if c in marked for s in _spans(t, marked[c])]
+        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int32()), pa.array([s for _, s in found], pa.binary())], ["cluster", "span"])
+
+
+def _chunked(batches: Batches) -> Batches:
+    for batch, texts in _each(batches):
+        found = [(c, t[i : i + CHUNK]) for t, c in zip(texts, batch.column("cluster").to_pylist(), strict=True) for i in range(0, len(t), CHUNK)]
+        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], ["cluster", "chunk"])
+
+
+def _measured(batches: Batches, contents: Broadcast) -> Batches:
+    by = [(_compressor(ordinary), _compressor(toxic)) for toxic, ordinary in contents.value]
+    for batch, texts in _each(batches):
+        found = [list(features(t, *by[c])) for t, c in zip(texts, batch.column("cluster").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "toxic", "cluster")), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "toxic", "cluster", "features"])
+
+
+def _toxic_grams(counts: DataFrame, texts: dict[int, tuple[int, int]]) -> dict[int, dict[int, np.ndarray]]:
+    """By cluster and size the sorted grams of counts(cluster, size, gram, bad, good) that are toxic; texts: of each cluster how many are toxic, and ordinary."""
+    sizes = F.create_map(*(F.lit(x) for c, (bad, good) in texts.items() for x in (c, float(bad)))), F.create_map(*(F.lit(x) for c, (bad, good) in texts.items() for x in (c, float(good))))
+    bads, goods = (F.element_at(m, F.col("cluster")) for m in sizes)
+    n, share, usual = F.col("bad") + F.col("good"), F.col("bad") / (F.col("bad") + F.col("good")), bads / (bads + goods)
+    rest = F.when(F.col("good") > 0, (1 - share) * F.ln((1 - share) / (1 - usual))).otherwise(0.0)
+    evidence = n * (share * F.ln(share / usual) + rest)
+    told = counts.where((F.col("bad") >= LEAST) & (share > usual)).withColumn("evidence", evidence).where((F.col("evidence") >= EVIDENCE) & (F.col("bad") / bads >= RATIO * F.col("good") / goods))
+    rows = told.orderBy(F.desc("evidence"), "cluster", "size", "gram").limit(MARKED).toPandas()
+    return {c: {size: np.sort(rows["gram"][(rows["cluster"] == c) & (rows["size"] == size)].to_numpy(np.int64)) for size in GRAMS} for c in texts}
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> ToxicityModel | None:
@@ -142,8 +256,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[in
     train on and two to calibrate with.
 
     The sample: for each label, ids are dealt into as many cells as it may have texts, and each cell gives one, of any length. Of
-    several labels of an id the larger counts, of its texts the smallest. Pieces of PIECE code points of the training texts, and six
-    numbers for each calibration text, come to the driver.
+    several labels of an id the larger counts, of its texts the smallest. Grams and spans are counted by tasks, over whole texts. To the driver come
+    PROFILES trigram profiles, MARKED grams, TOXIC_BYTES and CHUNKS pieces of a cluster, and four numbers for each calibration text.
     """
     cells = sample or SAMPLE
     known = doc_rows(labels, "doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(crc32_of_id() % 5 != 0)
@@ -162,29 +276,60 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[in
     if min(map(len, parts.values())) < 2:
         return None
 
-    def texts(use: bool) -> DataFrame:
-        kind = docs.schema["doc_id"].dataType.simpleString()
-        chosen = spark.createDataFrame(parts[0, use] + parts[1, use], f"doc_id {kind}, toxic int")
-        return doc_rows(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-
-    pieces = F.ceil(F.greatest(F.length("text"), F.lit(1)) / PIECE).cast("int")
-    piece = F.substring("text", F.pmod(F.xxhash64("doc_id", F.lit(1)), pieces).cast("int") * PIECE + 1, F.lit(PIECE))
-    rows = sorted(texts(True).select("doc_id", "toxic", piece.alias("piece")).collect(), key=lambda r: r.doc_id)
-    contents = dictionaries(*([normal(r.piece) for r in rows if r.toxic == label] for label in (1, 0)))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    measured = texts(False).select("doc_id", "toxic", "text").mapInArrow(partial(_measured, contents=spark.sparkContext.broadcast(contents)), f"doc_id {kind}, toxic int, features array<double>")
+    chosen = spark.createDataFrame([(i, y, use) for (_, use), part in parts.items() for i, y in part], f"doc_id {kind}, toxic int, train boolean")
+    scratch = Scratch(spark, "toxicity")
+    texts = doc_rows(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "train").agg(F.min("text").alias("text"))
+    texts = scratch.keep(texts, "texts")
+    some = texts.where("train").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(PROFILES).mapInArrow(_profiled, f"doc_id {kind}, profile array<double>")
+    profiles = np.array([r.profile for r in sorted(some.collect(), key=lambda r: r.doc_id)])
+    centroids = _centroids(profiles, max(1, min(CLUSTERS, len(profiles) // 100)))
+
+    def dealt(centroids: np.ndarray, name: str) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+        rows = scratch.keep(_mapped(texts, _clustered, f"doc_id {kind}, toxic int, train boolean, text string, cluster int", centroids), name)
+        n = rows.where("train").groupBy("cluster").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).collect()  # CLUSTERS rows
+        return rows, {r.cluster: (r.bad, r.good) for r in n}
+
+    rows, sizes = dealt(centroids, "dealt")
+    enough = sorted(c for c, (bad, good) in sizes.items() if bad >= CLUSTER_LEAST[1] and good >= CLUSTER_LEAST[0])
+    if len(enough) < len(centroids):  # texts of a cluster that is too small go to the nearest of the others
+        centroids = centroids[enough] if enough else profiles.mean(axis=0, keepdims=True)
+        rows, sizes = dealt(centroids, "dealt again")
+    train = rows.where("train")
+    counts = _mapped(train, _counted, "cluster int, size int, gram long, bad long, good long").groupBy("cluster", "size", "gram").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    marked = _toxic_grams(counts, sizes)
+    spans = _mapped(train.where("toxic = 1"), _spanned, "cluster int, span binary", marked).groupBy("cluster", "span").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = Window.partitionBy("cluster").orderBy(F.desc("n"), "span")
+    spans = spans.withColumn("k", F.row_number().over(first)).where(F.col("k") <= TOXIC_BYTES).orderBy("cluster", "k").collect()
+    chunks = _mapped(train.where("toxic = 0"), _chunked, "cluster int, chunk binary").withColumn("k", F.row_number().over(Window.partitionBy("cluster").orderBy(F.xxhash64("chunk"), "chunk")))
+    chunks = chunks.where(F.col("k") <= CHUNKS).orderBy("cluster", "k").collect()
+    by = lambda rows, name, c: [bytes(r[name]) for r in rows if r.cluster == c]
+    contents = tuple(dictionaries(by(spans, "span", c), by(chunks, "chunk", c)) for c in range(len(centroids)))
+    measured = _mapped(rows.where("not train"), _measured, f"doc_id {kind}, toxic int, cluster int, features array<double>", spark.sparkContext.broadcast(contents))
     told = sorted(measured.collect(), key=lambda r: r.doc_id)
-    return ToxicityModel(*contents, *_curve(np.array([r.features for r in told]), np.array([r.toxic for r in told], float)))
+    x, y, of = np.array([r.features for r in told]), np.array([r.toxic for r in told], float), np.array([r.cluster for r in told])
+    plain = [x[(of == c) & (y == 0)] for c in range(len(centroids))]
+    plain = [p if len(p) >= 10 else x[y == 0] for p in plain]
+    usual, spread = np.stack([p.mean(axis=0) for p in plain]), np.stack([p.std(axis=0) + 1e-3 for p in plain])
+    return ToxicityModel(centroids, contents, usual, spread, *_curve((x - usual[of]) / spread[of], y))
+
+
+def _mapped(df: DataFrame, f: Callable, schema: str, *args: object) -> DataFrame:
+    def run(batches: Batches) -> Batches:
+        return f(batches, *args)
 
+    return df.mapInArrow(run, schema)
 
-def _score(batches, model):
+
+def _score(batches: Batches, model: Broadcast) -> Batches:
     model = model.value
-    by = [_compressor(c) for c in (model.ordinary, model.toxic)] if model else None
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            texts = batch.column("text").to_pylist()
-            scores = model.scores(np.array([features(normal(t), *by) for t in texts])) if model and texts else np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
+    pairs = model.pairs() if model else None
+    for batch, texts in _each(batches):
+        scores = np.zeros(len(texts))
+        if model and texts:
+            clusters = np.array([int((model.centroids @ profile(t)).argmax()) for t in texts])
+            scores = model.scores(clusters, np.array([features(t, *pairs[c]) for t, c in zip(texts, clusters, strict=True)]))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
 
 def score(spark: SparkSession, docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
@@ -195,4 +340,4 @@ def score(spark: SparkSession, docs: DataFrame, model: ToxicityModel | None) ->
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = doc_rows(docs, "doc_id", "text").withColumn("held_out", crc32_of_id() % 5 == 0)
-    return rows.mapInArrow(partial(_score, model=spark.sparkContext.broadcast(model)), f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return _mapped(rows, _score, f"doc_id {kind}, held_out boolean, score double, predicted int", spark.sparkContext.broadcast(model))

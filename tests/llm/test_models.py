@@ -86,17 +86,25 @@ def test_toxicity_features_by_brute_force(spark):
     table, marks = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
     model = toxicity.fit(spark, table, marks)
     got = {r.doc_id: r.score for r in toxicity.score(spark, table, model).collect()}
-    assert len(model.toxic) == len(model.ordinary)
+    pairs = model.pairs()
+    assert all(len(toxic) == len(ordinary) for toxic, ordinary in model.contents)
     for i, text, _ in rows[:40] + [(401, "", 0), (402, "x", 0), (403, "a b " * 500, 0)]:
         body, saved = toxicity.normal(text), []
+        trigrams = np.zeros(len(model.centroids[0]))
+        for k in range(len(body) - 2):
+            h = ((body[k] * 65599 + body[k + 1]) * 65599 + body[k + 2]) * 2654435761 % 2**32
+            trigrams[h >> 22] += 1
+        c = int(np.argmax(model.centroids @ np.sqrt(trigrams)))
+        ordinary, foul = pairs[c]
         at = 0
         while at == 0 or at + toxicity.WINDOW - toxicity.STEP < len(body):
             window = toxicity.ANCHOR + body[at : at + toxicity.WINDOW]
-            saved.append(len(toxicity._compressor(model.ordinary).compress(window)) - len(toxicity._compressor(model.toxic).compress(window)))
+            saved.append(len(ordinary.compress(window)) - len(foul.compress(window)))
             at += toxicity.STEP
         n = len(saved)
-        want = [sum(saved) / n, max(saved), *(sum(s >= k for s in saved) / n for k in (2, 3, 4)), math.log(n)]
-        assert toxicity.features(body, toxicity._compressor(model.ordinary), toxicity._compressor(model.toxic)) == pytest.approx(want)
+        want = [sum(saved) / n, *(sum(s >= k for s in saved) / n for k in (3, 5)), min(max(saved), 8)]
+        assert toxicity.features(body, ordinary, foul) == pytest.approx(want)
+        want = [(x - u) / s for x, u, s in zip(want, model.usual[c], model.spread[c], strict=True)]
         if i in got:
             z = sum(w * (x - m) / s for w, x, m, s in zip(model.weights, want, model.mean, model.scale, strict=False)) + model.weights[-1]
             assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
@@ -112,7 +120,7 @@ def test_windows_hold_every_short_word_whole():
 
 
 def test_toxicity_learns_from_long_texts(spark):
-    """All texts that hold the words are far longer than a piece that the dictionaries take."""
+    """All texts that hold the words are long."""
     long = set(range(0, 240, 4))
     rows = toxic_table(6, 240, long=long)
     table, marks = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
@@ -123,4 +131,16 @@ def test_toxicity_learns_from_long_texts(spark):
     assert np.mean([got[i] == y for i, _, y in held]) > 0.9
     # held-out labels don't decide
     turned = spark.createDataFrame([(i, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, _, y in rows], "doc_id long, toxic int")
-    assert toxicity.fit(spark, table, turned).toxic == model.toxic
+    again = toxicity.fit(spark, table, turned)
+    assert again.contents == model.contents and (again.weights == model.weights).all()
+
+
+def test_toxicity_in_each_language(spark):
+    """On the given tables, with labels and texts alone: held-out toxic documents are found in every language, and few others are."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    scored = toxicity.score(spark, docs, toxicity.fit(spark, docs, labels)).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    caught = scored[scored["toxic"] == 1].groupby("lang")["predicted"].mean()
+    wrong = scored[scored["toxic"] == 0].groupby("lang")["predicted"].mean()
+    print(caught.to_dict(), wrong.to_dict())
+    assert scored[scored["toxic"] == 1]["predicted"].mean() >= 0.65 and caught["en"] >= 0.8 and caught.min() >= 0.3
+    assert wrong.mean() < 0.02 and wrong.max() < 0.04
