@@ -10,14 +10,15 @@ short phrase is whole in one of them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.llm.common import crc32_of_id, doc_rows, slices
@@ -206,20 +207,24 @@ def _clustered(batches: Batches, centroids: np.ndarray) -> Batches:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "toxic", "train", "text")), pa.array(clusters, pa.int32())], ["doc_id", "toxic", "train", "text", "cluster"])
 
 
-def _counted(batches: Batches) -> Batches:
-    """Of each cluster, label and gram, how many texts of a step hold it."""
+def _counted(batches: Batches, wanted: Marked | None = None) -> Batches:
+    """Of each cluster and gram, how many texts of a step hold it; of the wanted grams (sorted), if there are such."""
     for batch, texts in _each(batches):
-        kinds: dict[tuple[int, int, int], list[np.ndarray]] = {}
-        for t, toxic, cluster in zip(texts, batch.column("toxic").to_pylist(), batch.column("cluster").to_pylist(), strict=True):
+        kinds: dict[tuple[int, int], list[np.ndarray]] = {}
+        for t, cluster in zip(texts, batch.column("cluster").to_pylist(), strict=True):
             for size in GRAMS:
-                kinds.setdefault((cluster, size, toxic), []).append(np.unique(np.concatenate([_grams(p, size) for p in _parts(t, size - 1)])))
-        for (cluster, size, toxic), found in kinds.items():
-            grams, n = np.unique(np.concatenate(found), return_counts=True)
+                found = np.unique(np.concatenate([_grams(p, size) for p in _parts(t, size - 1)]))
+                if wanted is not None:
+                    known = wanted[cluster][size]
+                    found = found[known[np.minimum(np.searchsorted(known, found), len(known) - 1)] == found] if len(known) else found[:0]
+                kinds.setdefault((cluster, size), []).append(found)
+        for (cluster, size), each in kinds.items():
+            grams, n = np.unique(np.concatenate(each), return_counts=True)
             fixed = [pa.array(np.full(len(grams), x), pa.int32()) for x in (cluster, size)]
-            yield pa.RecordBatch.from_arrays([*fixed, pa.array(grams), pa.array(n * toxic), pa.array(n * (1 - toxic))], ["cluster", "size", "gram", "bad", "good"])
+            yield pa.RecordBatch.from_arrays([*fixed, pa.array(grams), pa.array(n)], ["cluster", "size", "gram", "n"])
 
 
-def _spanned(batches: Batches, marked: dict[int, dict[int, np.ndarray]]) -> Batches:
+def _spanned(batches: Batches, marked: Marked) -> Batches:
     for batch, texts in _each(batches):
         clusters = batch.column("cluster").to_pylist()
         found = [(c, s) for t, c in zip(texts, clusters, strict=True) if c in marked for s in _spans(t, marked[c])]
@@ -239,16 +244,35 @@ def _measured(batches: Batches, contents: Broadcast) -> Batches:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "toxic", "cluster")), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "toxic", "cluster", "features"])
 
 
-def _toxic_grams(counts: DataFrame, texts: dict[int, tuple[int, int]]) -> dict[int, dict[int, np.ndarray]]:
-    """By cluster and size the sorted grams of counts(cluster, size, gram, bad, good) that are toxic; texts: of each cluster how many are toxic, and ordinary."""
-    sizes = F.create_map(*(F.lit(x) for c, (bad, good) in texts.items() for x in (c, float(bad)))), F.create_map(*(F.lit(x) for c, (bad, good) in texts.items() for x in (c, float(good))))
-    bads, goods = (F.element_at(m, F.col("cluster")) for m in sizes)
+Marked = dict[int, dict[int, np.ndarray]]
+
+
+def _by_cluster(rows: pd.DataFrame, clusters: Iterable[int]) -> Marked:
+    """By cluster and size the sorted grams of (cluster, size, gram)."""
+    return {c: {size: np.sort(rows["gram"][(rows["cluster"] == c) & (rows["size"] == size)].to_numpy(np.int64)) for size in GRAMS} for c in clusters}
+
+
+def _toxic_grams(scratch: Scratch, train: DataFrame, texts: dict[int, tuple[int, int]]) -> Marked:
+    """The toxic grams of the clusters' texts; texts: of each cluster how many are toxic, and ordinary.
+
+    Only grams of as many toxic texts as the evidence needs at least, if no ordinary text has them, are looked for in ordinary ones."""
+
+    def of(values: dict[int, float]) -> Column:
+        return F.element_at(F.create_map(*(F.lit(x) for c, v in values.items() for x in (c, float(v)))), F.col("cluster"))
+
+    def counts(rows: DataFrame, name: str, *wanted: Marked) -> DataFrame:
+        return _mapped(rows, _counted, "cluster int, size int, gram long, n long", *wanted).groupBy("cluster", "size", "gram").agg(F.sum("n").alias(name))
+
+    least = {c: max(LEAST, EVIDENCE / np.log((bad + good) / bad) if bad and good else np.inf) for c, (bad, good) in texts.items()}
+    bad = scratch.keep(counts(train.where("toxic = 1"), "bad").where(F.col("bad") >= of(least)), "bad")
+    good = counts(train.where("toxic = 0"), "good", _by_cluster(bad.toPandas(), texts))
+    both = bad.join(good, ["cluster", "size", "gram"], "left").fillna(0, ["good"])
+    bads, goods = of({c: b for c, (b, _) in texts.items()}), of({c: g for c, (_, g) in texts.items()})
     n, share, usual = F.col("bad") + F.col("good"), F.col("bad") / (F.col("bad") + F.col("good")), bads / (bads + goods)
     rest = F.when(F.col("good") > 0, (1 - share) * F.ln((1 - share) / (1 - usual))).otherwise(0.0)
-    evidence = n * (share * F.ln(share / usual) + rest)
-    told = counts.where((F.col("bad") >= LEAST) & (share > usual)).withColumn("evidence", evidence).where((F.col("evidence") >= EVIDENCE) & (F.col("bad") / bads >= RATIO * F.col("good") / goods))
-    rows = told.orderBy(F.desc("evidence"), "cluster", "size", "gram").limit(MARKED).toPandas()
-    return {c: {size: np.sort(rows["gram"][(rows["cluster"] == c) & (rows["size"] == size)].to_numpy(np.int64)) for size in GRAMS} for c in texts}
+    told = both.where(share > usual).withColumn("evidence", n * (share * F.ln(share / usual) + rest))
+    told = told.where((F.col("evidence") >= EVIDENCE) & (F.col("bad") / bads >= RATIO * F.col("good") / goods))
+    return _by_cluster(told.orderBy(F.desc("evidence"), "cluster", "size", "gram").limit(MARKED).toPandas(), texts)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> ToxicityModel | None:
@@ -257,7 +281,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[in
 
     The sample: for each label, ids are dealt into as many cells as it may have texts, and each cell gives one, of any length. Of
     several labels of an id the larger counts, of its texts the smallest. Grams and spans are counted by tasks, over whole texts. To the driver come
-    PROFILES trigram profiles, MARKED grams, TOXIC_BYTES and CHUNKS pieces of a cluster, and four numbers for each calibration text.
+    PROFILES trigram profiles, hashes of the grams that enough toxic texts of the sample share, TOXIC_BYTES and CHUNKS pieces of a cluster, and four numbers for each calibration text.
     """
     cells = sample or SAMPLE
     known = doc_rows(labels, "doc_id", "toxic").where("toxic in (0, 1) and doc_id is not null").where(crc32_of_id() % 5 != 0)
@@ -296,8 +320,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[in
         centroids = centroids[enough] if enough else profiles.mean(axis=0, keepdims=True)
         rows, sizes = dealt(centroids, "dealt again")
     train = rows.where("train")
-    counts = _mapped(train, _counted, "cluster int, size int, gram long, bad long, good long").groupBy("cluster", "size", "gram").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    marked = _toxic_grams(counts, sizes)
+    marked = _toxic_grams(scratch, train, sizes)
     spans = _mapped(train.where("toxic = 1"), _spanned, "cluster int, span binary", marked).groupBy("cluster", "span").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     first = Window.partitionBy("cluster").orderBy(F.desc("n"), "span")
     spans = spans.withColumn("k", F.row_number().over(first)).where(F.col("k") <= TOXIC_BYTES).orderBy("cluster", "k").collect()
