@@ -14,7 +14,6 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
@@ -198,7 +197,7 @@ def _each(batches: Batches) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
 
 def _profiled(batches: Batches) -> Batches:
     for batch, texts in _each(batches):
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([list(profile(t)) for t in texts], pa.list_(pa.float64()))], ["doc_id", "profile"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([profile(t).tobytes() for t in texts], pa.binary())], ["doc_id", "profile"])
 
 
 def _clustered(batches: Batches, centroids: np.ndarray) -> Batches:
@@ -207,7 +206,7 @@ def _clustered(batches: Batches, centroids: np.ndarray) -> Batches:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "toxic", "train", "text")), pa.array(clusters, pa.int32())], ["doc_id", "toxic", "train", "text", "cluster"])
 
 
-def _counted(batches: Batches, wanted: Marked | None = None) -> Batches:
+def _counted(batches: Batches, wanted: Broadcast | None = None) -> Batches:
     """Of each cluster and gram, how many texts of a step hold it; of the wanted grams (sorted), if there are such."""
     for batch, texts in _each(batches):
         kinds: dict[tuple[int, int], list[np.ndarray]] = {}
@@ -215,7 +214,7 @@ def _counted(batches: Batches, wanted: Marked | None = None) -> Batches:
             for size in GRAMS:
                 found = np.unique(np.concatenate([_grams(p, size) for p in _parts(t, size - 1)]))
                 if wanted is not None:
-                    known = wanted[cluster][size]
+                    known = wanted.value[cluster][size]
                     found = found[known[np.minimum(np.searchsorted(known, found), len(known) - 1)] == found] if len(known) else found[:0]
                 kinds.setdefault((cluster, size), []).append(found)
         for (cluster, size), each in kinds.items():
@@ -247,12 +246,14 @@ def _measured(batches: Batches, contents: Broadcast) -> Batches:
 Marked = dict[int, dict[int, np.ndarray]]
 
 
-def _by_cluster(rows: pd.DataFrame, clusters: Iterable[int]) -> Marked:
-    """By cluster and size the sorted grams of (cluster, size, gram)."""
-    return {c: {size: np.sort(rows["gram"][(rows["cluster"] == c) & (rows["size"] == size)].to_numpy(np.int64)) for size in GRAMS} for c in clusters}
+def _by_cluster(grams: DataFrame, clusters: Iterable[int]) -> Marked:
+    """By cluster and size the sorted grams of (cluster, size, gram), which come to the driver as columns."""
+    rows = grams.select("cluster", "size", "gram").toArrow()
+    cluster, size, gram = (rows.column(c).to_numpy() for c in ("cluster", "size", "gram"))
+    return {c: {n: np.sort(gram[(cluster == c) & (size == n)]) for n in GRAMS} for c in clusters}
 
 
-def _toxic_grams(scratch: Scratch, train: DataFrame, texts: dict[int, tuple[int, int]]) -> Marked:
+def _toxic_grams(spark: SparkSession, scratch: Scratch, train: DataFrame, texts: dict[int, tuple[int, int]]) -> Marked:
     """The toxic grams of the clusters' texts; texts: of each cluster how many are toxic, and ordinary.
 
     Only grams of as many toxic texts as the evidence needs at least, if no ordinary text has them, are looked for in ordinary ones."""
@@ -260,19 +261,19 @@ def _toxic_grams(scratch: Scratch, train: DataFrame, texts: dict[int, tuple[int,
     def of(values: dict[int, float]) -> Column:
         return F.element_at(F.create_map(*(F.lit(x) for c, v in values.items() for x in (c, float(v)))), F.col("cluster"))
 
-    def counts(rows: DataFrame, name: str, *wanted: Marked) -> DataFrame:
+    def counts(rows: DataFrame, name: str, *wanted: Broadcast) -> DataFrame:
         return _mapped(rows, _counted, "cluster int, size int, gram long, n long", *wanted).groupBy("cluster", "size", "gram").agg(F.sum("n").alias(name))
 
     least = {c: max(LEAST, EVIDENCE / np.log((bad + good) / bad) if bad and good else np.inf) for c, (bad, good) in texts.items()}
     bad = scratch.keep(counts(train.where("toxic = 1"), "bad").where(F.col("bad") >= of(least)), "bad")
-    good = counts(train.where("toxic = 0"), "good", _by_cluster(bad.toPandas(), texts))
+    good = counts(train.where("toxic = 0"), "good", spark.sparkContext.broadcast(_by_cluster(bad, texts)))
     both = bad.join(good, ["cluster", "size", "gram"], "left").fillna(0, ["good"])
     bads, goods = of({c: b for c, (b, _) in texts.items()}), of({c: g for c, (_, g) in texts.items()})
     n, share, usual = F.col("bad") + F.col("good"), F.col("bad") / (F.col("bad") + F.col("good")), bads / (bads + goods)
     rest = F.when(F.col("good") > 0, (1 - share) * F.ln((1 - share) / (1 - usual))).otherwise(0.0)
     told = both.where(share > usual).withColumn("evidence", n * (share * F.ln(share / usual) + rest))
     told = told.where((F.col("evidence") >= EVIDENCE) & (F.col("bad") / bads >= RATIO * F.col("good") / goods))
-    return _by_cluster(told.orderBy(F.desc("evidence"), "cluster", "size", "gram").limit(MARKED).toPandas(), texts)
+    return _by_cluster(told.orderBy(F.desc("evidence"), "cluster", "size", "gram").limit(MARKED), texts)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> ToxicityModel | None:
@@ -305,8 +306,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[in
     scratch = Scratch(spark, "toxicity")
     texts = doc_rows(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "train").agg(F.min("text").alias("text"))
     texts = scratch.keep(texts, "texts")
-    some = texts.where("train").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(PROFILES).mapInArrow(_profiled, f"doc_id {kind}, profile array<double>")
-    profiles = np.array([r.profile for r in sorted(some.collect(), key=lambda r: r.doc_id)])
+    some = texts.where("train").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(PROFILES).mapInArrow(_profiled, f"doc_id {kind}, profile binary")
+    profiles = np.stack([np.frombuffer(r.profile) for r in sorted(some.collect(), key=lambda r: r.doc_id)])
     centroids = _centroids(profiles, max(1, min(CLUSTERS, len(profiles) // 100)))
 
     def dealt(centroids: np.ndarray, name: str) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
@@ -320,7 +321,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: dict[in
         centroids = centroids[enough] if enough else profiles.mean(axis=0, keepdims=True)
         rows, sizes = dealt(centroids, "dealt again")
     train = rows.where("train")
-    marked = _toxic_grams(scratch, train, sizes)
+    marked = _toxic_grams(spark, scratch, train, sizes)
     spans = _mapped(train.where("toxic = 1"), _spanned, "cluster int, span binary", marked).groupBy("cluster", "span").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     first = Window.partitionBy("cluster").orderBy(F.desc("n"), "span")
     spans = spans.withColumn("k", F.row_number().over(first)).where(F.col("k") <= TOXIC_BYTES).orderBy("cluster", "k").collect()
