@@ -57,12 +57,27 @@ def as_of(left: DataFrame, right: DataFrame, key: str, time: str, most: int = KE
 BINS = 256
 
 
-def _bin(value: Column, cuts: list, low: int = 0) -> Column:
-    """How many of the sorted cuts are not above the value, by halves."""
+def _as_number(df: DataFrame, name: str) -> str:
+    """SQL of a long or double in the order of the column's values."""
+    kind = df.schema[name].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz"):
+        return f"unix_micros(CAST(`{name}` AS TIMESTAMP))"
+    if kind == "date":
+        return f"CAST(unix_date(`{name}`) AS BIGINT)"
+    if kind in ("float", "double"):
+        return f"CAST(`{name}` AS DOUBLE)"
+    if kind in ("byte", "short", "integer", "long"):
+        return f"CAST(`{name}` AS BIGINT)"
+    raise ValueError(f"{name}: ranges of {kind} aren't supported")
+
+
+def _bin(value: str, cuts: list[int | float], low: int = 0) -> str:
+    """SQL of how many of the sorted cuts are not above the value, by halves."""
     if not cuts:
-        return F.lit(low)
+        return str(low)
     half = len(cuts) // 2
-    return F.when(value < F.lit(cuts[half]), _bin(value, cuts[:half], low)).otherwise(_bin(value, cuts[half + 1 :], low + half + 1))
+    cut = f"{cuts[half]}L" if isinstance(cuts[half], int) else f"{cuts[half]!r}D"
+    return f"CASE WHEN {value} < {cut} THEN {_bin(value, cuts[:half], low)} ELSE {_bin(value, cuts[half + 1:], low + half + 1)} END"
 
 
 def in_ranges(points: DataFrame, ranges: DataFrame, value: str, low: str, high: str, bins: int = BINS) -> DataFrame:
@@ -72,9 +87,11 @@ def in_ranges(points: DataFrame, ranges: DataFrame, value: str, low: str, high:
     taken together by halves of halves, so a range is copied 2 log2(bins) times at most however long it is, and a point once for each
     width that some range has."""
     steps = [i / bins for i in range(1, bins)]
-    cuts = sorted(set(points.agg(F.percentile_approx(value, steps, 10_000).alias("c")).first()["c"] or []))  # `bins` values
+    cuts = sorted(set(points.agg(F.percentile_approx(F.expr(_as_number(points, value)), steps, 10_000).alias("c")).first()["c"] or []))  # `bins` values
     levels = max(1, len(cuts).bit_length())
-    ends = ranges.where(F.col(low) < F.col(high)).withColumn("_a", _bin(F.col(low), cuts)).withColumn("_b", _bin(F.col(high), cuts))
+    # one column first, so that its value is computed once a row
+    ends = ranges.where(F.col(low) < F.col(high)).withColumn("_l", F.expr(_as_number(ranges, low))).withColumn("_h", F.expr(_as_number(ranges, high)))
+    ends = ends.withColumn("_a", F.expr(_bin("_l", cuts))).withColumn("_b", F.expr(_bin("_h", cuts))).drop("_l", "_h")
 
     def nodes(a: Column, b: Column) -> Column:
         """Whole (width, place) that bins a + 1 to b - 1 fall into: at each width the odd ones at the ends."""
@@ -87,7 +104,7 @@ def in_ranges(points: DataFrame, ranges: DataFrame, value: str, low: str, high:
         return F.array_compact(F.array(*out))
 
     edge = F.when(F.col("_a") == F.col("_b"), F.array("_a")).otherwise(F.array("_a", "_b"))
-    own = points.where(F.col(value).isNotNull()).withColumn("_bin", _bin(F.col(value), cuts))
+    own = points.where(F.col(value).isNotNull()).withColumn("_v", F.expr(_as_number(points, value))).withColumn("_bin", F.expr(_bin("_v", cuts))).drop("_v")
     edges = ends.withColumn("_bin", F.explode(edge)).drop("_a", "_b")
     checked = own.join(edges, "_bin").where((F.col(value) >= F.col(low)) & (F.col(value) < F.col(high))).drop("_bin")
     whole = ends.withColumn("_node", F.explode(nodes(F.col("_a"), F.col("_b")))).withColumn("_width", F.col("_node.width")).withColumn("_place", F.col("_node.place")).drop("_a", "_b", "_node")

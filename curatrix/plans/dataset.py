@@ -15,7 +15,7 @@ from curatrix.operators import planning, quality
 from curatrix.operators.grouping import counts, stratified, with_primary
 from curatrix.operators.similarity import duplicate_groups
 from curatrix.schemas import KEEP_GATE, KEPT_COLUMNS, LAUNCH_DATE, NEAR_DUPLICATE, REJECTED_COLUMNS
-from curatrix.sources.files import Folder, checksum, read_csv, read_json, write_json, write_sorted
+from curatrix.sources.files import Folder, checksum, join_parts, read_csv, read_json, write_json, write_parts
 
 KEPT, REJECTED, MANIFEST, PUBLISHED = "kept", "rejected", "manifest.json", "_PUBLISHED"
 OUTPUTS = ("kept.parquet", "kept.csv", "rejected.parquet", "rejected.csv")
@@ -96,10 +96,11 @@ def build(spark: SparkSession, out: str, photos: DataFrame, labels: DataFrame, e
     rows = labelled(spark, photos, labels, embeddings, images).persist()
     no = rejected(rows, photos, labels, since=since).persist()
     yes = kept(rows)
-    write_sorted(yes, folder, "kept.parquet", "photo_id")
-    write_sorted(csv_rows(yes), folder, "kept.csv", "subject", "photo_id")
-    write_sorted(no, folder, "rejected.parquet", "photo_id")
-    write_sorted(no.select(*REJECTED_CSV), folder, "rejected.csv", "rejected_as", "photo_id")
+    for rows_of, of_csv, name, order in ((yes, csv_rows(yes), KEPT, "subject"), (no, no.select(*REJECTED_CSV), REJECTED, "rejected_as")):
+        write_parts(rows_of, folder, f"{name}.parquet", "photo_id")
+        write_parts(of_csv, folder, f"{name}.lines", order, "photo_id", kind="csv")
+        join_parts(folder, f"{name}.lines", f"{name}.csv", ",".join(of_csv.columns) + "\n")
+        folder.delete(f"{name}.lines")
     total = accounting(photos, labels, since).first()
     manifest = {
         "rows": {KEPT: spark.read.parquet(f"{out}/kept.parquet").count(), REJECTED: spark.read.parquet(f"{out}/rejected.parquet").count()},

@@ -8,12 +8,12 @@ from datetime import datetime
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
 from curatrix.functions import values as V
-from curatrix.operators import grouping, ordered, planning, quality, state
+from curatrix.operators import grouping, ordered, planning, quality, sketches, state
 from curatrix.operators.changes import ChangeTable
 from curatrix.operators.state import Tables
 from curatrix.plans import dataset, workflows
@@ -422,13 +422,53 @@ def manifest_file(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "what string, n long")
 
 
-@_query("SELECT * FROM (VALUES (1, 1), (1, 2), (2, 3)) AS t(run, version)")
+@_query("SELECT c_custkey, trim(c_name) || '/' || c_mktsegment AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_acctbal >= 0")
 def migrations(spark: SparkSession, d: str) -> DataFrame:
-    """Two runs of migration steps: what each of them ran."""
-    tables, steps = _tables(spark), [(k, f"step {k}", lambda t: None) for k in (2, 1)]
-    first = state.migrate(tables, steps, NOW)
-    second = state.migrate(tables, [*steps, (3, "step 3", lambda t: None)], NOW)
-    return spark.createDataFrame([(1, v) for v in first] + [(2, v) for v in second], "run int, version int")
+    """A table after two runs of migration steps that change it; a step that was done isn't done again."""
+    customers = table(spark, d, "customer")
+    tables, schema = _tables(spark, customers=customers), customers.schema
+    solvent = lambda t: t.change("customers", schema, lambda rows: rows.where("c_acctbal >= 0"))
+    renamed = lambda t: t.change("customers", schema, lambda rows: rows.withColumn("c_name", F.concat(F.trim("c_name"), F.lit("/"), "c_mktsegment")))
+    state.migrate(tables, [(2, "names", renamed), (1, "balances", solvent)], NOW)
+    state.migrate(tables, [(2, "names", renamed), (1, "balances", solvent), (3, "nothing", lambda t: None)], NOW)
+    return tables.read("customers", schema)
+
+
+@_query("""SELECT o_orderkey, o_orderdate, ((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 400)::INT AS part, true AS same FROM orders""")
+def parts_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Sorted parts of a table, each row with its part; the same files, by their tree of checksums, whatever the number of tasks."""
+    folder, rows = files.Folder(spark, Scratch(spark, "parts").path), table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    for name, tasks in (("few", 2), ("many", 7)):
+        files.write_parts(rows.repartition(tasks), folder, name, "o_orderdate", "o_orderkey", rows=400)
+    same = files.checksum(spark, f"{folder.path}/few") == files.checksum(spark, f"{folder.path}/many")
+    part = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).cast("int")
+    return spark.read.parquet(f"{folder.path}/many").withColumn("part", part).withColumn("same", F.lit(same))
+
+
+@_query("""SELECT lang, source, grouped::BIGINT AS grouped, n, true AS distinct_right, true AS quantiles_right, true AS top_right, true AS like_whole FROM (
+  SELECT lang, source, GROUPING(lang, source) AS grouped, count(*) AS n FROM documents GROUP BY GROUPING SETS ((lang, source), (lang), ()))""")
+def merged_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """States of four versions of the documents, merged, against exact figures: whether they are within the sketches' error, and as near as those of all rows at once."""
+    docs = table(spark, d, "documents").withColumn("first", F.substring_index(F.col("text"), " ", 1))
+    sets, by = [("lang", "source"), ("lang",), ()], ["lang", "source", "grouped"]
+    versions = [sketches.sketched(docs.where(F.col("doc_id") % 4 == v), sets, "doc_id", "n_chars", "first").withColumn("version", F.lit(v)) for v in range(4)]
+    stored = Scratch(spark, "sketches")
+    for v, states in enumerate(versions):
+        states.write.parquet(f"{stored.path}/states/version={v}")
+    states = spark.read.parquet(f"{stored.path}/states")
+    told = sketches.estimates(sketches.merged(states, *by)).alias("t")
+    whole = sketches.estimates(sketches.sketched(docs, sets, "doc_id", "n_chars", "first")).alias("w")
+    counts = docs.groupingSets([[F.col(c) for c in s] for s in [*sets]], "lang", "source").agg(
+        F.grouping_id().alias("grouped"), F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"), F.percentile_approx("n_chars", F.lit([0.08, 0.12, 0.48, 0.52, 0.88, 0.92]), 100_000).alias("q"), F.mode("first", True).alias("mode")
+    ).alias("c")
+    same = lambda a, b: (F.col(f"{a}.grouped") == F.col(f"{b}.grouped")) & F.col(f"{a}.lang").eqNullSafe(F.col(f"{b}.lang")) & F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
+    both = told.join(counts, same("t", "c")).join(whole, same("t", "w"))
+    near = lambda a, b: F.abs(a - b) <= F.greatest(F.lit(1.0), 0.07 * F.col("c.ids"))  # noqa: E731  four standard errors
+    between = [(F.col("t.quantiles")[i] >= F.col("c.q")[2 * i]) & (F.col("t.quantiles")[i] <= F.col("c.q")[2 * i + 1]) for i in range(3)]
+    return both.select(
+        "t.lang", "t.source", F.col("t.grouped").cast("long").alias("grouped"), F.col("t.rows").alias("n"), near(F.col("t.distinct"), F.col("c.ids")).alias("distinct_right"),
+        (between[0] & between[1] & between[2]).alias("quantiles_right"), ((F.col("c.n") < 40) | F.exists("t.top", lambda x: x["item"] == F.col("c.mode"))).alias("top_right"), near(F.col("t.distinct"), F.col("w.distinct")).alias("like_whole"),
+    )
 
 
 @_query("SELECT photo_id FROM labels_f WHERE photo_id::BIGINT % 3 <> 0 OR photo_id::BIGINT % 4 = 0")
@@ -643,27 +683,28 @@ def last_purchase(spark: SparkSession, d: str) -> DataFrame:
     return ordered.as_of(events.select("event_id", "user_id", "ts"), bought, "user_id", "ts").drop("ts").withColumn("last_id", F.coalesce("last_id", F.lit(-1)))
 
 
-@_query("""WITH r AS (SELECT o_orderstatus, o_orderdate, max(o_orderkey) AS version FROM orders WHERE o_custkey % 5 = 0 GROUP BY ALL)
+@_query("""WITH r AS (SELECT o_orderstatus, o_orderdate, max(o_orderkey) AS version FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL)
 SELECT l.o_orderkey, l.o_orderstatus, coalesce(r.version, -1) AS version FROM orders l ASOF LEFT JOIN r ON l.o_orderstatus = r.o_orderstatus AND l.o_orderdate >= r.o_orderdate""")
 def version_in_force(spark: SparkSession, d: str) -> DataFrame:
-    """For each order the version in force, of few keys with many rows each, which are cut."""
+    """For each order the last urgent one of its status, of few keys with many rows each, which are cut."""
     orders = table(spark, d, "orders")
-    versions = orders.where("o_custkey % 5 = 0").select("o_orderstatus", "o_orderdate", F.col("o_orderkey").alias("version"))
+    versions = orders.where("o_orderpriority = '1-URGENT'").select("o_orderstatus", "o_orderdate", F.col("o_orderkey").alias("version"))
     return ordered.as_of(orders.select("o_orderkey", "o_orderstatus", "o_orderdate"), versions, "o_orderstatus", "o_orderdate", most=500).select("o_orderkey", "o_orderstatus", F.coalesce("version", F.lit(-1)).alias("version"))
 
 
-_SPANS = """SELECT o_orderkey, o_orderdate AS opened, o_orderdate + INTERVAL 1 DAY * (1 + o_orderkey % 60) + INTERVAL 1 DAY * CASE WHEN o_orderkey % 500 = 0 THEN 2000 ELSE 0 END AS closed FROM orders WHERE o_orderkey % 10 = 0"""
+_SPANS = """SELECT event_id AS span, ts AS opened, ts + INTERVAL 2 HOURS AS closed FROM events WHERE event_type = 'purchase'
+  UNION ALL SELECT -1 - row_number() OVER (ORDER BY event_type), min(ts), max(ts) FROM events GROUP BY event_type"""
 
 
-@_query(f"SELECT opened, s.o_orderkey, count(*) AS n, min(l_orderkey) AS first, max(l_shipdate) AS latest FROM ({_SPANS}) s JOIN lineitem ON l_shipdate >= opened AND l_shipdate < closed AND l_linenumber = 1 GROUP BY ALL")
-def shipped_within(spark: SparkSession, d: str) -> DataFrame:
-    """Shipments within spans of some orders, short and very long ones, counted."""
-    k = F.col("o_orderkey")
-    days = 1 + k % 60 + F.when(k % 500 == 0, 2000).otherwise(0)
-    spans = table(spark, d, "orders").where(k % 10 == 0).select("o_orderkey", F.col("o_orderdate").alias("opened"), (F.col("o_orderdate") + F.make_dt_interval(days.cast("int"))).alias("closed"))
-    points = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_shipdate")
-    met = ordered.in_ranges(points, spans, "l_shipdate", "opened", "closed")
-    return met.groupBy("opened", "o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("first"), F.max("l_shipdate").alias("latest"))
+@_query(f"SELECT span, count(*) AS n, min(e.event_id) AS first, max(ts) AS latest FROM ({_SPANS}) s JOIN events e ON ts >= opened AND ts < closed GROUP BY span")
+def events_within(spark: SparkSession, d: str) -> DataFrame:
+    """Events within the two hours after each purchase, and within the long time that each type was seen, counted."""
+    events, hours = table(spark, d, "events"), F.expr("INTERVAL 2 HOURS")
+    short = events.where("event_type = 'purchase'").select(F.col("event_id").alias("span"), F.col("ts").alias("opened"), (F.col("ts") + hours).alias("closed"))
+    types = events.groupBy("event_type").agg(F.min("ts").alias("opened"), F.max("ts").alias("closed"))
+    long = types.select((-1 - F.row_number().over(Window.orderBy("event_type"))).cast("long").alias("span"), "opened", "closed")  # a row for each type
+    met = ordered.in_ranges(events.select("event_id", "ts"), short.unionByName(long), "ts", "opened", "closed")
+    return met.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"), F.max("ts").alias("latest"))
 
 
 @_query("""WITH e AS (SELECT event_id, user_id, ts, round(value * 100)::BIGINT AS cents FROM events)

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import base_name, stem
+from curatrix.operators.ordered import TotalOrder
 
 
 class Folder:
@@ -111,7 +114,7 @@ def _single(df: DataFrame, folder: Folder, name: str, kind: str) -> None:
 
 
 def write_sorted(df: DataFrame, folder: Folder, name: str, *order: str) -> None:
-    """One sorted file, for outputs that people read. `write_ranged` is for tables of any size."""
+    """One sorted file by one task, for small outputs that people read. `write_parts` and `write_ranged` are for tables of any size."""
     _single(df.orderBy(*order), folder, name, name.rpartition(".")[2])
 
 
@@ -120,9 +123,86 @@ def write_ranged(df: DataFrame, path: str, *order: str) -> None:
     df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
+#: Rows of a part of a large sorted output. Which rows a part has depends on it and on the order alone.
+PART_ROWS = 1_000_000
+
+
+def write_parts(df: DataFrame, folder: Folder, name: str, *order: str, kind: str = "parquet", rows: int = PART_ROWS) -> int:
+    """Files part-00000, part-00001 ... of `rows` rows each in a folder of this name, sorted; returns how many.
+
+    The order has to tell rows apart. The same rows then give the same files, whatever the number of tasks, and no task sees more than a part.
+    No rows: one empty part. CSV parts have no header."""
+    staging = f"_{name}.parts"
+    placed = TotalOrder(df, *order, block=rows)
+    cut = placed.rows.withColumn("_part", F.floor(F.col("_row") / rows).cast("int"))
+    n = max(1, -(-placed.n // rows))
+    if placed.n:
+        writer = cut.repartition(n, "_part").sortWithinPartitions("_part", "_row").select(*df.columns, "_part").write.mode("overwrite").partitionBy("_part")
+    else:
+        writer = df.coalesce(1).write.mode("overwrite")
+    (writer.parquet if kind == "parquet" else writer.option("header", False).option("escape", '"').csv)(f"{folder.path}/{staging}")
+    folder.delete(name)
+    for part in range(n):
+        at = f"{staging}/_part={part}" if placed.n else staging
+        found = [x for x in folder.names(at) if x.startswith("part-")]
+        folder._fs.mkdirs(folder._p(name))
+        if found:
+            folder._fs.rename(folder._p(f"{at}/{found[0]}"), folder._p(f"{name}/part-{part:05d}.{kind}"))
+        else:
+            folder.write_text(f"{name}/part-{part:05d}.{kind}", "")
+    folder.delete(staging)
+    return n
+
+
+def join_parts(folder: Folder, parts: str, name: str, head: str = "") -> None:
+    """One file of a head and all parts in order, for people; bytes are copied through a buffer."""
+    jvm, conf = folder.spark._jvm, folder.spark._jsc.hadoopConfiguration()
+    out = folder._fs.create(folder._p(name), True)
+    try:
+        out.write(bytearray(head.encode()))
+        for part in folder.names(parts):
+            source = folder._fs.open(folder._p(f"{parts}/{part}"))
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+
+
+#: Bytes of a file that Spark may take as one value; larger ones are streamed.
+WHOLE = 1 << 30
+
+
+def _streamed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        found = []
+        for path in frame["path"]:
+            store, at = pyarrow.fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with store.open_input_stream(at) as source:
+                while chunk := source.read(1 << 22):
+                    digest.update(chunk)
+            found.append(digest.hexdigest())
+        yield frame.assign(sha256=found)
+
+
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """file, bytes and SHA-256 of each file of a folder, or of one file, each hashed by one task; of large files a block at a time."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    small = files.where(F.col("length") <= WHOLE).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > WHOLE).select("path", F.col("length").alias("bytes")).mapInPandas(_streamed, "path string, bytes long, sha256 string")
+    return small.unionByName(large).select(name.alias("file"), "bytes", "sha256")
+
+
 def checksum(spark: SparkSession, path: str) -> str:
-    """SHA-256 of a file's bytes."""
-    return spark.read.format("binaryFile").load(path).select(F.sha2("content", 256)).first()[0]
+    """SHA-256 of a file's bytes; of a folder, that of its files' names and checksums in order."""
+    rows = checksums(spark, path).orderBy("file")
+    if not Folder(spark, path)._fs.getFileStatus(Folder(spark, path)._p()).isDirectory():
+        return rows.first().sha256
+    lines = rows.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "sha256"))), lambda x: F.concat(x["file"], F.lit(":"), x["sha256"])), "\n"), 256))
+    return lines.first()[0]  # of a line for each part
 
 
 def content_hash(df: DataFrame) -> str:

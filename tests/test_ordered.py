@@ -83,3 +83,38 @@ def test_frames(spark):
 def test_frames_without_rows(spark):
     whole = ordered.TotalOrder(spark.createDataFrame([], "id long, v long"), "id")
     assert whole.rolling(3, s=F.sum("v")).count() == whole.lagged(1, x="v").count() == whole.running(s="v").count() == whole.ranks("id").count() == 0
+
+
+def test_parts_are_the_same_files(spark, tmp_path):
+    from curatrix.sources import files
+
+    folder = files.Folder(spark, f"file://{tmp_path}")
+    rows = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k"), F.format_string("a,\"%d\"", "id").alias("s"))
+    for kind in ("parquet", "csv"):
+        assert files.write_parts(rows.repartition(2), folder, "a", "k", "id", kind=kind, rows=300) == files.write_parts(rows.repartition(9), folder, "b", "k", "id", kind=kind, rows=300) == 4
+        assert files.checksum(spark, f"{folder.path}/a") == files.checksum(spark, f"{folder.path}/b")
+        assert folder.names("a") == [f"part-0000{i}.{kind}" for i in range(4)]
+    files.join_parts(folder, "a", "all.csv", "id,k,s\n")
+    got = [(int(r.id), int(r.k), r.s) for r in files.read_csv(spark, f"{folder.path}/all.csv").collect()]
+    assert got == sorted(((i, i % 7, f'a,"{i}"') for i in range(1000)), key=lambda r: (r[1], r[0]))
+    assert files.write_parts(rows.limit(0), folder, "none", "id") == 1 and spark.read.schema(rows.schema).parquet(f"{folder.path}/none").count() == 0
+    import hashlib
+
+    text = (tmp_path / "all.csv").read_bytes()
+    assert files.checksum(spark, f"{folder.path}/all.csv") == hashlib.sha256(text).hexdigest()
+    streamed = next(files._streamed(iter([__import__("pandas").DataFrame({"path": [f"file://{tmp_path}/all.csv"], "bytes": [len(text)]})])))
+    assert streamed["sha256"].tolist() == [hashlib.sha256(text).hexdigest()]
+
+
+def test_sketches_merge_to_the_whole(spark):
+    from curatrix.operators import sketches
+
+    rows = spark.range(20_000).select(F.col("id"), (F.col("id") % 3).alias("k"), (F.col("id") * 7 % 10_000).alias("n"), F.when(F.col("id") % 10 == 0, "often").otherwise(F.concat(F.lit("v"), (F.col("id") % 500).cast("string"))).alias("v"))
+    rows = rows.unionByName(rows.limit(5).select(F.lit(None).cast("long").alias("id"), "k", F.lit(None).cast("long").alias("n"), F.lit(None).cast("string").alias("v")))
+    parts = [sketches.sketched(rows.where(F.pmod(F.coalesce("id", F.lit(0)), F.lit(4)) == p), [("k",), ()], "id", "n", "v") for p in range(4)]
+    stored = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    got = {r.k: r for r in sketches.estimates(sketches.merged(stored, "k", "grouped")).collect()}
+    assert set(got) == {None, 0, 1, 2} and got[None].rows == 20_005 and got[0].rows + got[1].rows + got[2].rows == 20_005
+    assert abs(got[None]["distinct"] - 20_000) < 0.07 * 20_000
+    assert all(abs(q - w) < 200 for q, w in zip(got[None]["quantiles"], (1000, 5000, 9000), strict=True))
+    assert got[None]["top"][0]["item"] == "often" and abs(got[None]["top"][0]["count"] - 2000) <= 20_005 / (0.75 * sketches.COUNTERS)
