@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import base_name, stem
-from curatrix.operators.ordered import TotalOrder
+from curatrix.operators.grouping import numbered
 
 
 class Folder:
@@ -104,7 +104,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def _single(df: DataFrame, folder: Folder, name: str, kind: str) -> None:
     """One file of this name, with the rows in order; the same rows give the same bytes."""
-    staging = f"_{name}.parts"
+    staging = f"_{name.replace('/', '_')}.parts"
     writer = df.coalesce(1).write.mode("overwrite")
     (writer.parquet if kind == "parquet" else writer.option("header", True).option("escape", '"').csv)(f"{folder.path}/{staging}")
     part = next(n for n in folder.names(staging) if n.startswith("part-"))
@@ -133,25 +133,21 @@ def write_parts(df: DataFrame, folder: Folder, name: str, *order: str, kind: str
     The order has to tell rows apart. The same rows then give the same files, whatever the number of tasks, and no task sees more than a part.
     No rows: one empty part. CSV parts have no header."""
     staging = f"_{name}.parts"
-    placed = TotalOrder(df, *order, block=rows)
-    cut = placed.rows.withColumn("_part", F.floor(F.col("_row") / rows).cast("int"))
-    n = max(1, -(-placed.n // rows))
-    if placed.n:
-        writer = cut.repartition(n, "_part").sortWithinPartitions("_part", "_row").select(*df.columns, "_part").write.mode("overwrite").partitionBy("_part")
-    else:
-        writer = df.coalesce(1).write.mode("overwrite")
+    placed = numbered(df.withColumn("_order", F.struct(*order)), "_order", "_row").withColumn("_part", F.floor(F.col("_row") / rows).cast("int"))
+    writer = placed.repartition("_part").sortWithinPartitions("_part", "_row").select(*df.columns, "_part").write.mode("overwrite").partitionBy("_part")
     (writer.parquet if kind == "parquet" else writer.option("header", False).option("escape", '"').csv)(f"{folder.path}/{staging}")
     folder.delete(name)
+    folder._fs.mkdirs(folder._p(name))
+    n = len([x for x in folder.names(staging) if x.startswith("_part=")])
     for part in range(n):
-        at = f"{staging}/_part={part}" if placed.n else staging
-        found = [x for x in folder.names(at) if x.startswith("part-")]
-        folder._fs.mkdirs(folder._p(name))
-        if found:
-            folder._fs.rename(folder._p(f"{at}/{found[0]}"), folder._p(f"{name}/part-{part:05d}.{kind}"))
-        else:
-            folder.write_text(f"{name}/part-{part:05d}.{kind}", "")
+        found = next(x for x in folder.names(f"{staging}/_part={part}") if x.startswith("part-"))
+        folder._fs.rename(folder._p(f"{staging}/_part={part}/{found}"), folder._p(f"{name}/part-{part:05d}.{kind}"))
+    if not n and kind == "parquet":
+        _single(df, folder, f"{name}/part-00000.parquet", kind)
+    elif not n:
+        folder.write_text(f"{name}/part-00000.{kind}", "")
     folder.delete(staging)
-    return n
+    return max(n, 1)
 
 
 def join_parts(folder: Folder, parts: str, name: str, head: str = "") -> None:
