@@ -1,5 +1,9 @@
 """Every query of the catalogue gives the rows of its SQL in DuckDB."""
 
+import os
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -31,6 +35,20 @@ def test_query_equals_sql(spark, duck, name):
     assert rows(got) == rows(want)
 
 
+def test_entry_without_the_training_part(tmp_path):
+    """A folder that only caches are left of, or a missing pipeline, takes nothing else away."""
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "curatrix", tmp_path / "curatrix", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "curatrix/llm/__pycache__").mkdir(parents=True)
+    (tmp_path / "corpus_pipeline.py").write_text("from curatrix.llm import language_id\n")
+    for _ in range(2):
+        said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+        assert said.returncode == 0, said.stderr
+        assert said.stdout.split() == [str(len(catalogue.queries()))] * 2 and "left out" in said.stderr
+        (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
+
+
 def test_entry(spark):
     import __spark_entry__
 
