@@ -128,6 +128,15 @@ def published_folder(spark: SparkSession, published: str) -> str | None:
 
 def audit(spark: SparkSession, staged: str, published: str, allow_shrink: bool = False) -> list[quality.Result]:
     """Check the staged files, read anew; raises if they mustn't be published."""
+    return quality.run(*_audited(spark, staged, published, allow_shrink), "dataset")
+
+
+def findings(spark: SparkSession, staged: str, published: str, allow_shrink: bool = False) -> list[quality.Result]:
+    """What the checks of an audit find, whether or not that forbids to publish."""
+    return quality.evaluate(*_audited(spark, staged, published, allow_shrink))
+
+
+def _audited(spark: SparkSession, staged: str, published: str, allow_shrink: bool) -> tuple[list[quality.Check], dict[str, DataFrame]]:
     manifest = read_json(Folder(spark, staged), MANIFEST)
     old = published_folder(spark, published)
     before = read_json(Folder(spark, old), MANIFEST)["rows"][KEPT] if old else None
@@ -135,11 +144,12 @@ def audit(spark: SparkSession, staged: str, published: str, allow_shrink: bool =
     checks = quality.dataset_checks(manifest["pending"], manifest["photos"], before, allow_shrink)
 
     def unlike(t: dict[str, DataFrame]) -> DataFrame:
-        sizes = [df.select(F.lit(name).alias("name"), F.lit(sign).alias("sign")) for name in (KEPT, REJECTED) for df, sign in ((t[name], 1), (read_csv(spark, f"{staged}/{name}.csv"), -1))]
-        return reduce(DataFrame.union, sizes).groupBy("name").agg(F.abs(F.sum("sign")).alias("n")).agg(F.sum("n").alias("violations"))
+        """Rows of a photo that one of the two files has more often than the other."""
+        rows = [df.select(F.lit(name).alias("name"), "photo_id", F.lit(sign).alias("sign")) for name in (KEPT, REJECTED) for df, sign in ((t[name], 1), (read_csv(spark, f"{staged}/{name}.csv"), -1))]
+        return reduce(DataFrame.union, rows).groupBy("name", "photo_id").agg(F.abs(F.sum("sign")).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
 
     checks.append(quality.Check("CSV and Parquet have the same rows", KEPT, unlike))
-    return quality.run(checks, tables, "dataset")
+    return checks, tables
 
 
 def publish(spark: SparkSession, staged: str, published: str, keep: int = 2) -> str:

@@ -387,6 +387,97 @@ def label_flow(spark: SparkSession, d: str) -> DataFrame:
     return logs.read_log(spark, log).select("photo_id", "model", "backend", "vision", "codebook_version", "prompt_tokens", "seconds", "title")
 
 
+_WAVE = 50
+
+
+@_query(f"""+ q AS (SELECT photo_id, photo_id >= '15' AS bad, row_number() OVER (ORDER BY photo_id) - 1 AS place FROM photos_f WHERE image_file IS NOT NULL AND photo_id NOT IN (SELECT photo_id FROM labels_f WHERE photo_id::BIGINT % 4 = 0)),
+  waves(made) AS (SELECT 5 UNION ALL SELECT made + least(made, {_WAVE}) FROM waves WHERE made < (SELECT count(*) FROM q)),
+  tallies AS (SELECT made, count(*) AS n, count(*) FILTER (bad) AS bad FROM waves JOIN q ON place < made GROUP BY made),
+  stop AS (SELECT coalesce(min(n) FILTER (n >= 5 AND 2 * bad >= n), max(n)) AS n FROM tallies)
+SELECT photo_id, stop.n AS made, (SELECT bad FROM tallies WHERE tallies.n = stop.n LIMIT 1) AS failed FROM q, stop WHERE place < stop.n AND NOT q.bad""")
+def label_waves(spark: SparkSession, d: str) -> DataFrame:
+    """A labelling run whose calls all fail from some photo on: what is in the log when the run's tally ends it, and how many calls it made and lost."""
+    photos = _photo_table(spark, d).withColumn("title", F.col("photo_id")).withColumn("date_taken", F.lit(None).cast("timestamp_ntz"))
+    tables, log = _tables(spark, photos=photos, labels=_label_table(spark, d).where(F.col("photo_id").cast("long") % 4 == 0)), f"{Scratch(spark, 'log').path}/log"
+
+    def labeller(prompt: str) -> dict:
+        if prompt.removeprefix("TITLE: ").partition("\n")[0] >= "15":
+            raise OSError("busy")
+        return {"gate_category": KEEP_GATE, "subject": "star", "modality": "image", "instrument": "MIRI", "confidence": "low"}
+
+    try:
+        made, failed = workflows.label(tables, log, labeller, "m", "fake", 10**6, wave=_WAVE), 0
+    except workflows.LabelRunError as e:
+        made, failed = e.made, e.failed
+    return logs.read_log(spark, log).select("photo_id", F.lit(made).cast("long").alias("made"), F.lit(failed).cast("long").alias("failed"))
+
+
+@_query(f"""+ r AS (SELECT photo_id, CASE WHEN photo_id::BIGINT % 5 = 0 THEN 'picture' ELSE gate_category END AS gate_category FROM labels_f)
+(SELECT photo_id, 'gate_category=''picture''' AS problem FROM r WHERE gate_category = 'picture' ORDER BY photo_id LIMIT 10)
+UNION ALL SELECT photo_id, 'as it was' FROM labels_f WHERE photo_id::BIGINT % 5 <> 0""")
+def log_refused(spark: SparkSession, d: str) -> DataFrame:
+    """A log with records outside the codebook: the ten that the error tells, and the labels table, which stays as it was."""
+    tables, log, rows = _tables(spark), f"{Scratch(spark, 'log').path}/log", _log_rows(spark, d)
+    odd = F.col("photo_id").cast("long") % 5 == 0
+    logs.append(rows.where(~odd), log)
+    workflows.load_labels(tables, logs.read_log(spark, log))
+    logs.append(rows.where(odd).withColumn("gate_category", F.lit("picture")), log)
+    told = []
+    try:
+        workflows.load_labels(tables, logs.read_log(spark, log))
+    except logs.LabelLogError as e:
+        told = [tuple(part.split(": ", 1)) for part in str(e).split("; ")]  # ten at most
+    return tables.read("labels", LABELS).select("photo_id", F.lit("as it was").alias("problem")).unionByName(spark.createDataFrame(told, "photo_id string, problem string"))
+
+
+_CELL = """replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;')"""
+_CELLS = " || '</td><td>' || ".join(f"coalesce({_CELL.format(c)}, '')" for c in ("photo_id", "subject", "modality", "instrument", "object_name", "title", "'r'"))
+
+
+@_query(f"""+ s AS (SELECT photo_id, subject, modality, instrument, object_name, title, row_number() OVER (PARTITION BY subject ORDER BY md5(photo_id || '42'), photo_id) AS turn
+  FROM labels_f JOIN photos_f USING (photo_id) WHERE gate_category = '{KEEP_GATE}'), t AS (SELECT * FROM s ORDER BY turn, subject LIMIT 200)
+SELECT row_number() OVER (ORDER BY photo_id) - 1 AS place, '<tr><td>' || {_CELLS} || '</td></tr>' AS html FROM t""")
+def review_page(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a review sheet of 200 kept photos, read from the page that was written; place is a row's place in it."""
+    out = f"{Scratch(spark, 'review').path}/out"
+    keep = X.labels(spark, d).where(F.col("gate_category") == KEEP_GATE).join(X.photos(spark, d).select("photo_id", "title"), "photo_id")
+    keep.write.parquet(f"{out}/kept.parquet")
+    page = spark.read.text(dataset.review_sheet(spark, out, 200), wholetext=True)
+    lines = page.select(F.posexplode(F.filter(F.split("value", "\n"), lambda x: x.startswith("<tr>"))).alias("place", "html"))
+    return lines.select(F.col("place").cast("long").alias("place"), "html")
+
+
+@_query(f"""+ k AS (SELECT photo_id FROM photos_f JOIN labels_f USING (photo_id) WHERE gate_category = '{KEEP_GATE}')
+SELECT 'CSV and Parquet have the same rows' AS name, (SELECT count(*) FROM k WHERE photo_id::BIGINT % 7 = 0) + (SELECT 2 * count(*) FROM k WHERE photo_id::BIGINT % 7 = 1) AS violations""")
+def csv_against_parquet(spark: SparkSession, d: str) -> DataFrame:
+    """The audit of a staged dataset whose CSV lacks some rows and has others under another id: how many rows differ."""
+    at, photos = f"{Scratch(spark, 'differs').path}", X.photos(spark, d)
+    vectors = X.embeddings(spark, d).join(photos.select("photo_id"), "photo_id", "left_semi")
+    dataset.build(spark, f"{at}/staged", photos, _label_table(spark, d), vectors, since=CUTOFF)
+    n = F.col("photo_id").cast("long")
+    rows = spark.read.parquet(f"{at}/staged/kept.parquet").where(n % 7 != 0).select(F.when(n % 7 == 1, F.concat("photo_id", F.lit("x"))).otherwise(F.col("photo_id")).alias("photo_id"), "subject")
+    files.Folder(spark, f"{at}/staged").delete("kept.csv")
+    rows.write.csv(f"{at}/staged/kept.csv", header=True)
+    told = [(r.name, r.violations) for r in dataset.findings(spark, f"{at}/staged", f"{at}/published") if r.name.startswith("CSV")]
+    return spark.createDataFrame(told, "name string, violations long")
+
+
+@_query("""SELECT flow, run, run = 1 AND (SELECT count(*) > 0 FROM customer) AS changed FROM unnest(['ingest', 'embed']) AS f(flow), unnest([1, 2]) AS r(run)""")
+def told_when_changed(spark: SparkSession, d: str) -> DataFrame:
+    """What each flow says of two runs over the same archive: the second one finds nothing new, so nothing after it has to start."""
+    ids = table(spark, d, "customer").select(F.col("c_custkey").alias("pos"), F.col("c_custkey").cast("string").alias("photo_id"))
+    tables, out = _tables(spark), []
+
+    def metadata(photo_id: str) -> str:
+        return json.dumps({"id": photo_id, "title": {"_content": "t"}, "description": {"_content": "d"}, "dates": {"taken": ""}})
+
+    for run in (1, 2):
+        out.append(("ingest", run, workflows.ingest(tables, ids, metadata, lambda i: (f"{i}.jpg", 1), NOW)))
+    for run in (1, 2):
+        out.append(("embed", run, workflows.embed(tables, lambda part: [[float(i), 1.0] for i in part], "m", NOW)))
+    return spark.createDataFrame(out, "flow string, run int, changed boolean")
+
+
 @_query(f"""+ k AS (SELECT photo_id, title, modality, image_bytes, {_RELEASE.format('title')} AS release_group FROM photos_f JOIN labels_f USING (photo_id) WHERE gate_category = '{KEEP_GATE}')
 SELECT photo_id, release_group, row_number() OVER (PARTITION BY release_group ORDER BY {_RANK}, coalesce(image_bytes, 0) DESC, photo_id) = 1 AS is_primary,
   CASE WHEN photo_id::BIGINT % 11 <> 0 THEN 'images/' || photo_id || '.jpg' END AS image_file, row_number() OVER (ORDER BY photo_id) - 1 AS place FROM k""")

@@ -17,6 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from curatrix.functions.text import safe_run_id, user_text
 from curatrix.functions.values import half_even
 from curatrix.operators import planning, quality, state
+from curatrix.operators.grouping import numbered
 from curatrix.operators.state import Tables
 from curatrix.plans import dataset
 from curatrix.schemas import CODEBOOK_VERSION, EMBEDDING_ERRORS, EMBEDDINGS, LABELS, LOG_RECORD, PHOTOS
@@ -118,14 +119,18 @@ def embed(tables: Tables, model: Callable[[list[str]], list], name: str, now: da
 
 
 class LabelRunError(RuntimeError):
-    """Too many calls of a run failed."""
+    """Too many calls of a run failed: how many were made, how many failed, and the first failure seen."""
 
+    def __init__(self, made: int, failed: int, example: str | None) -> None:
+        super().__init__(f"{failed} of {made} calls failed: {example}")
+        self.made, self.failed = made, failed
 
-def label_records(queue: DataFrame, labeller: Callable[..., dict], model: str, backend: str, image: Callable[[str], bytes] | None = None, least: int = 5) -> DataFrame:
+
+def label_records(queue: DataFrame, labeller: Callable[..., dict], model: str, backend: str, image: Callable[[str], bytes] | None = None, least: int | None = 5) -> DataFrame:
     """Log records of a queue of photos, with `error`: one photo's failure is a row, and other calls' results are kept.
 
     labeller reads the prompt text, and with `image` the base64 of image(photo_id), and returns the label's fields and usage. A task in
-    which at least `least` calls were made and half of them failed makes no more."""
+    which at least `least` calls were made and half of them failed makes no more; without `least` all are made."""
 
     def work(frames):
         made = bad = 0
@@ -133,7 +138,7 @@ def label_records(queue: DataFrame, labeller: Callable[..., dict], model: str, b
             rows = []
             for r in frame.itertuples(index=False):
                 row = dict.fromkeys(LOG_RECORD.names) | {"photo_id": r.photo_id, "error": None}
-                if planning.failing(made, bad, least):
+                if least is not None and planning.failing(made, bad, least):
                     row["error"] = "not tried"
                 else:
                     made += 1
@@ -150,21 +155,31 @@ def label_records(queue: DataFrame, labeller: Callable[..., dict], model: str, b
     return asked.mapInPandas(work, StructType([*LOG_RECORD.fields, StructField("error", StringType())])).withColumn("seconds", half_even(F.col("seconds")))
 
 
-def label(tables: Tables, log: str, labeller: Callable[..., dict], model: str, backend: str, limit: int = 100, image: Callable[[str], bytes] | None = None, least: int = 5) -> int:
+def label(tables: Tables, log: str, labeller: Callable[..., dict], model: str, backend: str, limit: int = 100, image: Callable[[str], bytes] | None = None, least: int = 5, wave: int = 10_000) -> int:
     """Label what is neither labelled nor in the log, and append it to the log; returns how many records were added.
 
-    What was paid for is in the log before a run with too many failures ends in an error."""
-    spark = tables.spark
+    Calls are made in waves in the order of the queue: `least`, then as many as were made before, `wave` at most. After each wave its records are
+    in the log, and the tally of the whole run decides whether there is a next one. So however many tasks there are, a run that fails makes at most twice
+    as many calls as it takes to see that, and never more than `wave` beyond."""
+    spark, scratch = tables.spark, Scratch(tables.spark, "labels")
     done = logs.read_log(spark, log).select("photo_id")
-    queue = planning.label_queue(tables.read("photos", PHOTOS), tables.read("labels", LABELS), done, limit)
-    staged = Scratch(spark, "labels").keep(label_records(queue, labeller, model, backend, image, least), "staged")
-    good = staged.where("error is null").drop("error")
-    tally = staged.agg(F.count_if(F.col("error").isNull()).alias("good"), F.count_if(F.col("error") != "not tried").alias("bad"), F.first("error", ignorenulls=True).alias("example")).first()
-    if tally.good:
-        logs.append(good, log)
-    if planning.failing(tally.good + tally.bad, tally.bad, least):
-        raise LabelRunError(f"{tally.bad} of {tally.good + tally.bad} calls failed: {tally.example}")
-    return tally.good
+    queue = planning.label_queue(tables.read("photos", PHOTOS), tables.read("labels", LABELS), done, limit).select("photo_id", "title", "description")
+    queue = scratch.keep(numbered(queue, "photo_id", "place"), "queue")
+    waiting, tasks = queue.count(), spark.sparkContext.defaultParallelism
+    made = bad = 0
+    example = None
+    while made < waiting:
+        size = min(max(made, least, 1), wave)
+        part = queue.where((F.col("place") >= made) & (F.col("place") < made + size)).repartition(min(size, tasks), "photo_id")
+        staged = scratch.keep(label_records(part, labeller, model, backend, image, None), f"wave-{made}")
+        good = staged.where("error is null").drop("error")
+        tally = staged.agg(F.count(F.lit(1)).alias("made"), F.count("error").alias("bad"), F.min("error").alias("example")).first()
+        if tally.made > tally.bad:
+            logs.append(good, log)
+        made, bad, example = made + tally.made, bad + tally.bad, example or tally.example
+        if planning.failing(made, bad, least):
+            raise LabelRunError(made, bad, example)
+    return made - bad
 
 
 def load_labels(tables: Tables, records: DataFrame) -> int:

@@ -461,6 +461,32 @@ def test_a_task_stops_calling_when_half_of_its_calls_fail(spark):
     assert got.count("ValueError: no") == 5 and got.count("not tried") == 45
 
 
+def test_a_run_stops_by_its_own_tally(spark, tmp_path):
+    """However many tasks there are, a run whose calls fail makes few; one whose first calls alone fail goes on to its end."""
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in PHOTOS.fields}
+    ids = spark.range(300).select(F.format_string("%04d", "id").alias("id"))
+    blank |= {"photo_id": F.col("id"), "title": F.col("id"), "image_file": F.concat("id", F.lit(".jpg"))}
+    tables = Tables(spark, f"file://{tmp_path}/t")
+    tables.commit("photos", ids.select(*(c.alias(n) for n, c in blank.items())))
+
+    def labeller(bad):
+        def one(prompt):
+            if bad(int(prompt.removeprefix("TITLE: ")[:4])):
+                raise OSError("busy")
+            return {"gate_category": "astronomical_observation", "subject": "star", "modality": "image", "instrument": "MIRI", "confidence": "low"}
+
+        return one
+
+    log = f"file://{tmp_path}/a"
+    with pytest.raises(workflows.LabelRunError) as told:
+        workflows.label(tables, log, labeller(lambda i: True), "m", "fake", 300)
+    assert (told.value.made, told.value.failed) == (5, 5) and logs.read_log(spark, log).count() == 0
+    with pytest.raises(workflows.LabelRunError) as told:
+        workflows.label(tables, log, labeller(lambda i: i >= 70), "m", "fake", 300, wave=100)
+    assert (told.value.made, told.value.failed) == (160, 90) and logs.read_log(spark, log).count() == 70
+    assert workflows.label(tables, f"file://{tmp_path}/b", labeller(lambda i: i < 2), "m", "fake", 40) == 38
+
+
 def test_label_stream(spark, tmp_path):
     from curatrix.streaming.label_stream import fold_log
 
