@@ -165,6 +165,37 @@ WITH d AS (
 SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 10
 """
 
+#: Prefix, head and value of each match of a kind (0 assign, 1 access, 2 hex), and the least length of its value.
+_EITHER = {w: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")}
+_BASE = (
+    (0, rf"""(?s)(.*?)((?:{"|".join(_EITHER.values())})["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)""", 8), (1, "(?s)(.*?)()(AKIA[A-Z0-9]+)", 16), (2, "(?s)(.*?)()([0-9a-f]+)", 32),
+)
+_PIECES = " UNION ALL ".join(f"SELECT r, {k} AS k, {n} AS least, {', '.join(f"regexp_extract_all(t, '{p}', {i}) AS g{i}" for i in (1, 2, 3))} FROM d" for k, p, n in _BASE)
+
+SECRETS = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), pieces AS (
+  {_PIECES}
+), flat AS (
+  SELECT r, k, least, i, length(g1[i]) AS before, length(g2[i]) AS head, length(g3[i]) AS value FROM pieces, unnest(range(1, len(g1) + 1)) AS u(i)
+), placed AS (
+  SELECT r, k, least, head, value, sum(before + head + value) OVER (PARTITION BY r, k ORDER BY i)::BIGINT AS upto FROM flat
+), told AS (
+  SELECT r, k, upto - head - value AS first, upto FROM placed WHERE value >= least
+)
+SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+  sha256(coalesce(string_agg(['assign', 'access', 'hex'][k + 1] || ':' || first || ':' || upto, ',' ORDER BY first, k), '')) AS base_sha256
+FROM d LEFT JOIN told USING (r) GROUP BY r, doc_id
+"""
+
+#: The vectors with copies of some: scaled, moved a little, and exact ones.
+COPIES = """copies AS (SELECT vec_id, embedding FROM embeddings
+  UNION ALL SELECT vec_id + 1000000000000, list_transform(embedding, lambda x: (3 * x)::FLOAT) FROM embeddings WHERE vec_id % 3 = 0
+  UNION ALL SELECT vec_id + 2000000000000, list_transform(range(1, len(embedding) + 1), lambda i: (embedding[i]::DOUBLE + CASE WHEN i % 8 = vec_id % 8 THEN 0.02 ELSE 0 END)::FLOAT) FROM embeddings WHERE vec_id % 2 = 0
+  UNION ALL SELECT vec_id + 3000000000000, embedding FROM embeddings WHERE vec_id % 5 = 0)"""
+PLANTED = VECTORS.replace("WITH RECURSIVE", f"WITH RECURSIVE {COPIES},").replace("FROM embeddings a JOIN embeddings b", "FROM copies a JOIN copies b").replace("SELECT vec_id, vec_id FROM embeddings UNION", "SELECT vec_id, vec_id FROM copies UNION")
+
 SQL = {
     "op2_benchmark_decontamination": LEAKS,
     "op4_ngram_jaccard_join": JACCARD,
@@ -173,4 +204,6 @@ SQL = {
     "op11_spelling_variants": SPELLING,
     "op12_exact_top_k": TOP_K,
     "op13_ranked_search": RANKED,
+    "secret_base_spans": SECRETS,
+    "embedding_copies": PLANTED,
 }

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curatrix.llm import language_id, secrets, toxicity
 from curatrix.llm.decontaminate import leaks
@@ -77,6 +79,21 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op7 tells of the fixed patterns, which SQL can say as well."""
+    return op7_secret_scans(spark, sf_dir).drop("spans")
+
+
+def embedding_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9 over the vectors and copies of some of them (scaled, moved a little, exact), so that there are links."""
+    rows, n = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id")
+    kind = rows.schema["embedding"].dataType
+    scaled = F.transform("embedding", lambda x: (3 * x).cast("float")).cast(kind)
+    moved = F.transform("embedding", lambda x, i: (x.cast("double") + F.when((i + 1) % 8 == n % 8, 0.02).otherwise(0.0)).cast("float")).cast(kind)
+    parts = [rows.where(chosen).select((n + k * 10**12).alias("vec_id"), v.alias("embedding")) for k, chosen, v in ((1, n % 3 == 0, scaled), (2, n % 2 == 0, moved), (3, n % 5 == 0, F.col("embedding")))]
+    return near_duplicates(spark, reduce(DataFrame.unionByName, parts, rows))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -92,6 +109,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op11_spelling_variants": op11_spelling_variants,
         "op12_exact_top_k": op12_exact_top_k,
         "op13_ranked_search": op13_ranked_search,
+        "secret_base_spans": secret_base_spans,
+        "embedding_copies": embedding_copies,
     }
 
 

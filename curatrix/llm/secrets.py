@@ -2,7 +2,8 @@
 
 Candidates are runs of token characters. In each, and for each character class, the longest runs of the class are searched with the
 threshold of the class, so that what a string is joined to by = or / doesn't decide on it. A window's entropy is kept up by adding the
-character that enters and taking away the one that leaves. An allow list suppresses found spans that only look random.
+character that enters and taking away the one that leaves. An allow list suppresses found spans that only look random: it is asked for each span,
+never for what the span is a part of, and names made of words are told from random letters by their segments, vowels and consonants.
 Positions are code points; texts are searched as UTF-8, in which all patterns are ASCII.
 """
 
@@ -32,14 +33,18 @@ CLASSES = (
     ("base64 without =", re.compile(rb"[0-9A-Za-z+/_-]+"), 3.8),
     ("base64", re.compile(rb"[0-9A-Za-z+/=_-]+"), 3.8),
 )
-#: Strings that are no secrets however random they look.
-ALLOW = (
-    re.compile(rb"[^0-9]*"),
-    re.compile(rb"[0-9+/=_-]*"),
-    re.compile(rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(rb"[A-Za-z]*[-_]?[0-9]{1,10}"),
-    re.compile(rb"([A-Za-z]+[/_-]+)+[A-Za-z]*[0-9]{0,4}"),
-)
+#: Strings that are no secrets however random they look: without a letter, and UUIDs. Words are judged by `wordy`.
+ALLOW = (re.compile(rb"[0-9+/=_-]*"), re.compile(rb"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"))
+#: Words of a name in camel case or with separators; at least so many letters; least share of vowels, most consonants in a row.
+SEGMENT = re.compile(rb"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+LEAST_WORD, LEAST_VOWELS, MOST_CONSONANTS = 3, 0.25, 5
+#: Letters that are written as several and said as one consonant.
+_ONE = re.compile(rb"sch|tch|ch|sh|th|ph|ck|gh", re.IGNORECASE)
+_CONSONANTS = re.compile(rb"[^aeiouy]+", re.IGNORECASE)
+_VOWELS = re.compile(rb"[aeiou]", re.IGNORECASE)
+#: A name's number, and the share of a name's letters that are in words.
+_NUMBER = re.compile(rb"[-_]?[0-9]{1,10}$")
+LEAST_WORDY, FEW_LETTERS = 0.6, 10
 #: Words by which a span says that it is no secret, and filler that takes away the windows that hold it, but no others.
 WORDS = re.compile(rb"example|placeholder|changeme", re.IGNORECASE)
 FILLER = re.compile(rb"xxxx|0000|1234567|abcdef0", re.IGNORECASE)
@@ -111,9 +116,32 @@ def _without(spans: list[tuple[int, int]], fillers: list[tuple[int, int]], windo
     return out
 
 
+def wordy(candidate: bytes) -> np.ndarray:
+    """How many bytes of the candidate's words, as far as they can be said, are before each place.
+
+    Random letters of both cases have few segments that could be words; those of one case have few vowels or many consonants in a row."""
+    out = np.zeros(len(candidate) + 1, np.int64)
+    for m in SEGMENT.finditer(candidate):
+        said = _ONE.sub(b"k", m[0])
+        if len(m[0]) >= LEAST_WORD and len(_VOWELS.findall(m[0])) >= LEAST_VOWELS * len(said) and max(map(len, _CONSONANTS.findall(said)), default=0) <= MOST_CONSONANTS:
+            out[m.start() + 1 : m.end() + 1] = 1
+    return np.cumsum(out)
+
+
+def _is_name(candidate: bytes, a: int, b: int, words: np.ndarray) -> bool:
+    """Whether a span is words, joined in camel case or by separators, and perhaps a number."""
+    number = _NUMBER.search(candidate[a:b])
+    end = a + number.start() if number else b
+    rest = candidate[a:end]
+    if any(0x30 <= c <= 0x39 for c in rest):
+        return False
+    letters = sum(c not in b"+/=_-" for c in rest)
+    return letters <= FEW_LETTERS or int(words[end] - words[a]) >= LEAST_WORDY * letters
+
+
 def entropy_spans(candidate: bytes) -> list[tuple[int, int]]:
-    """Unions of the spans of a candidate that are random for a class, without spans that the allow list has or that are part of a UUID."""
-    if any(a.fullmatch(candidate) for a in ALLOW[:2]):  # then it has all spans
+    """Unions of the spans of a candidate that are random for a class, without spans that the allow list has, that are part of a UUID or that are words."""
+    if ALLOW[0].fullmatch(candidate):  # then it has all spans
         return []
     known, fillers = [m.span() for m in UUID.finditer(candidate)], [m.span() for m in FILLER.finditer(candidate)]
     found: set[tuple[int, int]] = set()
@@ -122,9 +150,12 @@ def entropy_spans(candidate: bytes) -> list[tuple[int, int]]:
             if len(run[0]) >= WINDOW:
                 found |= {(run.start() + a, run.start() + b) for a, b in random_windows(run[0], bits)}
     out: list[tuple[int, int]] = []
+    if not found:
+        return out
+    words = wordy(candidate)
     for a, b in _without([x for x in sorted(found) if not WORDS.search(candidate, *x)], fillers):
         inner = candidate[a:b].strip(b"+/=_-")
-        if any(x.fullmatch(inner) for x in ALLOW) or any(x <= a and b <= y for x, y in known):
+        if any(x.fullmatch(inner) for x in ALLOW) or _is_name(candidate, a, b, words) or any(x <= a and b <= y for x, y in known):
             continue
         out.append((a, b))
     merged: list[tuple[int, int]] = []

@@ -17,6 +17,7 @@ COLUMNS = {
     "op6_": ["doc_id", "held_out", "score", "predicted"], "op7_": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"], "op9_": ["vec_id", "n_links", "component_id", "kept"],
     "op10_": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op11_": ["word", "form", "root", "n", "n_near", "form_n"], "op12_": ["query_id", "rank", "vec_id", "score"], "op13_": ["item_id", "rank", "doc_id", "score"],
+    "secret_": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"], "embedding_": ["vec_id", "n_links", "component_id", "kept"],
 }
 
 
