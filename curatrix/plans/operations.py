@@ -68,11 +68,12 @@ def parquet_sorted(spark: SparkSession, d: str) -> DataFrame:
     """One sorted Parquet file, and sorted ranges of the same rows, each written and read again."""
     rows = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_linenumber", "l_quantity")
     folder = files.Folder(spark, Scratch(spark, "sorted").path)
-    files.write_sorted(rows, folder, "lines.parquet", "l_orderkey")
+    files.write_sorted(rows, folder, "lines.parquet", *rows.columns)  # all columns: rows of one key have one order in both
     files.write_ranged(rows, f"{folder.path}/ranges", "l_orderkey")
-    one = spark.read.parquet(f"{folder.path}/lines.parquet").withColumn("place", F.monotonically_increasing_id())
+    one = files.read_parts(spark, f"{folder.path}/lines.parquet")
     # rows whose place in the file isn't that in the order would not be found again
-    right = grouping.numbered(spark.read.parquet(f"{folder.path}/ranges"), "l_orderkey", "place")
+    ranges = spark.read.parquet(f"{folder.path}/ranges").withColumn("order", F.struct(*rows.columns))
+    right = grouping.numbered(ranges, "order", "place").drop("order")
     return one.join(right, ["l_orderkey", "l_linenumber", "l_quantity", "place"]).drop("place")
 
 
@@ -493,8 +494,8 @@ def dataset_flow(spark: SparkSession, d: str) -> DataFrame:
     # vectors of photos that the fixture lacks would fail the audit
     tables.change("embeddings", EMBEDDINGS, lambda e: e.join(X.photos(spark, d).select("photo_id"), "photo_id", "left_semi").select(*EMBEDDINGS.names))
     workflows.publish_dataset(tables, f"{scratch.path}/staged", published, f"{scratch.path}/log", copy=copy, review=20)
-    rows = spark.read.parquet(f"{dataset.published_folder(spark, published)}/kept.parquet")
-    return rows.select("photo_id", "release_group", "is_primary", "image_file").withColumn("place", F.monotonically_increasing_id())
+    rows = files.read_parts(spark, f"{dataset.published_folder(spark, published)}/kept.parquet")
+    return rows.select("photo_id", "release_group", "is_primary", "image_file", "place")
 
 
 @_query(f"""+ c AS (SELECT count(*) AS photos, count(*) FILTER (gate_category = '{KEEP_GATE}') AS kept, count(*) FILTER (gate_category <> '{KEEP_GATE}') AS by_model,
@@ -532,7 +533,7 @@ def parts_in_order(spark: SparkSession, d: str) -> DataFrame:
     for name, tasks in (("few", 2), ("many", 7)):
         files.write_parts(rows.repartition(tasks), folder, name, "o_orderdate", "o_orderkey", rows=400)
     same = files.checksum(spark, f"{folder.path}/few") == files.checksum(spark, f"{folder.path}/many")
-    part = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).cast("int")
+    part = F.regexp_extract(F.col("_metadata.file_path"), r"/part-(\d+)\.parquet$", 1).cast("int")
     return spark.read.parquet(f"{folder.path}/many").withColumn("part", part).withColumn("same", F.lit(same))
 
 

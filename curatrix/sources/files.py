@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import base_name, stem
@@ -22,10 +22,11 @@ class Folder:
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
+        self._path = spark._jvm.org.apache.hadoop.fs.Path  # each look-up of the class is several calls to the JVM
         self._fs = self._p().getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _p(self, name: str = ""):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
+        return self._path(f"{self.path}/{name}".rstrip("/"))
 
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._p(name))
@@ -35,7 +36,7 @@ class Folder:
 
     def rename(self, to: str) -> None:
         """Move the whole folder to a place where nothing is."""
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(to)
+        target = self._path(to)
         self._fs.mkdirs(target.getParent())
         if self._fs.exists(target) or not self._fs.rename(self._p(), target):
             raise OSError(f"{self.path} can't be moved to {to}")
@@ -68,11 +69,15 @@ def whole_jpeg(content: bytes) -> None:
         raise ImageError("not a whole JPEG file")
 
 
+def _arrow_store(folder: str) -> tuple[pa.fs.FileSystem, str]:
+    return pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
+
+
 def store_file(folder: str, name: str, chunks: Iterable[bytes], expected: int | None = None, check: Callable[[bytes], None] | None = whole_jpeg) -> int:
     """Write a file under a temporary name, check its length and content, then rename it; returns its bytes. For use in tasks.
 
     Nothing is left under the temporary name, whatever happens."""
-    system, root = pa.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
+    system, root = _arrow_store(folder)
     system.create_dir(root, recursive=True)
     part, content = f"{root}/{name}.part", b"".join(chunks)
     try:
@@ -89,6 +94,23 @@ def store_file(folder: str, name: str, chunks: Iterable[bytes], expected: int |
             system.delete_file(part)
 
 
+def delete_files(names: DataFrame, column: str, folder: str) -> int:
+    """Delete the named files of a folder by tasks; returns how many names there were. One that is gone already is no error, since a task may run again."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = _arrow_store(folder)
+        for frame in frames:
+            for name in frame[column]:
+                for at in (f"{root}/{name}", f"{root}/.{name}.crc"):  # with the checksum that Hadoop's local store may have made
+                    try:
+                        system.delete_file(at)
+                    except FileNotFoundError:
+                        continue
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    return names.select(column).mapInPandas(work, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def images(spark: SparkSession, folder: str, pattern: str = "*.jpg") -> DataFrame:
     """image_file, photo_id and length of the images in a folder; contents aren't read."""
     if not Folder(spark, folder).names():
@@ -127,6 +149,47 @@ def write_ranged(df: DataFrame, path: str, *order: str) -> None:
 PART_ROWS = 1_000_000
 
 
+def _move_parts(folder: Folder, staging: str, name: str, kind: str, n: int) -> None:
+    """The only file of each of n folders _part=0, _part=1 ... to its place; by tasks, since there may be very many, where the store is one that tasks can open."""
+    try:
+        _arrow_store(folder.path)
+    except (ValueError, pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        for part in range(n):
+            found = next(x for x in folder.names(f"{staging}/_part={part}") if x.startswith("part-"))
+            folder._fs.rename(folder._p(f"{staging}/_part={part}/{found}"), folder._p(f"{name}/part-{part:05d}.{kind}"))
+        return
+    path = folder.path
+
+    def move(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = _arrow_store(path)
+        for frame in frames:
+            for part in frame["id"]:
+                to = f"{root}/{name}/part-{part:05d}.{kind}"
+                held = system.get_file_info(pa.fs.FileSelector(f"{root}/{staging}/_part={part}"))
+                found = [f.path for f in held if f.base_name.startswith("part-")]
+                if found:
+                    system.move(found[0], to)
+                elif system.get_file_info(to).type == pa.fs.FileType.NotFound:  # else an attempt before this one has moved it
+                    raise FileNotFoundError(f"{staging}/_part={part} has no file")
+                for f in held:  # checksums of a local store
+                    if f.base_name.endswith(".crc") and found:
+                        system.delete_file(f.path)
+            yield frame
+
+    if n:
+        folder.spark.range(n).mapInPandas(move, "id long").write.format("noop").mode("overwrite").save()
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a sorted Parquet file, or of a folder of `write_parts`, with `place`: each row's place in it, from 0, however many tasks read it."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    part = F.coalesce(F.regexp_extract("_file", r"/part-(\d+)\.parquet$", 1).try_cast("int"), F.lit(0))
+    rows = rows.withColumn("_part", part).drop("_file")
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))  # a row for each part
+    ahead = F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(F.broadcast(sizes.select("_part", ahead.alias("_ahead"))), "_part").withColumn("place", F.col("_ahead") + F.col("_index")).drop("_part", "_index", "_ahead")
+
+
 def write_parts(df: DataFrame, folder: Folder, name: str, *order: str, kind: str = "parquet", rows: int = PART_ROWS) -> int:
     """Files part-00000, part-00001 ... of `rows` rows each in a folder of this name, sorted; returns how many.
 
@@ -139,9 +202,7 @@ def write_parts(df: DataFrame, folder: Folder, name: str, *order: str, kind: str
     folder.delete(name)
     folder._fs.mkdirs(folder._p(name))
     n = len([x for x in folder.names(staging) if x.startswith("_part=")])
-    for part in range(n):
-        found = next(x for x in folder.names(f"{staging}/_part={part}") if x.startswith("part-"))
-        folder._fs.rename(folder._p(f"{staging}/_part={part}/{found}"), folder._p(f"{name}/part-{part:05d}.{kind}"))
+    _move_parts(folder, staging, name, kind, n)
     if not n and kind == "parquet":
         _single(df, folder, f"{name}/part-00000.parquet", kind)
     elif not n:
