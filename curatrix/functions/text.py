@@ -7,6 +7,7 @@ Patterns are Unicode-aware; `\\z` is the very end of a string, before which no l
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -33,6 +34,9 @@ DESIGNATION = rf"(?iuU)^({'|'.join(CATALOGUES)})\s*[-–]?\s*J?\s*([0-9][0-9.\-]
 QUALIFIER = r"(?U)\s*[(\[][^)\]]*[)\]]\s*"
 GLOSS = r"(?U)\s*\([^)]*\)\s*\z"
 
+#: An entity with its semicolon.
+_CLOSED = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+
 
 def _text(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
@@ -74,14 +78,20 @@ def html_unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else html.unescape(t))
 
 
-def clean_caption(column: Column) -> Column:
-    """Without tags, then without entities, then without space at the ends."""
-    return strip(html_unescape(F.regexp_replace(_text(column), "<[^>]+>", "")))
+@F.pandas_udf(StringType())
+def html_unescape_closed(texts: pd.Series) -> pd.Series:
+    """Only entities that end with a semicolon; one that isn't closed stays as it is."""
+    return texts.map(lambda t: None if t is None else _CLOSED.sub(lambda m: html.unescape(m[0]), t))
+
+
+def clean_caption(column: Column, closed: bool = False) -> Column:
+    """Without tags, then without entities (closed: only those with their semicolon), then without space at the ends."""
+    return strip((html_unescape_closed if closed else html_unescape)(F.regexp_replace(_text(column), "<[^>]+>", "")))
 
 
-def user_text(title: Column, description: Column, chars: int = CAPTION_CHARS) -> Column:
+def user_text(title: Column, description: Column, chars: int = CAPTION_CHARS, closed: bool = False) -> Column:
     """What a labeller reads; the caption is cleaned before it's cut."""
-    return F.concat(F.lit("TITLE: "), F.coalesce(title, F.lit("None")), F.lit("\n\nCAPTION: "), F.substring(clean_caption(description), 1, chars))
+    return F.concat(F.lit("TITLE: "), F.coalesce(title, F.lit("None")), F.lit("\n\nCAPTION: "), F.substring(clean_caption(description, closed), 1, chars))
 
 
 def named_in(text: Column, names: dict[str, str]) -> Column:
