@@ -15,7 +15,7 @@ from curatrix.operators import planning, quality
 from curatrix.operators.grouping import counts, stratified, with_primary
 from curatrix.operators.similarity import duplicate_groups
 from curatrix.schemas import KEEP_GATE, KEPT_COLUMNS, LAUNCH_DATE, NEAR_DUPLICATE, REJECTED_COLUMNS
-from curatrix.sources.files import Folder, checksum, join_parts, read_csv, read_json, write_json, write_parts
+from curatrix.sources.files import Folder, checksum, delete_files, join_parts, read_csv, read_json, write_json, write_parts
 
 KEPT, REJECTED, MANIFEST, PUBLISHED = "kept", "rejected", "manifest.json", "_PUBLISHED"
 OUTPUTS = ("kept.parquet", "kept.csv", "rejected.parquet", "rejected.csv")
@@ -169,13 +169,10 @@ def publish(spark: SparkSession, staged: str, published: str, keep: int = 2) ->
 
 
 def prune_images(spark: SparkSession, published: str, images: DataFrame) -> int:
-    """Delete copies of photos that aren't kept; returns how many. Names go to the driver in a stream, as deletions do."""
+    """Delete copies of photos that aren't kept; returns how many. Tasks delete, so that no name comes to the driver."""
     keep = spark.read.parquet(f"{published_folder(spark, published)}/kept.parquet").select("photo_id")
-    folder, n = Folder(spark, f"{published}/images"), 0
-    for row in images.join(keep, "photo_id", "left_anti").select("image_file").toLocalIterator():
-        folder.delete(row.image_file)
-        n += 1
-    return n
+    gone = images.join(keep, "photo_id", "left_anti").select("image_file")
+    return delete_files(gone, "image_file", f"{published}/images")
 
 
 def image_tally(states: DataFrame) -> DataFrame:
@@ -200,7 +197,8 @@ def write_images(rows: DataFrame, present: DataFrame, copy: Callable[[str, str],
                     told.append((photo_id, "failed", f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(told, columns=["photo_id", "state", "error"])
 
-    done = states.where("state = 'write'").select("photo_id", "image_file").mapInPandas(work, "photo_id string, state string, error string")
+    todo = states.where("state = 'write'").select("photo_id", "image_file").repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    done = todo.mapInPandas(work, "photo_id string, state string, error string")
     return states.where("state <> 'write'").select("photo_id", "state", F.lit(None).cast("string").alias("error")).unionByName(done)
 
 

@@ -587,7 +587,8 @@ def images_pruned(spark: SparkSession, d: str) -> DataFrame:
                 files.store_file(f"{published}/images", f"{photo_id}.jpg", [b"x"], check=None)
             yield frame
 
-    ids.mapInPandas(write, "photo_id string").write.format("noop").mode("overwrite").save()
+    # few bytes, but a file for each: they are dealt to all tasks
+    ids.repartition(spark.sparkContext.defaultParallelism).mapInPandas(write, "photo_id string").write.format("noop").mode("overwrite").save()
     dataset.prune_images(spark, published, files.images(spark, f"{published}/images"))
     return files.images(spark, f"{published}/images").select("photo_id")
 

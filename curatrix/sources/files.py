@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import hashlib
 import json
 import re
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions.text import base_name, stem
 from curatrix.operators.grouping import numbered
+from curatrix.scratch import Scratch
 
 
 class Folder:
@@ -108,16 +110,37 @@ def delete_files(names: DataFrame, column: str, folder: str) -> int:
                         continue
             yield pd.DataFrame({"n": [len(frame)]})
 
-    return names.select(column).mapInPandas(work, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    dealt = names.select(column).repartition(names.sparkSession.sparkContext.defaultParallelism)  # few bytes, but a deletion for each
+    return dealt.mapInPandas(work, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def images(spark: SparkSession, folder: str, pattern: str = "*.jpg") -> DataFrame:
-    """image_file, photo_id and length of the images in a folder; contents aren't read."""
-    if not Folder(spark, folder).names():
-        return spark.createDataFrame([], "image_file string, photo_id string, length long")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    name = base_name(F.col("path"))
-    return files.select(name.alias("image_file"), stem(name).alias("photo_id"), "length")
+    """image_file, photo_id and length of the images that are in a folder now; contents aren't read.
+
+    A task lists the folder and its rows are written, so no name comes to the driver, and reading them takes tasks by bytes and not by images.
+    Where tasks can't open the store, Spark lists the folder."""
+    kind = "image_file string, photo_id string, length long"
+    if not Folder(spark, folder).exists():
+        return spark.createDataFrame([], kind)
+    try:
+        _arrow_store(folder)
+    except (ValueError, pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        if not Folder(spark, folder).names():
+            return spark.createDataFrame([], kind)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+        name = base_name(F.col("path"))
+        return files.select(name.alias("image_file"), stem(name).alias("photo_id"), "length")
+
+    def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = _arrow_store(folder)
+        for frame in frames:
+            found = system.get_file_info(pa.fs.FileSelector(root)) if len(frame) else []
+            for at in range(0, len(found), 10_000):
+                named = [(f.base_name, f.size) for f in found[at : at + 10_000] if f.type == pa.fs.FileType.File and f.base_name[0] not in "._" and fnmatch.fnmatchcase(f.base_name, pattern)]
+                yield pd.DataFrame(named, columns=["image_file", "length"]).astype({"image_file": object, "length": "int64"})
+
+    found = spark.range(1).coalesce(1).mapInPandas(listed, "image_file string, length long")
+    return Scratch(spark, "listed").keep(found.select("image_file", stem(F.col("image_file")).alias("photo_id"), "length"), "images")
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:

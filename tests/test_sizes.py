@@ -65,3 +65,15 @@ def test_entities_without_semicolon(spark):
     rows = spark.createDataFrame([("a &amp{b} &amp; &copy &copy; &#39 &#39; &#x41; &nbsp",)], "t string")
     said = rows.select(T.clean_caption(F.col("t"), closed=True), T.clean_caption(F.col("t"))).first()
     assert tuple(said) == ("a &amp{b} & &copy © &#39 ' A &nbsp", "a &{b} & © © ' ' A")
+
+
+def test_images_are_listed_by_a_task_and_as_they_were(spark):
+    folder = f"{Scratch(spark, 'listed').path}/images"
+    assert files.images(spark, folder).isEmpty()
+    for i in range(60):
+        files.store_file(folder, f"{i}.jpg", [b"x" * i], check=None)
+    files.store_file(folder, "note.txt", [b""], check=None)
+    found = files.images(spark, folder)
+    assert found.rdd.getNumPartitions() <= 4  # not one for every few images
+    files.store_file(folder, "later.jpg", [b"x"], check=None)
+    assert sorted((r.image_file, r.photo_id, r.length) for r in found.collect()) == sorted((f"{i}.jpg", str(i), i) for i in range(60))
