@@ -77,3 +77,17 @@ def test_images_are_listed_by_a_task_and_as_they_were(spark):
     assert found.rdd.getNumPartitions() <= 4  # not one for every few images
     files.store_file(folder, "later.jpg", [b"x"], check=None)
     assert sorted((r.image_file, r.photo_id, r.length) for r in found.collect()) == sorted((f"{i}.jpg", str(i), i) for i in range(60))
+
+
+def test_events_of_one_moment_meet_a_span_once(spark, tmp_path, monkeypatch):
+    from curatrix.operators import ordered
+    from curatrix.plans import operations
+
+    at = F.timestamp_seconds(1_700_000_000 + F.col("id") % 5 * 3600).cast("timestamp_ntz")
+    rows = spark.range(500).select(F.col("id").alias("event_id"), at.alias("ts"), F.when(F.col("id") % 2 == 0, "purchase").otherwise("view").alias("event_type"))
+    rows.write.parquet(f"file://{tmp_path}/events.parquet")
+    met = []
+    monkeypatch.setattr(ordered, "in_ranges", lambda *a, f=ordered.in_ranges: met.append(f(*a)) or met[-1])
+    got = {r.span: (r.n, r.first) for r in operations.events_within(spark, f"file://{tmp_path}").collect()}
+    assert met[0].count() <= 5 * 6  # moments and spans, not 500 events and 252 spans
+    assert len(got) == 252 and got[0] == (200, 0) and got[8] == (200, 3) and got[14] == (100, 4) and got[-2] == (400, 0)
