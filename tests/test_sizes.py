@@ -6,6 +6,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
+from curatrix.operators import similarity
 from curatrix.plans import dataset
 from curatrix.scratch import Scratch
 from curatrix.sources import files
@@ -91,3 +92,25 @@ def test_events_of_one_moment_meet_a_span_once(spark, tmp_path, monkeypatch):
     got = {r.span: (r.n, r.first) for r in operations.events_within(spark, f"file://{tmp_path}").collect()}
     assert met[0].count() <= 5 * 6  # moments and spans, not 500 events and 252 spans
     assert len(got) == 252 and got[0] == (200, 0) and got[8] == (200, 3) and got[14] == (100, 4) and got[-2] == (400, 0)
+
+
+def test_pairs_of_near_copies_are_told_in_parts_and_their_vectors_travel_once(spark, monkeypatch):
+    """As many pairs as there are in a group of near copies are never in one table, and don't each bring two vectors along."""
+    import numpy as np
+    import pandas as pd
+
+    monkeypatch.setattr(similarity, "PAIRS", 1000)
+    monkeypatch.setattr(similarity, "CELLS", 5000)
+    x = np.repeat(np.random.default_rng(3).normal(size=(2, 16)), 60, axis=0) + 0.01 * np.random.default_rng(4).normal(size=(120, 16))
+    one = pd.DataFrame({"id": np.arange(120).astype(object), "vector": list(x)})
+    sketched = next(similarity._sketched(iter([one]), np.ones((1, 16)))).assign(lo=0, hi=0, side=0)
+    parts = list(similarity._open_pairs(sketched, 0.95, False))
+    assert len(parts) > 3 and max(map(len, parts)) <= 2000 and sum(map(len, parts)) == 60 * 59
+    assert len({int(p["part"].iloc[0]) for p in parts}) == len(parts)
+    v = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>")
+    found = {(r.a, r.b) for r in similarity.cosine_pairs(v, "id", "v", 0.95, block=50).collect()}
+    assert found == {(i, j) for i in range(120) for j in range(i + 1, 120) if i // 60 == j // 60}
+    held = []
+    monkeypatch.setattr(similarity, "_unit", lambda vectors, dims, f=similarity._unit: held.append(len(vectors)) or f(vectors, dims))
+    pairs = pd.concat(parts)
+    assert len(similarity._exact(pairs, one, 0.95)) == 60 * 59 and held == [120]  # not two vectors a pair
