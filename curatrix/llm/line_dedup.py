@@ -10,16 +10,19 @@ a hash agree in fewer than LEAST_AGREE places.
 
 Every line is first compared with the smallest line of its buckets, which joins nearly all of a large group at a cost in proportion
 to its size. A bucket of three lines or more is open if its lines are still in different groups; only in open buckets, lines of
-different groups are then compared with one another, in parts that don't grow with the bucket.
+different groups are then compared with one another, in parts that don't grow with the bucket. That joins most of what belongs together;
+in buckets that are still open, all lines of different groups whose fingerprints are near are then compared, in tiles of TILE lines, so that no partner is lost.
 """
 
 from __future__ import annotations
 
 import os.path
+from collections.abc import Iterator
 from functools import partial, reduce
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +46,8 @@ BROADCAST_KEYS = 20_000
 FILTER_BITS = 1 << 26
 #: An open bucket of so many lines is compared pair by pair; larger ones are divided, in so many rounds.
 LEAF, ROUNDS = 8, 8
+#: Lines on each side of a tile of a bucket whose lines are all compared.
+TILE = 1024
 #: Code points of the longest lines whose distance is computed in a band of the table.
 LONG_LINE = 100
 
@@ -223,9 +228,13 @@ def may_be_similar(a: list[str], b: list[str]) -> np.ndarray:
     number = {x: i for i, x in enumerate(dict.fromkeys([*a, *b]))}
     counts, lengths = _letters(list(number)), np.fromiter(map(len, number), np.int64, len(number))
     x, y = np.fromiter((number[p] for p in a), np.int64, len(a)), np.fromiter((number[p] for p in b), np.int64, len(b))
+    return _letters_allow(counts, lengths, x, y)
+
+
+def _letters_allow(counts: np.ndarray, lengths: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     most = np.maximum(lengths[x], lengths[y]) * (100 - SIMILARITY) // 100
     apart = counts[x] - counts[y]
-    out = np.ones(len(a), bool)
+    out = np.ones(len(x), bool)
     for part, times in ((apart[:, :64], 1), (apart[:, 64:], 2)):
         out &= (np.maximum(part, 0).sum(axis=1) <= times * most) & (np.maximum(-part, 0).sum(axis=1) <= times * most)
     return out
@@ -256,15 +265,20 @@ def _near(a, b, len_a, len_b, grams: bool) -> "F.Column":
     return (F.bit_count(apart) <= (BANDS * ROWS - LEAST_AGREE if grams else RADIUS)) & (F.abs(len_a - len_b) * 100 <= F.greatest(len_a, len_b) * (100 - SIMILARITY))
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The pairs (x, y) of line keys whose lines have the edit similarity. Each line is read from one text that holds it.
+def _texts_of(spark: SparkSession, keys: DataFrame, docs: DataFrame, rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(key, line) of the line keys. Each line is read from one text that holds it.
 
     Which texts and lines those are, tasks learn from two bitmaps of a fixed size; what gets through by chance is joined away."""
-    keys = scratch.keep(pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct(), f"{name}-keys")
     held = rows.select("row_key", F.explode("keys").alias("key")).join(_bounded(keys), "key", "left_semi").groupBy("key").agg(F.min("row_key").alias("row_key"))
     marks = [spark.sparkContext.broadcast(_bits(df, c)) for df, c in ((held, "row_key"), (keys, "key"))]
     lines = docs.select("row_key", "text").where("text is not null").mapInArrow(partial(_texts, rows=marks[0], keys=marks[1]), "key long, line string")
-    lines = scratch.keep(lines.join(_bounded(keys), "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")), f"{name}-lines")
+    return scratch.keep(lines.join(_bounded(keys), "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")), f"{name}-lines")
+
+
+def _verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, rows: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The pairs (x, y) of line keys whose lines have the edit similarity."""
+    keys = scratch.keep(pairs.select(F.col("x").alias("key")).unionByName(pairs.select(F.col("y").alias("key"))).distinct(), f"{name}-keys")
+    lines = _texts_of(spark, keys, docs, rows, scratch, name)
     a, b = lines.select(F.col("key").alias("x"), F.col("line").alias("a")), lines.select(F.col("key").alias("y"), F.col("line").alias("b"))
     counted = lambda c: pairs.groupBy(c).agg(F.count(F.lit(1)).alias("size"))
     both = salted_join(salted_join(pairs, a, ["x"], counted("x"), "y"), b, ["y"], counted("y"), "x")
@@ -315,11 +329,14 @@ def line_groups(spark: SparkSession, docs: DataFrame, scratch: Scratch, grams: b
     open_ = scratch.keep(salted_join(parts.drop("size"), ends, ["bucket"], ends, "key"), "opened")
     others = scratch.keep(_met_in_leaves(open_, scratch, grams), "others")
     if not others.isEmpty():
-        labels = _relabelled(spark, labels, _verified(spark, others, docs, rows, scratch, "more"), scratch)
+        labels = _relabelled(spark, labels, _verified(spark, others, docs, rows, scratch, "more"), scratch, "labels")
+    rest = _met_in_tiles(spark, open_.where(F.col("size") > LEAF), labels, docs, rows, scratch, grams)
+    if rest is not None:
+        labels = _relabelled(spark, labels, rest, scratch, "all-labels")
     return rows.select("doc_id", "row_key", "keys"), labels
 
 
-def _relabelled(spark: SparkSession, labels: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
+def _relabelled(spark: SparkSession, labels: DataFrame, more: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(key, label) after further links (x, y): only the groups that these join are looked at."""
     ends = labels.select(F.col("key").alias("k"), "label")
     ends = _bounded(ends)
@@ -328,7 +345,68 @@ def _relabelled(spark: SparkSession, labels: DataFrame, more: DataFrame, scratch
     joined = components(spark, both, "p", "q").select("node", F.col("label").alias("to"))
     old = labels.join(_bounded(joined), F.col("label") == F.col("node"), "left").select("key", F.coalesce("to", "label").alias("label"))
     new = joined.join(labels.select("key"), F.col("node") == F.col("key"), "left_anti").select(F.col("node").alias("key"), F.col("to").alias("label"))
-    return scratch.keep(old.unionByName(new), "labels")
+    return scratch.keep(old.unionByName(new), name)
+
+
+def _linked(frame: pd.DataFrame, grams: bool) -> pd.DataFrame:
+    """Links (x, y) between lines of different parts of a tile: of near lines with the edit similarity, those that join what isn't joined yet."""
+    left, right = np.flatnonzero(frame["side"] == 0), np.flatnonzero(frame["side"] == 1)
+    within = frame["lo"].iloc[0] == frame["hi"].iloc[0]
+    right = left if within else right
+    sims, keys, lines = frame["sim"].to_numpy().view(np.uint64), frame["key"].to_numpy(), frame["line"].tolist()
+    part, lengths = pd.factorize(frame["part"])[0], np.fromiter(map(len, lines), np.int64, len(lines))
+    parent, found, counts = list(range(int(part.max()) + 1)), [], None
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    for at in range(0, len(left), 256):
+        x, y = left[at : at + 256, None], right[None, :]
+        apart = sims[x] ^ sims[y]
+        if grams:
+            apart = reduce(np.bitwise_or, (apart >> np.uint64(k) for k in range(SKETCH_BITS))) & np.uint64(sum(1 << (SKETCH_BITS * k) for k in range(BANDS * ROWS)))
+        near = (np.bitwise_count(apart) <= (BANDS * ROWS - LEAST_AGREE if grams else RADIUS)) & (part[x] != part[y])
+        near &= np.abs(lengths[x] - lengths[y]) * 100 <= np.maximum(lengths[x], lengths[y]) * (100 - SIMILARITY)
+        if within:
+            near &= x < y
+        i, j = np.nonzero(near)
+        x, y = left[at + i], right[j]
+        counts = _letters(lines) if counts is None and len(x) else counts
+        for k in range(0, len(x), 4096):
+            p, q = x[k : k + 4096], y[k : k + 4096]
+            may = _letters_allow(counts, lengths, p, q)
+            for m, n in zip(p[may].tolist(), q[may].tolist(), strict=True):
+                g, h = root(part[m]), root(part[n])
+                if g != h and similar(lines[m], lines[n]):
+                    parent[max(g, h)] = min(g, h)
+                    found.append((min(keys[m], keys[n]), max(keys[m], keys[n])))
+    return pd.DataFrame(found, columns=["x", "y"], dtype=np.int64)
+
+
+def _met_in_tiles(spark: SparkSession, lines: DataFrame, labels: DataFrame, docs: DataFrame, rows: DataFrame, scratch: Scratch, grams: bool) -> DataFrame | None:
+    """Links (x, y) that join all lines of one bucket that are near and have the edit similarity; None if all buckets are closed.
+
+    All lines of different parts of a bucket meet, in tiles of TILE by TILE lines that any number of tasks take. This grows with the square
+    of a bucket whose lines share a band without being copies of one another."""
+    parts = lines.select("bucket", "key", "sim").join(_bounded(labels), "key", "left").select("bucket", "key", "sim", F.coalesce("label", "key").alias("part"))
+    parts = scratch.keep(parts, "rest")
+    ends = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("bucket", "size")
+    ends = scratch.keep(ends, "still-open")
+    if ends.isEmpty():
+        return None
+    still = scratch.keep(salted_join(parts, ends, ["bucket"], ends, "key"), "still-opened")
+    texts = _texts_of(spark, scratch.keep(still.select("key").distinct(), "rest-keys"), docs, rows, scratch, "rest")
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    dealt = still.withColumn("own", F.pmod(F.xxhash64("key"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+    dealt = dealt.select("bucket", "key", "sim", "part", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    of = salted_join(dealt, texts, ["key"], dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "lo")
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield _linked(pd.concat(list(frames), ignore_index=True), grams)
+
+    return scratch.keep(of.groupBy("bucket", "lo", "hi").applyInPandas(compare, "x long, y long").distinct(), "rest-edges")
 
 
 def _masks(rounds: int) -> list[list[int]]:
@@ -346,7 +424,7 @@ def _met_in_leaves(parts: DataFrame, scratch: Scratch, grams: bool) -> DataFrame
     In buckets of LEAF lines at most, all such pairs. Larger ones are divided, in each of ROUNDS rounds, by what sketches have at some
     places, as many as leave LEAF / 2 lines together if sketches were random; lines that belong together agree there in most rounds.
     Parts of LEAF lines at most are compared pair by pair, the lines of larger ones with one of them, which is another in every
-    round. So the work grows with the lines, never with the square of a bucket."""
+    round. So the work grows with the lines, never with the square of a bucket. What this misses `_met_in_tiles` finds."""
     masks = _masks(ROUNDS)
     depth = F.least(F.greatest(F.ceil(F.log2(F.col("size") / (LEAF / 2)) / SKETCH_BITS), F.lit(1)), F.lit(len(masks[0]))).cast("int")
     rounds = F.array(*(F.xxhash64("bucket", F.lit(k), F.col("sim").bitwiseAND(F.element_at(F.array(*map(F.lit, row)), depth))) for k, row in enumerate(masks)))

@@ -507,3 +507,20 @@ def test_lines_of_a_very_large_bucket(spark):
     texts = list(enumerate(base + copies))
     got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark, documents(spark, texts), grams=True).collect()}
     assert sum(got[i] for i in range(1500, 1800)) >= 290 and sum(got[i] for i in range(1500)) == 0
+
+
+def test_lines_that_the_leaves_miss_are_found(spark, monkeypatch):
+    """Whatever the divided buckets find, lines of one bucket that belong together are linked as if all were compared."""
+    rng = np.random.default_rng(33)
+    shared = " ".join(rng.choice(WORDS, 40))
+    base = [f"{shared} {prose(7000 + i, 12)}" for i in range(60)]
+    docs = documents(spark, list(enumerate(base + [edited(b, 45) for b in base[:30]])))
+    monkeypatch.setattr(line_dedup, "LEAF", 10_000)
+    want = sorted(map(tuple, line_dedup.dedup_lines(spark, docs, grams=True).collect()))
+    monkeypatch.setattr(line_dedup, "_met_in_leaves", lambda parts, scratch, grams, f=line_dedup._met_in_leaves: f(parts, scratch, grams).limit(0))
+    monkeypatch.setattr(line_dedup, "LEAF", 2)
+    monkeypatch.setattr(line_dedup, "TILE", 32, raising=False)
+    assert sorted(map(tuple, line_dedup.dedup_lines(spark, docs, grams=True).collect())) == want
+    monkeypatch.setattr(line_dedup, "_met_in_tiles", lambda *a: None)
+    few = line_dedup.dedup_lines(spark, docs, grams=True).agg({"n_removed": "sum"}).first()[0]
+    assert few < sum(r[2] for r in want)  # so the leaves' misses were there to be found
