@@ -510,7 +510,7 @@ def manifest_file(spark: SparkSession, d: str) -> DataFrame:
     m = files.read_json(files.Folder(spark, f"{scratch.path}/0"), dataset.MANIFEST)
     same = sum(made[1]["sha256"][k] == v for k, v in m["sha256"].items())
     rows = [("kept", m["rows"]["kept"]), ("rejected", m["rows"]["rejected"]), ("photos", m["photos"]), ("pending", m["pending"])]
-    rows += [(f"rejected by {k}", v) for k, v in m["rejected_by"].items()] + [("labels", m["labels"]), ("same bytes", same)]
+    rows += [(f"rejected by {k}", m["rejected_by"].get(k, 0)) for k in ("model", "rule")] + [("labels", m["labels"]), ("same bytes", same)]  # the manifest has no class without rows
     return spark.createDataFrame(rows, "what string, n long")
 
 

@@ -114,3 +114,12 @@ def test_pairs_of_near_copies_are_told_in_parts_and_their_vectors_travel_once(sp
     monkeypatch.setattr(similarity, "_unit", lambda vectors, dims, f=similarity._unit: held.append(len(vectors)) or f(vectors, dims))
     pairs = pd.concat(parts)
     assert len(similarity._exact(pairs, one, 0.95)) == 60 * 59 and held == [120]  # not two vectors a pair
+
+
+def test_a_manifest_tells_classes_without_rows_as_the_sql_does(spark, monkeypatch):
+    from curatrix.plans import operations
+
+    told = {"rows": {"kept": 3, "rejected": 0}, "photos": 4, "pending": 1, "rejected_by": {}, "labels": 3, "sha256": dict.fromkeys("abcd", "0")}
+    monkeypatch.setattr(dataset, "build", lambda spark, out, *a, **k: files.write_json(files.Folder(spark, out), dataset.MANIFEST, told) or told)
+    got = dict(map(tuple, operations.manifest_file(spark, "/root/testdata/sf0.001").collect()))
+    assert got["rejected by model"] == 0 and got["rejected by rule"] == 0 and got["same bytes"] == 4
