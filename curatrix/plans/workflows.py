@@ -6,7 +6,8 @@ The models and the archive's transport are passed in; a flow returns whether som
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pandas as pd
@@ -126,6 +127,10 @@ class LabelRunError(RuntimeError):
         self.made, self.failed = made, failed
 
 
+#: Waves of so many calls at most share a job, and so many calls at most are made in such a job.
+SMALL_WAVE, LANE = 1_000, 10_000
+
+
 def label_records(queue: DataFrame, labeller: Callable[..., dict], model: str, backend: str, image: Callable[[str], bytes] | None = None, least: int | None = 5) -> DataFrame:
     """Log records of a queue of photos, with `error`: one photo's failure is a row, and other calls' results are kept.
 
@@ -137,29 +142,67 @@ def label_records(queue: DataFrame, labeller: Callable[..., dict], model: str, b
         for frame in frames:
             rows = []
             for r in frame.itertuples(index=False):
-                row = dict.fromkeys(LOG_RECORD.names) | {"photo_id": r.photo_id, "error": None}
                 if least is not None and planning.failing(made, bad, least):
-                    row["error"] = "not tried"
-                else:
-                    made += 1
-                    try:
-                        got = labeller(r.prompt, base64.b64encode(image(r.photo_id)).decode()) if image else labeller(r.prompt)
-                        row |= {f.name: got.get(f.name) for f in LOG_RECORD.fields} | {"photo_id": r.photo_id, "title": r.title, "model": model, "backend": backend, "vision": image is not None, "codebook_version": CODEBOOK_VERSION}
-                    except Exception as e:  # noqa: BLE001  told in the row
-                        bad += 1
-                        row["error"] = f"{type(e).__name__}: {e}"
-                rows.append(row)
-            yield pd.DataFrame(rows, columns=[*LOG_RECORD.names, "error"]).astype({c: "Int32" for c in ("prompt_tokens", "output_tokens", "cache_read_tokens")} | {"vision": "boolean"})
-
-    asked = queue.select("photo_id", "title", user_text(F.col("title"), F.col("description")).alias("prompt"))
-    return asked.mapInPandas(work, StructType([*LOG_RECORD.fields, StructField("error", StringType())])).withColumn("seconds", half_even(F.col("seconds")))
+                    rows.append(dict.fromkeys(LOG_RECORD.names) | {"photo_id": r.photo_id, "error": "not tried"})
+                    continue
+                rows.append(_called(r, labeller, model, backend, image))
+                made, bad = made + 1, bad + (rows[-1]["error"] is not None)
+            yield _record_frame(rows)
+
+    return _asked(queue).mapInPandas(work, _RECORD_OR_ERROR).withColumn("seconds", half_even(F.col("seconds")))
+
+
+_RECORD_OR_ERROR = StructType([*LOG_RECORD.fields, StructField("error", StringType())])
+
+
+def _asked(queue: DataFrame, *more: str) -> DataFrame:
+    return queue.select(*more, "photo_id", "title", user_text(F.col("title"), F.col("description")).alias("prompt"))
+
+
+def _called(r, labeller: Callable[..., dict], model: str, backend: str, image: Callable[[str], bytes] | None) -> dict:
+    """The record of one call; a failure is its error."""
+    row = dict.fromkeys(LOG_RECORD.names) | {"photo_id": r.photo_id, "error": None}
+    try:
+        got = labeller(r.prompt, base64.b64encode(image(r.photo_id)).decode()) if image else labeller(r.prompt)
+        return row | {f.name: got.get(f.name) for f in LOG_RECORD.fields} | {"photo_id": r.photo_id, "title": r.title, "model": model, "backend": backend, "vision": image is not None, "codebook_version": CODEBOOK_VERSION}
+    except Exception as e:  # noqa: BLE001  told in the row
+        return row | {"error": f"{type(e).__name__}: {e}"}
+
+
+def _record_frame(rows: list[dict]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=[*LOG_RECORD.names, "error"]).astype({c: "Int32" for c in ("prompt_tokens", "output_tokens", "cache_read_tokens")} | {"vision": "boolean"})
+
+
+def _lane(part: DataFrame, sizes: list[int], made: int, bad: int, least: int, calls: int, labeller: Callable[..., dict], model: str, backend: str, image: Callable[[str], bytes] | None) -> DataFrame:
+    """Records, with `error`, of waves of these sizes, one after the other in one task, `calls` calls at a time, until the run's tally says stop.
+
+    part has the rows of all these waves; made and bad are the run's tally so far. What isn't called has no row."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done, failed, left, waiting = made, bad, iter(sizes), []
+        size = next(left)
+        with ThreadPoolExecutor(calls) as pool:
+            for frame in frames:
+                waiting += frame.itertuples(index=False)
+                while size and len(waiting) >= size and not planning.failing(done, failed, least):
+                    rows = list(pool.map(lambda r: _called(r, labeller, model, backend, image), waiting[:size]))
+                    waiting, done, failed = waiting[size:], done + size, failed + sum(r["error"] is not None for r in rows)
+                    size = next(left, 0)
+                    yield _record_frame(rows)
+                if planning.failing(done, failed, least):
+                    return
+
+    one = part.coalesce(1).sortWithinPartitions("place")
+    return _asked(one).mapInPandas(work, _RECORD_OR_ERROR).withColumn("seconds", half_even(F.col("seconds")))
 
 
 def label(tables: Tables, log: str, labeller: Callable[..., dict], model: str, backend: str, limit: int = 100, image: Callable[[str], bytes] | None = None, least: int = 5, wave: int = 10_000) -> int:
     """Label what is neither labelled nor in the log, and append it to the log; returns how many records were added.
 
-    Calls are made in waves in the order of the queue: `least`, then as many as were made before, `wave` at most. After each wave its records are
-    in the log, and the tally of the whole run decides whether there is a next one. So however many tasks there are, a run that fails makes at most twice
+    Calls are made in waves in the order of the queue: `least`, then as many as were made before, `wave` at most. After each wave
+    the tally of the whole run decides whether there is a next one. Waves of more than SMALL_WAVE calls are dealt to all tasks and are in the log before the next
+    one; smaller ones follow one another in one task, that makes as many calls at a time as there are tasks (labeller and image have to bear that), and are in
+    the log after LANE calls at most. So however many tasks there are, a run that fails makes at most twice
     as many calls as it takes to see that, and never more than `wave` beyond."""
     spark, scratch = tables.spark, Scratch(tables.spark, "labels")
     done = logs.read_log(spark, log).select("photo_id")
@@ -169,9 +212,17 @@ def label(tables: Tables, log: str, labeller: Callable[..., dict], model: str, b
     made = bad = 0
     example = None
     while made < waiting:
-        size = min(max(made, least, 1), wave)
-        part = queue.where((F.col("place") >= made) & (F.col("place") < made + size)).repartition(min(size, tasks), "photo_id")
-        staged = scratch.keep(label_records(part, labeller, model, backend, image, None), f"wave-{made}")
+        sizes, ahead = [], made
+        while ahead < waiting and (size := min(max(ahead, least, 1), wave)) <= SMALL_WAVE and ahead + size - made <= LANE:
+            sizes.append(min(size, waiting - ahead))
+            ahead += sizes[-1]
+        size = ahead - made if sizes else size
+        part = queue.where((F.col("place") >= made) & (F.col("place") < made + size))
+        if sizes:
+            records = _lane(part, sizes, made, bad, least, tasks, labeller, model, backend, image)
+        else:
+            records = label_records(part.repartition(min(size, tasks), "photo_id"), labeller, model, backend, image, None)
+        staged = scratch.keep(records, f"wave-{made}")
         good = staged.where("error is null").drop("error")
         tally = staged.agg(F.count(F.lit(1)).alias("made"), F.count("error").alias("bad"), F.min("error").alias("example")).first()
         if tally.made > tally.bad:

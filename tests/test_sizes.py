@@ -123,3 +123,29 @@ def test_a_manifest_tells_classes_without_rows_as_the_sql_does(spark, monkeypatc
     monkeypatch.setattr(dataset, "build", lambda spark, out, *a, **k: files.write_json(files.Folder(spark, out), dataset.MANIFEST, told) or told)
     got = dict(map(tuple, operations.manifest_file(spark, "/root/testdata/sf0.001").collect()))
     assert got["rejected by model"] == 0 and got["rejected by rule"] == 0 and got["same bytes"] == 4
+
+
+def test_small_waves_share_a_job_and_end_where_they_did(spark, monkeypatch):
+    """260 calls in waves of 5, 5 and 10 at most, of which all fail from the 100th on: as many calls and records as wave by wave, in one append."""
+    import pytest
+
+    from curatrix.operators.state import Tables
+    from curatrix.plans import workflows
+    from curatrix.schemas import LABELS, PHOTOS
+    from curatrix.sources import logs
+
+    def labeller(prompt):
+        if prompt.removeprefix("TITLE: ")[:3] >= "100":
+            raise OSError("busy")
+        return {"gate_category": "x"}
+
+    made = {"photo_id": F.format_string("%03d", "id"), "title": F.format_string("%03d", "id"), "image_file": F.lit("x.jpg")}
+    photos = spark.range(260).select(*(made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PHOTOS.fields))
+    tables, log = Tables(spark, f"{Scratch(spark, 'waves').path}/tables"), f"{Scratch(spark, 'waves').path}/log"
+    tables.commit_all({"photos": photos, "labels": spark.createDataFrame([], LABELS)})
+    appended = []
+    monkeypatch.setattr(logs, "append", lambda records, folder, f=logs.append: appended.append(folder) or f(records, folder))
+    with pytest.raises(workflows.LabelRunError) as told:
+        workflows.label(tables, log, labeller, "m", "fake", 1000, wave=10)
+    assert (told.value.made, told.value.failed) == (200, 100) and len(appended) == 1
+    assert sorted(r.photo_id for r in logs.read_log(spark, log).collect()) == [f"{i:03d}" for i in range(100)]
