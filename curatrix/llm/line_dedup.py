@@ -46,8 +46,10 @@ BROADCAST_KEYS = 20_000
 FILTER_BITS = 1 << 26
 #: An open bucket of so many lines is compared pair by pair; larger ones are divided, in so many rounds.
 LEAF, ROUNDS = 8, 8
-#: Lines on each side of a tile of a bucket whose lines are all compared.
-TILE = 1024
+#: Lines on each side of a tile of a bucket whose lines are all compared, and pairs whose texts are compared at once.
+TILE, PAIRS = 1024, 4096
+#: Cells of a table that distances are told with at once: code points of the texts, or words of the marks of patterns.
+CELLS = 1 << 21
 #: Code points of the longest lines whose distance is computed in a band of the table.
 LONG_LINE = 100
 
@@ -240,12 +242,88 @@ def _letters_allow(counts: np.ndarray, lengths: np.ndarray, x: np.ndarray, y: np
     return out
 
 
+def _distances(lines: list[str], x: np.ndarray, y: np.ndarray, words: int, most: int) -> np.ndarray:
+    """Levenshtein distances, in code points, of lines[x] and lines[y], all pairs at once; where one is above `most`, any number above that.
+
+    x: longest first, none shorter than its y; the ys have more than 64 * (words - 1) code points and 64 * words at most. Columns are bit-parallel as in `edit_distance`, of words of
+    64 rows, of which a column needs only those within `most` of the diagonal: what lies beyond counts as if it grew by one with each step, which is never too small."""
+    (texts, row), (patterns, at) = (np.unique(side, return_inverse=True) for side in (x, y))
+    longer, shorter = ([np.frombuffer(lines[i].encode("utf-32-le", "surrogatepass"), np.uint32) for i in side] for side in (texts, patterns))
+    n, m = (np.fromiter(map(len, side), np.int64, len(side)) for side in (longer, shorter))
+    longer, shorter = np.concatenate(longer), np.concatenate(shorter)
+    there = np.zeros(max(int(longer.max()), int(shorter.max())) + 1, bool)
+    there[longer] = there[shorter] = True
+    number, kinds = np.cumsum(there, dtype=np.int32) - np.int32(1), int(there.sum())
+    if len(patterns) * kinds * words > CELLS and len(x) > 1:  # many different code points
+        half = len(x) // 2
+        return np.concatenate([_distances(lines, x[:half], y[:half], words, most), _distances(lines, x[half:], y[half:], words, most)])
+    columns = np.zeros((len(texts), int(n.max())), np.int32)
+    columns[np.arange(columns.shape[1]) < n[:, None]] = number[longer]
+    columns = np.ascontiguousarray(columns.T).take(row, axis=1)
+    places = np.arange(int(m.max()))
+    held = places < m[:, None]
+    cells = ((places >> 6) * len(patterns) * kinds + np.arange(len(patterns))[:, None] * kinds)[held] + number[shorter]
+    match = np.zeros(words * len(patterns) * kinds, np.uint64)
+    np.add.at(match, cells, np.broadcast_to(np.uint64(1) << (places & 63).astype(np.uint64), held.shape)[held])
+    match = match.reshape(words, -1)
+    n, m, first = n[row], m[at], at * kinds
+    up, down = np.full((words, len(x)), ~np.uint64(0)), np.zeros((words, len(x)), np.uint64)
+    one, top = np.uint64(1), np.uint64(63)
+    end = ((m - 1) & 63).astype(np.uint64)
+    last = min(words - 1, most >> 6)
+    d = m.copy() if last == words - 1 else np.full(len(x), 64 * (last + 1))
+    for j in range(len(columns)):
+        k = int(np.searchsorted(-n, -j, "left"))  # texts that have such a column
+        below = min(words - 1, (j + most) >> 6)
+        if below > last:
+            d[:k] += 64 if below < words - 1 else m[:k] - 64 * (words - 1)
+            last = below
+        at, more, less = first[:k] + columns[j, :k], one, np.uint64(0)
+        for w in range(max(0, (j - most) >> 6), last + 1):
+            u, v, same = up[w, :k], down[w, :k], match[w].take(at)
+            either = same | v
+            same |= less
+            zero = (((same & u) + u) ^ u) | same
+            plus, minus = v | ~(zero | u), u & zero
+            if w == last:
+                bit = end[:k] if w == words - 1 else top
+                d[:k] += ((plus >> bit) & one).astype(np.int64) - ((minus >> bit) & one).astype(np.int64)
+            next_more, next_less = plus >> top, minus >> top
+            plus, minus = plus << one | more, minus << one | less
+            up[w, :k], down[w, :k] = minus | ~(either | plus), plus & either
+            more, less = next_more, next_less
+    return d
+
+
+def all_similar(a: list[str], b: list[str]) -> np.ndarray:
+    """`similar` of each two lines. Pairs of about the same length share their columns; few long ones are looked at one by one."""
+    number = {x: i for i, x in enumerate(dict.fromkeys([*a, *b]))}
+    lines, lengths = list(number), np.fromiter(map(len, number), np.int64, len(number))
+    x, y = np.fromiter((number[p] for p in a), np.int64, len(a)), np.fromiter((number[q] for q in b), np.int64, len(b))
+    x, y = np.where(lengths[x] < lengths[y], y, x), np.where(lengths[x] < lengths[y], x, y)
+    most = lengths[x] * (100 - SIMILARITY) // 100
+    out, words = x == y, (lengths[y] + 63) >> 6
+    open_ = ~out & (lengths[x] - lengths[y] <= most)
+    for w in np.unique(words[open_]).tolist():
+        these = np.flatnonzero(open_ & (words == w))
+        these = these[np.argsort(-lengths[x[these]], kind="stable")]
+        step = max(1, CELLS // int(lengths[x[these[0]]]))
+        for at in range(0, len(these), step):
+            part = these[at : at + step]
+            p, q, widest = x[part], y[part], int(most[part].max())
+            if len(part) >= 16 * min(w, (2 * widest >> 6) + 2):
+                out[part] = _distances(lines, p, q, w, widest) <= most[part]
+            else:
+                may = may_be_similar([lines[i] for i in p], [lines[i] for i in q])
+                out[part] = [bool(m) and similar(lines[i], lines[j]) for m, i, j in zip(may, p, q, strict=True)]
+    return out
+
+
 def _similar(batches):
     for whole in batches:
-        for at in range(0, len(whole), 2048):
-            batch = whole.slice(at, 2048)
-            a, b = (batch.column(c).to_pylist() for c in ("a", "b"))
-            yield batch.filter(pa.array([bool(m) and similar(p, q) for m, p, q in zip(may_be_similar(a, b), a, b, strict=True)], pa.bool_())).select(["x", "y"])
+        for at in range(0, len(whole), PAIRS):
+            batch = whole.slice(at, PAIRS)
+            yield batch.filter(pa.array(all_similar(batch.column("a").to_pylist(), batch.column("b").to_pylist()), pa.bool_())).select(["x", "y"])
 
 
 def _bucket(sim) -> "F.Column":
@@ -349,39 +427,52 @@ def _relabelled(spark: SparkSession, labels: DataFrame, more: DataFrame, scratch
 
 
 def _linked(frame: pd.DataFrame, grams: bool) -> pd.DataFrame:
-    """Links (x, y) between lines of different parts of a tile: of near lines with the edit similarity, those that join what isn't joined yet."""
-    left, right = np.flatnonzero(frame["side"] == 0), np.flatnonzero(frame["side"] == 1)
-    within = frame["lo"].iloc[0] == frame["hi"].iloc[0]
-    right = left if within else right
-    sims, keys, lines = frame["sim"].to_numpy().view(np.uint64), frame["key"].to_numpy(), frame["line"].tolist()
+    """Links (x, y) between lines of different parts of some tiles: of near lines with the edit similarity, those that join what isn't joined yet.
+
+    The pairs of all the tiles are compared together, PAIRS at a time."""
+    sims, keys, lines, side = frame["sim"].to_numpy().view(np.uint64), frame["key"].to_numpy(), frame["line"].to_numpy(object), frame["side"].to_numpy()
     part, lengths = pd.factorize(frame["part"])[0], np.fromiter(map(len, lines), np.int64, len(lines))
-    parent, found, counts = list(range(int(part.max()) + 1)), [], None
+    parent, found, held = list(range(int(part.max()) + 1)), [], []
 
     def root(i: int) -> int:
         while parent[i] != i:
             parent[i] = i = parent[parent[i]]
         return i
 
-    for at in range(0, len(left), 256):
-        x, y = left[at : at + 256, None], right[None, :]
-        apart = sims[x] ^ sims[y]
-        if grams:
-            apart = reduce(np.bitwise_or, (apart >> np.uint64(k) for k in range(SKETCH_BITS))) & np.uint64(sum(1 << (SKETCH_BITS * k) for k in range(BANDS * ROWS)))
-        near = (np.bitwise_count(apart) <= (BANDS * ROWS - LEAST_AGREE if grams else RADIUS)) & (part[x] != part[y])
-        near &= np.abs(lengths[x] - lengths[y]) * 100 <= np.maximum(lengths[x], lengths[y]) * (100 - SIMILARITY)
-        if within:
-            near &= x < y
-        i, j = np.nonzero(near)
-        x, y = left[at + i], right[j]
-        counts = _letters(lines) if counts is None and len(x) else counts
-        for k in range(0, len(x), 4096):
-            p, q = x[k : k + 4096], y[k : k + 4096]
-            may = _letters_allow(counts, lengths, p, q)
-            for m, n in zip(p[may].tolist(), q[may].tolist(), strict=True):
+    def compare() -> None:
+        x, y = (np.concatenate(side) for side in zip(*held, strict=True))
+        held.clear()
+        for at in range(0, len(x), PAIRS):
+            p, q = x[at : at + PAIRS], y[at : at + PAIRS]
+            roots = np.array([root(i) for i in range(len(parent))])
+            apart = roots[part[p]] != roots[part[q]]
+            pairs = pd.DataFrame({"x": np.minimum(keys[p], keys[q])[apart], "y": np.maximum(keys[p], keys[q])[apart], "p": p[apart], "q": q[apart]}).drop_duplicates(["x", "y"])
+            p, q = pairs["p"].to_numpy(), pairs["q"].to_numpy()
+            alike = all_similar(lines[p].tolist(), lines[q].tolist())
+            for m, n in zip(p[alike].tolist(), q[alike].tolist(), strict=True):
                 g, h = root(part[m]), root(part[n])
-                if g != h and similar(lines[m], lines[n]):
+                if g != h:
                     parent[max(g, h)] = min(g, h)
                     found.append((min(keys[m], keys[n]), max(keys[m], keys[n])))
+
+    for (_, lo, hi), rows in frame.groupby(["bucket", "lo", "hi"], sort=False).indices.items():
+        left, right = rows[side[rows] == 0], rows[side[rows] == 1]
+        right = left if lo == hi else right
+        for at in range(0, len(left), 256):
+            x, y = left[at : at + 256, None], right[None, :]
+            apart = sims[x] ^ sims[y]
+            if grams:
+                apart = reduce(np.bitwise_or, (apart >> np.uint64(k) for k in range(SKETCH_BITS))) & np.uint64(sum(1 << (SKETCH_BITS * k) for k in range(BANDS * ROWS)))
+            near = (np.bitwise_count(apart) <= (BANDS * ROWS - LEAST_AGREE if grams else RADIUS)) & (part[x] != part[y])
+            near &= np.abs(lengths[x] - lengths[y]) * 100 <= np.maximum(lengths[x], lengths[y]) * (100 - SIMILARITY)
+            if lo == hi:
+                near &= x < y
+            i, j = np.nonzero(near)
+            held.append((left[at + i], right[j]))
+            if sum(len(h[0]) for h in held) >= PAIRS:
+                compare()
+    if held:
+        compare()
     return pd.DataFrame(found, columns=["x", "y"], dtype=np.int64)
 
 
@@ -401,12 +492,16 @@ def _met_in_tiles(spark: SparkSession, lines: DataFrame, labels: DataFrame, docs
     tiles = F.ceil(F.col("size") / TILE).cast("int")
     dealt = still.withColumn("own", F.pmod(F.xxhash64("key"), tiles).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
     dealt = dealt.select("bucket", "key", "sim", "part", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    # small tiles share a group, so that their pairs are compared together; tasks are told by hand, since their time is not in proportion to their bytes
+    packs = -(-dealt.count() // (2 * TILE))
+    dealt = dealt.withColumn("pack", F.pmod(F.xxhash64("bucket", "lo", "hi"), F.lit(packs)))
     of = salted_join(dealt, texts, ["key"], dealt.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "lo")
+    of = of.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "pack")
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _linked(pd.concat(list(frames), ignore_index=True), grams)
 
-    return scratch.keep(of.groupBy("bucket", "lo", "hi").applyInPandas(compare, "x long, y long").distinct(), "rest-edges")
+    return scratch.keep(of.groupBy("pack").applyInPandas(compare, "x long, y long").distinct(), "rest-edges")
 
 
 def _masks(rounds: int) -> list[list[int]]:

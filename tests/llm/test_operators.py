@@ -203,6 +203,33 @@ def test_lines_meet_all_partners(spark):
         assert line_dedup.may_be_similar([a, b], [b, b]).tolist()[0] >= line_dedup.similar(a, b)
 
 
+
+def test_tiles_compare_the_pairs_of_many_buckets_together(spark, monkeypatch):
+    """Distances of many lines at once are those of each two, and no pair of a tile is compared by itself."""
+    import pandas as pd
+
+    rng = np.random.default_rng(35)
+    letters = [*"abcdefg hi\u00e9\U0001f600"]
+    base = ["".join(rng.choice(letters, int(n))) for n in rng.integers(1, 400, 600)]
+    other = ["".join(c for i, c in enumerate(x) if (i * 7919 + k) % 100 >= k % 25) for k, x in enumerate(base)]
+    want = [line_dedup.similar(a, b) for a, b in zip(base, other, strict=True)]
+    assert 100 < sum(want) < 500
+    for cells in (1 << 21, 3000):
+        monkeypatch.setattr(line_dedup, "CELLS", cells)
+        assert line_dedup.all_similar(base, other).tolist() == want
+    monkeypatch.setattr(line_dedup, "CELLS", 1 << 21)
+    # 80 buckets of 10 lines of about one length; in each, the last is a copy of the first
+    lines = [x for _ in range(80) for x in ["".join(rng.choice(letters, 150)) for _ in range(9)]]
+    lines = [x for k in range(80) for x in [*lines[9 * k : 9 * k + 9], lines[9 * k][:75] + "?" + lines[9 * k][75:]]]
+    n = len(lines)
+    frame = pd.DataFrame({"bucket": np.arange(n) // 10, "lo": 0, "hi": 0, "side": 0, "key": np.arange(n), "sim": np.zeros(n, np.int64), "part": np.arange(n), "line": lines})
+    alone = []
+    monkeypatch.setattr(line_dedup, "similar", lambda a, b, f=line_dedup.similar: alone.append(a) or f(a, b))
+    found = line_dedup._linked(frame, True)
+    assert sorted(zip(found["x"], found["y"], strict=True)) == [(10 * k, 10 * k + 9) for k in range(80)]
+    assert len(alone) < 100  # of 3,600 pairs
+
+
 def test_line_query_finds_what_brute_force_finds(spark, tmp_path):
     rng = np.random.default_rng(11)
     lines = []
