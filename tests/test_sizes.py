@@ -116,6 +116,28 @@ def test_pairs_of_near_copies_are_told_in_parts_and_their_vectors_travel_once(sp
     assert len(similarity._exact(pairs, one, 0.95)) == 60 * 59 and held == [120]  # not two vectors a pair
 
 
+def test_a_part_of_the_components_rules_most_pairs_out_and_loses_none(monkeypatch):
+    """Unrelated vectors are told apart by three of eight of their components; where that leaves much, all are looked at. The open pairs are the same."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 64))
+    x[300:330] = x[:30] + 0.2 * rng.normal(size=(30, 64))
+    x[330:340, :24], x[330:340, 24:] = 5 * x[:10, :24], -0.1 * x[:10, 24:]  # alike in the part
+    one = pd.DataFrame({"id": np.arange(600).astype(object), "vector": list(x)})
+    sketched = next(similarity._sketched(iter([one]), np.ones((1, 64)))).assign(lo=0, hi=0, side=0)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    shapes = []
+    monkeypatch.setattr(np, "matmul", lambda a, b, out, f=np.matmul: shapes.append(a.shape[1]) or f(a, b, out=out))
+    for threshold, width in ((0.95, 25), (0.9, 25), (0.2, 64)):
+        shapes.clear()
+        pairs = pd.concat(similarity._open_pairs(sketched, threshold, False))
+        found = set(zip(pairs["a"], pairs["b"], strict=True))
+        want, near = ({(i, j) for i, j in zip(*np.nonzero(u @ u.T >= least), strict=True) if i < j} for least in (threshold, threshold - 0.06))
+        assert want <= found <= near and set(shapes) == {width}
+
+
 def test_a_manifest_tells_classes_without_rows_as_the_sql_does(spark, monkeypatch):
     from curatrix.plans import operations
 
