@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.operators.grouping import by_rows
 from curatrix.schemas import LAUNCH_DATE, MAX_DOWNLOAD_ATTEMPTS
 
 
@@ -44,7 +45,7 @@ def pending(photos: DataFrame, labels: DataFrame, since: datetime = LAUNCH_DATE)
 def images_to_write(kept: DataFrame, present: DataFrame) -> DataFrame:
     """photo_id and state: present (there is a copy, looked at first), failed (no image) or write."""
     have = present.select(F.col("image_file").alias("copy")).distinct()
-    both = kept.join(have, F.concat("photo_id", F.lit(".jpg")) == F.col("copy"), "left")
+    both = kept.join(by_rows(have), F.concat("photo_id", F.lit(".jpg")) == F.col("copy"), "left")
     return both.select("photo_id", F.when(F.col("copy").isNotNull(), "present").when(F.col("image_file").isNull(), "failed").otherwise("write").alias("state"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions.values import largest_is_zero, not_finite
+from curatrix.operators.grouping import by_rows
 from curatrix.schemas import GATE_CATEGORIES, INSTRUMENTS, KEEP_GATE, MODALITIES, NOT_APPLICABLE, SUBJECTS
 
 log = logging.getLogger(__name__)
@@ -55,7 +56,7 @@ def frame(checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
     for table in dict.fromkeys(c.table for _, c in plain):
         mine, rows = [(i, c) for i, c in plain if c.table == table], tables[table]
         for other, key in dict.fromkeys(c.needs for _, c in mine if c.needs):
-            rows = rows.join(tables[other].select(key).distinct().withColumn(f"in_{other}", F.lit(True)), key, "left")
+            rows = rows.join(by_rows(tables[other].select(key).distinct().withColumn(f"in_{other}", F.lit(True))), key, "left")
         sums = rows.agg(*(c.violations.alias(f"v{i}") for i, c in mine))
         parts.append(sums.select(F.explode(F.array(*(told(i, c, F.col(f"v{i}")) for i, c in mine))).alias("c")).select("c.*"))
     for i, c in enumerate(checks):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions import text as T
 from curatrix.operators import planning, quality
-from curatrix.operators.grouping import counts, stratified, with_primary
+from curatrix.operators.grouping import by_rows, counts, stratified, with_primary
 from curatrix.operators.similarity import duplicate_groups
 from curatrix.schemas import KEEP_GATE, KEPT_COLUMNS, LAUNCH_DATE, NEAR_DUPLICATE, REJECTED_COLUMNS
 from curatrix.sources.files import Folder, checksum, delete_files, join_parts, read_csv, read_json, write_json, write_parts
@@ -30,17 +30,17 @@ REJECTED_CSV = ("photo_id", "rejected_as", "rejected_by", "title", "rationale",
 def labelled(spark: SparkSession, photos: DataFrame, labels: DataFrame, embeddings: DataFrame, images: DataFrame | None = None, page_base: str = "https://archive.example", threshold: float = NEAR_DUPLICATE) -> DataFrame:
     """Photos with labels, and all that is derived from both. Names and instruments are column expressions in the scan's stage;
     releases, groups and flags exist for kept rows only. `vector` is read for kept rows alone."""
-    both = photos.join(labels, "photo_id")
+    both = photos.join(by_rows(labels), "photo_id")
     keep = both.where(F.col("gate_category") == KEEP_GATE)
     groups = with_primary(keep.select("photo_id", "title", "modality", "image_bytes")).select("photo_id", "release_group", "is_primary")
-    vectors = embeddings.join(keep.select("photo_id"), "photo_id", "left_semi").select("photo_id", "vector")
+    vectors = embeddings.join(by_rows(keep.select("photo_id")), "photo_id", "left_semi").select("photo_id", "vector")
     alike = duplicate_groups(spark, vectors, "photo_id", "vector", threshold)
     has = embeddings.select("photo_id", F.lit(True).alias("embedded"))
-    out = both.join(groups, "photo_id", "left").join(alike, "photo_id", "left").join(has, "photo_id", "left")
+    out = both.join(by_rows(groups), "photo_id", "left").join(by_rows(alike), "photo_id", "left").join(by_rows(has), "photo_id", "left")
     if images is None:
         out = out.withColumn("copy", F.lit(None).cast("string"))
     else:
-        out = out.join(images.select(F.col("image_file").alias("copy")).distinct(), F.col("copy") == T.file_name(F.col("photo_id")), "left")
+        out = out.join(by_rows(images.select(F.col("image_file").alias("copy")).distinct()), F.col("copy") == T.file_name(F.col("photo_id")), "left")
     c = F.col
     return out.select(
         "photo_id", "title", "description", "subject", "modality", "object_name",
@@ -61,7 +61,7 @@ def kept(rows: DataFrame) -> DataFrame:
 def rejected(rows: DataFrame, photos: DataFrame, labels: DataFrame, page_base: str = "https://archive.example", since: datetime = LAUNCH_DATE) -> DataFrame:
     """What the labels reject, and what nobody labelled as it is dated before the launch."""
     by_model = rows.where(F.col("gate_category") != KEEP_GATE).withColumn("rejected_as", F.col("gate_category")).withColumn("rejected_by", F.lit("model")).select(*REJECTED_COLUMNS)
-    old = photos.join(labels.select("photo_id"), "photo_id", "left_anti").where(F.col("date_taken") < F.lit(since).cast("timestamp_ntz"))
+    old = photos.join(by_rows(labels.select("photo_id")), "photo_id", "left_anti").where(F.col("date_taken") < F.lit(since).cast("timestamp_ntz"))
     by_rule = old.select(
         "photo_id", "title", F.lit("dated_before_launch").alias("rejected_as"), F.lit("rule").alias("rejected_by"), F.lit(None).cast("string").alias("rationale"),
         "date_taken", T.page_url(page_base, F.col("photo_id")).alias("page_url"), F.col("legacy_tag_label").alias("source_tag_label"),
@@ -77,7 +77,7 @@ def csv_rows(rows: DataFrame) -> DataFrame:
 
 def accounting(photos: DataFrame, labels: DataFrame, since: datetime = LAUNCH_DATE) -> DataFrame:
     """photos, kept, rejected_by_model, rejected_by_rule and pending in one pass."""
-    both = photos.join(labels.select("photo_id", "gate_category"), "photo_id", "left")
+    both = photos.join(by_rows(labels.select("photo_id", "gate_category")), "photo_id", "left")
     open_ = F.col("gate_category").isNull()
     recent = planning.eligible(F.col("date_taken"), since)
     return both.agg(
@@ -171,7 +171,7 @@ def publish(spark: SparkSession, staged: str, published: str, keep: int = 2) ->
 def prune_images(spark: SparkSession, published: str, images: DataFrame) -> int:
     """Delete copies of photos that aren't kept; returns how many. Tasks delete, so that no name comes to the driver."""
     keep = spark.read.parquet(f"{published_folder(spark, published)}/kept.parquet").select("photo_id")
-    gone = images.join(keep, "photo_id", "left_anti").select("image_file")
+    gone = images.join(by_rows(keep), "photo_id", "left_anti").select("image_file")
     return delete_files(gone, "image_file", f"{published}/images")
 
 
@@ -184,7 +184,7 @@ def write_images(rows: DataFrame, present: DataFrame, copy: Callable[[str, str],
     """photo_id, state and error: what became of the copy of each of rows (photo_id, image_file).
 
     copy(photo_id, image_file) makes one; where it fails, the row says so. A photo without an image has failed."""
-    states = planning.images_to_write(rows, present).join(rows.select("photo_id", "image_file"), "photo_id")
+    states = planning.images_to_write(rows, present).join(by_rows(rows.select("photo_id", "image_file")), "photo_id")
 
     def work(frames):
         for frame in frames:

@@ -492,7 +492,7 @@ def dataset_flow(spark: SparkSession, d: str) -> DataFrame:
         files.store_file(f"{published}/images", f"{photo_id}.jpg", [b"x"], check=None)
 
     # vectors of photos that the fixture lacks would fail the audit
-    tables.change("embeddings", EMBEDDINGS, lambda e: e.join(X.photos(spark, d).select("photo_id"), "photo_id", "left_semi").select(*EMBEDDINGS.names))
+    tables.change("embeddings", EMBEDDINGS, lambda e: e.join(grouping.by_rows(X.photos(spark, d).select("photo_id")), "photo_id", "left_semi").select(*EMBEDDINGS.names))
     workflows.publish_dataset(tables, f"{scratch.path}/staged", published, f"{scratch.path}/log", copy=copy, review=20)
     rows = files.read_parts(spark, f"{dataset.published_folder(spark, published)}/kept.parquet")
     return rows.select("photo_id", "release_group", "is_primary", "image_file", "place")

@@ -18,7 +18,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from curatrix.functions.text import safe_run_id, user_text
 from curatrix.functions.values import half_even
 from curatrix.operators import planning, quality, state
-from curatrix.operators.grouping import numbered
+from curatrix.operators.grouping import by_rows, numbered
 from curatrix.operators.state import Tables
 from curatrix.plans import dataset
 from curatrix.schemas import CODEBOOK_VERSION, EMBEDDING_ERRORS, EMBEDDINGS, LABELS, LOG_RECORD, PHOTOS
@@ -260,7 +260,7 @@ def publish_dataset(
 
     manifest = build()
     if copy is not None:
-        wanted = spark.read.parquet(f"{staged}/kept.parquet").select("photo_id").join(photos.select("photo_id", "image_file"), "photo_id")
+        wanted = spark.read.parquet(f"{staged}/kept.parquet").select("photo_id").join(by_rows(photos.select("photo_id", "image_file")), "photo_id")
         states = Scratch(spark, "images").keep(dataset.write_images(wanted, files.images(spark, copies), copy), "states")
         if dataset.image_tally(states).first().written:
             manifest = build()  # with the copies that there are now

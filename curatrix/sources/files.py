@@ -250,15 +250,15 @@ def join_parts(folder: Folder, parts: str, name: str, head: str = "") -> None:
         out.close()
 
 
-#: Bytes of a file that Spark may take as one value; larger ones are streamed.
-WHOLE = 1 << 30
+#: Bytes of a file that Spark may take as one value, of which a task holds several copies; larger ones are streamed.
+WHOLE = 1 << 23
 
 
 def _streamed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         found = []
         for path in frame["path"]:
-            store, at = pyarrow.fs.FileSystem.from_uri(path)
+            store, at = _arrow_store(path)
             digest = hashlib.sha256()
             with store.open_input_stream(at) as source:
                 while chunk := source.read(1 << 22):
@@ -268,11 +268,16 @@ def _streamed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """file, bytes and SHA-256 of each file of a folder, or of one file, each hashed by one task; of large files a block at a time."""
+    """file, bytes and SHA-256 of each file of a folder, or of one file, each hashed by one task; of large files a block at a time, where the store is one that tasks can open."""
+    try:
+        _arrow_store(path)
+        most = WHOLE
+    except (ValueError, pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        most = (1 << 31) - 1
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     name = F.element_at(F.split("path", "/"), -1)
-    small = files.where(F.col("length") <= WHOLE).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    large = files.where(F.col("length") > WHOLE).select("path", F.col("length").alias("bytes")).mapInPandas(_streamed, "path string, bytes long, sha256 string")
+    small = files.where(F.col("length") <= most).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > most).select("path", F.col("length").alias("bytes")).mapInPandas(_streamed, "path string, bytes long, sha256 string")
     return small.unionByName(large).select(name.alias("file"), "bytes", "sha256")
 
 

@@ -171,3 +171,35 @@ def test_small_waves_share_a_job_and_end_where_they_did(spark, monkeypatch):
         workflows.label(tables, log, labeller, "m", "fake", 1000, wave=10)
     assert (told.value.made, told.value.failed) == (200, 100) and len(appended) == 1
     assert sorted(r.photo_id for r in logs.read_log(spark, log).collect()) == [f"{i:03d}" for i in range(100)]
+
+
+def test_tables_of_few_bytes_and_many_rows_are_not_broadcast(spark):
+    """100,000 labels take a few hundred kilobytes as a file, which would be broadcast, and thirty megabytes or more in the driver."""
+    from curatrix.operators import planning, quality
+    from curatrix.schemas import LABELS, PHOTOS
+
+    at = Scratch(spark, "few-bytes")
+    made = {"photo_id": F.col("id").cast("string"), "gate_category": F.lit("astronomical_observation"), "image_file": F.concat(F.col("id").cast("string"), F.lit(".jpg"))}
+    photos, labels = (at.keep(spark.range(100_000).select(*(made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields)), name) for name, kind in (("photos", PHOTOS), ("labels", LABELS)))
+    found = [dataset.accounting(photos, labels), dataset.rejected(labels.limit(0).selectExpr("*", "cast(null as string) title", "cast(null as timestamp_ntz) date_taken", "'' page_url", "'' source_tag_label"), photos, labels)]
+    found += [planning.images_to_write(photos, photos), quality.frame(quality.label_checks(), {"photos": photos, "labels": labels})]
+    for df in found:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert dataset.accounting(photos, labels).first().kept == 100_000
+
+
+def test_no_task_takes_a_large_file_as_one_value(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    (tmp_path / "large.csv").write_bytes(b"0123456789" * 1_000_000)
+    (tmp_path / "small.csv").write_bytes(b"0")
+    found = {r.file: (r.bytes, r.sha256) for r in files.checksums(spark, tmp_path.as_uri()).collect()}
+    assert found == {n: ((tmp_path / n).stat().st_size, hashlib.sha256((tmp_path / n).read_bytes()).hexdigest()) for n in ("large.csv", "small.csv")}
+
+    def told(frames):
+        for frame in frames:
+            yield frame.assign(sha256="in blocks")
+
+    monkeypatch.setattr(files, "_streamed", told)
+    assert [r.file for r in files.checksums(spark, tmp_path.as_uri()).collect() if r.sha256 == "in blocks"] == ["large.csv"]
