@@ -47,7 +47,9 @@ FILTER_BITS = 1 << 26
 #: An open bucket of so many lines is compared pair by pair; larger ones are divided, in so many rounds.
 LEAF, ROUNDS = 8, 8
 #: Lines on each side of a tile of a bucket whose lines are all compared, and pairs whose texts are compared at once.
-TILE, PAIRS = 1024, 4096
+TILE, PAIRS = 1024, 16384
+#: Bytes of the first lines of pairs that are compared at once: the more pairs, the more have about the same length.
+PAIR_BYTES = 1 << 22
 #: Cells of a table that distances are told with at once: code points of the texts, or words of the marks of patterns.
 CELLS = 1 << 21
 #: Code points of the longest lines whose distance is computed in a band of the table.
@@ -158,6 +160,16 @@ def _has(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def _held(batches, keys):
+    """Row and key of the lines whose key is in the bitmap."""
+    for batch in batches:
+        lines = batch.column("keys")
+        flat = lines.flatten().to_numpy()
+        here = _has(keys.value, flat)
+        rows = np.repeat(batch.column("row_key").to_numpy(), lines.value_lengths().to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(rows[here]), pa.array(flat[here])], ["row_key", "key"])
+
+
 def _texts(batches, rows, keys):
     """Key and normalised line of the lines whose row and key are in the bitmaps, each once in a task."""
     rows, keys, told = rows.value, keys.value, set()
@@ -321,8 +333,7 @@ def all_similar(a: list[str], b: list[str]) -> np.ndarray:
 
 def _similar(batches):
     for whole in batches:
-        for at in range(0, len(whole), PAIRS):
-            batch = whole.slice(at, PAIRS)
+        for batch in slices(whole, "a", PAIR_BYTES):
             yield batch.filter(pa.array(all_similar(batch.column("a").to_pylist(), batch.column("b").to_pylist()), pa.bool_())).select(["x", "y"])
 
 
@@ -347,9 +358,10 @@ def _texts_of(spark: SparkSession, keys: DataFrame, docs: DataFrame, rows: DataF
     """(key, line) of the line keys. Each line is read from one text that holds it.
 
     Which texts and lines those are, tasks learn from two bitmaps of a fixed size; what gets through by chance is joined away."""
-    held = rows.select("row_key", F.explode("keys").alias("key")).join(_bounded(keys), "key", "left_semi").groupBy("key").agg(F.min("row_key").alias("row_key"))
-    marks = [spark.sparkContext.broadcast(_bits(df, c)) for df, c in ((held, "row_key"), (keys, "key"))]
-    lines = docs.select("row_key", "text").where("text is not null").mapInArrow(partial(_texts, rows=marks[0], keys=marks[1]), "key long, line string")
+    asked = spark.sparkContext.broadcast(_bits(keys, "key"))
+    held = rows.select("row_key", "keys").mapInArrow(partial(_held, keys=asked), "row_key long, key long").groupBy("key").agg(F.min("row_key").alias("row_key"))
+    places = spark.sparkContext.broadcast(_bits(held, "row_key"))
+    lines = docs.select("row_key", "text").where("text is not null").mapInArrow(partial(_texts, rows=places, keys=asked), "key long, line string")
     return scratch.keep(lines.join(_bounded(keys), "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")), f"{name}-lines")
 
 
@@ -429,10 +441,10 @@ def _relabelled(spark: SparkSession, labels: DataFrame, more: DataFrame, scratch
 def _linked(frame: pd.DataFrame, grams: bool) -> pd.DataFrame:
     """Links (x, y) between lines of different parts of some tiles: of near lines with the edit similarity, those that join what isn't joined yet.
 
-    The pairs of all the tiles are compared together, PAIRS at a time."""
+    The letters, which each line is asked for once, rule out most pairs; what they leave of all the tiles is compared together, PAIRS at a time."""
     sims, keys, lines, side = frame["sim"].to_numpy().view(np.uint64), frame["key"].to_numpy(), frame["line"].to_numpy(object), frame["side"].to_numpy()
     part, lengths = pd.factorize(frame["part"])[0], np.fromiter(map(len, lines), np.int64, len(lines))
-    parent, found, held = list(range(int(part.max()) + 1)), [], []
+    parent, found, held, counts = list(range(int(part.max()) + 1)), [], [], None
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -468,7 +480,13 @@ def _linked(frame: pd.DataFrame, grams: bool) -> pd.DataFrame:
             if lo == hi:
                 near &= x < y
             i, j = np.nonzero(near)
-            held.append((left[at + i], right[j]))
+            if not len(i):
+                continue
+            counts = _letters(lines) if counts is None else counts
+            for k in range(0, len(i), 1024):
+                m, n = left[at + i[k : k + 1024]], right[j[k : k + 1024]]
+                may = _letters_allow(counts, lengths, m, n)
+                held.append((m[may], n[may]))
             if sum(len(h[0]) for h in held) >= PAIRS:
                 compare()
     if held:

@@ -230,6 +230,30 @@ def test_tiles_compare_the_pairs_of_many_buckets_together(spark, monkeypatch):
     assert len(alone) < 100  # of 3,600 pairs
 
 
+def test_letters_rule_out_pairs_of_tiles_before_distances(monkeypatch):
+    """Lines whose sketches agree but whose letters don't are not compared; the one pair that is alike is found."""
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    lines = ["".join(rng.choice(list(letters), 200)) for letters in ("abc", "def", "ghi", "jkl", "mno")]
+    lines.append("x" + lines[2][1:])
+    frame = pd.DataFrame({"bucket": 1, "lo": 0, "hi": 0, "side": 0, "key": np.arange(6), "sim": 0, "part": np.arange(6), "line": lines})
+    compared = []
+    monkeypatch.setattr(line_dedup, "all_similar", lambda a, b, f=line_dedup.all_similar: compared.extend(a) or f(a, b))
+    assert line_dedup._linked(frame, True).values.tolist() == [[2, 5]] and len(compared) == 1
+
+
+def test_only_lines_in_the_bitmap_leave_a_task():
+    import pyarrow as pa
+
+    keys, bits = np.arange(1, 7) * 1000, np.zeros(line_dedup.FILTER_BITS // 64, np.uint64)
+    for k in (2000, 5000):
+        bits[k >> 6] |= np.uint64(1) << np.uint64(k & 63)
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8, 9]), pa.ListArray.from_arrays(pa.array([0, 2, 2, 6], pa.int32()), pa.array(keys))], ["row_key", "keys"])
+    held = type("Held", (), {"value": bits})
+    assert [b.to_pydict() for b in line_dedup._held([batch, batch.slice(1)], held)] == [{"row_key": [7, 9], "key": [2000, 5000]}, {"row_key": [9], "key": [5000]}]
+
+
 def test_line_query_finds_what_brute_force_finds(spark, tmp_path):
     rng = np.random.default_rng(11)
     lines = []
