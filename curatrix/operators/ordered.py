@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,8 +62,10 @@ BINS = 256
 def _as_number(df: DataFrame, name: str) -> str:
     """SQL of a long or double in the order of the column's values."""
     kind = df.schema[name].dataType.typeName()
-    if kind in ("timestamp", "timestamp_ntz"):
-        return f"unix_micros(CAST(`{name}` AS TIMESTAMP))"
+    if kind == "timestamp":
+        return f"unix_micros(`{name}`)"
+    if kind == "timestamp_ntz":  # as it stands, since a zone's hours may be skipped or come twice
+        return f"unix_date(CAST(`{name}` AS DATE)) * 86400000000L + hour(`{name}`) * 3600000000L + minute(`{name}`) * 60000000L + CAST(extract(SECOND FROM `{name}`) * 1000000 AS BIGINT)"
     if kind == "date":
         return f"CAST(unix_date(`{name}`) AS BIGINT)"
     if kind in ("float", "double"):
@@ -71,6 +75,19 @@ def _as_number(df: DataFrame, name: str) -> str:
     raise ValueError(f"{name}: ranges of {kind} aren't supported")
 
 
+def _from_number(df: DataFrame, name: str, number: str) -> Column:
+    """The value that `_as_number` made a number of."""
+    kind = df.schema[name].dataType
+    made = {"timestamp": f"timestamp_micros({number})", "timestamp_ntz": f"TIMESTAMP_NTZ '1970-01-01' + make_dt_interval(0, 0, 0, CAST({number} AS DECIMAL(24, 0)) / 1000000)", "date": f"date_from_unix_date(CAST({number} AS INT))"}
+    return F.expr(made.get(kind.typeName(), number)).cast(kind)
+
+
+def _cuts(points: DataFrame, value: str, bins: int) -> list[int | float]:
+    """The sorted bounds of bins of about the same number of points; `bins` values."""
+    steps = [i / bins for i in range(1, bins)]
+    return sorted(set(points.agg(F.percentile_approx(F.expr(_as_number(points, value)), steps, 10_000).alias("c")).first()["c"] or []))
+
+
 def _bin(value: str, cuts: list[int | float], low: int = 0) -> str:
     """SQL of how many of the sorted cuts are not above the value, by halves."""
     if not cuts:
@@ -86,8 +103,7 @@ def in_ranges(points: DataFrame, ranges: DataFrame, value: str, low: str, high:
     Bins are quantiles of the points, so they hold about the same number of them. A range meets the points of its first and last bin one by one. The bins between are wholly in it: they are
     taken together by halves of halves, so a range is copied 2 log2(bins) times at most however long it is, and a point once for each
     width that some range has."""
-    steps = [i / bins for i in range(1, bins)]
-    cuts = sorted(set(points.agg(F.percentile_approx(F.expr(_as_number(points, value)), steps, 10_000).alias("c")).first()["c"] or []))  # `bins` values
+    cuts = _cuts(points, value, bins)
     levels = max(1, len(cuts).bit_length())
     # one column first, so that its value is computed once a row
     ends = ranges.where(F.col(low) < F.col(high)).withColumn("_l", F.expr(_as_number(ranges, low))).withColumn("_h", F.expr(_as_number(ranges, high)))
@@ -117,6 +133,60 @@ def in_ranges(points: DataFrame, ranges: DataFrame, value: str, low: str, high:
     return checked.unionByName(inside.select(*checked.columns))
 
 
+#: Ends of ranges that a task holds of a bin, about.
+ENDS = 1_000_000
+
+
+def _ends_met(ends: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+    """For each range that ends in a bin, the totals of the bin's points that it holds: sums by what is summed up before both of its ends, the least by two stretches of
+    a power of two that cover it, the greatest by the last point."""
+    points = points.sort_values("_v", kind="stable")
+    v, n = points["_v"].to_numpy(), len(points)
+    first, last = np.searchsorted(v, ends["_l"].to_numpy()), np.searchsorted(v, ends["_h"].to_numpy())
+    there = np.flatnonzero(last > first)
+    first, last = first[there], last[there]
+    ahead = np.concatenate([[0], np.cumsum(points["_total"].to_numpy())])
+    width = np.frexp((last - first).astype(float))[1] - 1  # of the logarithm's whole part
+    least, level = np.empty(len(there), np.int64), points["_least"].to_numpy()
+    for k in range(int(width.max()) + 1 if len(there) else 0):
+        if k:
+            level = np.minimum(level[: n - (1 << k) + 1], level[1 << k - 1 :])
+        at = np.flatnonzero(width == k)
+        least[at] = np.minimum(level[first[at]], level[last[at] - (1 << k)])
+    return pd.DataFrame({"_l": ends["_l"].to_numpy()[there], "_h": ends["_h"].to_numpy()[there], "_total": ahead[last] - ahead[first], "_least": least, "_greatest": v[last - 1]})
+
+
+def totals_in_ranges(points: DataFrame, ranges: DataFrame, value: str, low: str, high: str, total: str, least: str, bins: int = BINS) -> DataFrame:
+    """Each different range (low, high) that holds a point, low <= value < high, with the sum of `total`, the least of `least` (both whole numbers, null counts as nothing) and the greatest value of its points.
+
+    No pair of a point and a range is made. Ranges meet the points of the bins that they end in, sorted, by bisection; the bins between are summed once for each different pair of bins.
+    So it takes about the logarithm of the points for each point and range, however many points a range holds."""
+    scratch, kind = Scratch(points.sparkSession, "totals"), "double" if points.schema[value].dataType.typeName() in ("float", "double") else "long"
+    none = 2**63 - 1
+    own = points.where(F.col(value).isNotNull()).select(F.expr(_as_number(points, value)).alias("_v"), F.coalesce(F.col(total).cast("long"), F.lit(0)).alias("_total"), F.coalesce(F.col(least).cast("long"), F.lit(none)).alias("_least"))
+    own = scratch.keep(own, "points")
+    cuts = _cuts(own, "_v", bins)
+    own = own.withColumn("_bin", F.expr(_bin("_v", cuts)))
+    met = ranges.where(F.col(low) < F.col(high)).select(F.expr(_as_number(ranges, low)).cast(kind).alias("_l"), F.expr(_as_number(ranges, high)).cast(kind).alias("_h")).distinct()
+    met = scratch.keep(met.withColumn("_a", F.expr(_bin("_l", cuts))).withColumn("_b", F.expr(_bin("_h", cuts))), "ranges")
+
+    told = [F.sum("_total").alias("_total"), F.min("_least").alias("_least"), F.max("_greatest").alias("_greatest")]
+    whole = own.groupBy(F.col("_bin").alias("bin")).agg(F.sum("_total").alias("_total"), F.min("_least").alias("_least"), F.max("_v").alias("_greatest"))  # a row for each bin
+    between = met.where("_b - _a > 1").select((F.col("_a") + 1).alias("from"), F.col("_b").alias("to")).distinct()  # half of the bins' square at most
+    held = in_ranges(scratch.keep(whole, "whole"), scratch.keep(between, "between"), "bin", "from", "to").groupBy("from", "to").agg(*told)
+    inner = met.join(held, (F.col("_a") + 1 == F.col("from")) & (F.col("_b") == F.col("to"))).select("_l", "_h", "_total", "_least", "_greatest")
+
+    ends = met.select("_l", "_h", F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_bin"))
+    parts = ends.groupBy("_bin").agg(F.ceil(F.count(F.lit(1)) / ENDS).cast("int").alias("_parts"))  # a row for each bin
+    parts = F.broadcast(scratch.keep(parts, "parts"))
+    dealt = ends.join(parts, "_bin").withColumn("_part", F.pmod(F.xxhash64("_l", "_h"), "_parts").cast("int")).drop("_parts")
+    copied = own.join(parts, "_bin").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    edges = dealt.groupBy("_bin", "_part").cogroup(copied.groupBy("_bin", "_part")).applyInPandas(_ends_met, f"_l {kind}, _h {kind}, _total long, _least long, _greatest {kind}")
+    out = edges.unionByName(inner).groupBy("_l", "_h").agg(*told)
+    ends_of = [_from_number(ranges, low, "_l").alias(low), _from_number(ranges, high, "_h").alias(high)]
+    return out.select(*ends_of, F.col("_total").alias(total), F.nullif(F.col("_least"), F.lit(none)).alias(least), _from_number(points, value, "_greatest").alias(value))
+
+
 #: Rows of a block of a total order.
 BLOCK_ROWS = 1_000_000
 

@@ -795,12 +795,11 @@ def events_within(spark: SparkSession, d: str) -> DataFrame:
     events, hours = table(spark, d, "events"), F.expr("INTERVAL 2 HOURS")
     short = events.where("event_type = 'purchase'").select(F.col("event_id").alias("span"), F.col("ts").alias("opened"), (F.col("ts") + hours).alias("closed"))
     types = events.groupBy("event_type").agg(F.min("ts").alias("opened"), F.max("ts").alias("closed"))
-    long = types.select((-1 - F.row_number().over(Window.orderBy("event_type"))).cast("long").alias("span"), "opened", "closed")  # a row for each type
+    long = types.select((-1 - F.row_number().over(Window.orderBy(F.col("event_type").asc_nulls_last()))).cast("long").alias("span"), "opened", "closed")  # a row for each type
     # events of one moment are in the same spans, and spans of the same two moments hold the same events: each is looked at once
     spans, moments = short.unionByName(long), events.groupBy("ts").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
-    met = ordered.in_ranges(moments, spans.select("opened", "closed").distinct(), "ts", "opened", "closed")
-    totals = met.groupBy("opened", "closed").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("ts").alias("latest"))
-    return spans.join(totals, ["opened", "closed"]).select("span", "n", "first", "latest")
+    totals = ordered.totals_in_ranges(moments, spans, "ts", "opened", "closed", "n", "first").withColumnRenamed("ts", "latest")
+    return spans.join(totals, ["opened", "closed"]).groupBy("span").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("latest").alias("latest"))
 
 
 @_query("""WITH e AS (SELECT event_id, user_id, ts, round(value * 100)::BIGINT AS cents FROM events)

@@ -58,6 +58,47 @@ def test_ranges_are_copied_a_bounded_number_of_times(spark):
     assert ordered.in_ranges(none, ranges, "x", "lo", "hi").count() == 0 and ordered.in_ranges(points, ranges.limit(0), "x", "lo", "hi").count() == 0
 
 
+@pytest.mark.parametrize(("bins", "ends"), [(1, 10**6), (4, 7), (64, 10**6), (256, 3)])
+def test_totals_in_ranges(spark, monkeypatch, bins, ends):
+    """Against brute force, with moments that are skipped in some zones, empty ranges, nulls and many ranges that end in one bin."""
+    monkeypatch.setattr(ordered, "ENDS", ends)
+    rnd = random.Random(bins)
+    when = lambda: T0 + timedelta(minutes=rnd.randrange(200_000), microseconds=rnd.randrange(3))
+    points = [(rnd.choice([None, *(when() for _ in range(9))]), rnd.choice([None, 1, 2, 5]), rnd.choice([None, 2**60 + rnd.randrange(99), rnd.randrange(99)])) for _ in range(400)]
+    ranges = [(rnd.choice([None, *(when() for _ in range(9))]), rnd.choice([None, *(when() for _ in range(9))])) for _ in range(150)]
+    ranges += [(T0, T0 + timedelta(days=900)), (T0, T0 + timedelta(days=900)), (T0, T0), (points[0][0] or T0, when())]
+    points, ranges = spark.createDataFrame(points, "t timestamp_ntz, n long, id long"), spark.createDataFrame(ranges, "a timestamp_ntz, b timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [tuple(r) for r in ordered.totals_in_ranges(points, ranges, "t", "a", "b", "n", "id", bins).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    points, want = points.collect(), {}
+    for a, b in ranges.collect():
+        held = [p for p in points if None not in (a, b, p.t) and a <= p.t < b]
+        if held:
+            want[a, b] = (a, b, sum(p.n or 0 for p in held), min((p.id for p in held if p.id is not None), default=None), max(p.t for p in held))
+    assert len(got) == len(want) > 30 and set(got) == set(want.values())
+
+
+def test_totals_of_other_kinds_and_of_nothing(spark):
+    points, ranges = spark.createDataFrame([(0.5, 1, 7), (1.5, 2, 6), (2.5, 4, 9)], "x double, n long, id long"), spark.createDataFrame([(0.0, 2.0), (1.5, 9.0), (3.0, 4.0)], "lo double, hi double")
+    totals = lambda p, r: sorted(map(tuple, ordered.totals_in_ranges(p, r, "x", "lo", "hi", "n", "id").collect()))
+    assert totals(points, ranges) == [(0.0, 2.0, 3, 6, 1.5), (1.5, 9.0, 6, 6, 2.5)]
+    assert totals(points.limit(0), ranges) == totals(points, ranges.limit(0)) == []
+
+
+def test_no_pair_of_a_point_and_a_range_is_made(spark, monkeypatch):
+    """3,000 points in each of 3,000 overlapping ranges: what is paired are bins."""
+    pairs = []
+    monkeypatch.setattr(ordered, "in_ranges", lambda *a, f=ordered.in_ranges: pairs.append(f(*a)) or pairs[-1])
+    points = spark.range(3000).select(F.col("id").alias("x"), F.lit(1).cast("long").alias("n"), "id")
+    ranges = spark.range(3000).select((F.col("id") - 2999).alias("lo"), (F.col("id") + 3000).alias("hi"))
+    got = {r.lo: (r.n, r.id, r.x) for r in ordered.totals_in_ranges(points, ranges, "x", "lo", "hi", "n", "id", 16).collect()}
+    assert got == {i - 2999: (3000, 0, 2999) for i in range(3000)} and pairs[0].count() <= 16**3
+
+
 def test_frames(spark):
     rnd = random.Random(2)
     rows = [(i, rnd.randrange(30), rnd.choice([None, *range(9)])) for i in range(500)]
