@@ -147,14 +147,127 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
 
 
+#: Where a Parquet footer has the encodings of a column chunk: row groups, columns, meta_data, encodings.
+_ENCODINGS = (4, 1, 3, 2)
+#: Bytes of a row group. With 128 MB, Spark's default, a JVM that writes many files at once makes smaller ones of its own accord, so bytes would depend on how many tasks there are.
+GROUP_BYTES = 1 << 25
+
+
+def steady_footer(footer: bytes) -> bytes:
+    """A Parquet footer with the encodings of each column chunk in order, of the same length.
+
+    Parquet's writer lists them in the order of a hash set of enum values, which differs from one JVM to the next: without this the same rows written by two executors are
+    different bytes. The fields before and after are stepped over (Thrift's compact protocol)."""
+    out, at = bytearray(footer), 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = footer[at]
+            at, value, shift = at + 1, value | (byte & 127) << shift, shift + 7
+            if byte < 128:
+                return value
+
+    def step(kind: int, path: tuple[int, ...]) -> None:
+        nonlocal at
+        if kind == 12:  # a struct
+            field = 0
+            while head := footer[at]:
+                at += 1
+                field = field + (head >> 4) if head >> 4 else number() >> 1
+                if head & 15 > 2:  # true and false are in the head
+                    step(head & 15, (*path, field))
+            at += 1
+        elif kind in (9, 10):  # a list or set
+            head, at = footer[at], at + 1
+            n, first = head >> 4 if head >> 4 < 15 else number(), at
+            for _ in range(n):
+                step(head & 15, path)
+            if path == _ENCODINGS:  # of a byte each
+                out[first:at] = bytes(sorted(footer[first:at]))
+        elif kind == 11:  # a map
+            n = number()
+            if n:
+                kinds, at = footer[at], at + 1
+                for _ in range(n):
+                    step(kinds >> 4, (*path, 0))
+                    step(kinds & 15, (*path, 0))
+        elif kind == 8:  # bytes
+            n = number()
+            at += n
+        elif kind in (1, 2, 3, 7):
+            at += 8 if kind == 7 else 1
+        else:
+            number()
+
+    step(12, ())
+    return bytes(out)
+
+
+def _move_steady(system: pa.fs.FileSystem, source: str, to: str) -> None:
+    """Move a Parquet file; if its footer isn't the steady one, it is copied, in blocks, and then deleted. For use in tasks."""
+    part = f"{to.rpartition('/')[0]}/_{to.rpartition('/')[2]}.part"
+    with system.open_input_file(source) as held:
+        size = held.size()
+        held.seek(size - 8)
+        tail = held.read(8)
+        head = size - 8 - int.from_bytes(tail[:4], "little")
+        held.seek(head)
+        old = held.read(size - 8 - head)
+        new = steady_footer(old)
+        if new != old:
+            held.seek(0)
+            with system.open_output_stream(part) as out:
+                for at in range(0, head, 1 << 22):
+                    out.write(held.read(min(1 << 22, head - at)))
+                out.write(new + tail)
+    if new == old:
+        system.move(source, to)
+    else:
+        system.move(part, to)
+        system.delete_file(source)
+
+
+def _rename_steady(folder: Folder, source: str, to: str) -> None:
+    """The same by the driver, whose buffers the bytes go through, in a store that tasks can't open."""
+    held = folder._fs.open(folder._p(source))
+    try:
+        size = folder._fs.getFileStatus(folder._p(source)).getLen()
+        held.seek(size - 8)
+        tail = bytes(held.readNBytes(8))
+        head = size - 8 - int.from_bytes(tail[:4], "little")
+        held.seek(head)
+        old = bytes(held.readNBytes(size - 8 - head))
+        new = steady_footer(old)
+        if new != old:
+            held.seek(0)
+            out = folder._fs.create(folder._p(f"{source}.part"), True)
+            try:
+                hadoop = folder.spark._jvm.org.apache.hadoop
+                hadoop.io.IOUtils.copyBytes(hadoop.util.LimitInputStream(held, head), out, folder.spark._jsc.hadoopConfiguration(), False)
+                out.write(bytearray(new + tail))
+            finally:
+                out.close()
+    finally:
+        held.close()
+    if not folder._fs.rename(folder._p(source if new == old else f"{source}.part"), folder._p(to)):
+        raise OSError(f"{source} can't be moved to {to}")
+    if new != old:
+        folder.delete(source)
+
+
 def _single(df: DataFrame, folder: Folder, name: str, kind: str) -> None:
     """One file of this name, with the rows in order; the same rows give the same bytes."""
     staging = f"_{name.replace('/', '_')}.parts"
     writer = df.coalesce(1).write.mode("overwrite")
-    (writer.parquet if kind == "parquet" else writer.option("header", True).option("escape", '"').csv)(f"{folder.path}/{staging}")
+    (writer.option("parquet.block.size", GROUP_BYTES).parquet if kind == "parquet" else writer.option("header", True).option("escape", '"').csv)(f"{folder.path}/{staging}")
     part = next(n for n in folder.names(staging) if n.startswith("part-"))
     folder.delete(name)
-    folder._fs.rename(folder._p(f"{staging}/{part}"), folder._p(name))
+    if kind == "parquet":
+        _rename_steady(folder, f"{staging}/{part}", name)
+    else:
+        folder._fs.rename(folder._p(f"{staging}/{part}"), folder._p(name))
     folder.delete(staging)
 
 
@@ -179,7 +292,11 @@ def _move_parts(folder: Folder, staging: str, name: str, kind: str, n: int) -> N
     except (ValueError, pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
         for part in range(n):
             found = next(x for x in folder.names(f"{staging}/_part={part}") if x.startswith("part-"))
-            folder._fs.rename(folder._p(f"{staging}/_part={part}/{found}"), folder._p(f"{name}/part-{part:05d}.{kind}"))
+            source, to = f"{staging}/_part={part}/{found}", f"{name}/part-{part:05d}.{kind}"
+            if kind == "parquet":
+                _rename_steady(folder, source, to)
+            else:
+                folder._fs.rename(folder._p(source), folder._p(to))
         return
     path = folder.path
 
@@ -190,7 +307,9 @@ def _move_parts(folder: Folder, staging: str, name: str, kind: str, n: int) -> N
                 to = f"{root}/{name}/part-{part:05d}.{kind}"
                 held = system.get_file_info(pa.fs.FileSelector(f"{root}/{staging}/_part={part}"))
                 found = [f.path for f in held if f.base_name.startswith("part-")]
-                if found:
+                if found and kind == "parquet":
+                    _move_steady(system, found[0], to)
+                elif found:
                     system.move(found[0], to)
                 elif system.get_file_info(to).type == pa.fs.FileType.NotFound:  # else an attempt before this one has moved it
                     raise FileNotFoundError(f"{staging}/_part={part} has no file")
@@ -221,7 +340,7 @@ def write_parts(df: DataFrame, folder: Folder, name: str, *order: str, kind: str
     staging = f"_{name}.parts"
     placed = numbered(df.withColumn("_order", F.struct(*order)), "_order", "_row").withColumn("_part", F.floor(F.col("_row") / rows).cast("int"))
     writer = placed.repartition("_part").sortWithinPartitions("_part", "_row").select(*df.columns, "_part").write.mode("overwrite").partitionBy("_part")
-    (writer.parquet if kind == "parquet" else writer.option("header", False).option("escape", '"').csv)(f"{folder.path}/{staging}")
+    (writer.option("parquet.block.size", GROUP_BYTES).parquet if kind == "parquet" else writer.option("header", False).option("escape", '"').csv)(f"{folder.path}/{staging}")
     folder.delete(name)
     folder._fs.mkdirs(folder._p(name))
     n = len([x for x in folder.names(staging) if x.startswith("_part=")])

@@ -147,6 +147,43 @@ def test_parts_are_the_same_files(spark, tmp_path):
     assert streamed["sha256"].tolist() == [hashlib.sha256(text).hexdigest()]
 
 
+def test_parts_are_the_same_bytes_whichever_jvm_wrote_them(spark, tmp_path, monkeypatch):
+    """Executors list the encodings of a column in orders of their own; parts and single files have them in one, and nothing else is changed."""
+    import pyarrow as pa
+    import pyarrow.fs as fs
+    import pyarrow.parquet as pq
+
+    from curatrix.sources import files
+
+    codes = {"PLAIN": 0, "PLAIN_DICTIONARY": 2, "RLE": 3, "BIT_PACKED": 4, "RLE_DICTIONARY": 8}
+
+    def listed(path):
+        m = pq.ParquetFile(path).metadata
+        return [[codes[e] for e in m.row_group(g).column(i).encodings] for g in range(m.num_row_groups) for i in range(m.num_columns)]
+
+    def as_another_jvm(path):
+        """The file with each list of encodings reversed."""
+        held = path.read_bytes()
+        at = len(held) - 8 - int.from_bytes(held[-8:-4], "little")
+        with monkeypatch.context() as m:
+            m.setattr(files, "sorted", lambda x: list(x)[::-1], raising=False)
+            return held[:at] + files.steady_footer(held[at:-8]) + held[-8:]
+
+    folder = files.Folder(spark, f"file://{tmp_path}")
+    # columns of many kinds, above 14 of them, so that the footer has long lists too
+    rows = spark.range(1000).select("id", (F.col("id") % 7).alias("k"), F.array("id", F.lit(None)).alias("a"), F.create_map(F.lit("x"), F.lit(True)).alias("m"), F.lit(1.5).alias("d"), F.current_timestamp().alias("t"), *(F.col("id").alias(f"c{i}") for i in range(12)))
+    files.write_parts(rows, folder, "p", "k", "id", rows=300)
+    files.write_sorted(rows, folder, "one.parquet", "k", "id")
+    for path in (*sorted((tmp_path / "p").glob("*.parquet")), tmp_path / "one.parquet"):
+        found, other = listed(path), as_another_jvm(path)
+        assert len(found) > 18 and all(e == sorted(e) for e in found) and max(map(len, found)) > 1
+        for k, move in enumerate((lambda a, b: files._move_steady(fs.LocalFileSystem(), f"{tmp_path}/{a}", f"{tmp_path}/{b}"), lambda a, b: files._rename_steady(folder, a, b))):
+            (tmp_path / "turned.parquet").write_bytes(other)
+            assert listed(tmp_path / "turned.parquet") != found and pa.table(pq.read_table(tmp_path / "turned.parquet")).num_rows
+            move("turned.parquet", f"to{k}-{path.name}")
+            assert (tmp_path / f"to{k}-{path.name}").read_bytes() == path.read_bytes() and not (tmp_path / "turned.parquet").exists()
+
+
 def test_sketches_merge_to_the_whole(spark):
     from curatrix.operators import sketches
 
