@@ -116,6 +116,21 @@ def test_pairs_of_near_copies_are_told_in_parts_and_their_vectors_travel_once(sp
     assert len(similarity._exact(pairs, one, 0.95)) == 60 * 59 and held == [120]  # not two vectors a pair
 
 
+def test_pairs_of_keys_that_come_more_than_once(spark):
+    """A table with rows that come again, with the same vector and with others: the pairs of a join, as often as it has them."""
+    from collections import Counter
+
+    import numpy as np
+
+    x = np.random.default_rng(6).normal(size=(60, 8))
+    rows = [(str(i % 40), x[i].tolist()) for i in range(60)] + [(str(i), x[i].tolist()) for i in range(30)]
+    df = spark.createDataFrame(rows, "id string, v array<double>")
+    cosine = lambda u, w: np.dot(u, w) / np.linalg.norm(u) / np.linalg.norm(w)
+    want = Counter((a, b) for a, u in rows for b, w in rows if a < b and cosine(u, w) >= 0.5)
+    got = Counter((r.a, r.b) for r in similarity.cosine_pairs(df, "id", "v", 0.5, block=20).collect())
+    assert got == want and max(want.values()) > 1
+
+
 def test_a_part_of_the_components_rules_most_pairs_out_and_loses_none(monkeypatch):
     """Unrelated vectors are told apart by three of eight of their components; where that leaves much, all are looked at. The open pairs are the same."""
     import numpy as np
