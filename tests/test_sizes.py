@@ -162,6 +162,22 @@ def test_a_manifest_tells_classes_without_rows_as_the_sql_does(spark, monkeypatc
     assert got["rejected by model"] == 0 and got["rejected by rule"] == 0 and got["same bytes"] == 4
 
 
+def test_a_build_has_the_same_bytes_whichever_jvm_wrote_them(spark):
+    """The Parquet files of a build list the encodings of their columns in one order, so that the manifest's checksums are those of the rows."""
+    from pathlib import Path
+
+    from curatrix.plans import fixtures as X
+    from curatrix.plans import operations
+
+    d, out = "/root/testdata/sf0.001", f"{Scratch(spark, 'steady').path}/out"
+    told = dataset.build(spark, out, X.photos(spark, d), operations._label_table(spark, d), X.embeddings(spark, d), since=X.CUTOFF)
+    found = [p.read_bytes() for p in Path(out.removeprefix("file:")).glob("*.parquet/part-*.parquet")]
+    assert len(found) == 2 and len(told["sha256"]) == 4
+    for held in found:
+        footer = held[len(held) - 8 - int.from_bytes(held[-8:-4], "little") : -8]
+        assert files.steady_footer(footer) == footer
+
+
 def test_small_waves_share_a_job_and_end_where_they_did(spark, monkeypatch):
     """260 calls in waves of 5, 5 and 10 at most, of which all fail from the 100th on: as many calls and records as wave by wave, in one append."""
     import pytest
